@@ -13,8 +13,12 @@ HOUR = 3600
 
 
 def r6(c: Column) -> Column:
-    """Six digits; adding zero turns a negative zero into a plain one."""
-    return F.round(c, 6) + F.lit(0.0)
+    """Six digits, halves up, never a negative zero.
+
+    Rounding to nine digits first drops the noise of summation order, so that ties go
+    the same way whatever the partitioning was.
+    """
+    return F.floor(F.round(c, 9) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
 def ratio(a: Column, b: Column) -> Column:

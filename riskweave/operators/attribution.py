@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import direction_text
+from riskweave.functions.columns import direction_text, r6
 from riskweave.operators.quality import sorted_rank
 
 
@@ -53,7 +53,7 @@ def top_attributions(df: DataFrame, key: str, model: dict, k: int = 3) -> DataFr
     """Per row the k largest attributions by size, inside the row: no shuffle."""
     entries = []
     for f, (b, m) in model.items():
-        v = F.round((F.col(f) - F.lit(m)) * F.lit(b), 6) + F.lit(0.0)
+        v = r6((F.col(f) - F.lit(m)) * F.lit(b))
         entries.append(
             F.struct(
                 (-F.abs(v)).alias("size"),

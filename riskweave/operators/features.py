@@ -227,11 +227,11 @@ def feature_columns(df: DataFrame, label: str = S.LABEL) -> list[str]:
 
 def encoding_audit(df: DataFrame, column: str, label: str = S.LABEL, top: int = 5) -> DataFrame:
     """Encoded value against the actual rate of the rows that carry it, largest gaps."""
-    te = F.round(F.col(column), 6)
+    te = C.r6(F.col(column))
     out = df.groupBy(te.alias("te")).agg(
         F.avg(label).alias("actual_rate"), F.count(F.lit(1)).alias("n")
     )
-    gap = F.round(F.abs(F.col("te") - F.col("actual_rate")), 6)
+    gap = C.r6(F.abs(F.col("te") - F.col("actual_rate")))
     return out.withColumn("gap", gap).orderBy(F.col("gap").desc(), "te").limit(top)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import ratio
+from riskweave.functions.columns import r6, ratio
 
 
 class NoRuns(ValueError):
@@ -76,7 +76,7 @@ def ablation_delta(
         F.col("run_name").alias("previous_run"),
         F.col(metric).alias("_before"),
     )
-    delta = F.round(F.col(metric) - F.col("_before"), 6) + F.lit(0.0)
+    delta = r6(F.col(metric) - F.col("_before"))
     return (
         runs.join(before, order)
         .withColumn("delta", delta)

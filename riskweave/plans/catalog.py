@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from riskweave.plans import explore, ingest, splits  # noqa: F401
+from riskweave.plans import (  # noqa: F401
+    engineering,
+    evaluation,
+    experiments,
+    explore,
+    ingest,
+    monitoring,
+    splits,
+)
 from riskweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -64,7 +64,7 @@ def sql(body: str, extra: str = "") -> str:
 
 
 def r(e: str) -> str:
-    return f"(round({e}, 6) + 0)"
+    return f"(floor(round({e}, 9) * 1e6 + 0.5) / 1e6)"
 
 
 def cols(names: list[str], prefix: str = "") -> str:

@@ -11,6 +11,7 @@ def local_session(cores: str = "8", app: str = "riskweave") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
