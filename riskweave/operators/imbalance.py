@@ -88,7 +88,6 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
             break
         width /= 2
 
-    steps = F.sequence(F.lit(-1), F.lit(1))
     best = Window.partitionBy("vid").orderBy("d2", key)
     open_rows, done = vectors, None
     while True:
@@ -96,7 +95,8 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
         at = [c.alias(f"_c{i}") for i, c in enumerate(cells(width))]
         asked = open_rows.select("vid", *features, *at)
         for i in range(len(axes)):
-            shifted = F.explode(F.transform(steps, lambda s, i=i: F.col(f"_c{i}") + s))
+            c = F.col(f"_c{i}")
+            shifted = F.explode(F.array(c - 1, c, c + 1))
             others = [c for c in asked.columns if c != f"_c{i}"]
             asked = asked.select(*others, shifted.alias(f"_c{i}"))
         offered = points.select(key, *features, *at)

@@ -6,6 +6,7 @@ from riskweave.plans import (  # noqa: F401
     experiments,
     explore,
     ingest,
+    modelling,
     monitoring,
     splits,
 )
