@@ -143,8 +143,10 @@ class BoostedModel:
     history: list[tuple[int, float]] = field(default_factory=list)
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Adds ``margin`` and ``probability``."""
-        wide = VectorAssembler(inputCols=self.features, outputCol="_features").transform(df)
+        """Adds ``margin`` and ``probability``. A NULL feature goes down as not a number."""
+        wide = VectorAssembler(
+            inputCols=self.features, outputCol="_features", handleInvalid="keep"
+        ).transform(df)
         out = self.model.setFeaturesCol("_features").transform(wide)
         raw = vector_to_array("rawPrediction")[1]
         p = vector_to_array("probability")[1]

@@ -185,7 +185,8 @@ def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
 
 
 def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
-    """(pick, value, first, last): the rank span of each distinct value in a bracket."""
+    """(pick, lo, hi, value, first, last): the rank span of each distinct value in a
+    bracket, next to the lowest and highest rank wanted there."""
     types = {df.schema[p.column].dataType for p in picks}
     same = len(types) == 1
     entries = [
@@ -195,6 +196,8 @@ def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
                 F.lit(i).alias("pick"),
                 (F.col(p.column) if same else F.col(p.column).cast("double")).alias("value"),
                 F.lit(p.below).cast("bigint").alias("below"),
+                F.lit(min(p.ranks)).cast("bigint").alias("lo"),
+                F.lit(max(p.ranks)).cast("bigint").alias("hi"),
             ),
         )
         for i, p in enumerate(picks)
@@ -202,13 +205,19 @@ def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
     upto = Window.partitionBy("pick").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return (
         df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.pick", "e.below", "e.value")
+        .groupBy("e.pick", "e.below", "e.lo", "e.hi", "e.value")
         .agg(F.count(F.lit(1)).alias("w"))
         .withColumn("last", F.col("below") + F.sum("w").over(upto) - 1)
         .withColumn("first", F.col("last") - F.col("w") + 1)
     )
 
 
+def literal_table(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """A table of a few hundred literal rows, without a Python stage."""
+    entries = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+
+
 def _chunks(items: list, size: int) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)]
 
@@ -226,23 +235,24 @@ def quantile_table(
             for p in probs:
                 at = p * (n - 1) if n else 0.0
                 lo, hi = math.floor(at), math.ceil(at)
-                meta.append((len(picks) if n else -1, c, float(p), n, lo, hi, at - lo))
+                meta.append((len(picks) if n else -1, c, float(p), n, at - lo))
                 if n:
                     picks.append(Pick(c, (lo, hi), n))
         _narrow(df, picks, limit)
-        wanted = spark.createDataFrame(
-            meta,
-            "pick int, column string, prob double, n bigint, lo bigint, hi bigint, frac double",
-        )
+        wanted = literal_table(spark, ["pick", "column", "prob", "n", "frac"], meta)
         if not picks:
             parts.append(
-                wanted.select("column", "prob", "n", F.lit(None).cast("double").alias("value"))
+                wanted.select(
+                    "column",
+                    "prob",
+                    F.col("n").cast("bigint").alias("n"),
+                    F.lit(None).cast("double").alias("value"),
+                )
             )
             continue
         hit = F.col("value").cast("double")
         found = (
             _ranked_candidates(df, picks)
-            .join(F.broadcast(wanted.select("pick", "lo", "hi")), "pick")  # columns x probs rows
             .groupBy("pick")
             .agg(
                 F.max(F.when(F.col("lo").between(F.col("first"), F.col("last")), hit)).alias("a"),
@@ -250,10 +260,10 @@ def quantile_table(
             )
         )
         parts.append(
-            wanted.join(F.broadcast(found), "pick", "left").select(
+            wanted.join(F.broadcast(found), "pick", "left").select(  # columns x probs rows
                 "column",
                 "prob",
-                "n",
+                F.col("n").cast("bigint").alias("n"),
                 (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"),
             )
         )
@@ -275,10 +285,9 @@ def values_at_ranks(
     """For each 0-based rank: (value, rows below the value, rows at the value)."""
     picks = [Pick(column, (r,), n) for r in ranks]
     _narrow(df, picks, limit)
-    wanted = F.create_map(*[F.lit(x) for i, r in enumerate(ranks) for x in (i, int(r))])
     rows = (
         _ranked_candidates(df, picks)
-        .filter(F.element_at(wanted, F.col("pick")).between(F.col("first"), F.col("last")))
+        .filter(F.col("lo").between(F.col("first"), F.col("last")))
         .select("pick", "value", "first", "w")
         .collect()
     )

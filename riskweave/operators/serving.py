@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,17 +16,26 @@ from riskweave.sources.tables import trailing_window
 LATENCIES = {0.5: "p50_latency_ms", 0.95: "p95_latency_ms", 0.99: "p99_latency_ms"}
 
 
-def parse_requests(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON bodies to typed columns. Absent fields get their default, nulls stay NULL."""
-    fields = F.from_json(F.col(body), "map<string,string>")
-    parsed = df.select(*keep, fields.alias("_m"))
+def parse_requests(
+    df: DataFrame,
+    body: str = "body",
+    keep: Sequence[str] = (),
+    expected: Sequence[str] = (),
+) -> DataFrame:
+    """JSON bodies to typed columns. Absent fields get their default, nulls stay NULL.
+
+    ``expected`` names further numeric fields to take along; absent ones are NULL.
+    """
+    given = F.from_json(F.col(body), "map<string,string>")
+    parsed = df.select(*keep, given.alias("_m"))
 
     def value(name: str, default: float | None):
         given = F.element_at(F.col("_m"), name).cast("double")
         absent = ~F.map_contains_key(F.col("_m"), name)
         return F.when(absent, F.lit(default).cast("double")).otherwise(given).alias(name)
 
-    return parsed.select(*keep, *[value(n, d) for n, d in S.REQUEST_DEFAULTS.items()])
+    fields = {**{c: None for c in expected if c not in keep}, **S.REQUEST_DEFAULTS}
+    return parsed.select(*keep, *[value(n, d) for n, d in fields.items()])
 
 
 def log_rows(scored: DataFrame, threshold: float, version: str, time: str) -> DataFrame:

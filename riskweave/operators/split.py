@@ -19,7 +19,11 @@ from riskweave.sources import schema as S
 
 @dataclass(frozen=True)
 class Boundary:
-    """The first row past a head of fixed size, by (major, minor)."""
+    """Where a head of fixed size ends, by (major, minor).
+
+    Without a minor part the head ends between two major values; without a major part
+    it holds all rows.
+    """
 
     major: object
     minor: object
@@ -28,6 +32,8 @@ class Boundary:
         """True for rows of the head."""
         if self.major is None:
             return F.lit(True)
+        if self.minor is None:
+            return major < F.lit(self.major)
         return (major < F.lit(self.major)) | (
             (major == F.lit(self.major)) & (minor < F.lit(self.minor))
         )
@@ -43,6 +49,9 @@ def boundaries(df: DataFrame, major: str, minor: str, ranks: list[int], n: int)
             out.append(Boundary(None, None))
             continue
         value, below, at = found[r]
+        if r == below:
+            out.append(Boundary(value, None))
+            continue
         tied = df.filter(F.col(major) == F.lit(value))
         if dict(df.dtypes)[minor] == "string":
             # Digests behind one 60-bit prefix: a handful of rows.

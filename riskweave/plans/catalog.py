@@ -9,6 +9,7 @@ from riskweave.plans import (  # noqa: F401
     modelling,
     monitoring,
     splits,
+    streams,
 )
 from riskweave.plans.registry import ORACLES, QUERIES
 
