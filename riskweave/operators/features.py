@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import columns as C
 from riskweave.operators.lookup import State, lookup_join
 from riskweave.operators.order import grouped_quantiles, quantile_values
+from riskweave.session import stored
 from riskweave.sources import schema as S
 
 
@@ -43,17 +44,35 @@ def group_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def category_stats(df: DataFrame, column: str, label: str = S.LABEL) -> DataFrame:
+def category_stats(df: DataFrame, columns: Sequence[str], label: str = S.LABEL) -> DataFrame:
+    """(column, category, label_sum, n) of all columns in one pass. NULLs drop out."""
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in columns]
+    )
     return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(
-            F.sum(F.col(label).cast("double")).alias(f"{column}_sum"),
-            F.count(F.lit(1)).alias(f"{column}_n"),
-        )
+        df.select(F.col(label).cast("double").alias("_y"), F.inline(entries))
+        .filter(F.col("category").isNotNull())
+        .groupBy("column", "category")
+        .agg(F.sum("_y").alias("label_sum"), F.count(F.lit(1)).alias("n"))
     )
 
 
+def category_states(df: DataFrame, columns: Sequence[str], label: str = S.LABEL) -> dict:
+    """Category statistics as one lookup state per column: (c, c_sum, c_n)."""
+    table = stored(category_stats(df, columns, label), "categories")
+    sizes = dict(table.groupBy("column").count().collect())
+    out = {}
+    for c in columns:
+        one = table.filter(F.col("column") == c).select(
+            F.col("category").alias(c),
+            F.col("label_sum").alias(f"{c}_sum"),
+            F.col("n").alias(f"{c}_n"),
+            F.col("n").alias("_w"),
+        )
+        out[c] = State(one, c, sizes.get(c, 0), "_w")
+    return out
+
+
 def loo_mean(total: Column, n: Column, y: Column, overall: Column) -> Column:
     """Mean of the other rows of the category; the overall mean for a lone or unseen one."""
     return F.when(n > 1, (total - y) / (n - 1)).otherwise(overall)
@@ -127,9 +146,7 @@ class FeatureEngineer:
         encoded = S.present(schema, list(self.encoded))
         if encoded:
             self.overall = train.agg(F.avg(self.label)).first()[0] or 0.0
-        for c in encoded:
-            stats = category_stats(train, c, self.label).withColumn("_w", F.col(f"{c}_n"))
-            self.categories[c] = State.of(stats, c, "_w")
+            self.categories = category_states(train, encoded, self.label)
         self.fitted = True
         return self
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import hash60, hash_unit, seeded_md5
 from riskweave.operators.lookup import State, lookup_join
 from riskweave.operators.split import boundaries, class_balance
-from riskweave.session import materialise
+from riskweave.session import stored
 from riskweave.sources import schema as S
 
 CELL_ROWS = 64
@@ -63,7 +63,7 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
     features = list(features)
     rows = df.select(F.col(key), *[F.col(f).cast("double").alias(f) for f in features])
     copy = Window.partitionBy(*features).orderBy(key)
-    points = materialise(
+    points = stored(
         rows.withColumn("_copy", F.row_number().over(copy)).filter(F.col("_copy") <= k + 1)
     )
     vectors = points.filter(F.col("_copy") == 1).select(F.col(key).alias("vid"), *features)
@@ -122,11 +122,11 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
         )  # at most k+1 entries per row
         if not everything:
             lists = lists.filter(F.size("nbs") == k + 1)
-        lists = materialise(lists)
+        lists = stored(lists)
         done = lists if done is None else done.unionByName(lists)
         if everything:
             break
-        open_rows = materialise(open_rows.join(lists, "vid", "left_anti"))
+        open_rows = stored(open_rows.join(lists, "vid", "left_anti"))
         if open_rows.isEmpty():
             break
         width *= 2
@@ -175,7 +175,7 @@ def smote(
     real = train.select(key, *features, label)
     if wanted <= 0 or n1 < 2:
         return real
-    minority = materialise(real.filter(F.col(label) == 1).select(key, *features))
+    minority = stored(real.filter(F.col(label) == 1).select(key, *features))
     each, extra = divmod(wanted, n1)
     h, md5 = hash60(F.col(key), seed), seeded_md5(F.col(key), seed)
     keyed = minority.select(h.alias("_h"), md5.alias("_md5"))

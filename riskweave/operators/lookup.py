@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.session import materialise
+from riskweave.session import stored
 
 BROADCAST_ROWS = 500_000
 HOT_SHARE = 1 / 1000
@@ -25,7 +25,7 @@ class State:
 
     @classmethod
     def of(cls, table: DataFrame, key: str, weight: str) -> State:
-        kept = materialise(table.filter(F.col(key).isNotNull()))
+        kept = stored(table.filter(F.col(key).isNotNull()), "state")
         return cls(kept, key, kept.count(), weight)
 
 

@@ -13,16 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import ratio
-from riskweave.operators.order import range_count, range_edges, running_totals
+from riskweave.operators.order import range_edges, running_totals
 
 
 def score_curve(
-    df: DataFrame, score: str = "score", label: str = "y", keys: Sequence[str] = ()
+    df: DataFrame,
+    score: str = "score",
+    label: str = "y",
+    keys: Sequence[str] = (),
+    limit: int | None = None,
 ) -> DataFrame:
     """(keys, score, pos, neg, tp, fp, n_pos, n_neg), counting scores >= score."""
     y = F.col(label).cast("bigint")
     rows = df.filter(F.col(score).isNotNull() & y.isNotNull())
-    edges = range_edges(rows, [score], range_count(df.sparkSession))[score]
+    edges = range_edges(rows, [score], limit=limit)[score]
     per_score = rows.groupBy(*keys, score).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")
     )

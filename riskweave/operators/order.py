@@ -33,8 +33,21 @@ def range_count(spark: SparkSession) -> int:
     return max(16, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def range_edges(df: DataFrame, columns: Sequence[str], n: int) -> dict[str, list[float]]:
-    """At most ``n - 1`` inner cut points per column; the only data the driver sees."""
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Does one task manage all rows? A count, from file footers for a stored table."""
+    return df.count() <= (CANDIDATE_LIMIT if limit is None else limit)
+
+
+def range_edges(
+    df: DataFrame, columns: Sequence[str], n: int | None = None, limit: int | None = None
+) -> dict[str, list[float]]:
+    """At most ``n - 1`` inner cut points per column; the only data the driver sees.
+
+    No cut points (one range) when a counted size check says that one task will do.
+    """
+    if is_small(df, limit):
+        return {c: [] for c in columns}
+    n = n or range_count(df.sparkSession)
     probs = [i / n for i in range(1, n)]
     row = df.agg(
         *[
@@ -48,7 +61,10 @@ def range_edges(df: DataFrame, columns: Sequence[str], n: int) -> dict[str, list
 def with_ranges(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_range_") -> DataFrame:
     """Add ``_range_<column>``: the index of the value range each value falls in."""
     inf = float("inf")
-    names = list(edges)
+    names = [c for c in edges if edges[c]]
+    df = df.select("*", *[F.lit(0.0).alias(f"{prefix}{c}") for c in edges if not edges[c]])
+    if not names:
+        return df
     cut = Bucketizer(
         splitsArray=[[-inf, *edges[c], inf] for c in names],
         inputCols=[f"_d_{c}" for c in names],
@@ -74,7 +90,7 @@ def running_totals(
     """
     keys = list(keys)
     if edges is None:
-        edges = range_edges(df, [order], range_count(df.sparkSession))[order]
+        edges = range_edges(df, [order])[order]
     cut = with_ranges(df, {order: edges}).withColumnRenamed(f"_range_{order}", "_range")
 
     along = F.col("_range").desc() if descending else F.col("_range")
@@ -223,56 +239,96 @@ def _chunks(items: list, size: int) -> list[list]:
 
 
 def quantile_table(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int = CANDIDATE_LIMIT
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int | None = None
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles: (column, prob, n, value)."""
-    spark = df.sparkSession
-    parts = []
-    for chunk in _chunks(list(columns), COLUMN_CHUNK):
-        counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(chunk)]).first()
-        picks, meta = [], []
-        for c, n in zip(chunk, counts):
-            for p in probs:
-                at = p * (n - 1) if n else 0.0
-                lo, hi = math.floor(at), math.ceil(at)
-                meta.append((len(picks) if n else -1, c, float(p), n, at - lo))
-                if n:
-                    picks.append(Pick(c, (lo, hi), n))
-        _narrow(df, picks, limit)
-        wanted = literal_table(spark, ["pick", "column", "prob", "n", "frac"], meta)
-        if not picks:
-            parts.append(
-                wanted.select(
-                    "column",
-                    "prob",
-                    F.col("n").cast("bigint").alias("n"),
-                    F.lit(None).cast("double").alias("value"),
-                )
-            )
-            continue
-        hit = F.col("value").cast("double")
-        found = (
-            _ranked_candidates(df, picks)
-            .groupBy("pick")
-            .agg(
-                F.max(F.when(F.col("lo").between(F.col("first"), F.col("last")), hit)).alias("a"),
-                F.max(F.when(F.col("hi").between(F.col("first"), F.col("last")), hit)).alias("b"),
-            )
-        )
-        parts.append(
-            wanted.join(F.broadcast(found), "pick", "left").select(  # columns x probs rows
-                "column",
-                "prob",
-                F.col("n").cast("bigint").alias("n"),
-                (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"),
-            )
-        )
+    """Exact linearly interpolated quantiles: (column, prob, n, value).
+
+    Up to ``limit`` rows (counted), each column's distinct values are ranked in one
+    pass. Beyond that, brackets around the wanted ranks are narrowed first.
+    """
+    limit = CANDIDATE_LIMIT if limit is None else limit
+    ranked = _quantiles_in_one_pass if is_small(df, limit) else _quantiles_by_bracket
+    parts = [ranked(df, chunk, list(probs), limit) for chunk in _chunks(list(columns), COLUMN_CHUNK)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _quantiles_in_one_pass(
+    df: DataFrame, columns: list[str], probs: list[float], limit: int
+) -> DataFrame:
+    del limit
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    ]
+    whole = Window.partitionBy("column")
+    # NULLs sort first and weigh nothing, so a column without values keeps its row.
+    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        df.select(F.inline(F.array(*entries)))
+        .groupBy("column", "value")
+        .agg(F.count("value").alias("w"))
+        .withColumns(
+            {"n": F.sum("w").over(whole), "last": F.sum("w").over(upto) - 1}
+        )
+        .withColumn("first", F.col("last") - F.col("w") + 1)
+    )
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    hit = F.when(F.col("w") > 0, F.col("value"))
+
+    def at_rank(r: Column) -> Column:
+        return F.max(F.when(r.between(F.col("first"), F.col("last")), hit))
+
+    picked = ranked.groupBy("column", "n").agg(
+        *[at_rank(F.floor(a)).alias(f"a{i}") for i, a in enumerate(at)],
+        *[at_rank(F.ceil(a)).alias(f"b{i}") for i, a in enumerate(at)],
+    )
+    rows = [
+        F.struct(
+            F.lit(float(p)).alias("prob"),
+            (
+                F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * (a - F.floor(a))
+            ).alias("value"),
+        )
+        for i, (p, a) in enumerate(zip(probs, at))
+    ]
+    out = picked.select("column", "n", F.inline(F.array(*rows)))
+    return out.select("column", "prob", "n", "value")
+
+
+def _quantiles_by_bracket(
+    df: DataFrame, columns: list[str], probs: list[float], limit: int
+) -> DataFrame:
+    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    picks, meta = [], []
+    for c, n in zip(columns, counts):
+        for p in probs:
+            at = p * (n - 1) if n else 0.0
+            lo, hi = math.floor(at), math.ceil(at)
+            meta.append((len(picks) if n else -1, c, float(p), n, at - lo))
+            if n:
+                picks.append(Pick(c, (lo, hi), n))
+    _narrow(df, picks, limit)
+    wanted = literal_table(df.sparkSession, ["pick", "column", "prob", "n", "frac"], meta)
+    wanted = wanted.withColumn("n", F.col("n").cast("bigint"))
+    if not picks:
+        return wanted.select("column", "prob", "n", F.lit(None).cast("double").alias("value"))
+    hit = F.col("value").cast("double")
+    found = (
+        _ranked_candidates(df, picks)
+        .groupBy("pick")
+        .agg(
+            F.max(F.when(F.col("lo").between(F.col("first"), F.col("last")), hit)).alias("a"),
+            F.max(F.when(F.col("hi").between(F.col("first"), F.col("last")), hit)).alias("b"),
+        )
+    )
+    interpolated = F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")
+    return wanted.join(F.broadcast(found), "pick", "left").select(  # columns x probs rows
+        "column", "prob", "n", interpolated.alias("value")
+    )
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
     """The table above as a dictionary: one number per column and probability."""
     rows = quantile_table(df, columns, probs).collect()
@@ -280,11 +336,11 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def values_at_ranks(
-    df: DataFrame, column: str, ranks: Sequence[int], n: int, limit: int = CANDIDATE_LIMIT
+    df: DataFrame, column: str, ranks: Sequence[int], n: int, limit: int | None = None
 ) -> list[tuple]:
     """For each 0-based rank: (value, rows below the value, rows at the value)."""
     picks = [Pick(column, (r,), n) for r in ranks]
-    _narrow(df, picks, limit)
+    _narrow(df, picks, CANDIDATE_LIMIT if limit is None else limit)
     rows = (
         _ranked_candidates(df, picks)
         .filter(F.col("lo").between(F.col("first"), F.col("last")))
@@ -299,7 +355,11 @@ def values_at_ranks(
 
 
 def grouped_quantiles(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float]
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    probs: Sequence[float],
+    limit: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per key: (keys..., column, prob, n, value); NULLs ignored.
 
@@ -308,7 +368,7 @@ def grouped_quantiles(
     rank is ordered.
     """
     keys, columns = list(keys), list(columns)
-    edges = range_edges(df, columns, range_count(df.sparkSession))
+    edges = range_edges(df, columns, limit=limit)
     cut = with_ranges(df.select(*keys, *columns), edges)
     values = F.array(
         *[

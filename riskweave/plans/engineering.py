@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from riskweave.functions import columns as C
 from riskweave.operators import features as fe
 from riskweave.operators import quality
-from riskweave.operators.lookup import State, lookup_join
+from riskweave.operators.lookup import lookup_join
+from riskweave.operators.order import quantile_table
 from riskweave.operators.split import in_head, time_boundaries
-from riskweave.plans.ingest import new_folder
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
+from riskweave.session import new_folder, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 
@@ -22,6 +23,11 @@ NORM = ["D1", "D4", "D10"]
 TE = ["card4", "card6", "P_emaildomain", "R_emaildomain"]
 
 
+def base(spark: SparkSession, d: str) -> DataFrame:
+    """The transaction table, stored once: fitting reads it several times."""
+    return stored(fx.txn(spark, d), "txn")
+
+
 def train_boundary(df: DataFrame):
     n = df.count()
     return time_boundaries(df, [int(n * 0.75)], n)[0]
@@ -80,8 +86,6 @@ JOINS = " ".join(f"left join cs_{c} on i.{c} = cs_{c}.{c}" for c in TE)
 )
 def column_medians(spark: SparkSession, d: str) -> DataFrame:
     df = fx.txn(spark, d)
-    from riskweave.operators.order import quantile_table
-
     q = quantile_table(df, IMPUTED + V, [0.5])
     return rounded(q.select("column", F.coalesce("value", F.lit(0.0)).alias("median")))
 
@@ -102,15 +106,7 @@ def group_medians(spark: SparkSession, d: str) -> DataFrame:
         f"count(*) as n from txn where {c} is not null group by {c}" for c in TE)),
 )
 def category_stats(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
-    out = None
-    for c in TE:
-        one = fe.category_stats(df, c).select(
-            F.lit(c).alias("column"), F.col(c).alias("category"),
-            F.col(f"{c}_sum").alias("label_sum"), F.col(f"{c}_n").alias("n"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    return fe.category_stats(fx.txn(spark, d), TE)
 
 
 @query(
@@ -118,7 +114,7 @@ def category_stats(spark: SparkSession, d: str) -> DataFrame:
     sql("select i.TransactionID, " + RAW_SQL + " from imp i", STATE),
 )
 def impute_median(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     train = df.filter(in_head(train_boundary(df)))
     cols = ["TransactionID", *RAW]
     medians = fe.column_medians(train, IMPUTED + V)
@@ -171,7 +167,7 @@ def d_card_norm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _engineered(spark: SparkSession, d: str, encoded: bool = False) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     b = train_boundary(df)
     eng = fe.FeatureEngineer() if encoded else fe.without_encoding()
     eng.fit(df.filter(in_head(b)))
@@ -211,9 +207,8 @@ def _encoded(spark: SparkSession, d: str, loo: bool) -> DataFrame:
     rows = train if loo else df.filter(~in_head(b))
     out = rows.select(S.KEY, S.LABEL, *TE)
     exprs = []
-    for c in TE:
-        stats = fe.category_stats(train, c).withColumn("_w", F.col(f"{c}_n"))
-        out = lookup_join(out, State.of(stats, c, "_w"), S.KEY)
+    for c, state in fe.category_states(train, TE).items():
+        out = lookup_join(out, state, S.KEY)
         total = F.coalesce(f"{c}_sum", F.lit(0.0))
         n = F.coalesce(f"{c}_n", F.lit(0)).cast("double")
         y = F.col(S.LABEL).cast("double")
@@ -289,7 +284,7 @@ TE_COLS = [f"{c}_te" for c in TE]
         "join ranked k using (TransactionID))"),
 )
 def te_range_check(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     b = train_boundary(df)
     eng = fe.FeatureEngineer().fit(df.filter(in_head(b)))
     out = rounded(eng.transform(df, train_rows=in_head(b)))
@@ -327,7 +322,7 @@ def feature_gate(spark: SparkSession, d: str) -> DataFrame:
 @query("feature_state_roundtrip", sql(NO_TE, STATE))
 def feature_state_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Fit, save, load, transform with the loaded state."""
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     path = new_folder(spark, "feature_state")
     fe.without_encoding().fit(df.filter(in_head(train_boundary(df)))).save(path)
     return rounded(fe.FeatureEngineer.load(spark, path).transform(df))

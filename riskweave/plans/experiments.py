@@ -11,9 +11,9 @@ from riskweave.operators import metrics as M
 from riskweave.operators import quality
 from riskweave.operators import runs as R
 from riskweave.operators.features import column_medians, impute
-from riskweave.plans.ingest import new_folder
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
+from riskweave.session import new_folder, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 
@@ -167,6 +167,7 @@ EXPLAINED = ["TransactionAmt", "D4", "D10", "addr1", "V1", "C13"]
 def _explained(spark: SparkSession, d: str):
     """Imputed rows, and per feature the marginal slope of the label and the mean."""
     df = fx.txn(spark, d).select(S.KEY, S.LABEL, *EXPLAINED)
+    df = stored(df, "explained")
     df = impute(df, column_medians(df, EXPLAINED))
     return df, A.marginal_slopes(df, EXPLAINED, S.LABEL)
 

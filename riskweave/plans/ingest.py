@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from riskweave.operators import quality, serving
 from riskweave.operators.features import align_features
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import TXN_COLUMNS, big, cols, r, sql
-from riskweave.session import shared_dir
+from riskweave.session import new_folder
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 from riskweave.sources import tables
@@ -23,11 +22,6 @@ AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 MID = dt.datetime(2024, 1, 16, tzinfo=dt.timezone.utc)
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one for tables a query writes."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # --- scans and loads -------------------------------------------------------------------
 
 

@@ -16,7 +16,7 @@ from riskweave.operators import models as ml
 from riskweave.operators import serving, split
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
-from riskweave.session import materialise
+from riskweave.session import stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 
@@ -37,7 +37,7 @@ def scores(df: DataFrame) -> DataFrame:
 
 @query("lr_score")
 def lr_score(spark: SparkSession, d: str) -> DataFrame:
-    df = split.temporal_split(fx.learn(spark, d))
+    df = split.temporal_split(stored(fx.learn(spark, d)))
     model = logistic(df.filter(F.col("split") == "train"))
     return rounded(scores(model.score(df.filter(F.col("split") == "test"))))
 
@@ -45,7 +45,7 @@ def lr_score(spark: SparkSession, d: str) -> DataFrame:
 @query("lr_eval")
 def lr_eval(spark: SparkSession, d: str) -> DataFrame:
     """Test metrics of the baseline, with the mean and deviation over time-series folds."""
-    df = split.temporal_split(fx.learn(spark, d))
+    df = split.temporal_split(stored(fx.learn(spark, d)))
     train = df.filter(F.col("split") == "train")
     scored = scores(logistic(train).score(df.filter(F.col("split") == "test")))
     bundle = M.risk_metrics(scored, "class_weight", train.count())
@@ -57,10 +57,10 @@ class Trained:
     """Splits, fitted features and a fitted ensemble on the learnable view."""
 
     def __init__(self, spark: SparkSession, d: str, params: dict = PARAMS, history: bool = True):
-        self.rows = split.prepare_splits(fx.learn(spark, d, history))
+        self.rows = split.prepare_splits(stored(fx.learn(spark, d, history)))
         self.engineer = fe.without_encoding().fit(self.part("train"))
         # Written once: training, validation and scoring all read it.
-        self.data = materialise(self.engineer.transform(self.rows))
+        self.data = stored(self.engineer.transform(self.rows))
         self.features = [c for c in fe.feature_columns(self.data) if c != S.TIME]
         train, val = (self.data.filter(F.col("split") == s) for s in ("train", "val"))
         self.model = ml.fit_boosted(train, val, self.features, params)
@@ -118,9 +118,9 @@ SMALL_SPACE = [
 @query("search_trials")
 def search_trials(spark: SparkSession, d: str) -> DataFrame:
     """Three random trials and one that cannot work, judged on validation rows."""
-    rows = split.prepare_splits(fx.learn(spark, d))
+    rows = split.prepare_splits(stored(fx.learn(spark, d)))
     eng = fe.without_encoding().fit(rows.filter(F.col("split") == "train"))
-    data = materialise(eng.transform(rows))
+    data = stored(eng.transform(rows))
     features = [c for c in fe.feature_columns(data) if c != S.TIME]
     train, val = (data.filter(F.col("split") == s) for s in ("train", "val"))
 

@@ -11,13 +11,21 @@ from riskweave.operators.split import in_head, temporal_head, time_boundaries
 from riskweave.plans.ingest import AS_OF
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
+from riskweave.session import stored
 from riskweave.sources import fixtures as fx
+from riskweave.sources import schema as S
+from riskweave.sources.tables import trailing_window
 
 MONITORED = ["TransactionAmt", "C13"]
 EVERY = "6 hours"
 MIN_ROWS = 50
 
 
+def watched(spark: SparkSession, d: str) -> DataFrame:
+    """Key, time and the monitored columns, stored once: the baseline takes several passes."""
+    return stored(fx.txn(spark, d).select(S.KEY, S.TIME, *MONITORED), "watched")
+
+
 def timed(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", event_time(F.col("TransactionDT"), fx.EPOCH_OFFSET))
 
@@ -68,7 +76,7 @@ RECENT = TIMED + ", recent as (select * from timed where et >= timestamp '2024-0
         + " from ranked where rk < round(total * 0.75)" for f in MONITORED)),
 )
 def drift_baseline(spark: SparkSession, d: str) -> DataFrame:
-    table = drift.baseline_table(spark, baselines(fx.txn(spark, d)))
+    table = drift.baseline_table(spark, baselines(watched(spark, d)))
     ps = [F.col("percentiles")[i].alias(f"p{i * 10}") for i in range(11)]
     return rounded(table.select("feature", "mean", "std", "n", *ps))
 
@@ -97,7 +105,7 @@ DRIFT_ROWS = " union all ".join(
 
 
 def feature_drift_rows(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = watched(spark, d)
     return drift.feature_drift(timed(df), baselines(df), AS_OF, "event_time")
 
 
@@ -114,8 +122,6 @@ RATE_ROWS = f"""select 'fraud_rate' as feature_name, {r(Z)} as psi_score, {Z} >
 
 
 def rate_drift_rows(spark: SparkSession, d: str) -> DataFrame:
-    from riskweave.sources.tables import trailing_window
-
     return drift.rate_drift(trailing_window(fx.pred_log(spark, d), AS_OF, days=7))
 
 
@@ -147,7 +153,7 @@ LOG_OUT = (f"cast(epoch(\"timestamp\") as bigint) as at, feature_name, {r('psi_s
 
 
 def drift_log(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = watched(spark, d)
     return drift.drift_log(
         timed(df), fx.pred_log(spark, d), baselines(df), "event_time", EVERY, MIN_ROWS
     )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import drift
 from riskweave.plans import monitoring as mon
-from riskweave.plans.ingest import new_folder, requests
+from riskweave.plans.ingest import log_out, requests
 from riskweave.plans.modelling import VERSION, Trained
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
+from riskweave.session import new_folder
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 from riskweave.streaming import jobs
@@ -42,8 +43,6 @@ def stream_pred_log(spark: SparkSession, d: str) -> DataFrame:
     twice = events_stream(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     log = jobs.deduplicated_log(fx.shape_pred_log(twice))
     jobs.to_table(log, path, by=["date"])
-    from riskweave.plans.ingest import log_out
-
     return log_out(spark.read.parquet(f"{path}/table"))
 
 
@@ -101,7 +100,7 @@ def stream_rate_drift(spark: SparkSession, d: str) -> DataFrame:
 def stream_drift(spark: SparkSession, d: str) -> DataFrame:
     """The drift check as a stream: the arriving transactions against the fitted baseline."""
     path = new_folder(spark, "stream_drift")
-    base = [b for b in mon.baselines(fx.txn(spark, d)) if b.feature == "TransactionAmt"]
+    base = [b for b in mon.baselines(mon.watched(spark, d)) if b.feature == "TransactionAmt"]
     txn = fx.event_rows(events_stream(spark, d)).select(*fx.txn_columns(history=False))
     jobs.drift_checks(txn, base, path)
     out = spark.read.schema(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +40,18 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a small derived table to the shared folder once and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a derived table to the shared folder once and read it from there.
+
+    For tables that several passes need: later passes read only their columns, and a
+    lost executor costs no recomputation of the lineage behind the table.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
