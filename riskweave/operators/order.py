@@ -23,7 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SKETCH_ACCURACY = 10_000
+from riskweave.functions.columns import any_of
+
+# Sketch sizes: a rank error near 0.2 % for brackets, finer for cut points.
+BRACKET_K, EDGES_K = 2000, 4096
+BRACKET_MARGIN = 0.005
+SKETCH_SLOTS = 256
 CANDIDATE_LIMIT = 4_000_000
 COLUMN_CHUNK = 48
 
@@ -38,6 +43,33 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return df.count() <= (CANDIDATE_LIMIT if limit is None else limit)
 
 
+def sketch_quantiles(
+    df: DataFrame, wants: Sequence[tuple[Column, Sequence[float]]], k: int
+) -> list[list[float] | None]:
+    """Approximate quantiles of each column, None without values.
+
+    Task sketches are merged in two steps, ``SKETCH_SLOTS`` at a time and then the
+    slots, so no task has to merge the sketches of a hundred thousand others.
+    """
+    names = [f"s{i}" for i in range(len(wants))]
+    slot = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLOTS)).alias("slot")
+    values = [c.cast("double").alias(n) for n, (c, _) in zip(names, wants)]
+    slots = df.select(slot, *values).groupBy("slot").agg(
+        *[F.kll_sketch_agg_double(n, F.lit(k)).alias(n) for n in names]
+    )
+    whole = slots.agg(*[F.kll_merge_agg_double(n, F.lit(k)).alias(n) for n in names])
+    row = whole.select(
+        *[
+            F.when(
+                F.kll_sketch_get_n_double(n) > 0,
+                F.kll_sketch_get_quantile_double(n, F.array(*[F.lit(float(p)) for p in probs])),
+            ).alias(n)
+            for n, (_, probs) in zip(names, wants)
+        ]
+    ).first()
+    return list(row)
+
+
 def range_edges(
     df: DataFrame, columns: Sequence[str], n: int | None = None, limit: int | None = None
 ) -> dict[str, list[float]]:
@@ -49,13 +81,8 @@ def range_edges(
         return {c: [] for c in columns}
     n = n or range_count(df.sparkSession)
     probs = [i / n for i in range(1, n)]
-    row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), probs, 8 * n).alias(f"e{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    return {c: sorted(set(row[i] or [0.0])) for i, c in enumerate(columns)}
+    found = sketch_quantiles(df, [(F.col(c), probs) for c in columns], EDGES_K)
+    return {c: sorted(set(q or [])) for c, q in zip(columns, found)}
 
 
 def with_ranges(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_range_") -> DataFrame:
@@ -131,8 +158,9 @@ class Pick:
     ranks: tuple[int, ...]
     inside: int
     below: int = 0
-    low: object = None
-    high: object = None
+    low: float | int | None = None
+    high: float | int | None = None
+    margin: float = BRACKET_MARGIN
     settled: bool = False
 
     def contains(self) -> Column:
@@ -144,39 +172,48 @@ class Pick:
             ok = ok & (c <= F.lit(self.high))
         return ok
 
+    def span(self) -> tuple[float, float]:
+        """The wanted ranks as shares of the bracket, with the margin."""
+        first = (min(self.ranks) - self.below) / self.inside
+        last = (max(self.ranks) - self.below) / self.inside
+        return first - self.margin, last + self.margin
+
+
+INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+
 
 def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
     """Shrink every bracket until it holds at most ``limit`` rows.
 
-    A sketch proposes the bracket, an exact count confirms that the ranks lie in
-    it. A bracket that no longer shrinks holds few distinct values and is done.
+    A sketch proposes the bracket, an exact count confirms that the ranks lie in it; a
+    wrong proposal is widened. A bracket that no longer shrinks holds few distinct
+    values and is done.
     """
-    margin = 3 / SKETCH_ACCURACY
     while True:
         wide = [p for p in picks if p.inside > limit and not p.settled][:COLUMN_CHUNK]
         if not wide:
             return
-        spans = [
-            (
-                (min(p.ranks) - p.below) / p.inside - margin,
-                (max(p.ranks) - p.below) / p.inside + margin,
-            )
-            for p in wide
-        ]
-        row = df.agg(
-            *[
-                F.percentile_approx(
-                    F.when(p.contains(), F.col(p.column)),
-                    [max(0.0, a), min(1.0, b)],
-                    SKETCH_ACCURACY,
-                ).alias(f"q{i}")
-                for i, (p, (a, b)) in enumerate(zip(wide, spans))
-            ]
-        ).first()
+        found = sketch_quantiles(
+            df,
+            [
+                (F.when(p.contains(), F.col(p.column)), [max(0.0, a), min(1.0, b)])
+                for p in wide
+                for a, b in [p.span()]
+            ],
+            BRACKET_K,
+        )
         tries = []
-        for p, (a, b), (low, high) in zip(wide, spans, row):
-            t = Pick(p.column, p.ranks, 0, 0, p.low if a <= 0 else low, p.high if b >= 1 else high)
-            tries.append(t)
+        for p, (low, high) in zip(wide, found):
+            a, b = p.span()
+            if isinstance(df.schema[p.column].dataType, INTEGRAL):
+                low, high = math.floor(low), math.ceil(high)
+            tries.append(
+                Pick(
+                    p.column, p.ranks, 0, 0,
+                    p.low if a <= 0 else low,
+                    p.high if b >= 1 else high,
+                )
+            )
         counts = df.agg(
             *[
                 e
@@ -192,12 +229,13 @@ def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
             ]
         ).first()
         for i, (p, t) in enumerate(zip(wide, tries)):
-            t.inside, t.below = counts[2 * i], counts[2 * i + 1]
-            holds = t.below <= min(p.ranks) and t.below + t.inside > max(p.ranks)
-            if not holds or t.inside > p.inside // 2:
-                p.settled = True
-            if holds and t.inside <= p.inside:
-                p.low, p.high, p.inside, p.below = t.low, t.high, t.inside, t.below
+            inside, below = counts[2 * i], counts[2 * i + 1]
+            if below > min(p.ranks) or below + inside <= max(p.ranks):
+                p.margin *= 4
+                p.settled = p.margin > 1
+                continue
+            p.settled = inside > p.inside // 2
+            p.low, p.high, p.inside, p.below = t.low, t.high, inside, below
 
 
 def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
@@ -219,6 +257,8 @@ def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
         for i, p in enumerate(picks)
     ]
     upto = Window.partitionBy("pick").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    if len(picks) <= 8 and all(p.low is not None or p.high is not None for p in picks):
+        df = df.filter(any_of([p.contains() for p in picks]))  # reaches the Parquet scan
     return (
         df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .groupBy("e.pick", "e.below", "e.lo", "e.hi", "e.value")

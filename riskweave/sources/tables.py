@@ -78,10 +78,13 @@ def eda_scan(df: DataFrame, columns: Sequence[str], limit: int | None = None) ->
 
 
 def append_log(df: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Append to a log that is partitioned by calendar day."""
+    """Append to a log that is partitioned by calendar day.
+
+    Rows are rebalanced by day: small days share a task, a heavy day is split.
+    """
     (
         df.withColumn("date", F.to_date(time))
-        .repartition("date", F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        .hint("rebalance", F.col("date"))
         .write.mode("append")
         .partitionBy("date")
         .parquet(path)
