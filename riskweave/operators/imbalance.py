@@ -15,6 +15,7 @@ from riskweave.session import stored
 from riskweave.sources import schema as S
 
 CELL_ROWS = 64
+GROWTH = 3
 
 
 def positive_weight(train: DataFrame, label: str = S.LABEL) -> float:
@@ -57,7 +58,7 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
       anyone's neighbour, so a mass of copies shrinks to k+1 rows.
     * Two coordinates form a grid of width r. All rows within r of a row lie in its
       cell or a touching one, so a row with k+1 hits within r is finished, exactly.
-      Only unfinished rows go on with twice the width; the last width spans all rows.
+      Only unfinished rows go on with a larger width; the last width spans all rows.
     * The first width is chosen so that no cell holds more than a few rows.
     """
     features = list(features)
@@ -66,7 +67,9 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
     points = stored(
         rows.withColumn("_copy", F.row_number().over(copy)).filter(F.col("_copy") <= k + 1)
     )
-    vectors = points.filter(F.col("_copy") == 1).select(F.col(key).alias("vid"), *features)
+    vectors = stored(
+        points.filter(F.col("_copy") == 1).select(F.col(key).alias("vid"), *features)
+    )
     spread = vectors.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.min(f).alias(f"lo_{f}") for f in features],
@@ -89,9 +92,11 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
         width /= 2
 
     best = Window.partitionBy("vid").orderBy("d2", key)
-    open_rows, done = vectors, None
+    done, left = None, n
     while True:
         everything = width > diagonal
+        # One row per finished vector so far: keys of stored tables only.
+        open_rows = vectors if done is None else vectors.join(done, "vid", "left_anti")
         at = [c.alias(f"_c{i}") for i, c in enumerate(cells(width))]
         asked = open_rows.select("vid", *features, *at)
         for i in range(len(axes)):
@@ -124,12 +129,10 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
             lists = lists.filter(F.size("nbs") == k + 1)
         lists = stored(lists)
         done = lists if done is None else done.unionByName(lists)
-        if everything:
-            break
-        open_rows = stored(open_rows.join(lists, "vid", "left_anti"))
-        if open_rows.isEmpty():
+        left -= lists.count()
+        if everything or not left:
             break
-        width *= 2
+        width *= GROWTH
 
     # Back from vectors to rows; a row drops itself from its vector's list.
     by_vector = vectors.join(done, "vid").withColumn("_v", F.struct(*features))

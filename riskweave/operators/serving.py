@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -26,16 +27,18 @@ def parse_requests(
 
     ``expected`` names further numeric fields to take along; absent ones are NULL.
     """
-    given = F.from_json(F.col(body), "map<string,string>")
-    parsed = df.select(*keep, given.alias("_m"))
-
-    def value(name: str, default: float | None):
-        given = F.element_at(F.col("_m"), name).cast("double")
-        absent = ~F.map_contains_key(F.col("_m"), name)
-        return F.when(absent, F.lit(default).cast("double")).otherwise(given).alias(name)
-
-    fields = {**{c: None for c in expected if c not in keep}, **S.REQUEST_DEFAULTS}
-    return parsed.select(*keep, *[value(n, d) for n, d in fields.items()])
+    names = [*[c for c in expected if c not in keep and c not in S.REQUEST_DEFAULTS],
+             *S.REQUEST_DEFAULTS]
+    # Of a repeated field the parser keeps the last: defaults first, then the body's own
+    # fields, explicit nulls included.
+    defaults = json.dumps({n: d for n, d in S.REQUEST_DEFAULTS.items() if d is not None})[:-1]
+    rest = F.substr(F.ltrim(F.col(body)), F.lit(2))
+    comma = F.when(F.col(body).rlike(r"^\s*\{\s*\}"), "").otherwise(", ")
+    text = F.concat(F.lit(defaults), comma, rest)
+    given = F.from_json(text, "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">")
+    # Generated rather than projected: the body is parsed once, not once per field.
+    parsed = df.select(*keep, F.inline(F.array(F.struct(given.alias("_given")))))
+    return parsed.select(*keep, *[F.col(f"_given.{n}").cast("double").alias(n) for n in names])
 
 
 def log_rows(scored: DataFrame, threshold: float, version: str, time: str) -> DataFrame:

@@ -74,3 +74,12 @@ def test_request_defaults(spark):
     row = serving.parse_requests(df, expected=["V9", "V8"]).first()
     assert row["TransactionAmt"] == 3.5 and row["card1"] is None
     assert row["C1"] == 1.0 and row["D2"] is None and row["V9"] == 2.0 and row["V8"] is None
+
+
+@pytest.mark.parametrize("body,amt,c1", [
+    ("{}", 68.5, 1.0), (" { } ", 68.5, 1.0), ('{"C1": null}', 68.5, None), ('  {"C1": "2.5", "x": {"C1": 7}}', 68.5, 2.5),
+    ('{"TransactionAmt": 1e3}', 1000.0, 1.0),
+])
+def test_request_bodies(spark, body, amt, c1):
+    row = serving.parse_requests(spark.createDataFrame([(body,)], "body string")).first()
+    assert (row["TransactionAmt"], row["C1"]) == (amt, c1)
