@@ -142,6 +142,20 @@ class BoostedModel:
     best_iteration: int
     history: list[tuple[int, float]] = field(default_factory=list)
 
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        self.model.write().overwrite().save(f"{path}/trees")
+        facts = [(self.features, self.best_iteration)]
+        spark.createDataFrame(facts, "features array<string>, best_iteration int").write.mode(
+            "overwrite"
+        ).json(f"{path}/facts")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BoostedModel:
+        facts = spark.read.json(f"{path}/facts").first()
+        model = GBTClassificationModel.load(f"{path}/trees")
+        return cls(list(facts["features"]), model, int(facts["best_iteration"]))
+
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``margin`` and ``probability``. A NULL feature goes down as not a number."""
         wide = VectorAssembler(
@@ -231,6 +245,34 @@ def fit_boosted(
     return BoostedModel(features, _block(model, 0, best), best, history)
 
 
+def ablation(
+    data: DataFrame,
+    feature_sets: dict[str, Sequence[str]],
+    params: dict,
+    label: str = S.LABEL,
+    split: str = "split",
+) -> DataFrame:
+    """Train one model per feature set; rows of the run table with test metrics."""
+    train, val, test = (data.filter(F.col(split) == s) for s in ("train", "val", "test"))
+    weight = positive_weight(train, label)
+    n_train = train.count()
+    out = None
+    for order, (name, features) in enumerate(feature_sets.items(), start=1):
+        model = fit_boosted(train, val, features, params, label, weight)
+        scored = model.score(test).select(
+            F.col(label).alias("y"), F.col("probability").alias("score")
+        )
+        run = M.risk_metrics(scored, "class_weight", n_train).select(
+            F.lit(name).alias("run_name"),
+            F.lit(order).alias("run_order"),
+            F.lit(len(features)).alias("n_features"),
+            F.lit(model.best_iteration).alias("best_iteration"),
+            "*",
+        )
+        out = run if out is None else out.unionByName(run)
+    return out
+
+
 # --- calibration ------------------------------------------------------------------------------
 
 

@@ -214,7 +214,7 @@ def _encoded(spark: SparkSession, d: str, loo: bool) -> DataFrame:
         y = F.col(S.LABEL).cast("double")
         e = fe.loo_mean(total, n, y, overall) if loo else fe.smoothed_mean(total, n, overall, S.SMOOTHING)
         exprs.append(e.alias(f"{c}_te"))
-    return rounded(out.select(S.KEY, *exprs))
+    return rounded(out.select(S.KEY, S.LABEL, *exprs))
 
 
 @query(
@@ -223,7 +223,7 @@ def _encoded(spark: SparkSession, d: str, loo: bool) -> DataFrame:
         + f" from tr i {JOINS} cross join ov", STATE),
 )
 def loo_encode(spark: SparkSession, d: str) -> DataFrame:
-    return _encoded(spark, d, loo=True)
+    return _encoded(spark, d, loo=True).drop(S.LABEL)
 
 
 @query(
@@ -232,7 +232,7 @@ def loo_encode(spark: SparkSession, d: str) -> DataFrame:
         + f" from ranked i {JOINS} cross join ov where rk >= floor(total * 0.75)", STATE),
 )
 def smoothed_encode(spark: SparkSession, d: str) -> DataFrame:
-    return _encoded(spark, d, loo=False)
+    return _encoded(spark, d, loo=False).drop(S.LABEL)
 
 
 MISSABLE = ["card4", "R_emaildomain", "addr1", "D1", "D4", "D10", "V1", "V2"]
@@ -264,9 +264,7 @@ def missing_indicators(spark: SparkSession, d: str) -> DataFrame:
         "cross join ov where rk >= floor(total * 0.75))"),
 )
 def te_audit(spark: SparkSession, d: str) -> DataFrame:
-    te = _encoded(spark, d, loo=False).select(S.KEY, F.col("P_emaildomain_te").alias("te_raw"))
-    labels = fx.txn(spark, d).select(S.KEY, S.LABEL)
-    return rounded(fe.encoding_audit(te.join(labels, S.KEY), "te_raw"))
+    return rounded(fe.encoding_audit(_encoded(spark, d, loo=False), "P_emaildomain_te"))
 
 
 TE_COLS = [f"{c}_te" for c in TE]

@@ -61,7 +61,7 @@ class Trained:
         self.engineer = fe.without_encoding().fit(self.part("train"))
         # Written once: training, validation and scoring all read it.
         self.data = stored(self.engineer.transform(self.rows))
-        self.features = [c for c in fe.feature_columns(self.data) if c != S.TIME]
+        self.features = fe.feature_columns(self.data)
         train, val = (self.data.filter(F.col("split") == s) for s in ("train", "val"))
         self.model = ml.fit_boosted(train, val, self.features, params)
 
@@ -99,12 +99,28 @@ def batch_score(spark: SparkSession, d: str) -> DataFrame:
     """Engineer, align, score, decide: one prediction-log row per transaction."""
     t = Trained(spark, d)
     rows = t.engineer.transform(fx.txn(spark, d))
-    aligned = fe.align_features(rows, t.features, keep=[S.KEY, S.TIME])
+    aligned = fe.align_features(rows, t.features, keep=[S.KEY])
     scored = t.model.score(aligned)
     stamp = F.timestamp_seconds(F.col(S.TIME) + F.lit(fx.EPOCH_OFFSET))
     return serving.log_rows(scored.withColumn("ts", stamp), 0.5, VERSION, "ts")
 
 
+@query("ablation_runs")
+def ablation_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Raw numbers, with engineered features, and with encodings on top: one run each."""
+    rows = split.prepare_splits(stored(fx.learn(spark, d)))
+    is_train = F.col("split") == "train"
+    data = stored(fe.FeatureEngineer().fit(rows.filter(is_train)).transform(rows, is_train))
+    full = fe.feature_columns(data)
+    raw = [c for c in full if c in rows.columns]
+    sets = {
+        "run_a_raw": raw,
+        "run_b_engineered": [c for c in full if not c.endswith("_te")],
+        "run_c_encoded": full,
+    }
+    return rounded(ml.ablation(data, sets, PARAMS))
+
+
 SMALL_SPACE = [
     ("max_depth", "int", 2, 3),
     ("learning_rate", "log", 0.05, 0.3),
@@ -121,7 +137,7 @@ def search_trials(spark: SparkSession, d: str) -> DataFrame:
     rows = split.prepare_splits(stored(fx.learn(spark, d)))
     eng = fe.without_encoding().fit(rows.filter(F.col("split") == "train"))
     data = stored(eng.transform(rows))
-    features = [c for c in fe.feature_columns(data) if c != S.TIME]
+    features = fe.feature_columns(data)
     train, val = (data.filter(F.col("split") == s) for s in ("train", "val"))
 
     def objective(params: dict) -> float:

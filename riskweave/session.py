@@ -30,7 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or sc.getConf().get("spark.checkpoint.dir")
+        or sc.getCheckpointDir()
+    )
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

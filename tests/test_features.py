@@ -140,3 +140,29 @@ def test_null_group_is_dropped(spark):
 def test_split_summary(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 0)], "split string, isFraud int")
     assert {r["split"]: (r["rows"], r["label_rate"]) for r in split_summary(df).collect()} == {"a": (2, 0.5), "b": (1, 0.0)}
+
+
+def test_full_width_gives_387_features(spark):
+    """All 394 declared columns, all of them with gaps."""
+    from riskweave.operators import quality
+    from riskweave.sources import schema as S
+
+    def value(f, i):
+        number = (F.col("id") * (i + 3)) % 17
+        kind = f.dataType.typeName()
+        if f.name in ("TransactionID", "TransactionDT"):
+            return F.col("id").cast("bigint")
+        if f.name == "isFraud":
+            return (F.col("id") % 9 == 0).cast("int")
+        gap = (F.col("id") + i) % 5 == 0
+        return F.when(~gap, number.cast(kind if kind != "long" else "bigint"))
+
+    wide = spark.range(60).select(*[value(f, i).alias(f.name) for i, f in enumerate(S.TRANSACTION_SCHEMA)])
+    out = fe.without_encoding().fit(wide).transform(wide)
+    features = fe.feature_columns(out)
+    assert len(features) == 387
+    gate = quality.feature_gate(out, features, 387).first()
+    assert gate["passed"] and gate["null_cells"] == 0
+    medians = fe.column_medians(wide, ["V7", "C3", "dist2"])
+    for c, m in medians.items():
+        assert m == pytest.approx(np.median([r[0] for r in wide.select(c).collect() if r[0] is not None]))

@@ -140,3 +140,17 @@ def test_logistic_round_trip_and_unseen(spark, sf, tmp_path):
     odd = model.score(test.withColumn("ProductCD", F.lit("never"))).agg(F.min("probability"), F.max("probability")).first()
     assert 0 <= odd[0] <= odd[1] <= 1
     assert ap(model.score(test)) > 0.5
+
+
+def test_boosted_round_trip(trained, spark, tmp_path):
+    trained.model.save(str(tmp_path / "gbt"))
+    again = ml.BoostedModel.load(spark, str(tmp_path / "gbt"))
+    test = trained.data.filter("split = 'test'")
+    a, b = (m.score(test).orderBy("TransactionID").select("probability").collect() for m in (trained.model, again))
+    assert a == b and again.best_iteration == trained.model.best_iteration
+
+
+def test_ablation_runs(spark, sf):
+    rows = {r["run_name"]: r for r in P.ablation_runs(spark, sf).collect()}
+    assert [rows[n]["n_features"] for n in ("run_a_raw", "run_b_engineered", "run_c_encoded")] == [11, 20, 24]
+    assert all(0 <= r["auc_pr"] <= 1 for r in rows.values())
