@@ -23,9 +23,12 @@ def score_curve(
     keys: Sequence[str] = (),
     limit: int | None = None,
 ) -> DataFrame:
-    """(keys, score, pos, neg, tp, fp, n_pos, n_neg), counting scores >= score."""
+    """(keys, score, pos, neg, tp, fp, n_pos, n_neg), counting scores >= score.
+
+    Rows without a score, label or key drop out.
+    """
     y = F.col(label).cast("bigint")
-    rows = df.filter(F.col(score).isNotNull() & y.isNotNull())
+    rows = df.dropna(subset=[score, label, *keys])
     edges = range_edges(rows, [score], limit=limit)[score]
     per_score = rows.groupBy(*keys, score).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")

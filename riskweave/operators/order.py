@@ -89,7 +89,7 @@ def with_ranges(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_ra
     """Add ``_range_<column>``: the index of the value range each value falls in."""
     inf = float("inf")
     names = [c for c in edges if edges[c]]
-    df = df.select("*", *[F.lit(0.0).alias(f"{prefix}{c}") for c in edges if not edges[c]])
+    df = df.select("*", *[F.lit(0).alias(f"{prefix}{c}") for c in edges if not edges[c]])
     if not names:
         return df
     cut = Bucketizer(
@@ -99,7 +99,10 @@ def with_ranges(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_ra
         handleInvalid="keep",
     )
     wide = df.select("*", *[F.col(c).cast("double").alias(f"_d_{c}") for c in names])
-    return cut.transform(wide).drop(*[f"_d_{c}" for c in names])
+    indexed = cut.transform(wide).drop(*[f"_d_{c}" for c in names])
+    return indexed.withColumns(
+        {f"{prefix}{c}": F.col(f"{prefix}{c}").cast("int") for c in names}
+    )
 
 
 def running_totals(
@@ -401,7 +404,9 @@ def grouped_quantiles(
     probs: Sequence[float],
     limit: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per key: (keys..., column, prob, n, value); NULLs ignored.
+    """Exact quantiles per key: (keys..., column, prob, n, value).
+
+    NULL values are ignored, NULL keys drop out.
 
     Equal values are counted before the shuffle and each column is cut into value
     ranges, so a hot key becomes many cells; only the cell that holds the wanted
@@ -409,7 +414,7 @@ def grouped_quantiles(
     """
     keys, columns = list(keys), list(columns)
     edges = range_edges(df, columns, limit=limit)
-    cut = with_ranges(df.select(*keys, *columns), edges)
+    cut = with_ranges(df.select(*keys, *columns).dropna(subset=keys), edges)
     values = F.array(
         *[
             F.struct(
