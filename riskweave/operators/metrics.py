@@ -28,7 +28,9 @@ def score_curve(
     Rows without a score, label or key drop out.
     """
     y = F.col(label).cast("bigint")
-    rows = df.dropna(subset=[score, label, *keys])
+    rows = df.select(*keys, score, label)
+    for c in rows.columns:
+        rows = rows.filter(F.col(c).isNotNull())
     edges = range_edges(rows, [score], limit=limit)[score]
     per_score = rows.groupBy(*keys, score).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")

@@ -101,7 +101,7 @@ def with_ranges(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_ra
     wide = df.select("*", *[F.col(c).cast("double").alias(f"_d_{c}") for c in names])
     indexed = cut.transform(wide).drop(*[f"_d_{c}" for c in names])
     return indexed.withColumns(
-        {f"{prefix}{c}": F.col(f"{prefix}{c}").cast("int") for c in names}
+        {f"{prefix}{c}": F.coalesce(F.col(f"{prefix}{c}").cast("int"), F.lit(-1)) for c in names}
     )
 
 
@@ -414,7 +414,10 @@ def grouped_quantiles(
     """
     keys, columns = list(keys), list(columns)
     edges = range_edges(df, columns, limit=limit)
-    cut = with_ranges(df.select(*keys, *columns).dropna(subset=keys), edges)
+    rows = df.select(*keys, *columns)
+    for k in keys:
+        rows = rows.filter(F.col(k).isNotNull())
+    cut = with_ranges(rows, edges)
     values = F.array(
         *[
             F.struct(

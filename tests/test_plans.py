@@ -83,3 +83,14 @@ def test_same_answer_without_the_size_shortcut(spark, sf, monkeypatch, name):
 def test_names(spark):
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
     assert not [q for q in catalog.QUERIES if q.startswith("op") or "pipeline" in q]
+
+
+def test_counts_are_shuffled_once(spark, sf):
+    """The per-value counts feed the range totals and the ordering from one exchange."""
+    t = fx.txn(spark, sf)
+    for df in (
+        o.grouped_quantiles(t, ["card1"], ["TransactionAmt", "D4"], [0.5], limit=0),
+        M.score_curve(fx.scored(spark, sf), limit=0),
+    ):
+        df.collect()
+        assert "ReusedExchange" in plan(df)
