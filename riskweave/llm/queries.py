@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import toxicity
+from riskweave.llm import quality, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -25,3 +25,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.REJECT_AT).cast("int").alias("predicted"),
         "offending",
     )
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = id_crc() % 4 == 2
+    model = quality.fit(docs, labels, ~held_out)
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= quality.REJECT_BELOW).cast("int").alias("predicted"),
+    )
