@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import quality, toxicity
+from riskweave.llm import quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -38,3 +38,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.REJECT_BELOW).cast("int").alias("predicted"),
     )
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id"
+    )
