@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import quality, simhash, toxicity
+from riskweave.llm import decontaminate, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -46,3 +46,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("found").alias("f")).select(
+        "doc_id",
+        "f.item_id",
+        F.col("f.score").alias("bm25"),
+        F.col("f.question").alias("question_overlap"),
+        F.col("f.answer").alias("answer_overlap"),
+    )
