@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 #: Text handled at once by the vectorised code, in bytes (a longer text is a chunk of its own).
 CHUNK_BYTES = 1 << 20
+#: Input of ``append_columns`` that is answered at once, in bytes (one row at least).
+SLICE_BYTES = 4 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -168,11 +170,15 @@ def append_columns(df: DataFrame, make, fields: list[T.StructField], reads: list
 
     def run(batches):
         fn = make()
-        for batch in batches:
-            new = fn(*[batch.column(i) for i in at])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *new], names=[*batch.schema.names, *names]
-            )
+        for whole in batches:
+            # In slices, so that what a batch makes is never held at once.
+            rows = max(1, min(len(whole), len(whole) * SLICE_BYTES // max(whole.nbytes, 1)))
+            for first in range(0, len(whole), rows):
+                batch = whole.slice(first, rows)
+                new = fn(*[batch.column(i) for i in at])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *new], names=[*batch.schema.names, *names]
+                )
 
     schema = T.StructType([*kept.schema.fields, *fields])
     out = kept.mapInArrow(run, schema)

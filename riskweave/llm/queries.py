@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontaminate, quality, simhash, toxicity
+from riskweave.llm import decontaminate, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -59,3 +59,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("f.question").alias("question_overlap"),
         F.col("f.answer").alias("answer_overlap"),
     )
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, check="round_trip").select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip"
+    )
