@@ -185,3 +185,11 @@ def append_columns(df: DataFrame, make, fields: list[T.StructField], reads: list
     return out.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)], *names
     )
+
+
+def free_name(df: DataFrame, prefix: str, names: tuple[str, ...]) -> str:
+    """A prefix with which none of ``names`` is a column of ``df`` yet."""
+    taken = {c.lower() for c in df.columns}
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return prefix

@@ -41,7 +41,7 @@ MARK = "▁"
 #: Where the public model file lies; a parameter of every function here.
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Units and pairs of pieces whose result a worker remembers, and the longest such unit.
-MEMORY = 200_000
+MEMORY = 400_000
 PAIRS = 400_000
 LONGEST = 48
 #: What a character without a piece costs a unigram path beyond the dearest piece.
@@ -118,14 +118,16 @@ class Transducer:
         self.score = [s for _, s, _ in pieces]
         least = min((self.score[i] for i in self.piece_id.values()), default=0.0)
         self.unknown_cost = UNKNOWN_PENALTY - least
-        # The trie: every prefix of a piece, with the id of the piece that ends there.
-        self.trie: dict[str, int] = {}
-        for text, i in self.piece_id.items():
-            for n in range(1, len(text)):
-                self.trie.setdefault(text[:n], NOTHING)
-            self.trie[text] = i
+        # The trie: a state maps a character to (next state, id of the piece that ends there).
+        self.trie: dict = {}
+        for text, i in sorted(self.piece_id.items()):
+            state = self.trie
+            for c in text[:-1]:
+                state = state.setdefault(c, ({}, NOTHING))[0]
+            state[text[-1]] = (state[text[-1]][0] if text[-1] in state else {}, i)
         self.units = self._units()
         self._paths: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._follows: dict[int, bool] = {}
 
     def _units(self) -> re.Pattern:
@@ -172,29 +174,41 @@ class Transducer:
 
     def path(self, unit: str) -> bytes:
         """Shortest path of one unit, as little-endian 32-bit ids."""
-        n, trie, ranked = len(unit), self.trie, self.kind == BPE
-        cost = [float("inf")] * (n + 1)
-        last, back = [NOTHING] * (n + 1), [0] * (n + 1)
-        cost[0], last[0] = 0.0, START
+        n, ranked, score, follows, size = len(unit), self.kind == BPE, self.score, self._follows, self.size
+        cost, last, back = [0.0] * (n + 1), [NOTHING] * (n + 1), [0] * (n + 1)
+        last[0] = START
         for i in range(n):
-            a = last[i]
+            a, here = last[i], cost[i]
             if a == NOTHING:
                 continue
-            here, single = cost[i], False
-            for j in range(i + 1, n + 1):
-                b = trie.get(unit[i:j])
-                if b is None:
+            state, row = self.trie, a * size
+            for j in range(i, n):
+                arc = state.get(unit[j])
+                if arc is None:
                     break
-                if b == NOTHING:
+                state, b = arc
+                if b < 0:
                     continue
-                single = single or j == i + 1
-                price = here + (1.0 if ranked else -self.score[b])
-                if price < cost[j] and (not ranked or a < 0 or self.follows(a, b)):
-                    cost[j], last[j], back[j] = price, b, i
-            if not single:
+                to = j + 1
+                if ranked:
+                    # One path of finite cost leads to each position: later ones need no look.
+                    if last[to] != NOTHING:
+                        continue
+                    if a >= 0:
+                        may = follows.get(row + b)
+                        if not (self.follows(a, b) if may is None else may):
+                            continue
+                    price = here + 1.0
+                else:
+                    price = here - score[b]
+                    if last[to] != NOTHING and price >= cost[to]:
+                        continue
+                cost[to], last[to], back[to] = price, b, i
+            to = i + 1
+            if unit[i] not in self.piece_id:
                 price = here + (1.0 if ranked else self.unknown_cost)
-                if price < cost[i + 1]:
-                    cost[i + 1], last[i + 1], back[i + 1] = price, FALLBACK, i
+                if last[to] == NOTHING or (not ranked and price < cost[to]):
+                    cost[to], last[to], back[to] = price, FALLBACK, i
         ids: list[int] = []
         at = n
         while at:
@@ -221,10 +235,12 @@ class Transducer:
         for u in units:
             ids = paths.get(u)
             if ids is None:
-                ids = self.path(u)
+                ids = self._older.pop(u, None) or self.path(u)
                 if len(u) <= LONGEST:
-                    if len(paths) >= MEMORY:
-                        paths.clear()
+                    if len(paths) >= MEMORY // 2:
+                        # What was not met again since the last turn is forgotten.
+                        self._older, self._paths = paths, {}
+                        paths = self._paths
                     paths[u] = ids
             out.append(ids)
         return b"".join(out)
