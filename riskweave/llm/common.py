@@ -193,3 +193,11 @@ def free_name(df: DataFrame, prefix: str, names: tuple[str, ...]) -> str:
     while any((prefix + n).lower() in taken for n in names):
         prefix += "_"
     return prefix
+
+
+def word_runs(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` words."""
+    out = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x100000001B3) + words[i : len(out) + i]
+    return out

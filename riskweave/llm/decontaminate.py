@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import PUNCT, append_columns, chunk_words, word_hashes
+from riskweave.llm.common import PUNCT, append_columns, chunk_words, word_hashes, word_runs
 
 K1, B = 1.2, 0.75
 #: Least share of a part's own score, and least share of its question's and answer's shingles.
@@ -52,29 +52,19 @@ BLOCK = 8
 #: Item text in one broadcast index, at most.
 INDEX_BYTES = 16 << 20
 
-_STEP = np.uint64(0x100000001B3)
-
 
 def words_of(text: str | None) -> np.ndarray:
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     return word_hashes(raw, PUNCT)[0]
 
 
-def shingles(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the runs of ``n`` words."""
-    out = np.zeros(max(len(words) - n + 1, 0), np.uint64)
-    for i in range(n):
-        out = out * _STEP + words[i : len(out) + i]
-    return out
-
-
 def share(wanted: np.ndarray, near: np.ndarray) -> float:
     """Share of the runs of five words of ``wanted`` (of all its words, if fewer) in ``near``.
 
     A half without words is there.
     """
     n = min(SHINGLE, len(wanted))
-    return float(np.isin(shingles(wanted, n), shingles(near, n)).mean()) if n else 1.0
+    return float(np.isin(word_runs(wanted, n), word_runs(near, n)).mean()) if n else 1.0
 
 
 def word_lengths(text: str) -> dict[int, int]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import append_columns
+from riskweave.llm.common import WHITE, append_columns, chunk_words, mix, word_runs
 from riskweave.llm.graph import components
 from riskweave.session import stored
 
@@ -40,6 +40,10 @@ SEED = 42
 CHUNK = 4_096
 #: Searches of a group that run at once; bounds the links held before they are merged.
 SEARCHES = 1_024
+#: The fingerprint that deduplication uses: lanes of 64 bits, radius, and tables of keys.
+LANES = 4
+WIDE_RADIUS = 47
+TABLES = 20
 
 
 def fingerprint(text: str | bytes | None, words: int = WORDS) -> int:
@@ -105,64 +109,81 @@ def _keys(fp: Column, widths: list[int], equal: int) -> Column:
     return F.array(*out)
 
 
-def _groups(nodes: DataFrame, radius: int) -> DataFrame:
-    """(key, a, b, side, fp): the members of each pair of chunks of each shard."""
-    widths, equal = layout(nodes.count(), radius)
-    keyed = nodes.select("fp", F.explode(_keys(F.col("fp"), widths, equal)).alias("key"))
+def block_keys(radius: int):
+    """Keys of a one-lane fingerprint that two within the radius are sure to share."""
+
+    def keys(nodes: DataFrame) -> Column:
+        widths, equal = layout(nodes.count(), radius)
+        return _keys(F.col("f0"), widths, equal)
+
+    return keys
+
+
+def _groups(nodes: DataFrame, keys: Column) -> DataFrame:
+    """(key, a, b, side, node, lanes): the members of each pair of chunks of each shard."""
+    keyed = nodes.withColumn("key", F.explode(keys))
     large = (
         keyed.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > CHUNK)
         .select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     )
-    placed = keyed.join(large, "key", "left").select(
-        "fp",
-        "key",
-        F.coalesce("chunks", F.lit(1)).alias("chunks"),
-        F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1)).cast("long")).cast("int").alias("own"),
+    chunks = F.coalesce("chunks", F.lit(1))
+    placed = keyed.join(large, "key", "left").withColumns(
+        {"chunks": chunks, "own": F.pmod(F.xxhash64("node"), chunks.cast("long")).cast("int")}
     )
-    return placed.select(
-        "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    ).select(
-        "key",
-        F.least("own", "other").alias("a"),
-        F.greatest("own", "other").alias("b"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "fp",
+    return (
+        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumns(
+            {
+                "a": F.least("own", "other"),
+                "b": F.greatest("own", "other"),
+                "side": (F.col("own") > F.col("other")).cast("int"),
+            }
+        )
+        .select("key", "a", "b", "side", "node", *[c for c in nodes.columns if c.startswith("f")])
     )
 
 
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distance of rows of lanes."""
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
 class Forest:
     """BK-trees of several groups at once, as arrays: child[node, distance]."""
 
     def __init__(self, group: np.ndarray, fps: np.ndarray):
-        """``group`` must be sorted; its values are 0, 1, ... without gaps."""
-        self.fps = fps
-        self.child = np.full((len(fps), 65), -1, np.int32)
+        """``fps``: a row of lanes each; ``group`` must be sorted: 0, 1, ... without gaps."""
+        self.fps, self.edges = fps, 64 * fps.shape[1] + 1
+        self.child = np.full((len(fps), self.edges), -1, np.int32)
         self.root = np.searchsorted(group, np.arange(group[-1] + 1 if len(group) else 0)).astype(np.int64)
         flat = self.child.reshape(-1)
         rest = np.setdiff1d(np.arange(len(fps)), self.root)
         parent = self.root[group[rest]]
         while len(rest):
-            slot = parent * 65 + np.bitwise_count(fps[rest] ^ fps[parent])
+            slot = parent * self.edges + _far(fps[rest], fps[parent])
             slots, first = np.unique(slot, return_index=True)
             flat[slots] = rest[first]
             going = np.ones(len(rest), bool)
             going[first] = False
             parent, rest = flat[slot[going]].astype(np.int64), rest[going]
+        self.has_child = (self.child >= 0).any(axis=1)
 
     def search(self, group: np.ndarray, fps: np.ndarray, radius: int):
         """(query, node) pairs of one group within the radius."""
         query, node = np.arange(len(fps)), self.root[group]
         found = []
         while len(query):
-            d = np.bitwise_count(fps[query] ^ self.fps[node]).astype(np.int64)
+            d = _far(fps[query], self.fps[node])
             near = d <= radius
             found.append((query[near], node[near]))
             steps = []
+            parents = self.has_child[node]
+            query, node, d = query[parents], node[parents], d[parents]
             for edge in range(-radius, radius + 1):
                 to = d + edge
-                ok = (to >= 0) & (to <= 64)
+                ok = (to >= 0) & (to < self.edges)
                 next_ = self.child[node[ok], to[ok]]
                 has = next_ >= 0
                 steps.append((query[ok][has], next_[has].astype(np.int64)))
@@ -184,7 +205,7 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def link_groups(group: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: int):
-    """Stars (fingerprint, root) of what the groups link; ``group`` is sorted, 0, 1, ...
+    """Stars (row, root row) of what the groups link; ``group`` is sorted, 0, 1, ...
 
     A group with one side searches itself; else side 1 searches the tree of side 0.
     """
@@ -203,17 +224,21 @@ def link_groups(group: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: in
         q, node = forest.search(number[group[part]], fps[part], radius)
         _merge(label, part[q], inside[node])
     moved = np.flatnonzero(label != np.arange(len(label)))
-    return fps[moved], fps[label[moved]]
+    return moved, label[moved]
 
 
-def links(nodes: DataFrame, radius: int) -> DataFrame:
-    """(u, v) stars that connect distinct fingerprints (column fp) within the radius."""
+def links(nodes: DataFrame, radius: int, keys) -> DataFrame:
+    """(u, v) stars that connect nodes (columns node, f0, f1, ...) within the radius.
+
+    ``keys`` makes the column of shard keys; only nodes that share a key are compared.
+    """
+    lanes = [c for c in nodes.columns if c.startswith("f")]
 
     def run(batches):
         held = None
         for batch in batches:
             rows = np.stack(
-                [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "a", "b", "side", "fp")]
+                [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "a", "b", "side", "node", *lanes)]
             )
             rows = rows if held is None else np.concatenate([held, rows], axis=1)
             if not rows.shape[1]:
@@ -228,28 +253,96 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
 
     def solve(rows):
         new = np.concatenate(([False], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)))
-        u, v = link_groups(np.cumsum(new), rows[3], rows[4].view(np.uint64), radius)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"]
-        )
+        fps = np.ascontiguousarray(rows[5:].T).view(np.uint64)
+        u, v = link_groups(np.cumsum(new), rows[3], fps, radius)
+        return pa.RecordBatch.from_arrays([pa.array(rows[4, u]), pa.array(rows[4, v])], names=["u", "v"])
 
-    dealt = _groups(nodes, radius).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    dealt = _groups(nodes, keys(nodes)).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
-def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) of the distinct fingerprints of ``marked`` (doc_id, fp)."""
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    stars = components(links(nodes.select("fp"), radius)).withColumnRenamed("u", "fp")
-    rooted = nodes.join(stars, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+def classes(marked: DataFrame, radius: int, keys) -> DataFrame:
+    """(node, component_id) of the distinct nodes of ``marked`` (doc_id, node, f0, ...)."""
+    lanes = [c for c in marked.columns if c not in ("doc_id", "node")]
+    nodes = stored(
+        marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in lanes]), "nodes"
+    )
+    stars = components(links(nodes.drop("least"), radius, keys)).withColumnRenamed("u", "node")
+    rooted = nodes.select("node", "least").join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
+    return rooted.select("node", "root").join(names, "root").select("node", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
-    marked = stored(fingerprints(docs.select("doc_id", "text"), "fp", words).select("doc_id", "fp"), "marks")
-    return marked.join(classes(marked, radius), "fp", "left").select("doc_id", "fp", "component_id")
+    marked = stored(fingerprints(docs.select("doc_id", "text"), "f0", words).select("doc_id", "f0"), "marks")
+    marked = marked.withColumn("node", F.col("f0"))
+    found = classes(marked, radius, block_keys(radius))
+    return marked.join(found, "node", "left").select("doc_id", F.col("node").alias("fp"), "component_id")
+
+
+def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``docs`` with a 256-bit fingerprint of word shingles (f0 to f3) and one of 64 bits of its
+    distinct words (``bag``), which an edit changes less."""
+
+    def make():
+        def fn(texts):
+            wide, bag = np.zeros((len(texts), LANES), np.uint64), np.zeros(len(texts), np.uint64)
+            for first, end, hashes, at in chunk_words(texts, WHITE):
+                for row in range(first, end):
+                    own = hashes[at[row - first] : at[row - first + 1]]
+                    if len(own):
+                        bag[row] = _majority([np.unique(own)])[0]
+                        runs = word_runs(own, min(words, len(own)))
+                        wide[row] = _majority([mix(runs + np.uint64(k)) for k in range(LANES)])
+            signed = wide.view(np.int64)
+            return (*[pa.array(signed[:, k]) for k in range(LANES)], pa.array(bag.view(np.int64)))
+
+        return fn
+
+    names = [f"f{k}" for k in range(LANES)] + ["bag"]
+    return append_columns(docs, make, [T.StructField(n, T.LongType()) for n in names], ["text"])
+
+
+def _majority(lanes: list[np.ndarray]) -> np.ndarray:
+    """For each lane the word of the bits that over half its hashes set."""
+    out = []
+    for hashes in lanes:
+        total = np.zeros(64, np.int64)
+        for first in range(0, len(hashes), 1 << 16):
+            part = hashes[first : first + (1 << 16)]
+            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            total += bits.sum(axis=0, dtype=np.uint32)
+        out.append(np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    return np.array(out)
+
+
+def bag_keys(nodes: DataFrame) -> Column:
+    """Keys of ``TABLES`` seeded choices of bits of ``bag``, as many as make shards small."""
+    width = min(40, max(8, nodes.count().bit_length() - 3))
+    rng = np.random.default_rng(SEED)
+    out = []
+    for at in range(TABLES):
+        key = F.lit(at).cast("long")
+        for bit in sorted(rng.choice(64, width, replace=False).tolist()):
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftrightunsigned("bag", bit).bitwiseAND(F.lit(1)))
+        out.append(key)
+    return F.array(*out)
+
+
+def similar_texts(docs: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+    """(doc_id, component_id): near copies in the sense of word shingles, for deduplication.
+
+    Texts whose shares of common five-word shingles is 0.8 or more differ in 39 of 256 bits
+    on average; ``radius`` takes nearly all of them, and unrelated texts differ in about 128.
+    Such texts have nearly the same words, so their ``bag`` differs in few bits, and they share
+    one of the keys all but surely; within a shard the wide fingerprints decide.
+    """
+    marked = wide_fingerprints(docs.select("doc_id", "text")).drop("text")
+    lanes = [f"f{k}" for k in range(LANES)]
+    marked = stored(marked.withColumn("node", F.xxhash64(*lanes, "bag")), "marks")
+    found = classes(marked, radius, bag_keys)
+    return marked.join(found, "node", "left").select("doc_id", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -65,8 +65,8 @@ def test_links_are_exact_in_every_layout(spark, monkeypatch, equal):
     blocks = 4 + equal
     widths = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
     monkeypatch.setattr(simhash, "layout", lambda n, r: (widths, equal))
-    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
-    stars = components(simhash.links(nodes, 4)).collect()
+    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) * 2 for f in fps], "node long, f0 long")
+    stars = components(simhash.links(nodes, 4, simhash.block_keys(4))).collect()
     got = {r.u: r.root for r in stars}
     signed = [int(np.uint64(f).view(np.int64)) for f in fps]
     roots = plain_components(fps, 4)
@@ -83,11 +83,11 @@ def test_hot_shard_is_cut_into_chunks(spark, monkeypatch):
     base = rng.getrandbits(64)
     fps = sorted({base ^ rng.getrandbits(12) for _ in range(700)})
     signed = [int(np.uint64(f).view(np.int64)) for f in fps]
-    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
-    groups = simhash._groups(nodes, 4)
+    nodes = spark.createDataFrame([(f, f) for f in signed], "node long, f0 long")
+    groups = simhash._groups(nodes, simhash.block_keys(4)(nodes))
     assert groups.groupBy("key", "a", "b").count().agg(F.max("count")).first()[0] < 64 * 4
     assert groups.filter("b > 0").count() > 0
-    got = {r.u: r.root for r in components(simhash.links(nodes, 4)).collect()}
+    got = {r.u: r.root for r in components(simhash.links(nodes, 4, simhash.block_keys(4))).collect()}
     roots = plain_components(fps, 4)
     groups_ = {}
     for i, r in enumerate(roots):
@@ -110,3 +110,28 @@ def test_odd_rows(spark):
     assert by[3] == by[4] == by[5] == {(0, 3)}
     assert by[None].pop()[1] is None
     assert simhash.near_duplicates(no_docs(spark)).collect() == []
+
+
+def edited(words, share, rng):
+    out = list(words)
+    for i in rng.sample(range(len(out)), max(1, int(len(out) * share))):
+        out[i] = f"new{rng.random()}"
+    return out
+
+
+def test_similar_texts_find_near_copies_and_leave_others(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, wanted = [], {}
+    for d in range(0, 400, 4):
+        words = rng.choices(vocabulary, k=rng.randint(80, 400))
+        rows.append((d, " ".join(words)))
+        rows.append((d + 1, " ".join(words).upper()))
+        rows.append((d + 2, " ".join(edited(words, 0.015, rng))))
+        rows.append((d + 3, " ".join(rng.choices(vocabulary, k=120))))
+        wanted |= {d: d, d + 1: d, d + 2: d, d + 3: d + 3}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()}
+    assert {k: v for k, v in got.items() if wanted[k] != v} == {}
+    assert len(simhash.similar_texts(odd_docs(spark)).collect()) == 11
+    assert simhash.similar_texts(no_docs(spark)).collect() == []
