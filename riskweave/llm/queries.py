@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontaminate, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -73,3 +73,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op3_bloom_lm")
+def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", id_crc() % 7 == 2)
+    return bloom_lm.score(docs, ~F.col("held_out")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
