@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bloom_lm, decontaminate, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, language_id, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -82,3 +82,13 @@ def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(docs, ~F.col("held_out")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_crc() % 4 == 2
+    models = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", "text"), models).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted"
+    )
