@@ -152,8 +152,40 @@ def chunk_words(column: pa.Array, separators: np.ndarray):
         yield first, end, words, np.searchsorted(starts, offsets)
 
 
-def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
+#: Keys a task gathers before it passes their counts on.
+GATHER = 1 << 21
+
+
+def count_keys(texts: DataFrame, separators: np.ndarray, keys_of) -> DataFrame:
+    """(key, n): how often ``keys_of(words, first word of each text)`` names each key.
+
+    Tasks count what they gather before the shuffle, so a frequent key is a few rows.
+    """
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            for a in range(0, len(keys), 1 << 18):
+                b = a + (1 << 18)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a:b].view(np.int64)), pa.array(n[a:b])], names=["key", "n"]
+                )
+
+        for batch in batches:
+            for _, _, words, at in chunk_words(batch.column(0), separators):
+                keys = keys_of(words, at)
+                held.append(keys)
+                size += len(keys)
+                if size >= GATHER:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    parts = texts.select("text").mapInArrow(run, "key long, n long")
+    return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def append_columns(df: DataFrame, make, fields: list[T.StructField], reads: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bloom_lm, decontaminate, language_id, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, imatch, language_id, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -92,3 +92,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), models).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted"
     )
+
+
+@query("op5_imatch")
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
