@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bloom_lm, decontaminate, html_text, imatch, language_id, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, html_text, imatch, language_id, licenses, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -103,3 +103,8 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.main_texts(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op9_licenses", licenses.oracle())
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
