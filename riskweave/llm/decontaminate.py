@@ -204,7 +204,7 @@ class Index:
                 if q >= OVERLAP and s >= OVERLAP:
                     item = parts[i].item
                     old = found[t].get(item, (0.0, 0.0, 0.0))
-                    found[t][item] = max(old, (float(scores[i]), q, s))
+                    found[t][item] = max(old, (round(float(scores[i]), 9), q, s))
         return found
 
 
