@@ -139,6 +139,8 @@ class LanguageModels:
 def kneser_ney(counts: dict[str, dict[str, int]]) -> LanguageModels:
     """Models from the counts by language of the longest n-gram that ends at each character."""
     languages = sorted(counts)
+    if not languages:
+        return LanguageModels()
     tables = [defaultdict(lambda: np.zeros(len(languages))) for _ in range(ORDER)]
     weights = [defaultdict(lambda: np.ones(len(languages))) for _ in range(ORDER)]
     for column, language in enumerate(languages):
