@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import hash60, hash_unit, seeded_md5
+from riskweave.functions.columns import any_of, hash60, hash_unit, seeded_md5
 from riskweave.operators.lookup import State, lookup_join
 from riskweave.operators.split import boundaries, class_balance
 from riskweave.session import stored
@@ -52,7 +52,7 @@ def _square_distance(features: Sequence[str]) -> Column:
 def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """Exact k nearest other rows: (key, rank, neighbour, distance, neighbour_row).
 
-    Ties go by key.
+    Ties go by key. Features must not be NULL.
 
     * Equal vectors are searched once. Of equal rows only the k+1 smallest keys can be
       anyone's neighbour, so a mass of copies shrinks to k+1 rows.
@@ -63,6 +63,9 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
     """
     features = list(features)
     rows = df.select(F.col(key), *[F.col(f).cast("double").alias(f) for f in features])
+    missing = any_of([F.col(f).isNull() | F.isnan(f) for f in features])
+    if not rows.filter(missing).isEmpty():
+        raise ValueError("a missing feature has no distance: impute before the neighbour search")
     copy = Window.partitionBy(*features).orderBy(key)
     points = stored(
         rows.withColumn("_copy", F.row_number().over(copy)).filter(F.col("_copy") <= k + 1)

@@ -362,7 +362,7 @@ def search(
         try:
             return (number, shown, "completed", None, float(objective(params)))
         except Exception as e:  # the search goes on
-            return (number, shown, "infeasible", str(e).splitlines()[0][:200], None)
+            return (number, shown, "infeasible", str(e).strip() or type(e).__name__, None)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = list(pool.map(one, enumerate(trials, start=1)))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.functions.columns import ratio
 from riskweave.operators.order import running_totals
@@ -128,7 +129,16 @@ def id_leak_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     split a row is on. Rows are summed per time value; only those sums are ranked.
     """
     means = df.agg(*[F.avg(c).alias(c) for c in columns], F.count(F.lit(1)).alias("_n")).first()
-    centred = {c: F.col(c).cast("double") - F.lit(float(means[c] or 0.0)) for c in columns}
+    whole = {f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)}
+
+    def centre(c: str) -> Column:
+        # Whole numbers are centred before they become doubles, which keeps large ids apart.
+        at = means[c] or 0.0
+        if c in whole:
+            return (F.col(c).cast("decimal(20,0)") - F.lit(int(at)).cast("decimal(20,0)")).cast("double")
+        return F.col(c).cast("double") - F.lit(float(at))
+
+    centred = {c: centre(c) for c in columns}
     per_time = df.groupBy(S.TIME).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(x).alias(f"s_{c}") for c, x in centred.items()],
@@ -154,7 +164,7 @@ def id_leak_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("time_corr")) for c in columns]
     )
     values = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in columns]
     )
     distinct = (
         df.select(F.explode(values).alias("e"))

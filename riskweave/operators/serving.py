@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import decide, r6
@@ -17,28 +16,67 @@ from riskweave.sources.tables import trailing_window
 LATENCIES = {0.5: "p50_latency_ms", 0.95: "p95_latency_ms", 0.99: "p99_latency_ms"}
 
 
-def parse_requests(
+def read_requests(
     df: DataFrame,
     body: str = "body",
     keep: Sequence[str] = (),
     expected: Sequence[str] = (),
 ) -> DataFrame:
-    """JSON bodies to typed columns. Absent fields get their default, nulls stay NULL.
+    """JSON bodies to typed columns, and ``reject_reason`` (NULL for a sound request).
 
-    ``expected`` names further numeric fields to take along; absent ones are NULL.
+    Absent fields get their default, explicit nulls stay NULL, and the last of a repeated
+    field counts. A body that is no JSON object, or a field that is no number, is a
+    reason to reject the request; it never ends the job.
     """
     names = [*[c for c in expected if c not in keep and c not in S.REQUEST_DEFAULTS],
              *S.REQUEST_DEFAULTS]
-    # Of a repeated field the parser keeps the last: defaults first, then the body's own
-    # fields, explicit nulls included.
-    defaults = json.dumps({n: d for n, d in S.REQUEST_DEFAULTS.items() if d is not None})[:-1]
-    rest = F.substr(F.ltrim(F.col(body)), F.lit(2))
-    comma = F.when(F.col(body).rlike(r"^\s*\{\s*\}"), "").otherwise(", ")
-    text = F.concat(F.lit(defaults), comma, rest)
-    given = F.from_json(text, "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">")
-    # Generated rather than projected: the body is parsed once, not once per field.
-    parsed = df.select(*keep, F.inline(F.array(F.struct(given.alias("_given")))))
-    return parsed.select(*keep, *[F.col(f"_given.{n}").cast("double").alias(n) for n in names])
+    schema = "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">"
+    # Generated rather than projected: a body is parsed once, not once per field.
+    parsed = df.select(
+        *keep,
+        F.inline(
+            F.array(
+                F.struct(
+                    F.from_json(body, schema).alias("_given"),
+                    F.json_object_keys(body).alias("_keys"),
+                )
+            )
+        ),
+    )
+
+    def number(n: str) -> Column:
+        given = F.col(f"_given.{n}").try_cast("double")
+        default = S.REQUEST_DEFAULTS.get(n)
+        if default is None:
+            return given
+        return F.when(F.array_contains("_keys", n), given).otherwise(F.lit(float(default)))
+
+    bad = [
+        F.when(F.col(f"_given.{n}").isNotNull() & F.col(f"_given.{n}").try_cast("double").isNull(), F.lit(n))
+        for n in names
+    ]
+    bad_names = F.array_join(F.array_compact(F.array(*bad)), ",")
+    reason = F.when(F.col("_keys").isNull(), "body is no JSON object").when(
+        bad_names != "", F.concat(F.lit("not a number: "), bad_names)
+    )
+    return parsed.select(*keep, *[number(n).alias(n) for n in names], reason.alias("reject_reason"))
+
+
+def parse_requests(
+    df: DataFrame,
+    body: str = "body",
+    keep: Sequence[str] = (),
+    expected: Sequence[str] = (),
+) -> DataFrame:
+    """The sound requests as typed columns; see ``read_requests``."""
+    rows = read_requests(df, body, keep, expected)
+    return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def rejected_requests(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., reject_reason) of the requests that ``parse_requests`` leaves out."""
+    rows = read_requests(df, body, keep)
+    return rows.filter(F.col("reject_reason").isNotNull()).select(*keep, "reject_reason")
 
 
 def log_rows(scored: DataFrame, threshold: float, version: str, time: str) -> DataFrame:
@@ -87,11 +125,20 @@ def predictions_on(log: DataFrame, day: dt.date) -> DataFrame:
     )
 
 
-def windowed_rate(log: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """Count and predicted rate per event-time window (batch and stream alike)."""
-    return log.groupBy(F.window("timestamp", length, slide).alias("w")).agg(
+def windowed_rate(
+    log: DataFrame, length: str, slide: str | None = None, accuracy: int = 1_000_000
+) -> DataFrame:
+    """Count, predicted rate and latency per event-time window (batch and stream alike).
+
+    Percentiles are sketch percentiles (values of the window, none interpolated) that are
+    exact for windows of fewer than ``accuracy`` rows.
+    """
+    percentiles = F.percentile_approx("latency_ms", list(LATENCIES), accuracy)
+    rates = log.groupBy(F.window("timestamp", length, slide).alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("prediction").alias("rate"),
         F.avg("latency_ms").alias("avg_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"),
+        percentiles.alias("_p"),
     )
+    return rates.withColumns({n: F.col("_p")[i] for i, n in enumerate(LATENCIES.values())}).drop("_p")

@@ -1,7 +1,8 @@
 """Splits as projections: find the boundary row, then compare each row with it.
 
 No row is moved or numbered. The boundary search (``order.values_at_ranks``)
-shuffles only values near the wanted rank. Ties in time are broken by key.
+shuffles only values near the wanted rank. Ties in time are broken by key. Rows without a
+time come first, as in an ascending order, and a missing key comes before all others.
 """
 
 from __future__ import annotations
@@ -54,20 +55,36 @@ def boundaries(df: DataFrame, major: str, minor: str, ranks: list[int], n: int)
             continue
         tied = df.filter(F.col(major) == F.lit(value))
         if dict(df.dtypes)[minor] == "string":
-            # Digests behind one 60-bit prefix: a handful of rows.
-            low = tied.orderBy(minor).select(minor).take(r - below + 1)[-1][0]
+            # Digests behind one 60-bit prefix: a handful, whatever the number of rows. Rows
+            # with one digest stay together.
+            digests = tied.groupBy(minor).agg(F.count(F.lit(1)).alias("n")).orderBy(minor).collect()
+            left = r - below
+            for low, size in digests:
+                left -= size
+                if left < 0:
+                    break
         else:
             low = values_at_ranks(tied, minor, [r - below], at)[0][0]
         out.append(Boundary(value, low))
     return out
 
 
+#: Stands for a missing time or key, below all real ones.
+MISSING = -(1 << 63) + 1
+
+
 def time_boundaries(df: DataFrame, ranks: list[int], n: int) -> list[Boundary]:
-    return boundaries(df.select(S.TIME, S.KEY), S.TIME, S.KEY, ranks, n)
+    places = [F.coalesce(F.col(c).cast("bigint"), F.lit(MISSING)).alias(c) for c in (S.TIME, S.KEY)]
+    return boundaries(df.select(*places), S.TIME, S.KEY, ranks, n)
 
 
 def in_head(b: Boundary) -> Column:
-    return b.precedes(F.col(S.TIME), F.col(S.KEY))
+    time, key = F.col(S.TIME), F.coalesce(S.KEY, F.lit(MISSING))
+    if b.major is None:
+        return F.lit(True)
+    if b.major == MISSING:
+        return F.lit(False) if b.minor is None else time.isNull() & (key < F.lit(b.minor))
+    return time.isNull() | b.precedes(time, key)
 
 
 def temporal_head(df: DataFrame, share: float = 0.75) -> DataFrame:
@@ -95,7 +112,6 @@ def stratified_carve(
 
     Each class contributes its ceil(share) rows with the smallest digests.
     """
-    classes = [(0, "_h0"), (1, "_h1")]
     keyed = pool.select(
         F.col(label).alias("_y"),
         hash60(F.col(S.KEY), seed).alias("_h"),
@@ -103,7 +119,7 @@ def stratified_carve(
     )
     counts = dict(keyed.groupBy("_y").count().collect())
     chosen = F.lit(False)
-    for c, _ in classes:
+    for c in (0, 1):
         n = counts.get(c, 0)
         if not n:
             continue
@@ -157,7 +173,11 @@ def split_check(split: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """A repeatable sample of exactly ``n`` rows without replacement, by key digest."""
+    """A repeatable sample of ``n`` rows without replacement, by key digest.
+
+    Rows that share a key are taken or left together: with repeated keys the sample is the
+    largest set of whole keys, in digest order, of at most ``n`` rows.
+    """
     total = df.count()
     if n >= total:
         return df

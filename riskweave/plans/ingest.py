@@ -226,6 +226,47 @@ def request_defaults(spark: SparkSession, d: str) -> DataFrame:
     return rounded(serving.parse_requests(raw, keep=("TransactionID",)))
 
 
+# Request bodies with a fault each, by key: cut off, no object, no number, odd blanks, a null.
+FAULTS = [
+    ("k % 7 = 0", "concat('{{\"TransactionAmt\": ', {v})", "body is no JSON object"),
+    ("k % 7 = 1", "concat('[', {v}, ']')", "body is no JSON object"),
+    ("k % 7 = 2", "concat('{{\"TransactionAmt\": \"abc\", \"C1\": ', {v}, '}}')", "not a number: TransactionAmt"),
+    ("k % 7 = 3", "concat('{{\"D4\": {{\"x\": 1}}, \"TransactionAmt\": \"', {v}, 'x\"}}')", "not a number: TransactionAmt,D4"),
+    ("k % 7 = 4", "concat(chr(10), chr(9), '{{\"TransactionAmt\": ', {v}, '}}')", None),
+    ("k % 7 = 5", "concat('{{\"TransactionAmt\": null, \"C1\": ', {v}, '}}')", None),
+]
+
+
+def _faulty(value: str) -> str:
+    whens = " ".join(f"when {c} then {b.format(v=value)}" for c, b, _ in FAULTS)
+    return f"case {whens} end"
+
+
+@query(
+    "request_rejects",
+    sql("select TransactionID, reject_reason from (select event_id as TransactionID, case "
+        + " ".join(f"when {c} then '{w}'" for c, _, w in FAULTS if w)
+        + " when k % 7 = 6 then 'body is no JSON object' end as reject_reason from b) where reject_reason is not null"),
+)
+def request_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Requests that are set aside with a reason; a missing body (every seventh key) too."""
+    rows = fx.event_rows(fx.table(spark, d, "events"))
+    raw = rows.select(F.col("event_id").alias("TransactionID"), F.expr(_faulty("cast(value as string)")).alias("body"))
+    return serving.rejected_requests(raw, keep=("TransactionID",))
+
+
+@query(
+    "request_odd_bodies",
+    sql(f"""select event_id as TransactionID, case when k % 7 = 4 then {r('value')} end as TransactionAmt,
+      case when k % 7 = 5 then {r('value')} else {S.REQUEST_DEFAULTS['C1']} end as C1 from b where k % 7 in (4, 5)"""),
+)
+def request_odd_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """What stays: bodies after blank lines, and an explicit null that is no default."""
+    rows = fx.event_rows(fx.table(spark, d, "events"))
+    raw = rows.select(F.col("event_id").alias("TransactionID"), F.expr(_faulty("cast(value as string)")).alias("body"))
+    return rounded(serving.parse_requests(raw, keep=("TransactionID",)).select("TransactionID", "TransactionAmt", "C1"))
+
+
 LOG = ("prediction_id, cast(floor(epoch(\"timestamp\")) as bigint) as at, fraud_probability, prediction, "
        "threshold_used, round(latency_ms, 6) as latency_ms, model_version")
 

@@ -188,7 +188,8 @@ def alert_daily_max(spark: SparkSession, d: str) -> DataFrame:
 # --- windows (batch twins of the streams) ---------------------------------------------------
 
 RATES = (f"count(*) as n, {r('avg(prediction)')} as rate, {r('avg(latency_ms)')} as avg_latency_ms, "
-         f"{r('max(latency_ms)')} as max_latency_ms")
+         f"{r('max(latency_ms)')} as max_latency_ms, "
+         + ", ".join(f"{r(f'quantile_disc(latency_ms, {p})')} as {n}" for p, n in serving.LATENCIES.items()))
 
 
 def window_out(df: DataFrame) -> DataFrame:

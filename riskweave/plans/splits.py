@@ -60,6 +60,27 @@ def prepare_splits(spark: SparkSession, d: str) -> DataFrame:
     return ids(split.prepare_splits(fx.txn(spark, d), seed=SEED), "split")
 
 
+GAPPY = """gappy as (select *, row_number() over (order by t nulls first, TransactionID) - 1 as rk, count(*) over () as total
+  from (select * exclude (TransactionDT), case when TransactionID % 10 < 4 then null else TransactionDT end as t from txn))"""
+
+
+def gappy(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions of which four in ten have no time."""
+    missing = F.when(F.col("TransactionID") % 10 >= 4, F.col("TransactionDT"))
+    return fx.txn(spark, d).withColumn("TransactionDT", missing)
+
+
+@query("temporal_split_gappy", sql(f"select TransactionID, isFraud, {SPLIT3} as split from gappy", GAPPY))
+def temporal_split_gappy(spark: SparkSession, d: str) -> DataFrame:
+    return ids(split.temporal_split(gappy(spark, d)), "split")
+
+
+@query("temporal_head_gappy", sql("select TransactionID from gappy where rk < round(total * 0.25)", GAPPY))
+def temporal_head_gappy(spark: SparkSession, d: str) -> DataFrame:
+    """A head that ends among the rows without a time."""
+    return split.temporal_head(gappy(spark, d), 0.25).select("TransactionID")
+
+
 @query(
     "split_summary",
     sql(f"select split, count(*) as \"rows\", {r('avg(isFraud)')} as label_rate from prepared group by split",

@@ -94,11 +94,16 @@ def append_log(df: DataFrame, path: str, time: str = "timestamp") -> None:
 def read_log(
     spark: SparkSession, path: str, schema: T.StructType, since: dt.datetime | None = None
 ) -> DataFrame:
-    """Log rows since an instant; the matching day filter prunes partitions."""
+    """Log rows since an instant; the matching day filter prunes partitions.
+
+    Days are those of the session's time zone, in which the log was partitioned, whatever
+    zone ``since`` is given in.
+    """
     full = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
     df = spark.read.schema(full).parquet(path)
     if since is not None:
-        df = df.filter((F.col("date") >= F.lit(since.date())) & (F.col("timestamp") >= F.lit(since)))
+        day = F.to_date(F.lit(since))
+        df = df.filter((F.col("date") >= day) & (F.col("timestamp") >= F.lit(since)))
     return df
 
 

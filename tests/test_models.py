@@ -127,6 +127,14 @@ def test_failed_trial_is_recorded(spark):
     assert ml.best_params(out) == {"a": 3.0}
 
 
+def test_failure_without_a_message_is_recorded(spark):
+    def objective(p):
+        raise KeyError() if p["a"] == 1 else RuntimeError("first\nsecond " + "x" * 400)
+
+    rows = {r["trial"]: r["reason"] for r in ml.search(spark, [{"a": 1}, {"a": 2}], objective).collect()}
+    assert rows == {1: "KeyError", 2: "first\nsecond " + "x" * 400}
+
+
 def test_logistic_round_trip_and_unseen(spark, sf, tmp_path):
     from pyspark.ml import PipelineModel
 
