@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import direction_text, r6
 from riskweave.operators.quality import sorted_rank
+from riskweave.operators.trees import Forest, forest_of
 
 
 def marginal_slopes(df: DataFrame, features: Sequence[str], label: str) -> dict:
@@ -51,25 +52,8 @@ def ranked_importance(attributions: DataFrame, top: int | None = None) -> DataFr
 
 def top_attributions(df: DataFrame, key: str, model: dict, k: int = 3) -> DataFrame:
     """Per row the k largest attributions by size, inside the row: no shuffle."""
-    entries = []
-    for f, (b, m) in model.items():
-        v = r6((F.col(f) - F.lit(m)) * F.lit(b))
-        entries.append(
-            F.struct(
-                (-F.abs(v)).alias("size"),
-                F.lit(f).alias("feature"),
-                v.alias("value"),
-                direction_text(v).alias("direction"),
-            )
-        )
-    best = F.slice(F.array_sort(F.array(*entries)), 1, k)
-    return df.select(key, F.posexplode(best).alias("pos", "e")).select(
-        key,
-        (F.col("pos") + 1).alias("rank"),
-        "e.feature",
-        "e.value",
-        "e.direction",
-    )
+    parts = {f: ((F.col(f) - F.lit(m)) * F.lit(b)).alias(f"_part_{f}") for f, (b, m) in model.items()}
+    return top_parts(df.select(key, *parts.values()), key, {f: f"_part_{f}" for f in parts}, k)
 
 
 # --- trees -----------------------------------------------------------------------
@@ -84,25 +68,9 @@ class Leaf:
     cover: dict[int, float]
 
 
-def leaves_of(tree, weight: float) -> list[Leaf]:
-    """Paths of one fitted regression tree, read from the model on the driver."""
-    out: list[Leaf] = []
-
-    def walk(node, bounds, cover):
-        if node.subtreeDepth() == 0:
-            out.append(Leaf(weight * node.prediction(), bounds, cover))
-            return
-        split = node.split()
-        f, t = split.featureIndex(), split.threshold()
-        n = node.impurityStats().count()
-        low, high = bounds.get(f, (-math.inf, math.inf))
-        for child, b in ((node.leftChild(), (low, min(high, t))),
-                         (node.rightChild(), (max(low, t), high))):
-            share = child.impurityStats().count() / n
-            walk(child, {**bounds, f: b}, {**cover, f: cover.get(f, 1.0) * share})
-
-    walk(tree._java_obj.rootNode(), {}, {})
-    return out
+def leaves_of(forest: Forest) -> list[Leaf]:
+    """Paths of all trees of an ensemble."""
+    return [Leaf(*leaf) for leaf in forest.leaves()]
 
 
 def path_shapley(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
@@ -143,15 +111,16 @@ def expected_margin(leaves: Sequence[Leaf]) -> float:
 def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) -> DataFrame:
     """(key, one column per feature): attributions to the margin of a boosted ensemble.
 
-    Trees are small and travel with the task; rows go through in Arrow batches.
+    With ``expected_margin`` they add up to the margin (the raw score of the positive
+    class). The node table is broadcast as arrays; tasks read its paths once.
     """
-    leaves = [
-        leaf for t, w in zip(model.trees, model.treeWeights) for leaf in leaves_of(t, w)
-    ]
     names = list(features)
+    shared = df.sparkSession.sparkContext.broadcast(forest_of(model))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaves = None
         for pdf in batches:
+            leaves = leaves_of(shared.value) if leaves is None else leaves
             x = pdf[names].to_numpy(dtype=float)
             out = pd.DataFrame(path_shapley(x, leaves), columns=names)
             out.insert(0, key, pdf[key].to_numpy())
@@ -161,6 +130,24 @@ def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) ->
     return df.select(key, *names).mapInPandas(explain, schema)
 
 
+def top_parts(df: DataFrame, key: str, parts: dict[str, str], k: int = 3) -> DataFrame:
+    """(key, rank, feature, value, direction): the k largest parts of each row by size.
+
+    ``parts`` maps a feature to the column with its part of the score.
+    """
+    entries = []
+    for f, column in parts.items():
+        v = r6(F.col(f"`{column}`"))
+        entries.append(
+            F.struct((-F.abs(v)).alias("size"), F.lit(f).alias("feature"), v.alias("value"),
+                     direction_text(v).alias("direction"))
+        )
+    best = F.slice(F.array_sort(F.array(*entries)), 1, k)
+    return df.select(key, F.posexplode(best).alias("pos", "e")).select(
+        key, (F.col("pos") + 1).alias("rank"), "e.feature", "e.value", "e.direction"
+    )
+
+
 def to_long(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     entries = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in features]
     return df.select(key, F.inline(F.array(*entries)))

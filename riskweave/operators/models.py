@@ -7,10 +7,12 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext, StorageLevel
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from riskweave.operators import metrics as M
 from riskweave.operators.features import column_medians, impute
 from riskweave.operators.imbalance import positive_weight, weight_column
 from riskweave.operators.split import class_balance
+from riskweave.operators.trees import first_trees, forest_of, prefix_margins
 from riskweave.sources import schema as S
 
 # --- logistic regression ---------------------------------------------------------------
@@ -33,6 +36,45 @@ class LinearModel:
     categories: list[str]
     pipeline: PipelineModel
 
+    def save(self, path: str) -> None:
+        """The pipeline, and next to it the medians and categories that go before it."""
+        spark = SparkSession.getActiveSession()
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        facts = [(self.medians, self.categories)]
+        spark.createDataFrame(facts, "medians map<string,double>, categories array<string>").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/facts")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        facts = spark.read.parquet(f"{path}/facts").first()
+        return cls(dict(facts["medians"]), list(facts["categories"]), PipelineModel.load(f"{path}/pipeline"))
+
+    def attribution(self, df: DataFrame, key: str) -> DataFrame:
+        """(key, margin, base, one column per input): parts that add up to the margin.
+
+        A number has coefficient times scaled value; a category has the coefficient of its
+        value; the intercept is the base.
+        """
+        stage = self.pipeline.stages[-1]
+        weights = [float(c) for c in stage.coefficients]
+        out = self.pipeline.transform(_filled(df, self.medians, self.categories))
+        x = vector_to_array("features")
+        parts, at = {}, 0
+        for name in self.medians:
+            parts[name] = x[at] * F.lit(weights[at])
+            at += 1
+        indexer = next(s for s in self.pipeline.stages if isinstance(s, StringIndexerModel))
+        for name, values in zip(self.categories, indexer.labelsArray):
+            # One slot a known value; an unseen one has none.
+            slots = [x[at + i] * F.lit(weights[at + i]) for i in range(len(values))]
+            parts[name] = sum(slots, F.lit(0.0))
+            at += len(values)
+        return out.select(
+            key, vector_to_array("rawPrediction")[1].alias("margin"), F.lit(float(stage.intercept)).alias("base"),
+            *[e.alias(f"part_{n}") for n, e in parts.items()],
+        )
+
     def score(self, df: DataFrame) -> DataFrame:
         out = self.pipeline.transform(_filled(df, self.medians, self.categories))
         p = vector_to_array("probability")[1]
@@ -171,48 +213,40 @@ class BoostedModel:
         )
 
 
-def _block(model: GBTClassificationModel, first: int, last: int) -> GBTClassificationModel:
-    """The trees [first, last) as a model of their own."""
-    gateway = SparkContext._active_spark_context._gateway
-    jvm, java = gateway.jvm, model._java_obj
-    ml = jvm.org.apache.spark.ml
-    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, last - first)
-    weights = gateway.new_array(jvm.double, last - first)
-    for i, (tree, weight) in enumerate(zip(model.trees[first:last], model.treeWeights[first:last])):
-        trees[i], weights[i] = tree._java_obj, float(weight)
-    made = ml.classification.GBTClassificationModel(
-        f"{java.uid()}_{first}_{last}", trees, weights, java.numFeatures(), 2
-    )
-    return GBTClassificationModel(made)
-
-
 def prefix_auc(
-    model: GBTClassificationModel, features: Sequence[str], valid: DataFrame, label: str,
-    steps: int = 32,
+    model: GBTClassificationModel, features: Sequence[str], valid: DataFrame, label: str
 ) -> list[tuple[int, float]]:
-    """Exact validation AUC of the first m trees, for up to ``steps`` values of m.
+    """Exact validation AUC of the first m trees, for every m.
 
-    Margins of consecutive blocks of trees are added up as columns; all prefixes are
-    ranked in one keyed curve.
+    One pass adds up the trees of each row; all prefixes are ranked in one keyed curve.
     """
-    n = len(model.trees)
-    size = max(1, math.ceil(n / steps))
-    ends = sorted({*range(size, n + 1, size), n})
-    out = VectorAssembler(inputCols=list(features), outputCol="_features").transform(valid)
-    out = out.select(F.col(label).alias("y"), "_features")
-    margins, total = [], F.lit(0.0)
-    for first, last in zip([0, *ends], ends):
-        part = _block(model, first, last).setFeaturesCol("_features")
-        part = part.setRawPredictionCol(f"_r{last}").setProbabilityCol("").setPredictionCol("")
-        out = part.transform(out)
-        total = total + vector_to_array(f"_r{last}")[1]
-        margins.append(F.struct(F.lit(last).alias("prefix"), total.alias("score")))
-    long = out.select("y", F.inline(F.array(*margins)))
-    curve = M.score_curve(long, keys=["prefix"])
+    rows = valid.select(F.col(label).alias("y"), *features)
+    margins = prefix_margins(rows, ["y"], features, forest_of(model))
+    long = margins.select("y", F.posexplode("margins").alias("prefix", "score"))
+    curve = M.score_curve(long.withColumn("prefix", F.col("prefix") + 1), keys=["prefix"])
     rows = M.roc_auc(curve, ["prefix"]).orderBy("prefix").collect()
     return [(r["prefix"], r["auc_roc"]) for r in rows]
 
 
+def stop_at(history: Sequence[tuple[int, float]], patience: int) -> tuple[int, bool]:
+    """(best iteration, whether ``patience`` iterations after it brought nothing better).
+
+    Iterations after the stop do not count, whatever they would bring.
+    """
+    best, best_auc = 0, -math.inf
+    for m, auc in history:
+        if auc > best_auc:
+            best, best_auc = m, auc
+        elif m - best >= patience:
+            return best, True
+    return best, False
+
+
+# Fixed value: rounds without a better validation AUC before training stops.
+PATIENCE = 50
+FIRST_ROUNDS = 64
+
+
 def fit_boosted(
     train: DataFrame,
     valid: DataFrame,
@@ -221,10 +255,19 @@ def fit_boosted(
     label: str = S.LABEL,
     weight: float | None = None,
     seed: int = 42,
+    patience: int = PATIENCE,
+    first_rounds: int = FIRST_ROUNDS,
 ) -> BoostedModel:
-    """Cost-sensitive boosting, cut back to the prefix with the best validation AUC."""
+    """Cost-sensitive boosting that stops on validation AUC.
+
+    Trees are trained in rounds that double from ``first_rounds`` until ``patience`` trees
+    after the best prefix brought nothing better, or all are there; a longer run begins
+    with the same trees as a shorter one. Every prefix is judged; the best is kept.
+    """
     weight = positive_weight(train, label) if weight is None else weight
     features = list(features)
+    mapped = map_parameters(params)
+    all_rounds = int(mapped.pop("maxIter", 100))
     rows = (
         VectorAssembler(inputCols=features, outputCol="_features")
         .transform(train)
@@ -232,17 +275,23 @@ def fit_boosted(
                 weight_column(label, weight).alias("_w"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    rounds = min(all_rounds, max(first_rounds, patience))
     try:
-        est = GBTClassifier(
-            labelCol="_y", featuresCol="_features", weightCol="_w", seed=seed,
-            **map_parameters(params),
-        )
-        model = est.fit(rows)
+        while True:
+            est = GBTClassifier(
+                labelCol="_y", featuresCol="_features", weightCol="_w", seed=seed, maxIter=rounds, **mapped
+            )
+            model = est.fit(rows)
+            history = prefix_auc(model, features, valid, label)
+            best, stopped = stop_at(history, patience)
+            if stopped or rounds == all_rounds:
+                break
+            rounds = min(all_rounds, 2 * rounds)
     finally:
         rows.unpersist()
-    history = prefix_auc(model, features, valid, label)
-    best = max(history, key=lambda h: (h[1], -h[0]))[0]
-    return BoostedModel(features, _block(model, 0, best), best, history)
+    if best < len(history):
+        model = first_trees(model, best)
+    return BoostedModel(features, model, best, history)
 
 
 def ablation(

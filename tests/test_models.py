@@ -9,6 +9,7 @@ from riskweave.operators import attribution as A
 from riskweave.operators import metrics as M
 from riskweave.operators import models as ml
 from riskweave.operators import split
+from riskweave.operators.trees import forest_of, prefix_margins
 from riskweave.plans import modelling as P
 from riskweave.sources import fixtures as fx
 
@@ -37,13 +38,55 @@ def test_prefix_history(trained, spark):
     assert len(m.model.trees) == m.best_iteration
 
 
-def test_blocks_add_up(trained):
-    """The margins of consecutive blocks sum to the margin of the whole."""
+def test_every_prefix_is_judged_exactly(trained):
+    """AUC of each prefix by counting pairs of the validation rows."""
+    m = trained.model
+    val = trained.data.filter("split = 'val'")
+    rows = prefix_margins(val, ["isFraud"], m.features, forest_of(m.model)).collect()
+    y = np.array([r.isFraud for r in rows])
+    for p in range(m.best_iteration):
+        s = np.array([r.margins[p] for r in rows])
+        diff = s[y == 1][:, None] - s[y == 0][None, :]
+        assert dict(m.history)[p + 1] == pytest.approx(((diff > 0) + 0.5 * (diff == 0)).mean())
+
+
+def test_stop_after_patience(spark, sf):
+    t = P.Trained(spark, sf, {"n_estimators": 80, "max_depth": 2, "learning_rate": 0.5}, patience=8)
+    m = t.model
+    best, stopped = ml.stop_at(m.history, 8)
+    assert m.best_iteration == best == len(m.model.trees)
+    assert [p for p, _ in m.history] == list(range(1, len(m.history) + 1))
+    assert len(m.history) == (64 if stopped else 80)
+    assert ml.stop_at([(1, 0.5), (2, 0.7), (3, 0.6), (4, 0.7), (5, 0.9)], 2) == (2, True)
+    assert ml.stop_at([(1, 0.5), (2, 0.7), (3, 0.6)], 2) == (2, False)
+
+
+def test_a_longer_run_begins_with_the_same_trees(trained):
     val = trained.data.filter("split = 'val'")
+    train = trained.data.filter("split = 'train'")
+    runs = [
+        ml.fit_boosted(train, val, trained.features, {**P.PARAMS, "n_estimators": n, "subsample": 0.7}, patience=99)
+        for n in (3, 5)
+    ]
+    assert runs[1].history[:3] == runs[0].history
+
+
+def test_arrays_score_like_the_model(trained):
     m = trained.model
-    coarse = ml.prefix_auc(m.model, m.features, val, "isFraud", steps=2)
-    fine = dict(ml.prefix_auc(m.model, m.features, val, "isFraud"))
-    assert all(fine[k] == pytest.approx(v) for k, v in coarse)
+    test = trained.data.filter("split = 'test'")
+    got = prefix_margins(test, ["TransactionID"], m.features, forest_of(m.model))
+    both = got.join(m.score(test).select("TransactionID", "margin"), "TransactionID").collect()
+    assert len(both) == 250 and max(abs(r.margins[-1] - r.margin) for r in both) < 1e-12
+
+
+def test_top_parts_are_the_largest(trained):
+    test = trained.data.filter("split = 'test'")
+    wide = {r.TransactionID: r for r in A.tree_attribution(test, "TransactionID", trained.features, trained.model.model).collect()}
+    parts = {f: f for f in trained.features}
+    frame = trained.data.sparkSession.createDataFrame(list(wide.values()))
+    for r in A.top_parts(frame, "TransactionID", parts).collect():
+        sizes = sorted((round(abs(wide[r.TransactionID][f]), 6) for f in trained.features), reverse=True)
+        assert abs(r.value) == pytest.approx(sizes[r["rank"] - 1], abs=2e-6)
 
 
 def test_platt_keeps_the_order(trained):
@@ -58,15 +101,11 @@ def test_tree_attributions_sum_to_the_margin(trained):
     m = trained.model
     rows = m.score(trained.data.filter("split = 'test'")).select("TransactionID", "margin")
     attr = A.tree_attribution(trained.data.filter("split = 'test'"), "TransactionID", m.features, m.model)
-    base = sum(
-        A.expected_margin(A.leaves_of(t, w)) for t, w in zip(m.model.trees, m.model.treeWeights)
-    )
+    base = A.expected_margin(A.leaves_of(forest_of(m.model)))
     total = sum(F.col(f"`{f}`") for f in m.features)
     both = attr.select("TransactionID", total.alias("s")).join(rows, "TransactionID").collect()
-    # the raw prediction of the classifier is twice the tree sum
     assert len(both) == 250
-    assert max(abs(2 * (base + r["s"]) - r["margin"]) for r in both) < 1e-9 or max(
-        abs(base + r["s"] - r["margin"]) for r in both) < 1e-9
+    assert max(abs(base + r["s"] - r["margin"]) for r in both) < 1e-9
 
 
 def test_path_shapley_against_all_coalitions():
@@ -136,13 +175,12 @@ def test_failure_without_a_message_is_recorded(spark):
 
 
 def test_logistic_round_trip_and_unseen(spark, sf, tmp_path):
-    from pyspark.ml import PipelineModel
-
     df = split.temporal_split(fx.learn(spark, sf))
     model = P.logistic(df.filter("split = 'train'"))
     test = df.filter("split = 'test'")
-    model.pipeline.write().overwrite().save(str(tmp_path / "m"))
-    again = ml.LinearModel(model.medians, model.categories, PipelineModel.load(str(tmp_path / "m")))
+    model.save(str(tmp_path / "m"))
+    again = ml.LinearModel.load(spark, str(tmp_path / "m"))
+    assert again.medians == model.medians and again.categories == model.categories
     a = model.score(test).orderBy("TransactionID").select("probability").collect()
     assert a == again.score(test).orderBy("TransactionID").select("probability").collect()
     odd = model.score(test.withColumn("ProductCD", F.lit("never"))).agg(F.min("probability"), F.max("probability")).first()
