@@ -9,36 +9,38 @@ from pyspark.sql import functions as F
 
 from riskweave.session import stored
 
-BROADCAST_ROWS = 500_000
+# Size up to which a state table is broadcast: its rows as JSON text, counted when it is stored.
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 1000
 SALTS = 64
 
 
 @dataclass
 class State:
-    """One row per key, written to the shared folder, with its size known."""
+    """One row per key, written to the shared folder, with its size in bytes known."""
 
     table: DataFrame
     key: str
-    rows: int
+    bytes: int
     weight: str  # column with the number of rows behind a key
 
     @classmethod
     def of(cls, table: DataFrame, key: str, weight: str) -> State:
         kept = stored(table.filter(F.col(key).isNotNull()), "state")
-        return cls(kept, key, kept.count(), weight)
+        size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+        return cls(kept, key, size or 0, weight)
 
 
-def lookup_join(df: DataFrame, state: State, spread_by: str, limit: int = BROADCAST_ROWS):
+def lookup_join(df: DataFrame, state: State, spread_by: str, limit: int = BROADCAST_BYTES):
     """Left join on the state's key.
 
-    A state of at most ``limit`` rows is broadcast. A larger one is shuffled; keys
+    A state of at most ``limit`` bytes is broadcast. A larger one is shuffled; keys
     that hold more than 1/1000 of the rows (at most 1000 such keys) and NULL keys
     are salted over ``SALTS`` partitions by ``spread_by``.
     """
     key = state.key
     table = state.table.drop(state.weight)
-    if state.rows <= limit:
+    if state.bytes <= limit:
         return df.join(F.broadcast(table), key, "left")
     total = state.table.agg(F.sum(state.weight)).first()[0]
     is_hot = F.col(state.weight) > F.lit(total * HOT_SHARE)

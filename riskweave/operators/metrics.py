@@ -21,7 +21,7 @@ def score_curve(
     score: str = "score",
     label: str = "y",
     keys: Sequence[str] = (),
-    limit: int | None = None,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """(keys, score, pos, neg, tp, fp, n_pos, n_neg), counting scores >= score.
 
@@ -31,7 +31,7 @@ def score_curve(
     rows = df.select(*keys, score, label)
     for c in rows.columns:
         rows = rows.filter(F.col(c).isNotNull())
-    edges = range_edges(rows, [score], limit=limit)[score]
+    edges = range_edges(rows, [score], n_ranges)[score]
     per_score = rows.groupBy(*keys, score).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")
     )

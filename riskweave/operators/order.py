@@ -29,18 +29,15 @@ from riskweave.functions.columns import any_of
 BRACKET_K, EDGES_K = 2000, 4096
 BRACKET_MARGIN = 0.005
 SKETCH_SLOTS = 256
-CANDIDATE_LIMIT = 4_000_000
-COLUMN_CHUNK = 48
+# Rows strictly inside a bracket that one task may rank; the same at every table size.
+CANDIDATE_LIMIT = 4_096
+# Rows in a value range, about, and the most ranges that a sketch can tell apart.
+RANGE_ROWS, MOST_RANGES = 1 << 21, 1 << 14
 
 
-def range_count(spark: SparkSession) -> int:
-    """Ranges to cut an ordering into: as many as the session shuffles to."""
-    return max(16, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """Does one task manage all rows? A count, from file footers for a stored table."""
-    return df.count() <= (CANDIDATE_LIMIT if limit is None else limit)
+def range_count(rows: int) -> int:
+    """Ranges to cut an ordering into, from the counted rows."""
+    return max(16, min(MOST_RANGES, rows // RANGE_ROWS))
 
 
 def sketch_quantiles(
@@ -70,18 +67,12 @@ def sketch_quantiles(
     return list(row)
 
 
-def range_edges(
-    df: DataFrame, columns: Sequence[str], n: int | None = None, limit: int | None = None
-) -> dict[str, list[float]]:
-    """At most ``n - 1`` inner cut points per column; the only data the driver sees.
-
-    No cut points (one range) when a counted size check says that one task will do.
-    """
-    if is_small(df, limit):
-        return {c: [] for c in columns}
-    n = n or range_count(df.sparkSession)
+def range_edges(df: DataFrame, columns: Sequence[str], n: int | None = None) -> dict[str, list[float]]:
+    """At most ``n - 1`` inner cut points per column; the only data the driver sees."""
+    n = n or range_count(df.count())
     probs = [i / n for i in range(1, n)]
-    found = sketch_quantiles(df, [(F.col(c), probs) for c in columns], EDGES_K)
+    k = max(EDGES_K, min(65_535, 4 * n))
+    found = sketch_quantiles(df, [(F.col(c), probs) for c in columns], k)
     return {c: sorted(set(q or [])) for c, q in zip(columns, found)}
 
 
@@ -137,7 +128,7 @@ def running_totals(
         )
     )
     if not keys:
-        offsets = F.broadcast(offsets)  # one row per range: range_count() at most
+        offsets = F.broadcast(offsets)  # one row per range: MOST_RANGES at most
 
     by = F.col(order).desc() if descending else F.col(order)
     inside = Window.partitionBy(*keys, "_range").orderBy(by).rowsBetween(
@@ -155,90 +146,124 @@ def running_totals(
 
 @dataclass
 class Pick:
-    """Neighbouring ranks wanted from one column, and the bracket that holds them."""
+    """Neighbouring ranks wanted from one column, and the bracket that holds them.
+
+    ``below`` rows lie before the bracket, ``at_low`` and ``at_high`` rows on its bounds,
+    ``open`` rows strictly between them. A bound that holds no wanted rank is left out.
+    """
 
     column: str
     ranks: tuple[int, ...]
-    inside: int
+    open: int
     below: int = 0
+    at_low: int = 0
+    at_high: int = 0
     low: float | int | None = None
     high: float | int | None = None
     margin: float = BRACKET_MARGIN
     settled: bool = False
 
+    def between(self) -> Column:
+        c = F.col(self.column)
+        ok = c.isNotNull()
+        if self.low is not None:
+            ok = ok & (c > F.lit(self.low))
+        if self.high is not None:
+            ok = ok & (c < F.lit(self.high))
+        return ok
+
     def contains(self) -> Column:
         c = F.col(self.column)
         ok = c.isNotNull()
         if self.low is not None:
-            ok = ok & (c >= F.lit(self.low))
+            ok = ok & ((c >= F.lit(self.low)) if self.at_low else (c > F.lit(self.low)))
         if self.high is not None:
-            ok = ok & (c <= F.lit(self.high))
+            ok = ok & ((c <= F.lit(self.high)) if self.at_high else (c < F.lit(self.high)))
         return ok
 
     def span(self) -> tuple[float, float]:
-        """The wanted ranks as shares of the bracket, with the margin."""
-        first = (min(self.ranks) - self.below) / self.inside
-        last = (max(self.ranks) - self.below) / self.inside
-        return first - self.margin, last + self.margin
+        """The wanted ranks as shares of the rows between the bounds, with the margin."""
+        start = self.below + self.at_low
+        first, last = min(self.ranks) - start, max(self.ranks) - start
+        return first / self.open - self.margin, last / self.open + self.margin
+
+    def shrink(self, low, high, counts) -> None:
+        """Take a confirmed bracket over; ``counts``: rows below, at low, between, at high."""
+        below, at_low, between, at_high = counts
+        first, last = min(self.ranks), max(self.ranks)
+        before = self.open
+        self.low, self.high, self.below = low, high, below
+        self.at_low, self.open, self.at_high = at_low, between, at_high
+        if last < below + at_low:
+            self.high, self.open, self.at_high = low, 0, at_low  # the low bound is the value
+        elif first >= below + at_low + between:
+            self.low, self.below = high, below + at_low + between
+            self.at_low, self.open = at_high, 0
+        else:
+            if first >= below + at_low:
+                self.below, self.at_low = below + at_low, 0
+            if last < self.below + self.at_low + between:
+                self.at_high = 0
+        # Doubles cannot tell values apart any more: what is left is a few hundred of them.
+        self.settled = self.open >= before
 
 
 INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
 def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
-    """Shrink every bracket until it holds at most ``limit`` rows.
+    """Shrink every bracket until at most ``limit`` rows lie strictly inside it.
 
-    A sketch proposes the bracket, an exact count confirms that the ranks lie in it; a
-    wrong proposal is widened. A bracket that no longer shrinks holds few distinct
-    values and is done.
+    A sketch of the rows between the bounds proposes new bounds, an exact count confirms
+    that the wanted ranks lie between them; a wrong proposal is widened. A heavy value ends up
+    as a bound: it is the answer, or it is left out, or it is one distinct value.
     """
     while True:
-        wide = [p for p in picks if p.inside > limit and not p.settled][:COLUMN_CHUNK]
+        wide = [p for p in picks if p.open > limit and not p.settled]
         if not wide:
             return
+        spans = [p.span() for p in wide]
         found = sketch_quantiles(
             df,
             [
-                (F.when(p.contains(), F.col(p.column)), [max(0.0, a), min(1.0, b)])
-                for p in wide
-                for a, b in [p.span()]
+                (F.when(p.between(), F.col(p.column)), [min(1.0, max(0.0, a)), max(0.0, min(1.0, b))])
+                for p, (a, b) in zip(wide, spans)
             ],
             BRACKET_K,
         )
         tries = []
-        for p, (low, high) in zip(wide, found):
-            a, b = p.span()
+        for p, (a, b), (low, high) in zip(wide, spans, found):
             if isinstance(df.schema[p.column].dataType, INTEGRAL):
                 low, high = math.floor(low), math.ceil(high)
-            tries.append(
-                Pick(
-                    p.column, p.ranks, 0, 0,
-                    p.low if a <= 0 else low,
-                    p.high if b >= 1 else high,
-                )
-            )
+            tries.append((p.low if a <= 0 else low, p.high if b >= 1 else high))
         counts = df.agg(
             *[
-                e
-                for i, t in enumerate(tries)
-                for e in (
-                    F.count_if(t.contains()).alias(f"in{i}"),
-                    (
-                        F.lit(0)
-                        if t.low is None
-                        else F.count_if(F.col(t.column) < F.lit(t.low))
-                    ).alias(f"lt{i}"),
-                )
+                e.alias(f"{n}{i}")
+                for i, (p, (low, high)) in enumerate(zip(wide, tries))
+                for n, e in _parts(F.col(p.column), low, high).items()
             ]
         ).first()
-        for i, (p, t) in enumerate(zip(wide, tries)):
-            inside, below = counts[2 * i], counts[2 * i + 1]
-            if below > min(p.ranks) or below + inside <= max(p.ranks):
+        for i, (p, (low, high)) in enumerate(zip(wide, tries)):
+            got = counts[4 * i : 4 * i + 4]
+            if got[0] > min(p.ranks) or sum(got) <= max(p.ranks):
                 p.margin *= 4
-                p.settled = p.margin > 1
+                p.settled = p.margin > 4
                 continue
-            p.settled = inside > p.inside // 2
-            p.low, p.high, p.inside, p.below = t.low, t.high, inside, below
+            p.shrink(low, high, got)
+
+
+def _parts(c: Column, low, high) -> dict[str, Column]:
+    """Counts of rows below ``low``, at it, between, and at ``high`` (None is no bound)."""
+    none = F.lit(0).cast("bigint")
+    over = c.isNotNull() if low is None else c > F.lit(low)
+    under = F.lit(True) if high is None else c < F.lit(high)
+    same = low is not None and low == high
+    return {
+        "b": none if low is None else F.count_if(c < F.lit(low)),
+        "l": none if low is None else F.count_if(c == F.lit(low)),
+        "o": F.count_if(over & under),
+        "h": none if high is None or same else F.count_if(c == F.lit(high)),
+    }
 
 
 def _ranked_candidates(df: DataFrame, picks: list[Pick]) -> DataFrame:
@@ -277,72 +302,15 @@ def literal_table(spark: SparkSession, names: Sequence[str], rows: Sequence[tupl
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
-def _chunks(items: list, size: int) -> list[list]:
-    return [items[i : i + size] for i in range(0, len(items), size)]
-
-
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: (column, prob, n, value).
 
-    Up to ``limit`` rows (counted), each column's distinct values are ranked in one
-    pass. Beyond that, brackets around the wanted ranks are narrowed first.
+    All columns together: one count, a few rounds of sketch and count that narrow brackets
+    around the wanted ranks, and one pass that ranks the distinct values left in them.
     """
     limit = CANDIDATE_LIMIT if limit is None else limit
-    ranked = _quantiles_in_one_pass if is_small(df, limit) else _quantiles_by_bracket
-    parts = [ranked(df, chunk, list(probs), limit) for chunk in _chunks(list(columns), COLUMN_CHUNK)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _quantiles_in_one_pass(
-    df: DataFrame, columns: list[str], probs: list[float], limit: int
-) -> DataFrame:
-    del limit
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
-    whole = Window.partitionBy("column")
-    # NULLs sort first and weigh nothing, so a column without values keeps its row.
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        df.select(F.inline(F.array(*entries)))
-        .groupBy("column", "value")
-        .agg(F.count("value").alias("w"))
-        .withColumns(
-            {"n": F.sum("w").over(whole), "last": F.sum("w").over(upto) - 1}
-        )
-        .withColumn("first", F.col("last") - F.col("w") + 1)
-    )
-    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-    hit = F.when(F.col("w") > 0, F.col("value"))
-
-    def at_rank(r: Column) -> Column:
-        return F.max(F.when(r.between(F.col("first"), F.col("last")), hit))
-
-    picked = ranked.groupBy("column", "n").agg(
-        *[at_rank(F.floor(a)).alias(f"a{i}") for i, a in enumerate(at)],
-        *[at_rank(F.ceil(a)).alias(f"b{i}") for i, a in enumerate(at)],
-    )
-    rows = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            (
-                F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * (a - F.floor(a))
-            ).alias("value"),
-        )
-        for i, (p, a) in enumerate(zip(probs, at))
-    ]
-    out = picked.select("column", "n", F.inline(F.array(*rows)))
-    return out.select("column", "prob", "n", "value")
-
-
-def _quantiles_by_bracket(
-    df: DataFrame, columns: list[str], probs: list[float], limit: int
-) -> DataFrame:
     counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     picks, meta = [], []
     for c, n in zip(columns, counts):
@@ -402,7 +370,7 @@ def grouped_quantiles(
     keys: Sequence[str],
     columns: Sequence[str],
     probs: Sequence[float],
-    limit: int | None = None,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per key: (keys..., column, prob, n, value).
 
@@ -413,7 +381,7 @@ def grouped_quantiles(
     rank is ordered.
     """
     keys, columns = list(keys), list(columns)
-    edges = range_edges(df, columns, limit=limit)
+    edges = range_edges(df, columns, n_ranges)
     rows = df.select(*keys, *columns)
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import columns as C
 from riskweave.operators import features as fe
 from riskweave.operators import quality
-from riskweave.operators.lookup import lookup_join
+from riskweave.operators.lookup import State, lookup_join
 from riskweave.operators.order import quantile_table
 from riskweave.operators.split import in_head, time_boundaries
 from riskweave.plans.registry import query, rounded
@@ -85,7 +85,7 @@ JOINS = " ".join(f"left join cs_{c} on i.{c} = cs_{c}.{c}" for c in TE)
         f"select '{c}' as \"column\", {r(f'coalesce(median({c}), 0)')} as median from txn" for c in IMPUTED + V)),
 )
 def column_medians(spark: SparkSession, d: str) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     q = quantile_table(df, IMPUTED + V, [0.5])
     return rounded(q.select("column", F.coalesce("value", F.lit(0.0)).alias("median")))
 
@@ -96,7 +96,7 @@ def column_medians(spark: SparkSession, d: str) -> DataFrame:
         + " from txn where card1 is not null group by card1"),
 )
 def group_medians(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(fe.group_medians(fx.txn(spark, d), "card1", NORM).drop("n"))
+    return rounded(fe.group_medians(base(spark, d), "card1", NORM).drop("n"))
 
 
 @query(
@@ -200,7 +200,7 @@ def engineer_full(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, d: str, loo: bool) -> DataFrame:
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     b = train_boundary(df)
     train = df.filter(in_head(b))
     overall = F.lit(train.agg(F.avg(S.LABEL)).first()[0] or 0.0)
@@ -235,6 +235,19 @@ def smoothed_encode(spark: SparkSession, d: str) -> DataFrame:
     return _encoded(spark, d, loo=False).drop(S.LABEL)
 
 
+@query(
+    "lookup_salted",
+    sql(f"select TransactionID, {r('top')} as top from txn t left join "
+        "(select card1 as c, max(TransactionAmt) as top from txn group by card1) on c = card1"),
+)
+def lookup_salted(spark: SparkSession, d: str) -> DataFrame:
+    """A state table joined the way that one too large to broadcast is."""
+    df = fx.txn(spark, d, history=False)
+    table = df.groupBy("card1").agg(F.max("TransactionAmt").alias("top"), F.count(F.lit(1)).alias("n"))
+    out = lookup_join(df.select(S.KEY, "card1"), State.of(table, "card1", "n"), S.KEY, limit=0)
+    return rounded(out.select(S.KEY, "top"))
+
+
 MISSABLE = ["card4", "R_emaildomain", "addr1", "D1", "D4", "D10", "V1", "V2"]
 
 
@@ -246,7 +259,7 @@ def _missing_sql() -> str:
 @query("missing_indicators", sql(_missing_sql()))
 def missing_indicators(spark: SparkSession, d: str) -> DataFrame:
     """Columns with a training null share in (5 %, 80 %]."""
-    df = fx.txn(spark, d)
+    df = base(spark, d)
     train = df.filter(in_head(train_boundary(df)))
     out = fe.missing_indicators(df.select(S.KEY, *MISSABLE), train, MISSABLE, 0.05, 0.80)
     return out.drop(*MISSABLE)

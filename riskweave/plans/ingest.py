@@ -190,10 +190,11 @@ def event_time(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _body():
-    """A request per event: amount always, card1 null or set, D1/C1/addr1 absent or set."""
+    """A request per event: amount and time always, card1 null or set, D1/C1/addr1 absent or set."""
     k = F.col("k")
     return F.concat(
         F.lit('{"TransactionAmt": '), F.col("value").cast("string"),
+        F.lit(', "TransactionDT": '), (F.col("es") - fx.EPOCH_OFFSET).cast("string"),
         F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(', "card1": null')).otherwise(
             F.concat(F.lit(', "card1": '), F.col("user_id").cast("string"))),
         F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(', "D4": '), k.cast("string"))),
@@ -210,6 +211,7 @@ def requests(events: DataFrame) -> DataFrame:
 def _request_sql() -> str:
     given = {
         "TransactionAmt": r("value"),
+        "TransactionDT": "cast(86400 + es - 1704067200 as double)",
         "card1": "case when k % 3 = 0 then 9500.0 when k % 3 = 1 then null else cast(user_id as double) end",
         "D4": "case when k % 4 = 0 then null else cast(k as double) end",
     }

@@ -11,10 +11,10 @@ from riskweave.operators.split import in_head, temporal_head, time_boundaries
 from riskweave.plans.ingest import AS_OF
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
-from riskweave.session import stored
+from riskweave.session import new_folder, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
-from riskweave.sources.tables import trailing_window
+from riskweave.sources.tables import append_log, read_log, trailing_window
 
 MONITORED = ["TransactionAmt", "C13"]
 EVERY = "6 hours"
@@ -153,10 +153,14 @@ LOG_OUT = (f"cast(epoch(\"timestamp\") as bigint) as at, feature_name, {r('psi_s
 
 
 def drift_log(spark: SparkSession, d: str) -> DataFrame:
+    """The stored log of the checks of every window, as the dashboard reads it."""
     df = watched(spark, d)
-    return drift.drift_log(
+    rows = drift.drift_log(
         timed(df), fx.pred_log(spark, d), baselines(df), "event_time", EVERY, MIN_ROWS
     )
+    path = new_folder(spark, "drift_log")
+    append_log(rows, path)
+    return read_log(spark, path, S.DRIFT_LOG_SCHEMA).drop("date")
 
 
 def log_out(log: DataFrame) -> DataFrame:

@@ -24,14 +24,37 @@ def events_stream(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_score")
 def stream_score(spark: SparkSession, d: str) -> DataFrame:
     """Requests as JSON, scored by the fitted ensemble while they stream."""
-    t = Trained(spark, d)
+    return scored_stream(spark, d, Trained(spark, d))
+
+
+def scoring(events: DataFrame, t: Trained) -> DataFrame:
+    raw = requests(events).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    return jobs.score_requests(raw, t.engineer, t.model.score, t.features, 0.5, VERSION)
+
+
+def scored_stream(spark: SparkSession, d: str, t: Trained) -> DataFrame:
     path = new_folder(spark, "stream_score")
-    raw = requests(events_stream(spark, d)).withColumn("timestamp", F.col("ts").cast("timestamp"))
-    log = jobs.score_requests(raw, t.engineer, t.model.score, t.features, 0.5, VERSION)
-    jobs.to_table(log, path)
+    jobs.to_table(scoring(events_stream(spark, d), t), path)
     return spark.read.parquet(f"{path}/table")
 
 
+@query(
+    "stream_score_check",
+    sql("select count(*) as streamed, count(*) as scored, cast(0 as bigint) as differ from events"),
+)
+def stream_score_check(spark: SparkSession, d: str) -> DataFrame:
+    """The streaming scorer against its batch twin, row by row."""
+    t = Trained(spark, d)
+    a, b = scored_stream(spark, d, t), scoring(fx.table(spark, d, "events"), t)
+    rows = a.select("prediction_id", F.struct("*").alias("a")).join(
+        b.select("prediction_id", F.struct("*").alias("b")), "prediction_id", "full"
+    )
+    return rows.agg(
+        F.count("a").alias("streamed"), F.count("b").alias("scored"),
+        F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differ"),
+    )
+
+
 LOG_OUT = ("prediction_id, cast(floor(epoch(\"timestamp\")) as bigint) as at, fraud_probability, prediction, "
            f"threshold_used, {r('latency_ms')} as latency_ms, model_version")
 
@@ -90,21 +113,39 @@ def stream_rate_drift(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select(F.unix_timestamp("w.start").alias("start"), *rest))
 
 
-@query(
-    "stream_drift",
-    sql(" union all ".join(
-        f"select '{f}' as feature_name, {r('psi')} as psi_score, psi > 0.2 as alert_fired, "
-        f"{r(f'(select mean from e_{f})')} as baseline_mean, {r('current_mean')} as current_mean, 7 as window_days "
-        f"from ({mon._psi(f, 'txn', '1')})" for f in ("TransactionAmt",)), mon.STATES),
-)
-def stream_drift(spark: SparkSession, d: str) -> DataFrame:
-    """The drift check as a stream: the arriving transactions against the fitted baseline."""
+STREAM_DRIFT_ROWS = " union all ".join(
+    f"select '{f}' as feature_name, {r('psi')} as psi_score, psi > 0.2 as alert_fired, "
+    f"{r(f'(select mean from e_{f})')} as baseline_mean, {r('current_mean')} as current_mean, 7 as window_days "
+    f"from ({mon._psi(f, 'txn', '1')})" for f in mon.MONITORED
+) + f""" union all select 'fraud_rate', {r(mon.Z)}, {mon.Z} > 2, 0.0351, {r('rate')}, 7 from (
+  select count(*) as n, avg(prediction) as rate from pred_log) where n >= 100"""
+
+
+def checked_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The drift log of the events as they arrive, against the fitted baselines."""
     path = new_folder(spark, "stream_drift")
-    base = [b for b in mon.baselines(mon.watched(spark, d)) if b.feature == "TransactionAmt"]
-    txn = fx.event_rows(events_stream(spark, d)).select(*fx.txn_columns(history=False))
-    jobs.drift_checks(txn, base, path)
-    out = spark.read.schema(
+    base = mon.baselines(mon.watched(spark, d))
+    jobs.drift_checks(
+        events_stream(spark, d), base, path, lambda e: (fx.txn_of(e), fx.shape_pred_log(e))
+    )
+    return spark.read.schema(
         "feature_name string, psi_score double, alert_fired boolean, baseline_mean double, "
         "current_mean double, window_days int, batch int"
-    ).parquet(f"{path}/table")
-    return rounded(out.drop("batch"))
+    ).parquet(f"{path}/table").drop("batch")
+
+
+@query("stream_drift", sql(STREAM_DRIFT_ROWS, mon.STATES))
+def stream_drift(spark: SparkSession, d: str) -> DataFrame:
+    """The full drift check as a stream: all monitored features and the predicted rate."""
+    return rounded(checked_stream(spark, d))
+
+
+@query(
+    "stream_drift_summary",
+    sql("select count(*) as checks, count(*) filter (where alert_fired) as alerts, bool_or(alert_fired) as any_alert "
+        f"from ({STREAM_DRIFT_ROWS})", mon.STATES),
+)
+def stream_drift_summary(spark: SparkSession, d: str) -> DataFrame:
+    log = checked_stream(spark, d)
+    is_rate = F.col("feature_name") == "fraud_rate"
+    return drift.drift_summary(log.filter(~is_rate), log.filter(is_rate))

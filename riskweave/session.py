@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,10 @@ def local_session(cores: str = "8", app: str = "riskweave") -> SparkSession:
     return spark
 
 
+#: Folders handed out in this process and not released yet.
+_folders: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -38,15 +44,32 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        configured = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, there until it is released."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _folders.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all folders handed out so far; returns their number.
+
+    For when the results that read them are written: derived tables are full copies, so a
+    long-lived session calls this after each job.
+    """
+    n = len(_folders)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _folders:
+        path = jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

@@ -1,7 +1,7 @@
 """Views that give the event table the shape of transaction data.
 
 ``txn`` and ``pred_log`` and the rest are defined in FIXTURES.md. History columns
-(position and gap per card) are built from hour cells, so one card that holds a
+(position and gap per card) are built from cells of a minute, so one card that holds a
 third of all rows is never sorted by one task.
 """
 
@@ -20,11 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_history(df: DataFrame, key: str, order: list[str], seconds: str, cell: int = 3600):
+def with_history(df: DataFrame, key: str, order: list[str], seconds: str, cell: int = 60):
     """Add ``seq`` (1-based position per key) and ``prev`` (previous row's seconds).
 
     ``seconds`` must not decrease along ``order``. Rows are numbered inside
-    (key, hour) cells; per-cell counts and last values carry across cells.
+    (key, minute) cells; per-cell counts and last values carry across cells. A task orders
+    the rows of one key's minute, or the cells of one key (half a million a year).
     """
     cut = df.withColumn("_cell", F.floor(F.col(seconds) / cell))
     over_cells = Window.partitionBy(key).orderBy("_cell")
@@ -106,7 +107,11 @@ def txn_columns(history: bool) -> list:
 
 def txn(spark: SparkSession, sf_dir: str, history: bool = True) -> DataFrame:
     """One row per event. Without ``history`` (C13, D1) it is a plain projection."""
-    rows = event_rows(table(spark, sf_dir, "events"))
+    return txn_of(table(spark, sf_dir, "events"), history)
+
+
+def txn_of(events: DataFrame, history: bool = True) -> DataFrame:
+    rows = event_rows(events)
     if history:
         rows = with_history(rows, "user_id", ["ts", "event_id"], "es")
     return rows.select(*txn_columns(history))

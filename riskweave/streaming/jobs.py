@@ -105,18 +105,31 @@ def windowed_rate_drift(
 
 
 def drift_checks(
-    txn: DataFrame, baselines: Sequence[drift.Baseline], path: str, folder: str = "table"
+    arriving: DataFrame,
+    baselines: Sequence[drift.Baseline],
+    path: str,
+    views: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    folder: str = "table",
 ) -> None:
-    """Scheduled drift check: one set of drift rows per micro-batch.
+    """Scheduled drift check: one set of drift-log rows per micro-batch.
 
-    A batch writes to its own sub-folder and overwrites it on a retry.
+    Without ``views`` a batch is checked by itself, feature by feature. With ``views``, which
+    makes the watched transactions and the prediction log from all rows that have arrived
+    so far (they are kept below ``path``), the rate is checked too. A batch writes to its own
+    sub-folders and overwrites them on a retry.
     """
 
     def check(batch: DataFrame, number: int) -> None:
-        drift.drift_rows(batch, baselines).write.mode("overwrite").parquet(
-            f"{path}/{folder}/batch={number}"
-        )
+        if views is None:
+            rows = drift.drift_rows(batch, baselines)
+        else:
+            batch.write.mode("overwrite").parquet(f"{path}/arrived/batch={number}")
+            known = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+            arrived = batch.sparkSession.read.schema(known).parquet(f"{path}/arrived")
+            txn, log = views(arrived.filter(F.col("batch") <= number).drop("batch"))
+            rows = drift.drift_rows(txn, baselines).unionByName(drift.rate_drift(log))
+        rows.write.mode("overwrite").parquet(f"{path}/{folder}/batch={number}")
 
     run_to_end(
-        txn.writeStream.foreachBatch(check).option("checkpointLocation", f"{path}/checkpoint")
+        arriving.writeStream.foreachBatch(check).option("checkpointLocation", f"{path}/checkpoint")
     )

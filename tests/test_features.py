@@ -129,7 +129,7 @@ def test_lookup_beyond_the_broadcast_limit(spark):
     small_way = lookup_join(df, state, "id").orderBy("id").collect()
     big_way = lookup_join(df, state, "id", limit=0).orderBy("id").select("k", "id", "v").collect()
     assert [tuple(r) for r in big_way] == [(r["k"], r["id"], r["v"]) for r in small_way]
-    assert lookup.BROADCAST_ROWS > 0
+    assert 0 < state.bytes < lookup.BROADCAST_BYTES
 
 
 def test_null_group_is_dropped(spark):

@@ -24,15 +24,15 @@ def scored(spark, y, s):
     return spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, score double")
 
 
-@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("n_ranges", [None, 300])
 @pytest.mark.parametrize("seed", [0, 1])
-def test_against_definitions(spark, seed, limit):
+def test_against_definitions(spark, seed, n_ranges):
     rng = np.random.default_rng(seed)
     y = (rng.random(400) < 0.2).astype(int)
     s = np.round(rng.random(400), 2)  # many ties
     s[:130] = 0.25  # a third of all rows on one score
     ap, auc, ks, f1, thr = brute(y, s)
-    curve = M.score_curve(scored(spark, y, s), limit=limit)
+    curve = M.score_curve(scored(spark, y, s), n_ranges=n_ranges)
     assert M.average_precision(curve).first()[0] == pytest.approx(ap)
     assert M.roc_auc(curve).first()[0] == pytest.approx(auc)
     assert M.ks_statistic(curve).first()[0] == pytest.approx(ks)
@@ -66,7 +66,7 @@ def test_keyed_curves(spark):
     y, s = (rng.random(300) < 0.3).astype(int), rng.random(300)
     k = np.where(np.arange(300) % 3 == 0, "a", "b")
     df = spark.createDataFrame([(str(c), int(a), float(b)) for c, a, b in zip(k, y, s)], "k string, y int, score double")
-    out = {r["k"]: r["auc_roc"] for r in M.roc_auc(M.score_curve(df, keys=["k"], limit=0), ["k"]).collect()}
+    out = {r["k"]: r["auc_roc"] for r in M.roc_auc(M.score_curve(df, keys=["k"], n_ranges=40), ["k"]).collect()}
     for c in "ab":
         assert out[c] == pytest.approx(brute(y[k == c], s[k == c])[1])
 

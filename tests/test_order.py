@@ -1,4 +1,4 @@
-"""Order primitives: both the small and the ranged way, on skewed and tied data."""
+"""Order primitives for several bracket sizes and numbers of ranges, on skewed and tied data."""
 
 import numpy as np
 import pytest
@@ -46,13 +46,13 @@ def test_ranks_property(spark, values):
         assert got == [(s[r], sum(v < s[r] for v in s), s.count(s[r])) for r in ranks]
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_grouped_quantiles_with_hot_key(spark, limit):
+@pytest.mark.parametrize("n_ranges", [None, 200])
+def test_grouped_quantiles_with_hot_key(spark, n_ranges):
     v = skewed()
     keys = np.where(np.arange(len(v)) % 3 == 0, "hot", np.char.add("k", (np.arange(len(v)) % 40).astype(str)))
     rows = [(str(k), float(x)) for k, x in zip(keys, v)]
     df = spark.createDataFrame(rows, "k string, x double")
-    got = o.grouped_quantiles(df, ["k"], ["x"], [0.25, 0.5], limit=limit).collect()
+    got = o.grouped_quantiles(df, ["k"], ["x"], [0.25, 0.5], n_ranges).collect()
     assert len(got) == 2 * len(set(keys))
     for r in got:
         mine = [x for k, x in rows if k == r["k"]]
@@ -64,7 +64,7 @@ def test_grouped_quantiles_with_hot_key(spark, limit):
 def test_running_totals_in_ranges(spark, descending):
     v = sorted(set(skewed().tolist()))
     df = spark.createDataFrame([(x, i + 1) for i, x in enumerate(v)], "x double, w bigint")
-    edges = o.range_edges(df, ["x"], 32, limit=0)["x"]
+    edges = o.range_edges(df, ["x"], 32)["x"]
     assert len(edges) > 8
     out = o.running_totals(df, "x", ["w"], descending=descending, edges=edges).collect()
     weights = np.arange(1, len(v) + 1)
@@ -90,6 +90,52 @@ def test_boundary_by_narrowing(spark, monkeypatch, limit):
     assert df.filter(split.in_head(b)).count() == 3210
 
 
+@pytest.mark.parametrize("heavy", [0.3, 0.6, 0.9])
+@pytest.mark.parametrize("kind", ["double", "bigint"])
+def test_a_heavy_value_beside_the_rank_leaves_few_values(spark, monkeypatch, heavy, kind):
+    """Wanted ranks just below, at, and just above a heavy value: no task ranks many values."""
+    n = 60_000
+    at = int(n * 0.2)
+    df = spark.range(n).select(
+        F.when(F.col("id") < at, F.col("id"))
+        .when(F.col("id") < at + int(n * heavy), at)
+        .otherwise(F.col("id") + 1)
+        .cast(kind)
+        .alias("x")
+    )
+    held = []
+    ranked = o._ranked_candidates
+
+    def spy(frame, picks):
+        out = ranked(frame, picks)
+        held.extend(r["count"] for r in out.groupBy("pick").count().collect())
+        return out
+
+    monkeypatch.setattr(o, "_ranked_candidates", spy)
+    values = sorted(r.x for r in df.collect())
+    end = min(n, at + int(n * heavy))
+    ranks = [at - 1, at, at + 5, end - 1, min(end, n - 1)]
+    got = o.values_at_ranks(df, "x", ranks, n, limit=100)
+    assert [g[0] for g in got] == [values[r] for r in ranks]
+    assert max(held) <= 102
+    held.clear()
+    probs = [(at - 0.5) / (n - 1), (end - 0.5) / (n - 1) if end < n else 1.0]
+    table = {r.prob: r.value for r in o.quantile_table(df, ["x"], probs, limit=100).collect()}
+    for p in probs:
+        assert table[p] == pytest.approx(np.quantile(values, p))
+    assert max(held) <= 102
+
+
+def test_all_columns_in_one_round(spark, monkeypatch):
+    """387 columns take as many scans as one."""
+    df = spark.range(300).select(*[((F.col("id") * (i + 7)) % 301).cast("double").alias(f"v{i}") for i in range(387)])
+    jobs = []
+    monkeypatch.setattr(o, "sketch_quantiles", lambda *a, f=o.sketch_quantiles: (jobs.append(1), f(*a))[1])
+    got = {r.column: r.value for r in o.quantile_table(df, df.columns, [0.5]).collect()}
+    assert len(got) == 387 and not jobs
+    assert got["v3"] == pytest.approx(np.median([(i * 10) % 301 for i in range(300)]))
+
+
 def test_history_across_cells(spark):
     """Position and gap per key equal the plain window, with one key on a third of rows."""
     rng = np.random.default_rng(3)

@@ -41,10 +41,9 @@ def test_transform_broadcasts_its_state(spark, sf):
     assert p.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in p and "Python" not in p
 
 
-@pytest.mark.parametrize("limit", [0])
-def test_ranged_curve_has_no_row_level_single_partition(spark, sf, limit):
+def test_ranged_curve_has_no_row_level_single_partition(spark, sf):
     """Only the table of ranges (a bounded number of rows) goes to one task."""
-    curve = M.score_curve(fx.scored(spark, sf), limit=limit)
+    curve = M.score_curve(fx.scored(spark, sf))
     p = plan(curve)
     for line in p.splitlines():
         if "Exchange SinglePartition" in line:
@@ -54,7 +53,7 @@ def test_ranged_curve_has_no_row_level_single_partition(spark, sf, limit):
 
 def test_grouped_quantiles_spread_a_hot_key(spark):
     df = spark.range(2000).select(F.lit(1).alias("k"), F.rand(1).alias("x"))
-    edges = o.range_edges(df, ["x"], 16, limit=0)["x"]
+    edges = o.range_edges(df, ["x"], 16)["x"]
     cells = o.with_ranges(df, {"x": edges}).groupBy("k", "_range_x").count()
     assert cells.agg(F.max("count")).first()[0] < 2000 / 8
 
@@ -72,8 +71,8 @@ def test_no_python_in_the_hot_path(spark, sf, name):
 
 @pytest.mark.parametrize("name", ["risk_metrics", "engineer_full", "psi", "temporal_split", "stratified_carve",
                                   "column_medians", "group_medians", "describe_by_label"])
-def test_same_answer_without_the_size_shortcut(spark, sf, monkeypatch, name):
-    """The way for large tables gives the rows of the way for small ones."""
+def test_same_answer_for_any_bracket_size(spark, sf, monkeypatch, name):
+    """Narrowing down to single values gives the rows of ranking a whole bracket."""
     small = sorted(catalog.QUERIES[name](spark, sf).collect(), key=str)
     monkeypatch.setattr(o, "CANDIDATE_LIMIT", 0)
     large = sorted(catalog.QUERIES[name](spark, sf).collect(), key=str)
@@ -89,8 +88,8 @@ def test_counts_are_shuffled_once(spark, sf):
     """The per-value counts feed the range totals and the ordering from one exchange."""
     t = fx.txn(spark, sf)
     for df in (
-        o.grouped_quantiles(t, ["card1"], ["TransactionAmt", "D4"], [0.5], limit=0),
-        M.score_curve(fx.scored(spark, sf), limit=0),
+        o.grouped_quantiles(t, ["card1"], ["TransactionAmt", "D4"], [0.5]),
+        M.score_curve(fx.scored(spark, sf)),
     ):
         df.collect()
         assert "ReusedExchange" in plan(df)
