@@ -78,9 +78,12 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
         *[F.min(f).alias(f"lo_{f}") for f in features],
         *[F.max(f).alias(f"hi_{f}") for f in features],
         *[F.coalesce(F.stddev_pop(f), F.lit(0.0)).alias(f"sd_{f}") for f in features],
+        *[F.approx_count_distinct(f).alias(f"nd_{f}") for f in features],
     ).first()
     n = spread["n"]
-    axes = sorted(features, key=lambda f: -spread[f"sd_{f}"])[:2]
+    # An axis with few values cuts into few cells however fine the grid is.
+    few = math.sqrt(max(n, 1)) / 2
+    axes = sorted(features, key=lambda f: (spread[f"nd_{f}"] < few, -spread[f"sd_{f}"]))[:2]
     extent = [spread[f"hi_{a}"] - spread[f"lo_{a}"] for a in axes]
     diagonal = math.sqrt(sum((spread[f"hi_{f}"] - spread[f"lo_{f}"]) ** 2 for f in features))
 
@@ -88,11 +91,14 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
         return [F.floor((F.col(a) - F.lit(spread[f"lo_{a}"])) / r) for a in axes]
 
     width = max(extent) / max(1.0, math.sqrt(n)) or 1.0
-    for _ in range(30):
+    before, idle = math.inf, 0
+    while True:
         fullest = vectors.groupBy(*cells(width)).count().agg(F.max("count")).first()[0] or 0
-        if fullest <= CELL_ROWS:
+        idle = idle + 1 if fullest > 0.9 * before else 0
+        # Finer cells no longer help where rows share a value of every axis.
+        if fullest <= CELL_ROWS or idle == 3:
             break
-        width /= 2
+        before, width = fullest, width / 2
 
     best = Window.partitionBy("vid").orderBy("d2", key)
     done, left = None, n

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import sigmoid
 from riskweave.operators import metrics as M
+from riskweave.operators import runs as R
 from riskweave.operators.features import column_medians, impute
 from riskweave.operators.imbalance import positive_weight, weight_column
 from riskweave.operators.split import class_balance
@@ -225,7 +226,8 @@ def prefix_auc(
     long = margins.select("y", F.posexplode("margins").alias("prefix", "score"))
     curve = M.score_curve(long.withColumn("prefix", F.col("prefix") + 1), keys=["prefix"])
     rows = M.roc_auc(curve, ["prefix"]).orderBy("prefix").collect()
-    return [(r["prefix"], r["auc_roc"]) for r in rows]
+    # Sums come in any order: what differs in the last digits only is equal.
+    return [(r["prefix"], round(r["auc_roc"], 12)) for r in rows]
 
 
 def stop_at(history: Sequence[tuple[int, float]], patience: int) -> tuple[int, bool]:
@@ -420,6 +422,45 @@ def search(
     )
 
 
+def run_search(
+    spark: SparkSession,
+    objective: Callable[[dict], float],
+    n: int = MAX_TRIALS,
+    seed: int = 42,
+    space: Sequence[tuple] = tuple(SEARCH_SPACE),
+    parallel: int = PARALLEL_TRIALS,
+) -> DataFrame:
+    """The whole search: ``n`` draws from the ranges, judged ``parallel`` at a time."""
+    return search(spark, draw_trials(spark, n, seed, space), objective, parallel)
+
+
+def save_best(trials: DataFrame, path: str) -> dict:
+    """Write the parameters of the best trial as one JSON line; returns them."""
+    best = best_params(trials)
+    spark = trials.sparkSession
+    spark.createDataFrame([(best,)], "params map<string,double>").coalesce(1).write.mode("overwrite").json(path)
+    return best
+
+
+def load_best(spark: SparkSession, path: str) -> dict:
+    row = spark.read.schema("params map<string,double>").json(path).first()
+    whole = {name for name, kind, *_ in SEARCH_SPACE if kind == "int"}
+    return {k: int(v) if k in whole else v for k, v in row["params"].items()}
+
+
+def choose(candidates: dict[str, DataFrame]) -> tuple[str, DataFrame]:
+    """The candidate with the best average precision of its scored validation rows (y, score),
+    the first of equals, and the table (run_name, run_order, auc_pr) it was chosen from."""
+    out = None
+    for order, (name, scored) in enumerate(candidates.items(), start=1):
+        ap = M.average_precision(M.score_curve(scored)).select(
+            F.lit(name).alias("run_name"), F.lit(order).alias("run_order"), "auc_pr"
+        )
+        out = ap if out is None else out.unionByName(ap)
+    table = out.sparkSession.createDataFrame(out.collect(), out.schema)  # one row a candidate
+    return R.require_champion(table)["run_name"], table
+
+
 def best_params(trials: DataFrame) -> dict:
     row = (
         trials.filter(F.col("state") == "completed")

@@ -93,3 +93,18 @@ def test_class_weights(spark):
     assert got == {0: pytest.approx(1000 / (2 * 965)), 1: pytest.approx(1000 / 70)}
     with pytest.raises(ValueError):
         I.positive_weight(df.filter("isFraud = 0"))
+
+
+def test_neighbours_with_two_valued_columns(spark):
+    """Eight columns, five of them two-valued: exact, and the grid lies on the others."""
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.integers(0, 2, (300, 5)) * 100.0, rng.normal(size=(300, 3))])
+    names = [f"f{i}" for i in range(8)]
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "k long, " + ", ".join(f"{n} double" for n in names))
+    got = {}
+    for r in I.nearest(df, "k", names, 3).collect():
+        got.setdefault(r.k, {})[r["rank"]] = r.neighbour
+    for i in range(300):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        order = sorted((j for j in range(300) if j != i), key=lambda j: (d[j], j))[:3]
+        assert [got[i][p] for p in (1, 2, 3)] == order

@@ -200,3 +200,19 @@ def test_ablation_runs(spark, sf):
     rows = {r["run_name"]: r for r in P.ablation_runs(spark, sf).collect()}
     assert [rows[n]["n_features"] for n in ("run_a_raw", "run_b_engineered", "run_c_encoded")] == [11, 20, 24]
     assert all(0 <= r["auc_pr"] <= 1 for r in rows.values())
+
+
+def test_best_parameters_are_kept(spark, tmp_path):
+    space = [("max_depth", "int", 2, 9), ("learning_rate", "log", 0.01, 0.3)]
+    trials = ml.run_search(spark, lambda p: p["max_depth"] / 10, n=6, space=space)
+    assert trials.count() == 6 and ml.MAX_TRIALS == 30
+    best = ml.save_best(trials, str(tmp_path / "best"))
+    assert ml.load_best(spark, str(tmp_path / "best")) == best
+    assert best["max_depth"] == max(r.params["max_depth"] for r in trials.collect())
+
+
+def test_champion_report_chooses_on_validation(spark, sf):
+    rows = {(r.section, r.name): r.value for r in P.champion_report(spark, sf).collect()}
+    candidates = {n: v for (s, n), v in rows.items() if s == "candidates"}
+    assert set(candidates) == {"first", "second"} and all(0 < v <= 1 for v in candidates.values())
+    assert ("test", "auc_pr") in rows and ("training", "best_iteration") in rows
