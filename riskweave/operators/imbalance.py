@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,13 +9,11 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import any_of, hash60, hash_unit, seeded_md5
 from riskweave.operators.lookup import State, lookup_join
+from riskweave.operators.neighbours import nearest_vectors
 from riskweave.operators.split import boundaries, class_balance
 from riskweave.session import stored
 from riskweave.sources import schema as S
 
-CELL_ROWS = 64
-GROWTH = 3
-
 
 def positive_weight(train: DataFrame, label: str = S.LABEL) -> float:
     """n0/n1 of the training labels."""
@@ -41,25 +38,12 @@ def weight_column(label: str, weight: float) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
 
 
-def _square_distance(features: Sequence[str]) -> Column:
-    out = None
-    for f in features:
-        d = F.col(f"q.{f}") - F.col(f"c.{f}")
-        out = d * d if out is None else out + d * d
-    return out
-
-
 def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """Exact k nearest other rows: (key, rank, neighbour, distance, neighbour_row).
 
-    Ties go by key. Features must not be NULL.
-
-    * Equal vectors are searched once. Of equal rows only the k+1 smallest keys can be
-      anyone's neighbour, so a mass of copies shrinks to k+1 rows.
-    * Two coordinates form a grid of width r. All rows within r of a row lie in its
-      cell or a touching one, so a row with k+1 hits within r is finished, exactly.
-      Only unfinished rows go on with a larger width; the last width spans all rows.
-    * The first width is chosen so that no cell holds more than a few rows.
+    Ties go by key. Features must not be NULL. Equal vectors are searched once: of equal rows
+    only the k+1 smallest keys can be anyone's neighbour, so a mass of copies shrinks to
+    k+1 rows. The search itself is ``neighbours.nearest_vectors``.
     """
     features = list(features)
     rows = df.select(F.col(key), *[F.col(f).cast("double").alias(f) for f in features])
@@ -70,78 +54,12 @@ def nearest(df: DataFrame, key: str, features: Sequence[str], k: int = 5) -> Dat
     points = stored(
         rows.withColumn("_copy", F.row_number().over(copy)).filter(F.col("_copy") <= k + 1)
     )
-    vectors = stored(
-        points.filter(F.col("_copy") == 1).select(F.col(key).alias("vid"), *features)
-    )
-    spread = vectors.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(f).alias(f"lo_{f}") for f in features],
-        *[F.max(f).alias(f"hi_{f}") for f in features],
-        *[F.coalesce(F.stddev_pop(f), F.lit(0.0)).alias(f"sd_{f}") for f in features],
-        *[F.approx_count_distinct(f).alias(f"nd_{f}") for f in features],
-    ).first()
-    n = spread["n"]
-    # An axis with few values cuts into few cells however fine the grid is.
-    few = math.sqrt(max(n, 1)) / 2
-    axes = sorted(features, key=lambda f: (spread[f"nd_{f}"] < few, -spread[f"sd_{f}"]))[:2]
-    extent = [spread[f"hi_{a}"] - spread[f"lo_{a}"] for a in axes]
-    diagonal = math.sqrt(sum((spread[f"hi_{f}"] - spread[f"lo_{f}"]) ** 2 for f in features))
-
-    def cells(r: float) -> list[Column]:
-        return [F.floor((F.col(a) - F.lit(spread[f"lo_{a}"])) / r) for a in axes]
-
-    width = max(extent) / max(1.0, math.sqrt(n)) or 1.0
-    before, idle = math.inf, 0
-    while True:
-        fullest = vectors.groupBy(*cells(width)).count().agg(F.max("count")).first()[0] or 0
-        idle = idle + 1 if fullest > 0.9 * before else 0
-        # Finer cells no longer help where rows share a value of every axis.
-        if fullest <= CELL_ROWS or idle == 3:
-            break
-        before, width = fullest, width / 2
-
-    best = Window.partitionBy("vid").orderBy("d2", key)
-    done, left = None, n
-    while True:
-        everything = width > diagonal
-        # One row per finished vector so far: keys of stored tables only.
-        open_rows = vectors if done is None else vectors.join(done, "vid", "left_anti")
-        at = [c.alias(f"_c{i}") for i, c in enumerate(cells(width))]
-        asked = open_rows.select("vid", *features, *at)
-        for i in range(len(axes)):
-            c = F.col(f"_c{i}")
-            shifted = F.explode(F.array(c - 1, c, c + 1))
-            others = [c for c in asked.columns if c != f"_c{i}"]
-            asked = asked.select(*others, shifted.alias(f"_c{i}"))
-        offered = points.select(key, *features, *at)
-        same_cell = [F.col(f"q._c{i}") == F.col(f"c._c{i}") for i in range(len(axes))]
-        cond = same_cell[0] if len(same_cell) == 1 else same_cell[0] & same_cell[1]
-        found = (
-            asked.alias("q")
-            .join(offered.alias("c"), cond)
-            .select(
-                "q.vid",
-                F.col(f"c.{key}").alias(key),
-                _square_distance(features).alias("d2"),
-                F.struct(*[F.col(f"c.{f}").alias(f) for f in features]).alias("row"),
-            )
-        )
-        if not everything:
-            found = found.filter(F.col("d2") <= F.lit(width * width))
-        found = found.withColumn("pos", F.row_number().over(best)).filter(F.col("pos") <= k + 1)
-        lists = found.groupBy("vid").agg(
-            F.sort_array(
-                F.collect_list(F.struct("pos", F.col(key).alias("nb"), "d2", "row"))
-            ).alias("nbs")
-        )  # at most k+1 entries per row
-        if not everything:
-            lists = lists.filter(F.size("nbs") == k + 1)
-        lists = stored(lists)
-        done = lists if done is None else done.unionByName(lists)
-        left -= lists.count()
-        if everything or not left:
-            break
-        width *= GROWTH
+    found = nearest_vectors(points, key, features, k + 1)
+    lists = found.groupBy("vid").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "nb", "d2", "row"))).alias("nbs")
+    )  # at most k+1 entries per row
+    done = stored(lists, "lists")
+    vectors = points.filter(F.col("_copy") == 1).select(F.col(key).alias("vid"), *features)
 
     # Back from vectors to rows; a row drops itself from its vector's list.
     by_vector = vectors.join(done, "vid").withColumn("_v", F.struct(*features))

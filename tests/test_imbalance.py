@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import imbalance as I
+from riskweave.operators import neighbours as N
 from riskweave.operators.split import class_balance
 
 FEATURES = ["f0", "f1", "f2"]
@@ -34,7 +35,7 @@ def clusters(seed=0):
 
 
 def test_neighbours_are_exact_on_skewed_data(spark, monkeypatch):
-    monkeypatch.setattr(I, "CELL_ROWS", 8)
+    monkeypatch.setattr(N, "LEAF_ROWS", 8)
     x = clusters()
     got = {}
     for r in I.nearest(frame(spark, x), "TransactionID", FEATURES, 5).collect():
@@ -95,8 +96,11 @@ def test_class_weights(spark):
         I.positive_weight(df.filter("isFraud = 0"))
 
 
-def test_neighbours_with_two_valued_columns(spark):
-    """Eight columns, five of them two-valued: exact, and the grid lies on the others."""
+@pytest.mark.parametrize("leaf", [8, 64, 2000])
+def test_neighbours_with_two_valued_columns(spark, monkeypatch, leaf):
+    """Eight columns, five of them two-valued: exact for any leaf size."""
+    monkeypatch.setattr(N, "LEAF_ROWS", leaf)
+    monkeypatch.setattr(N, "VISITORS", 16)
     rng = np.random.default_rng(11)
     x = np.column_stack([rng.integers(0, 2, (300, 5)) * 100.0, rng.normal(size=(300, 3))])
     names = [f"f{i}" for i in range(8)]
@@ -108,3 +112,21 @@ def test_neighbours_with_two_valued_columns(spark):
         d = ((x - x[i]) ** 2).sum(axis=1)
         order = sorted((j for j in range(300) if j != i), key=lambda j: (d[j], j))[:3]
         assert [got[i][p] for p in (1, 2, 3)] == order
+
+
+def test_a_search_visits_few_leaves():
+    """Candidate pairs per row stay far below all rows where the data has structure."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 3))
+    tree = N.Tree.cut(x, 50)
+    leaf = tree.leaf_of(x)
+    ids = np.unique(leaf)
+    assert np.bincount(leaf).max() <= 50
+    tree.bound(ids, np.array([x[leaf == i].min(axis=0) for i in ids]), np.array([x[leaf == i].max(axis=0) for i in ids]))
+    reach = np.empty(len(x))
+    for i in ids:
+        mine = np.flatnonzero(leaf == i)
+        at, _, d2 = N.best_of(x[mine], x[mine], mine, 6)
+        reach[mine] = d2.reshape(-1, 6)[:, -1]
+    row, _ = tree.visits(x, reach, leaf)
+    assert len(row) / len(x) < 12  # of 128 leaves or more

@@ -62,7 +62,7 @@ PYTHON_ALLOWED = {"tree_attribution", "champion_report", "search_trials", "regis
                   "stream_drift"}
 
 
-@pytest.mark.parametrize("name", ["engineer_full", "risk_metrics", "pr_curve", "smote_knn", "linear_attribution",
+@pytest.mark.parametrize("name", ["engineer_full", "risk_metrics", "pr_curve", "linear_attribution",
                                   "request_defaults", "feature_upsert", "temporal_split", "psi", "sliding_24h"])
 def test_no_python_in_the_hot_path(spark, sf, name):
     p = plan(catalog.QUERIES[name](spark, sf))
