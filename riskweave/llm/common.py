@@ -192,10 +192,10 @@ def append_columns(df: DataFrame, make, fields: list[T.StructField], reads: list
     """``df`` and new columns that ``make()`` computes batch by batch from the columns ``reads``.
 
     ``make`` is called once a task and returns a function from Arrow arrays to Arrow arrays.
+    A column of ``df`` that has the name of a new one gives way to it, after it was read.
     """
     names = [f.name for f in fields]
-    if clash := set(names) & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} are there already")
+    taken, inner = {n.lower() for n in names}, [f"n{i}" for i in range(len(names))]
     # Columns that are only carried along need no Python type; the task names them by place.
     kept = df.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
     at = [df.columns.index(c) for c in reads]
@@ -209,13 +209,15 @@ def append_columns(df: DataFrame, make, fields: list[T.StructField], reads: list
                 batch = whole.slice(first, rows)
                 new = fn(*[batch.column(i) for i in at])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *new], names=[*batch.schema.names, *names]
+                    [*batch.columns, *new], names=[*batch.schema.names, *inner]
                 )
 
-    schema = T.StructType([*kept.schema.fields, *fields])
+    made = [T.StructField(n, f.dataType) for n, f in zip(inner, fields, strict=True)]
+    schema = T.StructType([*kept.schema.fields, *made])
     out = kept.mapInArrow(run, schema)
     return out.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)], *names
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in taken],
+        *[F.col(f"n{i}").alias(n) for i, n in enumerate(names)],
     )
 
 

@@ -23,6 +23,7 @@ Defined cases: null and empty texts hold nothing; items with fewer than ``LEAST`
 too short to be told from chance and are not indexed; copies of an item are all reported;
 repeated rows are reported alike, rows without doc_id with a null id; an empty benchmark or
 an empty table gives no rows.
+Further columns are carried along; one named like a new column gives way to it.
 """
 
 from __future__ import annotations

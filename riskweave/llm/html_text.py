@@ -17,6 +17,7 @@ empty blocks fall away; blocks are joined by a line feed in page order.
 Defined cases: null and empty pages, and pages without content, give an empty text; unclosed
 elements end with their parent, unclosed comments and scripts with the page; a ``<`` that opens
 no tag is text; repeated rows give equal texts.
+Further columns are carried along; one named like a new column gives way to it.
 """
 
 from __future__ import annotations

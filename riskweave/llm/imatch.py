@@ -17,6 +17,7 @@ the empty text; an empty text has an all-zero fingerprint, which is like another
 without a term in any subset is hashed over all its terms, in every part; rows without doc_id
 come last; rows that repeat a doc_id follow each other in the order in which they are read; a
 single row is its own successor.
+Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

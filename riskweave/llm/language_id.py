@@ -10,6 +10,7 @@ most the ``ACCEPT`` quantile of held-back training texts of that language.
 Defined cases: a null text and a text without letters are ``und`` with score 0.0 and not
 accepted; characters outside the training texts cost the uniform share; repeated rows agree;
 ties go to the first language by name; without training rows every text is ``und``.
+Further columns are carried along; one named like a new column gives way to it.
 """
 
 from __future__ import annotations
@@ -179,7 +180,7 @@ def kneser_ney(counts: dict[str, dict[str, int]]) -> LanguageModels:
 
 def _sample(docs: DataFrame, keep: Column) -> DataFrame:
     """(lang, text, part): about ``SAMPLE`` texts of each language, chosen by the hash of the id."""
-    rows = docs.filter(keep & F.col("lang").isNotNull())
+    rows = docs.filter(keep & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     wide = 1 << 30
     shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     shares = shares.select("lang", F.least(F.lit(1.0), SAMPLE / F.col("n")).alias("share"))

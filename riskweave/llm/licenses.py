@@ -12,6 +12,7 @@ recognised licences (sorted, each once), and known sentences that no rule covers
 cuts). Texts without a known sentence give no row, which includes null, empty and white-space
 texts; repeated rows give equal rows; rows without doc_id are reported with a null id; an empty
 table gives no rows. Texts are searched whole; nothing is shuffled.
+Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ Defined cases: null and white-space texts have fingerprint zero and link like an
 texts with fewer words than a shingle are one shingle; repeated rows have one fingerprint and
 component; rows without id take part, but give no component its name (a component of such
 rows alone has a null component_id).
+Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -60,5 +60,6 @@ def test_odd_rows(spark):
     got = h.main_texts(pages).collect()
     assert [len(r.text) for r in got] == [0, 0, 22 * 20_000 - 1, 22 * 20_000 - 1, 4]
     assert h.main_texts(pages.limit(0)).collect() == []
-    with pytest.raises(ValueError, match="there already"):
-        h.main_texts(pages.withColumn("text", F.lit("")))
+    clash = h.main_texts(pages.withColumn("text", F.lit("old")).withColumn("c0", F.lit(1)).withColumn("n0", F.lit(2)))
+    assert clash.columns == ["page_id", "url", "html", "extra", "c0", "n0", "text"]
+    assert [r.text for r in clash.collect()] == [r.text for r in got]

@@ -100,6 +100,9 @@ def test_odd_rows(spark):
     assert {by[i].lang_pred for i in (3, 4, 5)} == {"und"}
     assert {by[i].lang_pred for i in (1, 2, 6, 7, None)} <= {"de", "en"}
     assert by[1].score == by[2].score
+    clash = odd_docs(spark).withColumns({"share": li.F.lit(9), "score": li.F.lit("x"), "gram": li.F.lit(1)})
+    assert set(li.fit(clash, li.F.lit(True)).languages) <= {"de", "en"}
+    assert li.predict(clash, models).columns[-4:] == ["lang_pred", "score", "cross_entropy", "accepted"]
     none = li.fit(no_docs(spark), li.F.lit(True))
     assert {r.lang_pred for r in li.predict(odd_docs(spark), none).collect()} == {"und"}
     assert li.predict(no_docs(spark), models).collect() == []
