@@ -12,6 +12,7 @@ documents differs clearly from its share of the others in the training sample.
 Defined cases: a null text is empty; an empty text has no sentence and score 0.0 (below that
 of any other text); repeated rows score alike; rows without id are scored; with no labelled
 row, or rows of one label only, every score is 0.0 and nothing is rejected.
+Further columns are carried along; one named like a new column gives way to it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,19 +223,19 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None) -> Toxic
     if not chosen:
         return ToxicityModel()
     bags = _bags(sample, chosen).toArrow()
-    place = {s: i for i, s in enumerate(chosen)}
-    doc_of, rows, cols = [], [], []
-    for d, parts in enumerate(bags["parts"].to_pylist()):
-        for part in parts:
-            rows += [len(doc_of)] * len(part)
-            cols += [place[s] for s in part]
-            doc_of.append(d)
+    parts = bags["parts"].combine_chunks()
+    sentences = parts.flatten()
+
+    def owners(lists):
+        """The place of the list that each element is in."""
+        return np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+
     w, b = noisy_or_fit(
         bags["y"].to_numpy(),
         bags["empty"].to_numpy(),
-        np.array(doc_of, np.int64),
-        np.array(rows, np.int64),
-        np.array(cols, np.int64),
+        owners(parts),
+        owners(sentences),
+        np.searchsorted(chosen, sentences.flatten().to_numpy()),
         len(chosen),
     )
     return ToxicityModel(dict(zip(chosen, w.tolist(), strict=True)), float(b))
