@@ -324,10 +324,8 @@ def bag_keys(nodes: DataFrame) -> Column:
     rng = np.random.default_rng(SEED)
     out = []
     for at in range(TABLES):
-        key = F.lit(at).cast("long")
-        for bit in sorted(rng.choice(64, width, replace=False).tolist()):
-            key = F.shiftleft(key, 1).bitwiseOR(F.shiftrightunsigned("bag", bit).bitwiseAND(F.lit(1)))
-        out.append(key)
+        mask = sum(1 << bit for bit in rng.choice(63, width, replace=False).tolist())
+        out.append(F.xxhash64(F.col("bag").bitwiseAND(F.lit(mask).cast("long")), F.lit(at)))
     return F.array(*out)
 
 
