@@ -41,10 +41,15 @@ SEED = 42
 CHUNK = 4_096
 #: Searches of a group that run at once; bounds the links held before they are merged.
 SEARCHES = 1_024
-#: The fingerprint that deduplication uses: lanes of 64 bits, radius, and tables of keys.
-LANES = 4
-WIDE_RADIUS = 47
-TABLES = 20
+#: Deduplication: words of a shingle, similarity of near copies, keys of a text, and min-hashes of
+#: a key; nodes in a chunk of a group, about.
+SHINGLE = 5
+LIKE = 0.8
+BANDS, ROWS = 30, 5
+SET_CHUNK = 2_048
+#: Rows of a broadcast table of nodes and their groups, at most.
+MEMBERS = 1 << 19
+_ORDERS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def fingerprint(text: str | bytes | None, words: int = WORDS) -> int:
@@ -282,66 +287,149 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     return marked.join(found, "node", "left").select("doc_id", F.col("node").alias("fp"), "component_id")
 
 
-def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
-    """``docs`` with a 256-bit fingerprint of word shingles (f0 to f3) and one of 64 bits of its
-    distinct words (``bag``), which an edit changes less."""
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """The ``BANDS`` keys of a set of shingles: each a hash of the least of ``ROWS`` seeded orders."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for first in range(0, len(shingles), 1 << 14):
+        np.minimum(least, (shingles[first : first + (1 << 14), None] * _ORDERS).min(axis=0), out=least)
+    rows = mix(least.reshape(BANDS, ROWS))
+    out = np.arange(BANDS, dtype=np.uint64)
+    for k in range(ROWS):
+        out = mix(out * np.uint64(0x100000001B3) + rows[:, k])
+    return out
+
+
+def shingle_sets(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """``docs`` with a digest of the set of word shingles of text (``node``), the set itself, sorted
+    (``shingles``, packed), and its band keys."""
 
     def make():
         def fn(texts):
-            wide, bag = np.zeros((len(texts), LANES), np.uint64), np.zeros(len(texts), np.uint64)
+            node, packed, keys = np.zeros(len(texts), np.int64), [b""] * len(texts), [None] * len(texts)
             for first, end, hashes, at in chunk_words(texts, WHITE):
                 for row in range(first, end):
                     own = hashes[at[row - first] : at[row - first + 1]]
-                    if len(own):
-                        bag[row] = _majority([np.unique(own)])[0]
-                        runs = word_runs(own, min(words, len(own)))
-                        wide[row] = _majority([mix(runs + np.uint64(k)) for k in range(LANES)])
-            signed = wide.view(np.int64)
-            return (*[pa.array(signed[:, k]) for k in range(LANES)], pa.array(bag.view(np.int64)))
+                    found = np.unique(mix(word_runs(own, min(words, len(own))))) if len(own) else own
+                    packed[row] = found.tobytes()
+                    node[row] = np.uint64(xxhash.xxh64_intdigest(packed[row], SEED)).astype(np.int64)
+                    keys[row] = band_keys(found).view(np.int64)
+            return pa.array(node), pa.array(packed, pa.binary()), pa.array(keys, pa.list_(pa.int64()))
 
         return fn
 
-    names = [f"f{k}" for k in range(LANES)] + ["bag"]
-    return append_columns(docs, make, [T.StructField(n, T.LongType()) for n in names], ["text"])
+    fields = [
+        T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType()),
+        T.StructField("keys", T.ArrayType(T.LongType())),
+    ]
+    return append_columns(docs, make, fields, ["text"])
 
 
-def _majority(lanes: list[np.ndarray]) -> np.ndarray:
-    """For each lane the word of the bits that over half its hashes set."""
-    out = []
-    for hashes in lanes:
-        total = np.zeros(64, np.int64)
-        for first in range(0, len(hashes), 1 << 16):
-            part = hashes[first : first + (1 << 16)]
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            total += bits.sum(axis=0, dtype=np.uint32)
-        out.append(np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
-    return np.array(out)
-
-
-def bag_keys(nodes: DataFrame) -> Column:
-    """Keys of ``TABLES`` seeded choices of bits of ``bag``, as many as make shards small."""
-    width = min(40, max(8, nodes.count().bit_length() - 3))
-    rng = np.random.default_rng(SEED)
-    out = []
-    for at in range(TABLES):
-        mask = sum(1 << bit for bit in rng.choice(63, width, replace=False).tolist())
-        out.append(F.xxhash64(F.col("bag").bitwiseAND(F.lit(mask).cast("long")), F.lit(at)))
-    return F.array(*out)
-
+def link_sets(sets: list[np.ndarray], side: np.ndarray | None = None) -> np.ndarray:
+    """The least place of what each place is linked to, by similarity ``LIKE`` or more.
 
-def similar_texts(docs: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+    With ``side``, only pairs of different sides are compared. What is linked is not compared
+    again with what is linked to it, so like sets cost their number and not its square.
+    """
+    sizes = np.array([len(x) for x in sets])
+    flat, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    label = np.arange(len(sets))
+    order = np.argsort(sizes, kind="stable")
+    sorted_sizes = sizes[order]
+    # Which places hold a shingle.
+    holder = np.repeat(np.arange(len(sets)), sizes)
+    by_shingle = np.argsort(ids, kind="stable")
+    holders, at = holder[by_shingle], np.searchsorted(ids[by_shingle], np.arange(len(flat) + 1))
+    frequency, mark = np.diff(at), np.zeros(len(flat), bool)
+    free = np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        if not free[root]:
+            continue
+        free[root] = False
+        front = [root]
+        while front:
+            place = front.pop()
+            n = sizes[place]
+            # Sizes of sets that can be similar enough.
+            low, high = np.searchsorted(sorted_sizes, [np.ceil(LIKE * n - 1e-9), np.floor(n / LIKE + 1e-9) + 1])
+            near = order[low:high]
+            near = near[free[near]]
+            if side is not None:
+                near = near[side[near] != side[place]]
+            if not len(near) or not n:
+                continue
+            own = ids[starts[place] : starts[place] + n]
+            # One of any so many shingles is in every set that is similar enough: the rarest ones.
+            rare = own[np.argsort(frequency[own], kind="stable")][: n - int(np.ceil(LIKE * n - 1e-9)) + 1]
+            held = [holders[at[i] : at[i + 1]] for i in rare]
+            near = np.intersect1d(near, np.unique(np.concatenate(held)), assume_unique=True)
+            if not len(near):
+                continue
+            mark[own] = True
+            many = sizes[near]
+            step = np.cumsum(many) - many
+            places = np.arange(many.sum()) + np.repeat(starts[near] - step, many)
+            common = np.add.reduceat(mark[ids[places]].astype(np.int64), step)
+            mark[own] = False
+            found = near[common >= LIKE * (many + n - common) - 1e-9]
+            free[found] = False
+            label[found] = root
+            front += found.tolist()
+    return label
+
+
+def _candidates(marked: DataFrame) -> DataFrame:
+    """(u, v) stars of the nodes that share a band key."""
+    keyed = marked.select("node", "keys").distinct().select("node", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v != most")
+    return keyed.join(shared.drop("most"), "key").filter("node != v").select(F.col("node").alias("u"), "v").distinct()
+
+
+def similar_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id): near copies in the sense of word shingles, for deduplication.
 
-    Texts whose shares of common five-word shingles is 0.8 or more differ in 39 of 256 bits
-    on average; ``radius`` takes nearly all of them, and unrelated texts differ in about 128.
-    Such texts have nearly the same words, so their ``bag`` differs in few bits, and they share
-    one of the keys all but surely; within a shard the wide fingerprints decide.
+    Two texts link if their sets of five-word shingles (of all words, in a shorter text) have a
+    Jaccard similarity of ``LIKE`` or more. Candidates share one of ``BANDS`` keys, each made of
+    ``ROWS`` min-hashes, so two texts of similarity s are candidates with a chance of
+    1 - (1 - s**ROWS)**BANDS, whatever the number of rows: 0.99999 at 0.8, more above. What
+    candidates reach is a group; in it, similarity is taken exactly, of all pairs not linked
+    yet, and large groups are cut into chunks, of which every pair is compared.
+    Texts with equal sets are one node, compared once.
     """
-    marked = wide_fingerprints(docs.select("doc_id", "text")).drop("text")
-    lanes = [f"f{k}" for k in range(LANES)]
-    marked = stored(marked.withColumn("node", F.xxhash64(*lanes, "bag")), "marks")
-    found = classes(marked, radius, bag_keys)
-    return marked.join(found, "node", "left").select("doc_id", "component_id")
+    marked = stored(shingle_sets(docs.select("doc_id", "text")).drop("text"), "marks")
+    reached = stored(components(_candidates(marked)), "reached")
+    groups = reached.select(F.col("u").alias("node"), "root").union(reached.select(F.col("root").alias("node"), "root").distinct())
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > SET_CHUNK).select("root", F.ceil(F.col("n") / SET_CHUNK).cast("int").alias("chunks"))
+    # Only sets of groups are shuffled, unless the table of their nodes is too large to broadcast.
+    few = groups.count() <= MEMBERS
+    one = marked.select("node", "shingles").join(F.broadcast(groups) if few else groups, "node")
+    one = one.groupBy("node", "root").agg(F.min("shingles").alias("shingles"))
+    chunks = F.coalesce("chunks", F.lit(1))
+    placed = one.join(large, "root", "left").withColumns(
+        {"chunks": chunks, "own": F.pmod(F.xxhash64("node"), chunks.cast("long")).cast("int")}
+    )
+    dealt = (
+        placed
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("side"), "node", "shingles")
+    )
+
+    def solve(rows):
+        node = rows["node"].to_numpy()
+        order = np.argsort(node)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in rows["shingles"].chunks for x in c]
+        sets, node = [sets[i] for i in order], node[order]
+        # Between two chunks only pairs across them are new.
+        label = link_sets(sets, rows["side"].to_numpy()[order] if rows["a"][0] != rows["b"][0] else None)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"u": node[moved], "v": node[label[moved]]})
+
+    stars = dealt.groupBy("root", "a", "b").applyInArrow(solve, "u long, v long")
+    found = components(stars).withColumnRenamed("u", "node")
+    rooted = marked.select("doc_id", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(names, "root").select("doc_id", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:

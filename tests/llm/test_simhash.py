@@ -135,3 +135,56 @@ def test_similar_texts_find_near_copies_and_leave_others(spark):
     assert {k: v for k, v in got.items() if wanted[k] != v} == {}
     assert len(simhash.similar_texts(odd_docs(spark)).collect()) == 11
     assert simhash.similar_texts(no_docs(spark)).collect() == []
+
+
+def shingles_of(text):
+    words = white_words(text)
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def set_components(sets):
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("chunk,members", [(2_048, 1 << 19), (3, 0)])
+def test_similar_texts_against_brute_force(spark, monkeypatch, chunk, members):
+    monkeypatch.setattr(simhash, "SET_CHUNK", chunk)
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    fresh = lambda n: [f"new{rng.random()}" for _ in range(n)]
+    texts = []
+    for _ in range(60):
+        words = rng.choices(vocabulary, k=rng.randint(30, 200))
+        n = len(words)
+        texts.append(words)
+        texts += [words + fresh(int((n - 4) * share)) for share in (0.25, 0.2, 0.3)]  # 0.8 and about it
+        texts += [words[int((n - 4) * share) :] for share in (0.1, 0.2, 0.25)]
+        texts.append(edited(words, 0.01, rng))
+        texts.append(words[: n // 2] + fresh(n // 8) + words[n // 2 :])
+    texts = [" ".join(t) for t in texts] + ["a b", "A  b", "a b c", "", " "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()}
+    assert got == dict(enumerate(set_components([shingles_of(t) for t in texts[:-2]]) + [len(texts) - 2] * 2))
+
+
+def test_candidates_are_found_whatever_the_number_of_rows():
+    rng = np.random.default_rng(3)
+    missed = 0
+    for _ in range(1500):
+        own = simhash.mix(rng.integers(1, 1 << 62, 250).astype(np.uint64))
+        missed += not set(simhash.band_keys(own).tolist()) & set(simhash.band_keys(own[:200]).tolist())
+    assert missed <= 1
