@@ -1,8 +1,9 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-The lexicon holds the terms of medium document frequency over all texts: none in more than
-``COMMON`` of them, none in one text only, and of the rest the ``LEXICON`` most frequent, cut at
-a level of document frequency (a bounded broadcast). ``SUBSETS`` seeded subsets keep from a
+The lexicon holds the terms of medium document frequency over all texts: all but those in more
+than ``COMMON`` of them and those in one text only. Its ``LEXICON`` most frequent terms, cut at a
+level of document frequency, are a bounded broadcast; the others are joined to the distinct
+terms of each range of rows (below), which is then solved with those it has. ``SUBSETS`` seeded subsets keep from a
 16th to a 2048th of it. A fingerprint has one part a subset: the hash of the sorted distinct
 terms of the text in that subset, or zeros if it has none there. The likeness of two
 fingerprints is the share of equal parts among those that at least one of them has.
@@ -56,25 +57,40 @@ def terms(text: bytes) -> np.ndarray:
     return np.unique(word_hashes(np.frombuffer(text, np.uint8), PUNCT)[0])
 
 
-def lexicon(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the terms in the band."""
+def band(docs: DataFrame) -> DataFrame:
+    """(key, n) of the terms in the band."""
 
     def distinct(words, at):
         return np.concatenate([np.unique(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)])
 
     total = docs.count()
     df = count_keys(docs, PUNCT, distinct).filter((F.col("n") >= RARE) & (F.col("n") <= max(COMMON * total, RARE)))
-    df = stored(df, "document-frequencies")
+    return stored(df, "document-frequencies")
+
+
+def frequent(df: DataFrame) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the most frequent terms of the band, and their least frequency (0: all terms)."""
     level = F.floor(F.log2("n") * 8)
     rows = df.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).collect()
-    size, least = 0, 1 << 62
+    size, least, whole = 0, 1 << 62, True
     for r in sorted(rows, key=lambda r: -r["level"]):
         size += r["size"]
         if size > LEXICON:
+            whole = False
             break
         least = r["least"]
     kept = df.filter(F.col("n") >= least).select("key").toArrow()["key"].to_numpy()
-    return np.sort(kept.view(np.uint64))
+    return np.sort(kept.view(np.uint64)), 0 if whole else least
+
+
+def lexicon(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms in the band that are broadcast."""
+    return frequent(band(docs))[0]
+
+
+def chosen(found: np.ndarray) -> np.ndarray:
+    """The subsets (columns) that each term is in."""
+    return (mix(found[:, None] ^ _SEEDS) >> _SHIFT) == 0
 
 
 def fingerprint(text: bytes, known: np.ndarray) -> str:
@@ -84,11 +100,11 @@ def fingerprint(text: bytes, known: np.ndarray) -> str:
     place = np.searchsorted(known, found)
     place[place == len(known)] = 0
     inside = found[known[place] == found] if len(known) else found[:0]
-    chosen = (mix(inside[:, None] ^ _SEEDS) >> _SHIFT) == 0
-    if not chosen.any():
+    subsets = chosen(inside)
+    if not subsets.any():
         return f"{max(1, xxhash.xxh32_intdigest(found.tobytes())):08x}" * SUBSETS
     parts = []
-    for column in np.ascontiguousarray(chosen.T):
+    for column in np.ascontiguousarray(subsets.T):
         part = inside[column]
         # Zeros stand for no term.
         parts.append(f"{max(1, xxhash.xxh32_intdigest(part.tobytes())):08x}" if len(part) else "0" * PART)
@@ -151,17 +167,23 @@ def _dealt(docs: DataFrame) -> DataFrame:
     )
 
 
+def edit(text: str, after: str) -> bytes:
+    """The text with its last half replaced by the beginning of its successor."""
+    n = len(text)
+    return (text[: n - n // 2] + after[: n // 2]).encode("utf-8", "surrogatepass")
+
+
 def compare(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edit, and their likeness; see the module's text."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = spark.sparkContext.broadcast(lexicon(docs))
+    df = band(docs)
+    head, least = frequent(df)
+    known = spark.sparkContext.broadcast(head)
     dealt = _dealt(docs)
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
-    dealt = dealt.sortWithinPartitions("range", "late", "id", "row")
 
-    def run(batches):
-        words = known.value
+    def run(batches, words=None):
+        words = known.value if words is None else words
         held = None
         out = []
         for batch in batches:
@@ -181,7 +203,7 @@ def compare(docs: DataFrame) -> DataFrame:
     def pair(held, next_text, next_print, words):
         _, doc_id, text, own = held
         n = len(text)
-        edited = (text[: n - n // 2] + next_text[: n // 2]).encode("utf-8", "surrogatepass")
+        edited = edit(text, next_text)
         changed = fingerprint(edited, words)
         return (
             doc_id, n, hashlib.sha256(edited).hexdigest(), own, changed,
@@ -199,9 +221,36 @@ def compare(docs: DataFrame) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def rows_of(found):
-        columns = zip(*found, strict=True)
+        columns = zip(*found, strict=True) if found else [[] for _ in kinds]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.names
         )
 
-    return dealt.mapInArrow(run, schema)
+    if not least:
+        dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
+        return dealt.sortWithinPartitions("range", "late", "id", "row").mapInArrow(run, schema)
+
+    by_row = [("late", "ascending"), ("id", "ascending"), ("row", "ascending")]
+
+    def ask(rows):
+        """The terms of a range, edits included, that the broadcast leaves open."""
+        rows, words = rows.sort_by(by_row), known.value
+        found, before = [np.empty(0, np.uint64)], None
+        for x in rows["text"]:
+            text = x.as_py()
+            found.append(terms(text.encode("utf-8", "surrogatepass")))
+            if before is not None:
+                found.append(terms(edit(before, text)))
+            before = text
+        open_ = np.setdiff1d(np.concatenate(found), words)
+        open_ = open_[chosen(open_).any(axis=1)]
+        return pa.table({"range": pa.array(np.full(len(open_), rows["range"][0].as_py(), np.int32)), "key": open_.view(np.int64)})
+
+    def solve(rows, more):
+        words = np.sort(np.concatenate([known.value, more["key"].to_numpy().view(np.uint64)]))
+        out = list(run(rows.sort_by(by_row).to_batches(), words))
+        return pa.Table.from_batches(out, rows_of([]).schema)
+
+    asked = dealt.groupBy("range").applyInArrow(ask, "range int, key long")
+    more = stored(asked.join(df.filter(F.col("n") < least).select("key"), "key").select("range", "key"), "terms")
+    return dealt.groupBy("range").cogroup(more.groupBy("range")).applyInArrow(solve, schema)

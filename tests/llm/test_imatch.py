@@ -78,3 +78,13 @@ def test_odd_rows(spark):
     assert imatch.compare(no_docs(spark)).collect() == []
     alone = odd_docs(spark).filter("doc_id = 8")
     assert imatch.compare(alone).first().near_next == 1.0
+
+
+def test_terms_beyond_the_broadcast_count_too(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = docs.union(odd_docs(spark).select("doc_id", "text").filter("doc_id is null"))
+    whole = sorted(map(tuple, imatch.compare(rows).collect()), key=repr)
+    monkeypatch.setattr(imatch, "LEXICON", 300)
+    assert sorted(map(tuple, imatch.compare(rows).collect()), key=repr) == whole
+    monkeypatch.setattr(imatch, "LEXICON", 0)
+    assert sorted(map(tuple, imatch.compare(rows).collect()), key=repr) == whole
