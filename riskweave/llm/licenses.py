@@ -73,8 +73,24 @@ RULES = [
     ("GPL-3.0-or-later", ["gpl-3-or-later", "gpl-warranty"]),
     ("Unlicense", ["unlicense"]),
 ]
-#: Every known sentence has one of these in it.
+# A header may also end its sentence before "either"; these are no part of the SQL below.
+SPLIT = {
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published "
+    "by the free software foundation",
+    "gpl-2-either": "either version 2 of the license or at your option any later version",
+    "gpl-3-either": "either version 3 of the license or at your option any later version",
+}
+SPLIT_RULES = [
+    ("GPL-2.0-or-later", ["gpl-terms", "gpl-2-either", "gpl-warranty"]),
+    ("GPL-3.0-or-later", ["gpl-terms", "gpl-3-either", "gpl-warranty"]),
+]
+#: Every fixed sentence has one of these in it.
 TRIGGERS = ["licen", "permission", "redistribut", "warrant", "public domain", "liable", "rights reserved", "gpl", "spdx", "cc by", "cc-by"]
+#: Or what else makes a known sentence, whatever stands between its words (no part of the SQL).
+SPREAD = (
+    "public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+    "|(?:released|distributed|published|available|provided|offered|covered)[^a-z0-9]+(?:to[^a-z0-9]+you[^a-z0-9]+)?(?:under|by)[^a-z0-9]"
+)
 GRANT = (
     "^(?:(?:this|the) (?:work|software|project|code|source code|program|file|library|document|package|content|text|"
     "material|site) )?(?:is |are )?(?:free software |dual |also )?"
@@ -139,7 +155,7 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 
 
 def _has_trigger(x: Column) -> Column:
-    return reduce(or_, [F.contains(x, F.lit(t)) for t in TRIGGERS])
+    return reduce(or_, [F.contains(x, F.lit(t)) for t in TRIGGERS]) | F.rlike(x, F.lit(SPREAD))
 
 
 def _cut(text: Column) -> Column:
@@ -155,7 +171,7 @@ def _identify(sentence: Column) -> Column:
     def named(pattern):
         return F.concat(F.lit("grant:"), F.element_at(names, F.regexp_extract(plain, pattern, 1)))
 
-    return F.coalesce(F.element_at(_literal_map({s: i for i, s in FIXED.items()}), plain), named(GRANT), named(SPDX))
+    return F.coalesce(F.element_at(_literal_map({s: i for i, s in (FIXED | SPLIT).items()}), plain), named(GRANT), named(SPDX))
 
 
 def _known(sentences: Column) -> Column:
@@ -171,7 +187,7 @@ def _recognised(ids: Column) -> tuple[Column, Column]:
     """(licences of the rules that match, the identifiers that are left)."""
     rest = _between(ids)
     found = []
-    for name, rule in RULES:
+    for name, rule in RULES + SPLIT_RULES:
         key = "|" + "||".join(rule) + "|"
         found.append(F.when(F.contains(rest, F.lit(key)), F.lit(name)))
         rest = F.replace(rest, F.lit(key), F.lit(""))

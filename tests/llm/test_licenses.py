@@ -82,3 +82,29 @@ def test_odd_rows(spark):
 def test_plan_has_no_python_and_no_shuffle(spark, sf):
     plan = op9_licenses(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def test_every_name_in_a_grant_and_sentences_over_line_ends(spark):
+    verbs = ["Released under", "Distributed under the terms of", "This work is made available to you under", "Covered\r\n by", "Provided  under"]
+    names = list(licenses.license_names().items())
+    rows = [(i, f"Words.\n\n{verbs[i % len(verbs)]} {n.upper()}.\n\nMore words.", spdx) for i, (n, spdx) in enumerate(names)]
+    more = [
+        "This is free and unencumbered software released into the public\ndomain.", "This is free and unencumbered software released into the public \r\n domain.",
+        GPL_2, "All rights \n reserved.",
+    ]
+    rows += [(len(names) + i, t, want) for i, (t, want) in enumerate(zip(more, ["Unlicense", "Unlicense", "GPL-2.0-or-later", ""], strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, want string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs).collect()}
+    assert {i: (t, got.get(i)) for i, t, want in rows if got.get(i) != want} == {}
