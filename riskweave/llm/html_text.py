@@ -9,7 +9,9 @@ element around the best path, or else its parent - brings along what it holds (h
 paragraphs, lists), and content paths outside of it count only where a page has no such
 element. Elements that are never part of an article (menus, headers and footers of the page,
 sidebars, notices, adverts, forms, comments, scripts, hidden parts) have ratio zero, by their
-tag, role, class or id.
+tag, role, class or id. Class, id and form say nothing of an element that holds the first main
+element of the page, or without one its first article element (unless more text stands beside
+it), or without either over half of the page's text and punctuation: the ratios decide there.
 
 Blocks: character references are decoded, white space becomes one blank, ends are trimmed,
 empty blocks fall away; blocks are joined by a line feed in page order.
@@ -76,7 +78,9 @@ SCOPES = frozenset("ul ol dl table article main section div body html blockquote
 class Element:
     tag: str
     name: str
+    #: Set apart for sure, or by its name or as a form.
     aside: bool
+    named: bool
 
 
 @dataclass
@@ -89,7 +93,7 @@ class Block:
 
 def element(tag: str, rest: str) -> Element:
     """An element with its name in paths; whether it is set apart from articles."""
-    name, aside = tag, tag in ASIDE
+    name, aside, named = tag, tag in ASIDE and tag != "form", tag == "form"
     if rest.strip(" /\t\r\n"):
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)}
         marks = (found.get("id", "") + " " + found.get("class", "")).strip()
@@ -101,14 +105,51 @@ def element(tag: str, rest: str) -> Element:
             or found.get("aria-hidden") == "true"
             or found.get("role", "").lower() in ROLES
             or "display:none" in found.get("style", "").replace(" ", "").lower()
-            or (tag not in ("html", "body") and not ASIDE_WORDS.isdisjoint(WORDS.findall(marks.lower())))
         )
-    return Element(tag, name, aside)
+        named = named or (tag not in ("html", "body") and not ASIDE_WORDS.isdisjoint(WORDS.findall(marks.lower())))
+    return Element(tag, name, aside, named)
+
+
+def clear_wrappers(found: list[tuple[list[Element], str]], first: dict[str, list[Element]]) -> None:
+    """Names and forms no longer set apart what holds the article; ``found``: blocks with their elements."""
+    holder = first.get("main") or first.get("article", [])
+    if holder and "main" not in first:
+        # An article with less text than what stands beside it, in parts of no other name, is a comment or teaser.
+        ids = {id(e) for e in holder}
+        inside = beside = 0
+        for elements, words in found:
+            if any(e is holder[-1] for e in elements):
+                inside += len(words)
+            elif not any(e.aside or (e.named and id(e) not in ids) for e in elements):
+                beside += len(words)
+        holder = holder if inside >= beside else []
+    for e in holder:
+        e.named = False
+    if holder:
+        return
+    sums: dict[int, list] = {}
+    text = marks = 0
+    for elements, words in found:
+        if any(e.aside for e in elements):
+            continue
+        n = len(PUNCTUATION.findall(words))
+        text, marks = text + len(words), marks + n
+        for e in elements:
+            if e.named:
+                s = sums.setdefault(id(e), [e, 0, 0])
+                s[1] += len(words)
+                s[2] += n
+    for e, own, own_marks in sums.values():
+        if 2 * own > text and 2 * own_marks > marks:
+            e.named = False
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order."""
     out: list[Block] = []
+    held: list[tuple[list[Element], str]] = []
+    # The elements around the first main and article element, and that element.
+    first: dict[str, list[Element]] = {}
     stack: list[Element] = []
     parts: list[str] = []
     linked = links = 0
@@ -118,7 +159,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(tuple(e.name for e in stack), text, min(linked, len(text)), any(e.aside for e in stack)))
+            out.append(Block(tuple(e.name for e in stack), text, min(linked, len(text)), False))
+            held.append((list(stack), text))
         parts.clear()
         linked = 0
 
@@ -165,8 +207,13 @@ def blocks(page: str) -> list[Block]:
                     break
             if tag not in VOID and not m["rest"].endswith("/"):
                 stack.append(element(tag, m["rest"]))
+                if tag in MAIN and tag not in first and not any(e.aside for e in stack):
+                    first[tag] = list(stack)
             links = 0
     close_block()
+    clear_wrappers(held, first)
+    for b, (elements, _) in zip(out, held, strict=True):
+        b.aside = any(e.aside or e.named for e in elements)
     return out
 
 

@@ -63,3 +63,22 @@ def test_odd_rows(spark):
     clash = h.main_texts(pages.withColumn("text", F.lit("old")).withColumn("c0", F.lit(1)).withColumn("n0", F.lit(2)))
     assert clash.columns == ["page_id", "url", "html", "extra", "c0", "n0", "text"]
     assert [r.text for r in clash.collect()] == [r.text for r in got]
+
+
+STORY = "".join(f"<p>Sentence number {i}, with some length to it. And another one, too.</p>" for i in range(6))
+TEXT = "\n".join(f"Sentence number {i}, with some length to it. And another one, too." for i in range(6))
+SIDE = '<div class="sidebar"><p>Side, text.</p></div><section id="comments"><article><p>Nice, one. Bye.</p></article></section>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><main class="content has-sidebar">{STORY}{SIDE}</main></body>',
+        f'<body><div class="site no-sidebar"><article>{STORY}</article>{SIDE}</div></body>',
+        f'<body><div id="page-with-comments"><div class="story">{STORY}</div>{SIDE}</div></body>',
+        f'<body><form action="/"><nav><a href="/">One, two.</a></nav><div class="story">{STORY}</div>{SIDE}</form></body>',
+        f'<body class="x"><form><main>{STORY}</main>{SIDE}</form></body>',
+    ],
+)
+def test_wrappers_whose_name_speaks_of_other_parts(page):
+    assert h.extract(page) == TEXT
