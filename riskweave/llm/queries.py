@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bloom_lm, decontaminate, html_text, imatch, language_id, licenses, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, html_text, imatch, language_id, licenses, line_dedup, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -108,3 +108,9 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_licenses", licenses.oracle())
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_line_dedup", line_dedup.ORACLE)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
