@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bloom_lm, decontaminate, hard_negatives, html_text, imatch, language_id, licenses, line_dedup, pieces, quality, simhash, toxicity
+from riskweave.llm import bloom_lm, decontaminate, hard_negatives, html_text, imatch, language_id, lexical, licenses, line_dedup, pieces, quality, simhash, toxicity
 from riskweave.llm.common import id_crc, table
 from riskweave.llm.registry import ORACLES, QUERIES, query
 
@@ -121,3 +121,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     points = hard_negatives.quantised(table(spark, sf_dir, "embeddings"), label)
     return hard_negatives.mine(points, F.col("vec_id") % 100 == 0)
+
+
+@query("op11_lexical_search", lexical.ORACLE)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
