@@ -1,10 +1,10 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-The lexicon holds the terms of medium document frequency over all texts: all but those in more
-than ``COMMON`` of them and those in one text only. Its ``LEXICON`` most frequent terms, cut at a
-level of document frequency, are a bounded broadcast; the others are joined to the distinct
-terms of each range of rows (below), which is then solved with those it has. ``SUBSETS`` seeded subsets keep from a
-16th to a 2048th of it. A fingerprint has one part a subset: the hash of the sorted distinct
+The lexicon holds the terms of medium document frequency over all texts: those in ``RARE`` to ``COMMON``
+of them (and in two texts at least). A text has so many distinct terms on average, whatever the table,
+so the lexicon has at most that number divided by ``RARE``: it does not grow with the table and is
+broadcast. ``SUBSETS`` seeded subsets keep from a 16th to a 2048th of it; terms in none of them are not
+kept. A fingerprint has one part a subset: the hash of the sorted distinct
 terms of the text in that subset, or zeros if it has none there. The likeness of two
 fingerprints is the share of equal parts among those that at least one of them has.
 
@@ -34,12 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.common import PUNCT, count_keys, mix, word_hashes
-from riskweave.session import stored
 
-#: The band: terms in more than this share of the texts, or in fewer texts, are left out.
+#: The band, as shares of the texts: terms in more or in fewer of them are left out.
 COMMON = 0.05
-RARE = 2
-LEXICON = 1 << 19
+RARE = 0.0005
 SUBSETS = 32
 #: Subset j keeps a 2**-(FIRST_HALVING + j mod 8) share of the lexicon: small subsets meet in texts
 #: that share a half, larger ones tell near copies apart.
@@ -57,35 +55,22 @@ def terms(text: bytes) -> np.ndarray:
     return np.unique(word_hashes(np.frombuffer(text, np.uint8), PUNCT)[0])
 
 
-def band(docs: DataFrame) -> DataFrame:
-    """(key, n) of the terms in the band."""
+def lexicon(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms in the band that are in a subset."""
 
     def distinct(words, at):
         return np.concatenate([np.unique(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)])
 
-    total = docs.count()
-    df = count_keys(docs, PUNCT, distinct).filter((F.col("n") >= RARE) & (F.col("n") <= max(COMMON * total, RARE)))
-    return stored(df, "document-frequencies")
-
-
-def frequent(df: DataFrame) -> tuple[np.ndarray, int]:
-    """Sorted hashes of the most frequent terms of the band, and their least frequency (0: all terms)."""
-    level = F.floor(F.log2("n") * 8)
-    rows = df.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).collect()
-    size, least, whole = 0, 1 << 62, True
-    for r in sorted(rows, key=lambda r: -r["level"]):
-        size += r["size"]
-        if size > LEXICON:
-            whole = False
-            break
-        least = r["least"]
-    kept = df.filter(F.col("n") >= least).select("key").toArrow()["key"].to_numpy()
-    return np.sort(kept.view(np.uint64)), 0 if whole else least
-
+    def kept(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            keys = keys[chosen(keys).any(axis=1)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
 
-def lexicon(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the terms in the band that are broadcast."""
-    return frequent(band(docs))[0]
+    total = docs.count()
+    df = count_keys(docs, PUNCT, distinct)
+    inside = df.filter((F.col("n") >= max(RARE * total, 2)) & (F.col("n") <= max(COMMON * total, 2)))
+    return np.sort(inside.select("key").mapInArrow(kept, "key long").toArrow()["key"].to_numpy().view(np.uint64))
 
 
 def chosen(found: np.ndarray) -> np.ndarray:
@@ -177,13 +162,11 @@ def compare(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edit, and their likeness; see the module's text."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    df = band(docs)
-    head, least = frequent(df)
-    known = spark.sparkContext.broadcast(head)
+    known = spark.sparkContext.broadcast(lexicon(docs))
     dealt = _dealt(docs)
 
-    def run(batches, words=None):
-        words = known.value if words is None else words
+    def run(batches):
+        words = known.value
         held = None
         out = []
         for batch in batches:
@@ -226,31 +209,5 @@ def compare(docs: DataFrame) -> DataFrame:
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.names
         )
 
-    if not least:
-        dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
-        return dealt.sortWithinPartitions("range", "late", "id", "row").mapInArrow(run, schema)
-
-    by_row = [("late", "ascending"), ("id", "ascending"), ("row", "ascending")]
-
-    def ask(rows):
-        """The terms of a range, edits included, that the broadcast leaves open."""
-        rows, words = rows.sort_by(by_row), known.value
-        found, before = [np.empty(0, np.uint64)], None
-        for x in rows["text"]:
-            text = x.as_py()
-            found.append(terms(text.encode("utf-8", "surrogatepass")))
-            if before is not None:
-                found.append(terms(edit(before, text)))
-            before = text
-        open_ = np.setdiff1d(np.concatenate(found), words)
-        open_ = open_[chosen(open_).any(axis=1)]
-        return pa.table({"range": pa.array(np.full(len(open_), rows["range"][0].as_py(), np.int32)), "key": open_.view(np.int64)})
-
-    def solve(rows, more):
-        words = np.sort(np.concatenate([known.value, more["key"].to_numpy().view(np.uint64)]))
-        out = list(run(rows.sort_by(by_row).to_batches(), words))
-        return pa.Table.from_batches(out, rows_of([]).schema)
-
-    asked = dealt.groupBy("range").applyInArrow(ask, "range int, key long")
-    more = stored(asked.join(df.filter(F.col("n") < least).select("key"), "key").select("range", "key"), "terms")
-    return dealt.groupBy("range").cogroup(more.groupBy("range")).applyInArrow(solve, schema)
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
+    return dealt.sortWithinPartitions("range", "late", "id", "row").mapInArrow(run, schema)

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from riskweave.llm import imatch
 from riskweave.llm.queries import op5_imatch
@@ -31,19 +32,53 @@ def test_every_row_meets_its_successor(spark, sf, monkeypatch, ranges):
     assert edited > 5 * np.mean([r.near_next for r in got.values()])
 
 
-def test_lexicon_is_the_band(spark, sf, monkeypatch):
+@pytest.mark.parametrize("rare, common", [(imatch.RARE, imatch.COMMON), (0.02, 0.2), (0.3, 0.1)])
+def test_lexicon_is_the_band(spark, sf, monkeypatch, rare, common):
+    monkeypatch.setattr(imatch, "RARE", rare)
+    monkeypatch.setattr(imatch, "COMMON", common)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = [r.text for r in docs.select("text").collect()]
     df = {}
     for t in texts:
         for w in imatch.terms(t.encode()).tolist():
             df[w] = df.get(w, 0) + 1
-    band = sorted(w for w, n in df.items() if 2 <= n <= 0.05 * len(texts))
-    assert imatch.lexicon(docs).tolist() == band
-    monkeypatch.setattr(imatch, "LEXICON", len(band) // 3)
-    fewer = imatch.lexicon(docs).tolist()
-    assert 0 < len(fewer) <= len(band) // 3
-    assert min(df[w] for w in fewer) > max(df[w] for w in set(band) - set(fewer))
+    band = np.array([w for w, n in df.items() if max(2, rare * len(texts)) <= n <= common * len(texts)], np.uint64)
+    assert imatch.lexicon(docs).tolist() == sorted(band[imatch.chosen(band).any(axis=1)].tolist())
+
+
+def plain_fingerprint(text, df, total):
+    """The definition, term by term: which of them are in the band and a subset, and a hash of each part."""
+    found = sorted({int(w) for w in imatch.terms(text.encode())})
+    if not found:
+        return "0" * (imatch.SUBSETS * imatch.PART)
+    band = [w for w in found if max(2, imatch.RARE * total) <= df.get(w, 0) <= imatch.COMMON * total]
+    parts = []
+    for j in range(imatch.SUBSETS):
+        seed = int(imatch.mix(np.array([j + 1], np.uint64))[0])
+        halvings = imatch.FIRST_HALVING + j % 8
+        inside = [w for w in band if int(imatch.mix(np.array([w ^ seed], np.uint64))[0]) < 1 << (64 - halvings)]
+        raw = b"".join(w.to_bytes(8, "little") for w in inside)
+        parts.append(f"{max(1, xxhash.xxh32_intdigest(raw)):08x}" if inside else "0" * imatch.PART)
+    if not any(p.strip("0") for p in parts):
+        return f"{max(1, xxhash.xxh32_intdigest(b''.join(w.to_bytes(8, 'little') for w in found))):08x}" * imatch.SUBSETS
+    return "".join(parts)
+
+
+def test_fingerprints_by_definition(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    rare = [(10_000 + i, f"only{i} here{i}") for i in range(3)] + [(10_003, "both rare"), (10_004, "rare both")]
+    docs = spark.createDataFrame([*map(tuple, rows), *rare], "doc_id long, text string")
+    texts = {r[0]: r[1] for r in [*rows, *rare]}
+    df = {}
+    for t in texts.values():
+        for w in imatch.terms(t.encode()).tolist():
+            df[w] = df.get(w, 0) + 1
+    got = {r.doc_id: r.fingerprint for r in imatch.compare(docs).collect()}
+    short = sorted(texts, key=lambda i: len(texts[i]))[:60]
+    for i in short:
+        assert got[i] == plain_fingerprint(texts[i], df, len(texts))
+    # Texts of rare terms only: equal for equal terms, else different.
+    assert len({got[i] for i, _ in rare}) == 4 and got[10_003] == got[10_004]
 
 
 def test_likeness_of_copies_and_edits():
@@ -78,13 +113,3 @@ def test_odd_rows(spark):
     assert imatch.compare(no_docs(spark)).collect() == []
     alone = odd_docs(spark).filter("doc_id = 8")
     assert imatch.compare(alone).first().near_next == 1.0
-
-
-def test_terms_beyond_the_broadcast_count_too(spark, sf, monkeypatch):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    rows = docs.union(odd_docs(spark).select("doc_id", "text").filter("doc_id is null"))
-    whole = sorted(map(tuple, imatch.compare(rows).collect()), key=repr)
-    monkeypatch.setattr(imatch, "LEXICON", 300)
-    assert sorted(map(tuple, imatch.compare(rows).collect()), key=repr) == whole
-    monkeypatch.setattr(imatch, "LEXICON", 0)
-    assert sorted(map(tuple, imatch.compare(rows).collect()), key=repr) == whole
