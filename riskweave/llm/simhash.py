@@ -10,7 +10,8 @@ the set of fingerprints of one key, cut into chunks of bounded size; every pair
 shard is one group, in which the fingerprints of one chunk form a BK-tree (children keyed by
 their Hamming distance to the parent) and those of the other search it, following only edges
 within the radius. A group returns a star for each set it has linked, never its pairs, and
-the stars of all groups are joined to components.
+the stars of all groups are joined to components. A node is named by its least doc_id (and its
+fingerprint), so that the least node of a component carries its name.
 
 Defined cases: null and white-space texts have fingerprint zero and link like any other;
 texts with fewer words than a shingle are one shingle; repeated rows have one fingerprint and
@@ -30,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import WHITE, append_columns, chunk_words, mix, word_runs
-from riskweave.llm.graph import components
+from riskweave.llm.common import append_columns
+from riskweave.llm.graph import components, hot_join
 from riskweave.session import stored
 
 WORDS = 4
@@ -40,16 +41,9 @@ SEED = 42
 #: Fingerprints in a chunk of a shard, about; a group holds two chunks.
 CHUNK = 4_096
 #: Searches of a group that run at once; bounds the links held before they are merged.
-SEARCHES = 1_024
-#: Deduplication: words of a shingle, similarity of near copies, keys of a text, and min-hashes of
-#: a key; nodes in a chunk of a group, about.
-SHINGLE = 5
-LIKE = 0.8
-BANDS, ROWS = 30, 5
-SET_CHUNK = 2_048
-#: Rows of a broadcast table of nodes and their groups, at most.
-MEMBERS = 1 << 19
-_ORDERS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+SEARCHES = 256
+#: Stands for a missing doc_id among names.
+NO_ID = np.iinfo(np.int64).max
 
 
 def fingerprint(text: str | bytes | None, words: int = WORDS) -> int:
@@ -115,39 +109,19 @@ def _keys(fp: Column, widths: list[int], equal: int) -> Column:
     return F.array(*out)
 
 
-def block_keys(radius: int):
-    """Keys of a one-lane fingerprint that two within the radius are sure to share."""
-
-    def keys(nodes: DataFrame) -> Column:
-        widths, equal = layout(nodes.count(), radius)
-        return _keys(F.col("f0"), widths, equal)
-
-    return keys
-
-
 def _groups(nodes: DataFrame, keys: Column) -> DataFrame:
-    """(key, a, b, side, node, lanes): the members of each pair of chunks of each shard."""
+    """(key, a, b, side, node, fp): the members of each pair of chunks of each shard."""
     keyed = nodes.withColumn("key", F.explode(keys))
-    large = (
-        keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > CHUNK)
-        .select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    )
-    chunks = F.coalesce("chunks", F.lit(1))
-    placed = keyed.join(large, "key", "left").withColumns(
-        {"chunks": chunks, "own": F.pmod(F.xxhash64("node"), chunks.cast("long")).cast("int")}
-    )
-    return (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumns(
-            {
-                "a": F.least("own", "other"),
-                "b": F.greatest("own", "other"),
-                "side": (F.col("own") > F.col("other")).cast("int"),
-            }
-        )
-        .select("key", "a", "b", "side", "node", *[c for c in nodes.columns if c.startswith("f")])
+    sizes = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK), "large-shards")
+    large = sizes.withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    placed = keyed.withColumn("chunks", F.lit(1))
+    if not sizes.isEmpty():
+        total = keyed.count()
+        placed = hot_join(keyed, large, "key", total, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks").cast("long")).cast("int"))
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "fp",
     )
 
 
@@ -225,27 +199,26 @@ def link_groups(group: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: in
     forest = Forest(number[group[inside]], fps[inside])
     asks = np.flatnonzero(has_tree[group] & np.where(two[group], side == 1, True))
     label = np.arange(len(fps))
-    for first in range(0, len(asks), SEARCHES):
-        part = asks[first : first + SEARCHES]
+    start = np.searchsorted(group, np.arange(group[-1] + 1))
+    while len(asks):
+        part, asks = asks[:SEARCHES], asks[SEARCHES:]
         q, node = forest.search(number[group[part]], fps[part], radius)
         _merge(label, part[q], inside[node])
+        # A group that is one set already has nothing to find.
+        open_ = np.maximum.reduceat(label, start) != np.minimum.reduceat(label, start)
+        asks = asks[open_[group[asks]]]
     moved = np.flatnonzero(label != np.arange(len(label)))
     return moved, label[moved]
 
 
-def links(nodes: DataFrame, radius: int, keys) -> DataFrame:
-    """(u, v) stars that connect nodes (columns node, f0, f1, ...) within the radius.
-
-    ``keys`` makes the column of shard keys; only nodes that share a key are compared.
-    """
-    lanes = [c for c in nodes.columns if c.startswith("f")]
+def links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(u, v) stars, as structs (id, fp), that connect ``nodes`` (id, fp) within the radius."""
+    kind = pa.struct([("id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         held = None
         for batch in batches:
-            rows = np.stack(
-                [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "a", "b", "side", "node", *lanes)]
-            )
+            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(6)])
             rows = rows if held is None else np.concatenate([held, rows], axis=1)
             if not rows.shape[1]:
                 continue
@@ -260,176 +233,31 @@ def links(nodes: DataFrame, radius: int, keys) -> DataFrame:
     def solve(rows):
         new = np.concatenate(([False], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)))
         fps = np.ascontiguousarray(rows[5:].T).view(np.uint64)
-        u, v = link_groups(np.cumsum(new), rows[3], fps, radius)
-        return pa.RecordBatch.from_arrays([pa.array(rows[4, u]), pa.array(rows[4, v])], names=["u", "v"])
+        pairs = link_groups(np.cumsum(new), rows[3], fps, radius)
+        ends = [pa.StructArray.from_arrays([pa.array(rows[4, x]), pa.array(rows[5, x])], fields=list(kind)) for x in pairs]
+        return pa.RecordBatch.from_arrays(ends, names=["u", "v"])
 
-    dealt = _groups(nodes, keys(nodes)).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    widths, equal = layout(nodes.count(), radius)
+    dealt = _groups(nodes, _keys(F.col("fp"), widths, equal))
+    dealt = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    node = "struct<id:bigint,fp:bigint>"
+    return dealt.mapInArrow(run, f"u {node}, v {node}")
 
 
-def classes(marked: DataFrame, radius: int, keys) -> DataFrame:
-    """(node, component_id) of the distinct nodes of ``marked`` (doc_id, node, f0, ...)."""
-    lanes = [c for c in marked.columns if c not in ("doc_id", "node")]
-    nodes = stored(
-        marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in lanes]), "nodes"
-    )
-    stars = components(links(nodes.drop("least"), radius, keys)).withColumnRenamed("u", "node")
-    rooted = nodes.select("node", "least").join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.select("node", "root").join(names, "root").select("node", "component_id")
+def classes(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, n, component_id) of the distinct fingerprints of ``marked`` (doc_id, fp); n counts rows."""
+    named = marked.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("id"), F.count(F.lit(1)).alias("n"))
+    nodes = stored(named, "nodes")
+    roots = components(links(nodes.select("id", "fp"), radius)).select("u.fp", F.col("root.id").alias("root"))
+    name = F.coalesce("root", "id")
+    return nodes.join(roots, "fp", "left").select("fp", "n", F.when(name != NO_ID, name).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
-    marked = stored(fingerprints(docs.select("doc_id", "text"), "f0", words).select("doc_id", "f0"), "marks")
-    marked = marked.withColumn("node", F.col("f0"))
-    found = classes(marked, radius, block_keys(radius))
-    return marked.join(found, "node", "left").select("doc_id", F.col("node").alias("fp"), "component_id")
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """The ``BANDS`` keys of a set of shingles: each a hash of the least of ``ROWS`` seeded orders."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for first in range(0, len(shingles), 1 << 14):
-        np.minimum(least, (shingles[first : first + (1 << 14), None] * _ORDERS).min(axis=0), out=least)
-    rows = mix(least.reshape(BANDS, ROWS))
-    out = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        out = mix(out * np.uint64(0x100000001B3) + rows[:, k])
-    return out
-
-
-def shingle_sets(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``docs`` with a digest of the set of word shingles of text (``node``), the set itself, sorted
-    (``shingles``, packed), and its band keys."""
-
-    def make():
-        def fn(texts):
-            node, packed, keys = np.zeros(len(texts), np.int64), [b""] * len(texts), [None] * len(texts)
-            for first, end, hashes, at in chunk_words(texts, WHITE):
-                for row in range(first, end):
-                    own = hashes[at[row - first] : at[row - first + 1]]
-                    found = np.unique(mix(word_runs(own, min(words, len(own))))) if len(own) else own
-                    packed[row] = found.tobytes()
-                    node[row] = np.uint64(xxhash.xxh64_intdigest(packed[row], SEED)).astype(np.int64)
-                    keys[row] = band_keys(found).view(np.int64)
-            return pa.array(node), pa.array(packed, pa.binary()), pa.array(keys, pa.list_(pa.int64()))
-
-        return fn
-
-    fields = [
-        T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType()),
-        T.StructField("keys", T.ArrayType(T.LongType())),
-    ]
-    return append_columns(docs, make, fields, ["text"])
-
-
-def link_sets(sets: list[np.ndarray], side: np.ndarray | None = None) -> np.ndarray:
-    """The least place of what each place is linked to, by similarity ``LIKE`` or more.
-
-    With ``side``, only pairs of different sides are compared. What is linked is not compared
-    again with what is linked to it, so like sets cost their number and not its square.
-    """
-    sizes = np.array([len(x) for x in sets])
-    flat, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    label = np.arange(len(sets))
-    order = np.argsort(sizes, kind="stable")
-    sorted_sizes = sizes[order]
-    # Which places hold a shingle.
-    holder = np.repeat(np.arange(len(sets)), sizes)
-    by_shingle = np.argsort(ids, kind="stable")
-    holders, at = holder[by_shingle], np.searchsorted(ids[by_shingle], np.arange(len(flat) + 1))
-    frequency, mark = np.diff(at), np.zeros(len(flat), bool)
-    free = np.ones(len(sets), bool)
-    for root in range(len(sets)):
-        if not free[root]:
-            continue
-        free[root] = False
-        front = [root]
-        while front:
-            place = front.pop()
-            n = sizes[place]
-            # Sizes of sets that can be similar enough.
-            low, high = np.searchsorted(sorted_sizes, [np.ceil(LIKE * n - 1e-9), np.floor(n / LIKE + 1e-9) + 1])
-            near = order[low:high]
-            near = near[free[near]]
-            if side is not None:
-                near = near[side[near] != side[place]]
-            if not len(near) or not n:
-                continue
-            own = ids[starts[place] : starts[place] + n]
-            # One of any so many shingles is in every set that is similar enough: the rarest ones.
-            rare = own[np.argsort(frequency[own], kind="stable")][: n - int(np.ceil(LIKE * n - 1e-9)) + 1]
-            held = [holders[at[i] : at[i + 1]] for i in rare]
-            near = np.intersect1d(near, np.unique(np.concatenate(held)), assume_unique=True)
-            if not len(near):
-                continue
-            mark[own] = True
-            many = sizes[near]
-            step = np.cumsum(many) - many
-            places = np.arange(many.sum()) + np.repeat(starts[near] - step, many)
-            common = np.add.reduceat(mark[ids[places]].astype(np.int64), step)
-            mark[own] = False
-            found = near[common >= LIKE * (many + n - common) - 1e-9]
-            free[found] = False
-            label[found] = root
-            front += found.tolist()
-    return label
-
-
-def _candidates(marked: DataFrame) -> DataFrame:
-    """(u, v) stars of the nodes that share a band key."""
-    keyed = marked.select("node", "keys").distinct().select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v != most")
-    return keyed.join(shared.drop("most"), "key").filter("node != v").select(F.col("node").alias("u"), "v").distinct()
-
-
-def similar_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id): near copies in the sense of word shingles, for deduplication.
-
-    Two texts link if their sets of five-word shingles (of all words, in a shorter text) have a
-    Jaccard similarity of ``LIKE`` or more. Candidates share one of ``BANDS`` keys, each made of
-    ``ROWS`` min-hashes, so two texts of similarity s are candidates with a chance of
-    1 - (1 - s**ROWS)**BANDS, whatever the number of rows: 0.99999 at 0.8, more above. What
-    candidates reach is a group; in it, similarity is taken exactly, of all pairs not linked
-    yet, and large groups are cut into chunks, of which every pair is compared.
-    Texts with equal sets are one node, compared once.
-    """
-    marked = stored(shingle_sets(docs.select("doc_id", "text")).drop("text"), "marks")
-    reached = stored(components(_candidates(marked)), "reached")
-    groups = reached.select(F.col("u").alias("node"), "root").union(reached.select(F.col("root").alias("node"), "root").distinct())
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > SET_CHUNK).select("root", F.ceil(F.col("n") / SET_CHUNK).cast("int").alias("chunks"))
-    # Only sets of groups are shuffled, unless the table of their nodes is too large to broadcast.
-    few = groups.count() <= MEMBERS
-    one = marked.select("node", "shingles").join(F.broadcast(groups) if few else groups, "node")
-    one = one.groupBy("node", "root").agg(F.min("shingles").alias("shingles"))
-    chunks = F.coalesce("chunks", F.lit(1))
-    placed = one.join(large, "root", "left").withColumns(
-        {"chunks": chunks, "own": F.pmod(F.xxhash64("node"), chunks.cast("long")).cast("int")}
-    )
-    dealt = (
-        placed
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("side"), "node", "shingles")
-    )
-
-    def solve(rows):
-        node = rows["node"].to_numpy()
-        order = np.argsort(node)
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in rows["shingles"].chunks for x in c]
-        sets, node = [sets[i] for i in order], node[order]
-        # Between two chunks only pairs across them are new.
-        label = link_sets(sets, rows["side"].to_numpy()[order] if rows["a"][0] != rows["b"][0] else None)
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        return pa.table({"u": node[moved], "v": node[label[moved]]})
-
-    stars = dealt.groupBy("root", "a", "b").applyInArrow(solve, "u long, v long")
-    found = components(stars).withColumnRenamed("u", "node")
-    rooted = marked.select("doc_id", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(names, "root").select("doc_id", "component_id")
+    marked = stored(fingerprints(docs.select("doc_id", "text"), "fp", words).select("doc_id", "fp"), "marks")
+    found = stored(classes(marked, radius), "classes")
+    return hot_join(marked, found, "fp", marked.count()).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:

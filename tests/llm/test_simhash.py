@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from riskweave.llm import simhash
+from riskweave.llm import graph, simhash
 from riskweave.llm.graph import components
 from tests.llm.cases import no_docs, odd_docs, white_words
 
@@ -65,9 +65,9 @@ def test_links_are_exact_in_every_layout(spark, monkeypatch, equal):
     blocks = 4 + equal
     widths = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
     monkeypatch.setattr(simhash, "layout", lambda n, r: (widths, equal))
-    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) * 2 for f in fps], "node long, f0 long")
-    stars = components(simhash.links(nodes, 4, simhash.block_keys(4))).collect()
-    got = {r.u: r.root for r in stars}
+    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) * 2 for f in fps], "id long, fp long")
+    stars = components(simhash.links(nodes, 4)).collect()
+    got = {r.u.fp: r.root.fp for r in stars}
     signed = [int(np.uint64(f).view(np.int64)) for f in fps]
     roots = plain_components(fps, 4)
     groups = {}
@@ -77,17 +77,19 @@ def test_links_are_exact_in_every_layout(spark, monkeypatch, equal):
     assert got == want
 
 
-def test_hot_shard_is_cut_into_chunks(spark, monkeypatch):
+@pytest.mark.parametrize("heavy", [1_000, 1, 10**9])
+def test_hot_shard_is_cut_into_chunks(spark, monkeypatch, heavy):
     monkeypatch.setattr(simhash, "CHUNK", 64)
+    monkeypatch.setattr(graph, "HEAVY", heavy)
     rng = random.Random(1)
     base = rng.getrandbits(64)
     fps = sorted({base ^ rng.getrandbits(12) for _ in range(700)})
     signed = [int(np.uint64(f).view(np.int64)) for f in fps]
-    nodes = spark.createDataFrame([(f, f) for f in signed], "node long, f0 long")
-    groups = simhash._groups(nodes, simhash.block_keys(4)(nodes))
+    nodes = spark.createDataFrame([(f, f) for f in signed], "id long, fp long")
+    groups = simhash._groups(nodes, simhash._keys(F.col("fp"), *simhash.layout(len(fps), 4)))
     assert groups.groupBy("key", "a", "b").count().agg(F.max("count")).first()[0] < 64 * 4
     assert groups.filter("b > 0").count() > 0
-    got = {r.u: r.root for r in components(simhash.links(nodes, 4, simhash.block_keys(4))).collect()}
+    got = {r.u.fp: r.root.fp for r in components(simhash.links(nodes, 4)).collect()}
     roots = plain_components(fps, 4)
     groups_ = {}
     for i, r in enumerate(roots):
@@ -95,9 +97,50 @@ def test_hot_shard_is_cut_into_chunks(spark, monkeypatch):
     assert got == {f: min(g) for g in groups_.values() for f in g if f != min(g)}
 
 
-def test_chain_is_one_component(spark):
-    edges = spark.range(1, 400).selectExpr("id u", "id - 1 v")
-    assert {r.root for r in components(edges).collect()} == {0}
+@pytest.mark.parametrize("heavy", [1_000, 3])
+@pytest.mark.parametrize("local", [graph.LOCAL, 40])
+def test_components_of_chains_hubs_and_repeats(spark, monkeypatch, local, heavy):
+    monkeypatch.setattr(graph, "LOCAL", local)
+    monkeypatch.setattr(graph, "HEAVY", heavy)
+    rng = random.Random(8)
+    edges = [(i, i - 1) for i in range(1, 60)] + [(500, i) for i in range(501, 800)] + [(900, 900), (None, 3), (4, None)]
+    edges += [(rng.randint(1000, 1300), rng.randint(1000, 1300)) for _ in range(180)] + [(501, 500)] * 50
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for u, v in edges:
+        if u is not None and v is not None:
+            a, b = find(u), find(v)
+            root[max(a, b)] = min(a, b)
+    want = {i: find(i) for i in root if find(i) != i}
+    df = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    assert {r.u: r.root for r in components(df).collect()} == want
+    pair = lambda c: F.when(F.col(c).isNotNull(), F.struct((F.col(c) % 7).alias("id"), F.col(c).alias("fp"))).alias(c)
+    got = {(r.u.id, r.u.fp): (r.root.id, r.root.fp) for r in components(df.select(pair("u"), pair("v"))).collect()}
+    groups = {}
+    for i in root:
+        groups.setdefault(find(i), []).append((i % 7, i))
+    assert got == {x: min(g) for g in groups.values() for x in g if x != min(g)}
+    assert components(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("heavy", [1_000, 1, 10**9])
+def test_joins_with_hot_keys(spark, monkeypatch, heavy):
+    monkeypatch.setattr(graph, "HEAVY", heavy)
+    rows = [(i % 5 if i % 3 else 7, i) for i in range(60)] + [(None, 99), (50, 98)]
+    df = spark.createDataFrame(rows, "k long, x long")
+    sizes = {}
+    for k, _ in rows:
+        sizes[k] = sizes.get(k, 0) + 1
+    names = spark.createDataFrame([(k, n, f"name {k}") for k, n in sizes.items() if k not in (None, 50)], "k long, n long, name string")
+    want = sorted(((k, x, f"name {k}") for k, x in rows if k not in (None, 50)), key=repr)
+    assert sorted(map(tuple, graph.hot_join(df, names, "k", len(rows)).collect()), key=repr) == want
+    left = sorted(want + [(None, 99, None), (50, 98, None)], key=repr)
+    assert sorted(map(tuple, graph.hot_join(df, names, "k", len(rows), "left").collect()), key=repr) == left
 
 
 def test_odd_rows(spark):
@@ -109,82 +152,8 @@ def test_odd_rows(spark):
     assert by[1] == by[2] == {(by[1].copy().pop()[0], 1)}
     assert by[3] == by[4] == by[5] == {(0, 3)}
     assert by[None].pop()[1] is None
+    # One id, texts of its own: two nodes with one name.
+    twice = spark.createDataFrame([(5, "a b c d e f"), (5, "u v w x y z"), (6, "u v w x y z")], "doc_id long, text string")
+    assert sorted(r.component_id for r in simhash.near_duplicates(twice).collect()) == [5, 5, 5]
+    assert len({r.fp for r in simhash.near_duplicates(twice).collect()}) == 2
     assert simhash.near_duplicates(no_docs(spark)).collect() == []
-
-
-def edited(words, share, rng):
-    out = list(words)
-    for i in rng.sample(range(len(out)), max(1, int(len(out) * share))):
-        out[i] = f"new{rng.random()}"
-    return out
-
-
-def test_similar_texts_find_near_copies_and_leave_others(spark):
-    rng = random.Random(5)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    rows, wanted = [], {}
-    for d in range(0, 400, 4):
-        words = rng.choices(vocabulary, k=rng.randint(80, 400))
-        rows.append((d, " ".join(words)))
-        rows.append((d + 1, " ".join(words).upper()))
-        rows.append((d + 2, " ".join(edited(words, 0.015, rng))))
-        rows.append((d + 3, " ".join(rng.choices(vocabulary, k=120))))
-        wanted |= {d: d, d + 1: d, d + 2: d, d + 3: d + 3}
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()}
-    assert {k: v for k, v in got.items() if wanted[k] != v} == {}
-    assert len(simhash.similar_texts(odd_docs(spark)).collect()) == 11
-    assert simhash.similar_texts(no_docs(spark)).collect() == []
-
-
-def shingles_of(text):
-    words = white_words(text)
-    n = min(5, len(words))
-    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
-
-
-def set_components(sets):
-    root = list(range(len(sets)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(sets)):
-        for j in range(i):
-            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(sets))]
-
-
-@pytest.mark.parametrize("chunk,members", [(2_048, 1 << 19), (3, 0)])
-def test_similar_texts_against_brute_force(spark, monkeypatch, chunk, members):
-    monkeypatch.setattr(simhash, "SET_CHUNK", chunk)
-    monkeypatch.setattr(simhash, "MEMBERS", members)
-    rng = random.Random(11)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    fresh = lambda n: [f"new{rng.random()}" for _ in range(n)]
-    texts = []
-    for _ in range(60):
-        words = rng.choices(vocabulary, k=rng.randint(30, 200))
-        n = len(words)
-        texts.append(words)
-        texts += [words + fresh(int((n - 4) * share)) for share in (0.25, 0.2, 0.3)]  # 0.8 and about it
-        texts += [words[int((n - 4) * share) :] for share in (0.1, 0.2, 0.25)]
-        texts.append(edited(words, 0.01, rng))
-        texts.append(words[: n // 2] + fresh(n // 8) + words[n // 2 :])
-    texts = [" ".join(t) for t in texts] + ["a b", "A  b", "a b c", "", " "]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()}
-    assert got == dict(enumerate(set_components([shingles_of(t) for t in texts[:-2]]) + [len(texts) - 2] * 2))
-
-
-def test_candidates_are_found_whatever_the_number_of_rows():
-    rng = np.random.default_rng(3)
-    missed = 0
-    for _ in range(1500):
-        own = simhash.mix(rng.integers(1, 1 << 62, 250).astype(np.uint64))
-        missed += not set(simhash.band_keys(own).tolist()) & set(simhash.band_keys(own[:200]).tolist())
-    assert missed <= 1
