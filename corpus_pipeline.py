@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor ke
 
 1. toxicity: documents that score ``toxicity.REJECT_AT`` or more go.
 2. quality: documents that score below ``quality.REJECT_BELOW`` go.
-3. simhash: of each group of near-duplicates the document with the smallest doc_id stays.
+3. simhash: of each group of near-duplicates (four words a shingle, four bits at most) the document
+   with the smallest doc_id stays.
 4. decontaminate: documents that hold a benchmark item go.
 5. sentencepiece: the ids of each document, and whether they decode to its text again.
 
@@ -42,16 +43,19 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.similar_texts(docs)
+    groups = simhash.near_duplicates(docs, words=4, radius=4)
+    # Rows without id are in no group's name; they need not meet the ids that go.
+    nameless = docs.filter("doc_id is null")
     gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
     # Rows that repeat a kept id: few ids, so only their rows are compared.
-    twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
+    twice = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     twice = twice.select("doc_id")
     if twice.isEmpty():
-        return kept
+        return kept.union(nameless)
     once = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
-    return once.union(kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    again = kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return once.union(again).union(nameless)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
