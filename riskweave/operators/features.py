@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions import columns as C
-from riskweave.operators.lookup import State, lookup_join
+from riskweave.operators.lookup import State, lookup_join, row_bytes
 from riskweave.operators.order import grouped_quantiles, quantile_values
 from riskweave.session import stored
 from riskweave.sources import schema as S
@@ -60,7 +60,9 @@ def category_stats(df: DataFrame, columns: Sequence[str], label: str = S.LABEL)
 def category_states(df: DataFrame, columns: Sequence[str], label: str = S.LABEL) -> dict:
     """Category statistics as one lookup state per column: (c, c_sum, c_n)."""
     table = stored(category_stats(df, columns, label), "categories")
-    sizes = dict(table.groupBy("column").count().collect())
+    # What a row of the state of a column has: category, sum, rows, and rows once more as its weight.
+    size = row_bytes(table.select("category", "label_sum", "n")) + F.lit(8)
+    sizes = dict(table.groupBy("column").agg(F.sum(size)).collect())
     out = {}
     for c in columns:
         one = table.filter(F.col("column") == c).select(
@@ -221,8 +223,7 @@ class FeatureEngineer:
                   p.get("key", S.KEY), p["medians"], p.get("overall", 0.0))
 
         def state(name: str, key: str, weight: str) -> State:
-            table = spark.read.parquet(f"{path}/{name}")
-            return State(table, key, table.count(), weight)
+            return State.read(spark.read.parquet(f"{path}/{name}"), key, weight)
 
         if p.get("has_groups"):
             out.groups = state("groups", "_group", "n")

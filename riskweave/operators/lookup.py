@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.session import stored
 
-# Size up to which a state table is broadcast: its rows as JSON text, counted when it is stored.
+# Size up to which a state table is broadcast; its bytes are counted (``row_bytes``), never guessed.
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 1000
 SALTS = 64
 
 
+def row_bytes(table: DataFrame) -> Column:
+    """The bytes of a row's values: eight for a number, the text for all else."""
+    out = F.lit(0)
+    for f in table.schema.fields:
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            out = out + F.lit(8)
+        else:
+            text = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.to_json(F.struct(f.name))
+            out = out + F.coalesce(F.octet_length(text), F.lit(0))
+    return out
+
+
 @dataclass
 class State:
     """One row per key, written to the shared folder, with its size in bytes known."""
@@ -26,21 +39,24 @@ class State:
 
     @classmethod
     def of(cls, table: DataFrame, key: str, weight: str) -> State:
-        kept = stored(table.filter(F.col(key).isNotNull()), "state")
-        size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-        return cls(kept, key, size or 0, weight)
+        return cls.read(stored(table.filter(F.col(key).isNotNull()), "state"), key, weight)
+
+    @classmethod
+    def read(cls, table: DataFrame, key: str, weight: str) -> State:
+        """The state in a table that is stored already."""
+        return cls(table, key, table.agg(F.sum(row_bytes(table))).first()[0] or 0, weight)
 
 
-def lookup_join(df: DataFrame, state: State, spread_by: str, limit: int = BROADCAST_BYTES):
+def lookup_join(df: DataFrame, state: State, spread_by: str, limit: int | None = None):
     """Left join on the state's key.
 
-    A state of at most ``limit`` bytes is broadcast. A larger one is shuffled; keys
+    A state of at most ``limit`` bytes (``BROADCAST_BYTES``) is broadcast. A larger one is shuffled; keys
     that hold more than 1/1000 of the rows (at most 1000 such keys) and NULL keys
     are salted over ``SALTS`` partitions by ``spread_by``.
     """
     key = state.key
     table = state.table.drop(state.weight)
-    if state.bytes <= limit:
+    if state.bytes <= (BROADCAST_BYTES if limit is None else limit):
         return df.join(F.broadcast(table), key, "left")
     total = state.table.agg(F.sum(state.weight)).first()[0]
     is_hot = F.col(state.weight) > F.lit(total * HOT_SHARE)

@@ -132,6 +132,30 @@ def test_lookup_beyond_the_broadcast_limit(spark):
     assert 0 < state.bytes < lookup.BROADCAST_BYTES
 
 
+def test_state_size_is_bytes_after_fit_and_after_load(spark, tmp_path, monkeypatch):
+    """A large encoding takes the salted way, and a loaded engineer the way of the fitted one."""
+    rows = [(i, f"category number {i % 400} with a long name", i % 3 % 2, 10.0 + i, i % 40) for i in range(2000)]
+    df = spark.createDataFrame(rows, "TransactionID bigint, P_emaildomain string, isFraud int, TransactionAmt double, card1 bigint")
+    df = df.withColumns({"TransactionDT": F.col("TransactionID") * 60, "C1": F.col("TransactionAmt") % 7, "D1": F.col("TransactionAmt") % 5})
+    eng = fe.FeatureEngineer(encoded=("P_emaildomain",)).fit(df)
+    eng.save(str(tmp_path / "state"))
+    again = fe.FeatureEngineer.load(spark, str(tmp_path / "state"))
+    texts = sum(len(f"category number {i} with a long name") for i in range(400))
+    assert eng.categories["P_emaildomain"].bytes == again.categories["P_emaildomain"].bytes == texts + 400 * 24
+    assert eng.groups.bytes == again.groups.bytes >= 40 * 16
+    small = sorted(eng.transform(df).collect())
+
+    def broadcasts(e):
+        plan = e.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("strategy=broadcast"), plan.count("_salt")
+
+    assert all(broadcasts(e)[1] == 0 for e in (eng, again))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", texts)
+    assert all(broadcasts(e)[1] > 0 for e in (eng, again))
+    columns = eng.transform(df).columns
+    assert sorted(again.transform(df).select(columns).collect()) == small
+
+
 def test_null_group_is_dropped(spark):
     df = spark.createDataFrame([(None, 1.0), (1, 2.0), (1, 4.0)], "card1 bigint, D1 double")
     assert [tuple(r) for r in fe.group_medians(df, "card1", ["D1"]).collect()] == [(1, 3.0, 2)]
