@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -59,70 +57,91 @@ def top_attributions(df: DataFrame, key: str, model: dict, k: int = 3) -> DataFr
 # --- trees -----------------------------------------------------------------------
 
 
-@dataclass
-class Leaf:
-    """One root-to-leaf path: per feature the interval and the share of rows that pass."""
+#: Rows whose path products are held at once.
+ROWS = 2_048
 
-    value: float
-    bounds: dict[int, tuple[float, float]]  # feature -> (low, high], low < x <= high
-    cover: dict[int, float]
 
+def path_shapley(x: np.ndarray, forest: Forest) -> np.ndarray:
+    """Path-dependent Shapley values of all rows, one walk over the nodes of each tree.
 
-def leaves_of(forest: Forest) -> list[Leaf]:
-    """Paths of all trees of an ensemble."""
-    return [Leaf(*leaf) for leaf in forest.leaves()]
+    A feature outside a coalition lets a row through with the cover share z of its edges; inside, the
+    row passes (o = 1) or not (0). The Shapley weights of coalitions of s of m - 1 features are the
+    integrals of t**s (1 - t)**(m - 1 - s) over 0..1, so the value of a feature on one path is the
+    integral of (o - z) times the product of z (1 - t) + o t over the path's other features: a
+    polynomial, which a Gauss-Legendre rule of half the depth integrates exactly.
 
-
-def path_shapley(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
-    """Path-dependent Shapley values of all rows of a batch, leaf by leaf.
-
-    A feature outside a coalition lets a row through with the path's cover share. The
-    sum over coalitions is the coefficient form of prod(z_j + o_j t).
+    Going down, a node extends the product of its path by its edge (an edge of a feature that the
+    path has already replaces that one's factor by the one of both). Coming up, the sums of value times
+    product over the leaves below an edge are unwound of its factor; if it replaced another, they are
+    taken out of that one's part. A node costs a few operations a point of the rule.
     """
     out = np.zeros_like(x)
-    for leaf in leaves:
-        feats = list(leaf.bounds)
-        m = len(feats)
-        if not m:
-            continue
-        o = [
-            ((x[:, f] > leaf.bounds[f][0]) & (x[:, f] <= leaf.bounds[f][1])).astype(float)
-            for f in feats
-        ]
-        z = [leaf.cover[f] for f in feats]
-        share = [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
-        for i, f in enumerate(feats):
-            coef = [np.ones(len(x))]
-            for j in range(m):
-                if j == i:
-                    continue
-                grown = [c * z[j] for c in coef] + [np.zeros(len(x))]
-                for s, c in enumerate(coef):
-                    grown[s + 1] = grown[s + 1] + c * o[j]
-                coef = grown
-            out[:, f] += leaf.value * (o[i] - z[i]) * sum(w * c for w, c in zip(share, coef))
+    for root in forest.roots.tolist():
+        points, weights = np.polynomial.legendre.leggauss(max(1, -(-forest.depth(root) // 2)))
+        t, weights = ((points + 1) / 2)[:, None], weights / 2
+        for first in range(0, len(x), ROWS):
+            _walk(forest, root, x[first : first + ROWS], t, weights, out[first : first + ROWS])
     return out
 
 
-def expected_margin(leaves: Sequence[Leaf]) -> float:
-    return sum(leaf.value * math.prod(leaf.cover.values()) for leaf in leaves)
+def _walk(forest: Forest, root: int, x: np.ndarray, t: np.ndarray, weights: np.ndarray, out: np.ndarray) -> None:
+    def below(node: int, product: np.ndarray, edges: dict) -> np.ndarray:
+        """Value times product over the leaves below, at each point; ``edges``: feature -> (z, o, factor)."""
+        f = int(forest.feature[node])
+        if f < 0:
+            return product * forest.value[node]
+        goes_left = x[:, f] <= forest.threshold[node]
+        before = edges.get(f)
+        total = 0.0
+        for child, passes in ((int(forest.left[node]), goes_left), (int(forest.right[node]), ~goes_left)):
+            z, o = max(float(forest.cover[child] / forest.cover[node]), TINY), passes.astype(float)
+            if before is not None:
+                z, o = z * before[0], o * before[1]
+            factor = z * (1 - t) + o * t
+            onward = product * factor if before is None else product / before[2] * factor
+            sums = below(child, onward, {**edges, f: (z, o, factor)})
+            part = (o - z) * (weights @ (sums / factor))
+            if before is not None:
+                part -= (before[1] - before[0]) * (weights @ (sums / before[2]))
+            out[:, f] += part
+            total = total + sums
+        return total
+
+    below(root, np.ones((len(t), len(x))), {})
+
+
+#: The least cover share of an edge; only edges that no training row passed have less.
+TINY = 1e-12
+
+
+def expected_margin(forest: Forest) -> float:
+    """The margin of no row in particular: every leaf by the share of training rows in it."""
+    total = 0.0
+    for root in forest.roots.tolist():
+        open_ = [(root, 1.0)]
+        while open_:
+            node, share = open_.pop()
+            if forest.feature[node] < 0:
+                total += forest.value[node] * share
+            else:
+                for child in (int(forest.left[node]), int(forest.right[node])):
+                    open_.append((child, share * float(forest.cover[child] / forest.cover[node])))
+    return total
 
 
 def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) -> DataFrame:
     """(key, one column per feature): attributions to the margin of a boosted ensemble.
 
     With ``expected_margin`` they add up to the margin (the raw score of the positive
-    class). The node table is broadcast as arrays; tasks read its paths once.
+    class). The node table is broadcast as arrays.
     """
     names = list(features)
     shared = df.sparkSession.sparkContext.broadcast(forest_of(model))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leaves = None
         for pdf in batches:
-            leaves = leaves_of(shared.value) if leaves is None else leaves
             x = pdf[names].to_numpy(dtype=float)
-            out = pd.DataFrame(path_shapley(x, leaves), columns=names)
+            out = pd.DataFrame(path_shapley(x, shared.value), columns=names)
             out.insert(0, key, pdf[key].to_numpy())
             yield out
 

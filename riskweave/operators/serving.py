@@ -79,13 +79,16 @@ def rejected_requests(df: DataFrame, body: str = "body", keep: Sequence[str] = (
     return rows.filter(F.col("reject_reason").isNotNull()).select(*keep, "reject_reason")
 
 
+def prediction_id(version: str) -> Column:
+    """A repeatable id from key and model version."""
+    return F.sha2(F.concat_ws("|", F.col(S.KEY).cast("string"), F.lit(version)), 256).alias("prediction_id")
+
+
 def log_rows(scored: DataFrame, threshold: float, version: str, time: str) -> DataFrame:
-    """Prediction-log rows with a repeatable id from key and model version."""
+    """Prediction-log rows with the repeatable id."""
     p = F.col("probability")
     return scored.select(
-        F.sha2(F.concat_ws("|", F.col(S.KEY).cast("string"), F.lit(version)), 256).alias(
-            "prediction_id"
-        ),
+        prediction_id(version),
         F.col(time).cast("timestamp").alias("timestamp"),
         r6(p).alias("fraud_probability"),
         decide(p, threshold).alias("prediction"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -45,24 +44,15 @@ class Forest:
             out[:, t] = self.value[node]
         return out
 
-    def leaves(self) -> Iterator[tuple[float, dict[int, tuple[float, float]], dict[int, float]]]:
-        """(value, feature -> (low, high], feature -> share of rows that pass) of every path."""
-        for root in self.roots.tolist():
-            open_ = [(root, {}, {})]
-            while open_:
-                node, bounds, cover = open_.pop()
-                f = int(self.feature[node])
-                if f < 0:
-                    yield float(self.value[node]), bounds, cover
-                    continue
-                t = float(self.threshold[node])
-                low, high = bounds.get(f, (-math.inf, math.inf))
-                for child, b in (
-                    (int(self.left[node]), (low, min(high, t))),
-                    (int(self.right[node]), (max(low, t), high)),
-                ):
-                    share = float(self.cover[child] / self.cover[node])
-                    open_.append((child, {**bounds, f: b}, {**cover, f: cover.get(f, 1.0) * share}))
+    def depth(self, root: int) -> int:
+        """Edges on the longest path below a root."""
+        deepest, open_ = 0, [(root, 0)]
+        while open_:
+            node, d = open_.pop()
+            deepest = max(deepest, d)
+            if self.feature[node] >= 0:
+                open_ += [(int(self.left[node]), d + 1), (int(self.right[node]), d + 1)]
+        return deepest
 
 
 def forest_of(model: GBTClassificationModel) -> Forest:

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from riskweave.operators import attribution as A
 from riskweave.operators import metrics as M
 from riskweave.operators import models as ml
 from riskweave.operators import split
-from riskweave.operators.trees import forest_of, prefix_margins
+from riskweave.operators.trees import Forest, forest_of, prefix_margins
 from riskweave.plans import modelling as P
 from riskweave.sources import fixtures as fx
 
@@ -101,40 +102,74 @@ def test_tree_attributions_sum_to_the_margin(trained):
     m = trained.model
     rows = m.score(trained.data.filter("split = 'test'")).select("TransactionID", "margin")
     attr = A.tree_attribution(trained.data.filter("split = 'test'"), "TransactionID", m.features, m.model)
-    base = A.expected_margin(A.leaves_of(forest_of(m.model)))
+    base = A.expected_margin(forest_of(m.model))
     total = sum(F.col(f"`{f}`") for f in m.features)
     both = attr.select("TransactionID", total.alias("s")).join(rows, "TransactionID").collect()
     assert len(both) == 250
     assert max(abs(base + r["s"] - r["margin"]) for r in both) < 1e-9
 
 
-def test_path_shapley_against_all_coalitions():
-    inf = math.inf
-    leaves = [
-        A.Leaf(3.0, {0: (-inf, 1.0), 1: (0.0, inf), 2: (-inf, 5.0)}, {0: 0.4, 1: 0.3, 2: 0.9}),
-        A.Leaf(-2.0, {0: (1.0, inf)}, {0: 0.6}),
-    ]
-    rng = np.random.default_rng(0)
-    x = rng.normal(0, 2, (20, 3))
+def random_forest(rng, trees, depth, features, full=False):
+    """Trees with random splits, features that repeat on a path, and shares of covering rows."""
+    nodes, roots = [], []
+
+    def grow(d, rows):
+        at = len(nodes)
+        nodes.append([-1, 0.0, 0, 0, rng.normal(), rows])
+        if d and rows >= 2 and (full or rng.random() < 0.85):
+            share = rng.integers(1, rows) if rows > 2 else 1
+            nodes[at][:2] = int(rng.integers(0, features)), rng.normal()
+            nodes[at][2] = grow(d - 1, float(share))
+            nodes[at][3] = grow(d - 1, float(rows - share))
+        return at
+
+    for _ in range(trees):
+        roots.append(grow(depth, 10.0**6 if full else 1000.0))
+    f, t, left, right, value, cover = zip(*nodes, strict=True)
+    return Forest(*(np.array(c) for c in (f, t, left, right, value, cover)), np.array(roots))
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 5, 8])
+def test_path_shapley_against_all_coalitions(depth):
+    rng = np.random.default_rng(depth)
+    n = 4
+    forest = random_forest(rng, 3, depth, n)
+    x = rng.normal(0, 1.5, (12, n))
+    x[0, 1] = np.nan
 
     def value(row, coalition):
-        total = 0.0
-        for leaf in leaves:
-            w = leaf.value
-            for f, (lo, hi) in leaf.bounds.items():
-                w *= float(lo < row[f] <= hi) if f in coalition else leaf.cover[f]
-            total += w
-        return total
-
-    got = A.path_shapley(x, leaves)
-    for row, phi in zip(x, got):
-        for f in range(3):
-            rest = [g for g in range(3) if g != f]
+        def below(node):
+            f = forest.feature[node]
+            if f < 0:
+                return forest.value[node]
+            left, right = forest.left[node], forest.right[node]
+            if f in coalition:
+                return below(left if row[f] <= forest.threshold[node] else right)
+            return (forest.cover[left] * below(left) + forest.cover[right] * below(right)) / forest.cover[node]
+
+        return sum(below(root) for root in forest.roots)
+
+    got = A.path_shapley(x, forest)
+    assert A.expected_margin(forest) == pytest.approx(value(x[0], set()))
+    for row, phi in zip(x, got, strict=True):
+        for f in range(n):
+            rest = [g for g in range(n) if g != f]
             want = sum(
-                math.factorial(len(c)) * math.factorial(2 - len(c)) / 6 * (value(row, {*c, f}) - value(row, set(c)))
-                for k in range(3) for c in itertools.combinations(rest, k)
+                math.factorial(len(c)) * math.factorial(n - 1 - len(c)) / math.factorial(n) * (value(row, {*c, f}) - value(row, set(c)))
+                for k in range(n) for c in itertools.combinations(rest, k)
             )
-            assert phi[f] == pytest.approx(want)
+            assert phi[f] == pytest.approx(want, abs=1e-9)
+
+
+def test_two_hundred_deep_trees_on_ten_thousand_rows():
+    rng = np.random.default_rng(1)
+    forest = random_forest(rng, 200, 8, 40, full=True)
+    x = rng.normal(0, 1.5, (10_000, 40))
+    start = time.process_time()
+    got = A.path_shapley(x, forest)
+    assert time.process_time() - start < 60
+    margin = forest.margins(x[:500]).sum(axis=1)
+    assert np.allclose(got[:500].sum(axis=1) + A.expected_margin(forest), margin, atol=1e-8)
 
 
 def test_parameter_mapping():
