@@ -112,6 +112,17 @@ def load_baselines(spark: SparkSession, path: str) -> list[Baseline]:
     return [Baseline(**json.loads(r[0])) for r in spark.read.text(path).collect()]
 
 
+def _psi_of(b: Baseline, seen: Sequence[Column], in_range: Column) -> Column:
+    """PSI of the counts of a baseline's bins; NULL when nothing is in range."""
+    total = sum(b.counts)
+    out = F.lit(0.0)
+    for count, s in zip(b.counts, seen, strict=True):
+        e = F.lit(max(count / total, FLOOR))
+        a = F.greatest(F.try_divide(s.cast("double"), in_range.cast("double")), F.lit(FLOOR))
+        out = out + (a - e) * F.ln(a / e)
+    return F.when(in_range > 0, out)
+
+
 def psi_expression(b: Baseline, clip: bool = False) -> Column:
     """PSI of the aggregated rows against the baseline, as one aggregate expression.
 
@@ -119,15 +130,8 @@ def psi_expression(b: Baseline, clip: bool = False) -> Column:
     """
     if b.bins == 0:
         return F.lit(0.0)
-    total = sum(b.counts)
-    seen = [F.count_if(c) for c in bin_conditions(F.col(b.feature), b.edges, clip)]
-    in_range = F.count_if(any_of(bin_conditions(F.col(b.feature), b.edges, clip)))
-    out = F.lit(0.0)
-    for count, s in zip(b.counts, seen):
-        e = F.lit(max(count / total, FLOOR))
-        a = F.greatest(F.try_divide(s.cast("double"), in_range.cast("double")), F.lit(FLOOR))
-        out = out + (a - e) * F.ln(a / e)
-    return F.when(in_range > 0, out)
+    bins = bin_conditions(F.col(b.feature), b.edges, clip)
+    return _psi_of(b, [F.count_if(c) for c in bins], F.count_if(any_of(bins)))
 
 
 def psi(df: DataFrame, baseline: Baseline, clip: bool = False) -> DataFrame:
@@ -157,6 +161,13 @@ def drift_rows(
             )
         ]
     )
+    return _feature_rows(one, names, baselines, alert_at, window_days)
+
+
+def _feature_rows(
+    one: DataFrame, names: Sequence[str], baselines: Sequence[Baseline], alert_at: float, window_days: int
+) -> DataFrame:
+    """Drift-log rows of the columns <feature>_psi, _mean and _n."""
     entries = F.array(
         *[
             F.struct(
@@ -190,25 +201,75 @@ def rate_drift(
     window_days: int = WINDOW_DAYS,
 ) -> DataFrame:
     """Deviation of the predicted rate from the training rate in binomial deviations."""
-    p = F.lit(training_rate)
     names = [f"_k{i}" for i in range(len(keys))]
+    one = log.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("rate")
+    )
+    return _rate_rows(one, names, training_rate, min_rows, window_days)
+
+
+def _rate_rows(
+    one: DataFrame, names: Sequence[str], training_rate: float, min_rows: int, window_days: int
+) -> DataFrame:
+    """Drift-log rows of the columns n and rate."""
+    p = F.lit(training_rate)
     z = F.abs(F.col("rate") - p) / F.sqrt(p * (F.lit(1.0) - p) / F.col("n"))
-    return (
-        log.groupBy(*[k.alias(n) for k, n in zip(keys, names)])
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("rate"))
-        .filter(F.col("n") >= min_rows)
-        .select(
-            *names,
-            F.lit("fraud_rate").alias("feature_name"),
-            z.alias("psi_score"),
-            (z > RATE_ALERT_STD).alias("alert_fired"),
-            p.alias("baseline_mean"),
-            F.col("rate").alias("current_mean"),
-            F.lit(window_days).alias("window_days"),
-        )
+    return one.filter(F.col("n") >= min_rows).select(
+        *names,
+        F.lit("fraud_rate").alias("feature_name"),
+        z.alias("psi_score"),
+        (z > RATE_ALERT_STD).alias("alert_fired"),
+        p.alias("baseline_mean"),
+        F.col("rate").alias("current_mean"),
+        F.lit(window_days).alias("window_days"),
     )
 
 
+# --- panes: what a drift check needs of one day -----------------------------------------------
+
+
+def pane_columns(baselines: Sequence[Baseline]) -> list[str]:
+    """Columns of a pane that add up: bin counts, sum and rows of each feature, and of predictions."""
+    out = []
+    for b in baselines:
+        out += [f"{b.feature}_b{i}" for i in range(b.bins)] + [f"{b.feature}_sum", f"{b.feature}_n"]
+    return [*out, "prediction_sum", "prediction_n"]
+
+
+def panes(df: DataFrame, baselines: Sequence[Baseline], day: str = "day") -> DataFrame:
+    """One row per day: its bin counts, sums and numbers of rows. One pass over ``df``.
+
+    ``df`` has the features and ``prediction`` (0 or 1); a row may lack any of them.
+    """
+    aggs = []
+    for b in baselines:
+        bins = bin_conditions(F.col(b.feature), b.edges) if b.bins else []
+        aggs += [F.count_if(c) for c in bins] + [F.sum(F.col(b.feature).cast("double")), F.count(b.feature)]
+    aggs += [F.sum(F.col("prediction").cast("double")), F.count("prediction")]
+    names = pane_columns(baselines)
+    return df.groupBy(day).agg(*[a.alias(n) for a, n in zip(aggs, names, strict=True)])
+
+
+def merged_panes(both: DataFrame, baselines: Sequence[Baseline], day: str = "day") -> DataFrame:
+    return both.groupBy(day).agg(*[F.sum(c).alias(c) for c in pane_columns(baselines)])
+
+
+def pane_check(
+    kept: DataFrame, baselines: Sequence[Baseline], window_days: int = WINDOW_DAYS,
+    min_rows: int = MIN_PREDICTIONS, alert_at: float = PSI_ALERT,
+) -> DataFrame:
+    """The drift-log rows of all ``kept`` panes together, as ``drift_rows`` and ``rate_drift`` give them."""
+    one = kept.agg(*[F.sum(c).alias(c) for c in pane_columns(baselines)])
+    new = {"n": F.coalesce("prediction_n", F.lit(0)), "rate": F.try_divide("prediction_sum", "prediction_n")}
+    for b in baselines:
+        seen = [F.col(f"{b.feature}_b{i}") for i in range(b.bins)]
+        new[f"{b.feature}_psi"] = _psi_of(b, seen, sum(seen[1:], seen[0])) if seen else F.lit(0.0)
+        new[f"{b.feature}_mean"] = F.try_divide(f"{b.feature}_sum", f"{b.feature}_n")
+    one = one.withColumns(new)
+    features = _feature_rows(one, [], baselines, alert_at, window_days)
+    return features.unionByName(_rate_rows(one, [], TRAINING_RATE, min_rows, window_days))
+
+
 def drift_summary(features: DataFrame, rate: DataFrame) -> DataFrame:
     both = features.unionByName(rate)
     return both.agg(

@@ -11,7 +11,7 @@ from riskweave.plans.ingest import log_out, requests
 from riskweave.plans.modelling import VERSION, Trained
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
-from riskweave.session import new_folder
+from riskweave.session import new_folder, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 from riskweave.streaming import jobs
@@ -113,37 +113,54 @@ def stream_rate_drift(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select(F.unix_timestamp("w.start").alias("start"), *rest))
 
 
+# The last days of the arrivals of the drift stream, as days since 1970.
+ARRIVALS = [19731, 19738, 19741, 19760]
+WINDOWED = f"""
+  days as (select cast(floor(epoch(ts) / 86400) as bigint) as day from events group by 1),
+  checks as (select max(day) as last from days, (select unnest({ARRIVALS}) as bound) where day <= bound group by bound),
+  watched as (select c.last as as_of, t.* from txn t join checks c
+    on floor((t.TransactionDT - 86400 + 1704067200) / 86400) between c.last - 6 and c.last),
+  logged as (select c.last as as_of, l.prediction from pred_log l join checks c
+    on floor(epoch(l."timestamp") / 86400) between c.last - 6 and c.last)"""
 STREAM_DRIFT_ROWS = " union all ".join(
-    f"select '{f}' as feature_name, {r('psi')} as psi_score, psi > 0.2 as alert_fired, "
+    f"select key as as_of, '{f}' as feature_name, {r('psi')} as psi_score, psi > 0.2 as alert_fired, "
     f"{r(f'(select mean from e_{f})')} as baseline_mean, {r('current_mean')} as current_mean, 7 as window_days "
-    f"from ({mon._psi(f, 'txn', '1')})" for f in mon.MONITORED
-) + f""" union all select 'fraud_rate', {r(mon.Z)}, {mon.Z} > 2, 0.0351, {r('rate')}, 7 from (
-  select count(*) as n, avg(prediction) as rate from pred_log) where n >= 100"""
+    f"from ({mon._psi(f, 'watched', 'as_of')})" for f in mon.MONITORED
+) + f""" union all select as_of, 'fraud_rate', {r(mon.Z)}, {mon.Z} > 2, 0.0351, {r('rate')}, 7 from (
+  select as_of, count(*) as n, avg(prediction) as rate from logged group by 1) where n >= 100"""
 
 
 def checked_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The drift log of the events as they arrive, against the fitted baselines."""
+    """The drift log of transactions and predictions that arrive in parts, against the fitted baselines."""
     path = new_folder(spark, "stream_drift")
-    base = mon.baselines(mon.watched(spark, d))
-    jobs.drift_checks(
-        events_stream(spark, d), base, path, lambda e: (fx.txn_of(e), fx.shape_pred_log(e))
-    )
+    rows = mon.watched(spark, d)
+    base = mon.baselines(rows)
+    txn = rows.select(F.floor((F.col(S.TIME) + fx.EPOCH_OFFSET) / 86400).alias("day"), *mon.MONITORED)
+    log = fx.pred_log(spark, d).select(F.unix_date(F.to_date("timestamp")).cast("long").alias("day"), "prediction")
+    both = stored(txn.unionByName(log, allowMissingColumns=True), "arriving")
+    for before, until in zip([0, *ARRIVALS], ARRIVALS):
+        part = both.filter((F.col("day") > before) & (F.col("day") <= until))
+        part.write.parquet(f"{path}/in/until={until}")
+        # Each run starts again from the checkpoint and checks what has come since.
+        source = spark.readStream.schema(both.schema).option("recursiveFileLookup", True)
+        jobs.drift_checks(source.parquet(f"{path}/in"), base, path)
     return spark.read.schema(
         "feature_name string, psi_score double, alert_fired boolean, baseline_mean double, "
-        "current_mean double, window_days int, batch int"
+        "current_mean double, window_days int, as_of long, batch int"
     ).parquet(f"{path}/table").drop("batch")
 
 
-@query("stream_drift", sql(STREAM_DRIFT_ROWS, mon.STATES))
+@query("stream_drift", sql(STREAM_DRIFT_ROWS, mon.STATES + "," + WINDOWED))
 def stream_drift(spark: SparkSession, d: str) -> DataFrame:
-    """The full drift check as a stream: all monitored features and the predicted rate."""
+    """The scheduled drift check as a stream: all monitored features and the predicted rate,
+    over the seven days that end with each arrival."""
     return rounded(checked_stream(spark, d))
 
 
 @query(
     "stream_drift_summary",
     sql("select count(*) as checks, count(*) filter (where alert_fired) as alerts, bool_or(alert_fired) as any_alert "
-        f"from ({STREAM_DRIFT_ROWS})", mon.STATES),
+        f"from ({STREAM_DRIFT_ROWS})", mon.STATES + "," + WINDOWED),
 )
 def stream_drift_summary(spark: SparkSession, d: str) -> DataFrame:
     log = checked_stream(spark, d)

@@ -65,13 +65,17 @@ def release(spark: SparkSession) -> int:
     long-lived session calls this after each job.
     """
     n = len(_folders)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _folders:
-        path = jvm.org.apache.hadoop.fs.Path(_folders.pop())
-        path.getFileSystem(conf).delete(path, True)
+        remove(spark, _folders.pop())
     return n
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the engine's own, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a derived table to the shared folder once and read it from there.
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators import drift, serving
 from riskweave.operators.features import FeatureEngineer, align_features
+from riskweave.session import remove
 from riskweave.sources import schema as S
 
 EVENTS_SCHEMA = T.StructType(
@@ -108,27 +109,38 @@ def drift_checks(
     arriving: DataFrame,
     baselines: Sequence[drift.Baseline],
     path: str,
-    views: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
-    folder: str = "table",
+    days: int = drift.WINDOW_DAYS,
+    min_rows: int = drift.MIN_PREDICTIONS,
 ) -> None:
-    """Scheduled drift check: one set of drift-log rows per micro-batch.
-
-    Without ``views`` a batch is checked by itself, feature by feature. With ``views``, which
-    makes the watched transactions and the prediction log from all rows that have arrived
-    so far (they are kept below ``path``), the rate is checked too. A batch writes to its own
-    sub-folders and overwrites them on a retry.
+    """Scheduled drift checks: at each micro-batch, one set of drift-log rows over the trailing days.
+
+    ``arriving`` has ``day`` (a whole number), the features and ``prediction``; a row may lack any
+    of them. The state is one pane a day (``drift.panes``): a batch adds its rows to the panes of
+    the batch before, days that have left the window expire, and the check sums what is left. So
+    work and state do not grow with what has arrived, and a late row counts as long as its day
+    is in the window. A window ends with the latest day seen (``as_of``). Panes and rows of a
+    batch are written to folders of their own, out of the panes of the batch before: a retry
+    after a failure writes them again.
     """
+    spark = arriving.sparkSession
+
+    def panes_of(number: int) -> str:
+        return f"{path}/panes/{number}"
 
     def check(batch: DataFrame, number: int) -> None:
-        if views is None:
-            rows = drift.drift_rows(batch, baselines)
-        else:
-            batch.write.mode("overwrite").parquet(f"{path}/arrived/batch={number}")
-            known = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-            arrived = batch.sparkSession.read.schema(known).parquet(f"{path}/arrived")
-            txn, log = views(arrived.filter(F.col("batch") <= number).drop("batch"))
-            rows = drift.drift_rows(txn, baselines).unionByName(drift.rate_drift(log))
-        rows.write.mode("overwrite").parquet(f"{path}/{folder}/batch={number}")
+        now = drift.panes(batch.filter("day is not null"), baselines)
+        if number:
+            now = now.unionByName(spark.read.parquet(panes_of(number - 1)))
+        now = drift.merged_panes(now, baselines)
+        last = F.max("day").over(Window.partitionBy(F.lit(0)))  # a pane a day: few rows
+        kept = now.withColumn("last", last).filter(F.col("day") > F.col("last") - days).drop("last")
+        kept.coalesce(1).write.mode("overwrite").parquet(panes_of(number))
+        kept = spark.read.schema(kept.schema).parquet(panes_of(number))
+        as_of = kept.agg(F.max("day")).first()[0]
+        rows = drift.pane_check(kept, baselines, days, min_rows).withColumn("as_of", F.lit(as_of).cast("long"))
+        rows.write.mode("overwrite").parquet(f"{path}/table/batch={number}")
+        if number > 1:
+            remove(spark, panes_of(number - 2))
 
     run_to_end(
         arriving.writeStream.foreachBatch(check).option("checkpointLocation", f"{path}/checkpoint")

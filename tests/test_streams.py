@@ -1,11 +1,12 @@
 """Streams against their batch twins, late rows and restarts included."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import serving
+from riskweave.operators import drift, serving
 from riskweave.sources import schema as S
 from riskweave.streaming import jobs
 
@@ -67,8 +68,6 @@ def test_log_holds_each_prediction_once_over_restarts(spark, tmp_path):
 
 
 def test_sliding_rate_drift_equals_batch(spark, tmp_path):
-    from riskweave.operators import drift
-
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     data = rows(*[h * 0.5 for h in range(600)])
     put(spark, src, 0, data)
@@ -80,12 +79,76 @@ def test_sliding_rate_drift_equals_batch(spark, tmp_path):
     assert got and all(want[k] == pytest.approx(v) for k, v in got.items())
 
 
-def test_drift_checks_write_one_set_per_batch(spark, tmp_path):
-    from riskweave.operators import drift
+# --- scheduled drift checks ---------------------------------------------------------------------
+
+
+def arrived(rng, days, n=150):
+    """(day, x, y, prediction): x drifts with the days; some values and some predictions are missing."""
+    out = []
+    for day in days:
+        for _ in range(n):
+            x = rng.gauss(day / 10, 1)
+            out.append((day, x if rng.random() > 0.1 else None, float(rng.randint(0, 3)), rng.randint(0, 1) if rng.random() > 0.2 else None))
+    return out
+
 
+DRIFT_SCHEMA = "day long, x double, y double, prediction int"
+
+
+def test_each_drift_check_is_the_batch_check_of_its_window(spark, tmp_path):
+    rng = random.Random(4)
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    base = drift.fit_baselines(spark.createDataFrame(arrived(rng, range(3), 300), DRIFT_SCHEMA), ["x", "y"])
+    steps = [arrived(rng, range(0, 4)), arrived(rng, range(4, 9)), arrived(rng, [2, 5, 9]), arrived(rng, [30], 20), arrived(rng, [31, 29, 24])]
+    steps[2] += [(None, 1.0, 1.0, 1)]
+    everything, sizes = [], []
+    for i, rows in enumerate(steps):
+        spark.createDataFrame(rows, DRIFT_SCHEMA).write.parquet(f"{src}/step{i}")
+        stream = spark.readStream.schema(DRIFT_SCHEMA).option("recursiveFileLookup", True).parquet(src)
+        jobs.drift_checks(stream, base, out, min_rows=10)  # a restart at each step
+        everything += rows
+        last = max(r[0] for r in everything if r[0] is not None)
+        inside = spark.createDataFrame([r for r in everything if r[0] is not None and last - 7 < r[0] <= last], DRIFT_SCHEMA)
+        twin = drift.drift_rows(inside, base).unionByName(drift.rate_drift(inside.filter("prediction is not null"), min_rows=10))
+        got = spark.read.parquet(f"{out}/table/batch={i}")
+        assert {r.as_of for r in got.collect()} == {last}
+        want = {r.feature_name: r for r in twin.collect()}
+        assert len(want) == 3
+        for r in got.collect():
+            w = want.pop(r.feature_name)
+            assert (r.alert_fired, r.window_days) == (w.alert_fired, w.window_days)
+            assert [r.psi_score, r.baseline_mean, r.current_mean] == pytest.approx([w.psi_score, w.baseline_mean, w.current_mean])
+        assert not want
+        sizes.append(spark.read.parquet(f"{out}/panes/{i}").count())
+    assert sizes == [4, 7, 7, 1, 3]  # days, whatever has arrived
+    assert sorted(p.name for p in (tmp_path / "out" / "panes").iterdir()) == ["3", "4"]
+
+
+def test_a_drift_check_that_failed_is_made_again(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
-    base = drift.fit_baselines(spark.range(100).select(F.col("id").cast("double").alias("latency_ms")), ["latency_ms"])
-    put(spark, src, 0, rows(1, 2, 3))
-    put(spark, src, 1, rows(4, 5, 6))
-    jobs.drift_checks(stream(spark, src), base, out)
-    assert spark.read.parquet(f"{out}/table").count() == 2
+    base = drift.fit_baselines(spark.createDataFrame(arrived(rng, range(3)), DRIFT_SCHEMA), ["x"])
+
+    def run():
+        jobs.drift_checks(spark.readStream.schema(DRIFT_SCHEMA).option("recursiveFileLookup", True).parquet(src), base, out)
+
+    first, second = arrived(rng, range(3)), arrived(rng, range(3, 5))
+    spark.createDataFrame(first, DRIFT_SCHEMA).write.parquet(f"{src}/a")
+    run()
+    spark.createDataFrame(second, DRIFT_SCHEMA).write.parquet(f"{src}/b")
+    whole = drift.pane_check
+
+    def broken(*a, **k):
+        raise RuntimeError("stopped between panes and rows")
+
+    monkeypatch.setattr(drift, "pane_check", broken)
+    with pytest.raises(Exception, match="stopped between"):
+        run()
+    monkeypatch.setattr(drift, "pane_check", whole)
+    run()
+    n = {r.day: r.x_n for r in spark.read.parquet(f"{out}/panes/1").collect()}
+    want = {}
+    for day, x, _, _ in first + second:
+        want[day] = want.get(day, 0) + (x is not None)
+    assert n == want
+    assert spark.read.parquet(f"{out}/table").filter("batch = 1").count() == 2
