@@ -1,9 +1,13 @@
-"""Exact nearest neighbours over a k-d tree.
-
-The tree is cut from a bounded sample, so it decides balance only. Its leaves are dealt to
-tasks; a vector first searches its own leaf, then exactly those leaves whose box lies within
-the distance found there. A task holds one leaf and a bounded chunk of the vectors that visit
-it, and returns the best few per vector: pairs are never written out.
+"""Exact nearest neighbours, in few columns and in many.
+
+Points are dealt into cells of a tree that is cut from a bounded sample (it decides balance only),
+and stored in the order of their cells. Each vector first searches its own cell, which gives a
+distance that k points keep. Then vectors are asked in bounded blocks against all points, in
+rounds that double the share of points seen: a task goes through its points cell by
+cell, skips vectors for which the cell's box lies beyond the distance they have, looks at the others
+by blocked products, and computes exact distances where those leave a chance. Each round
+lowers the distances for the next, so it returns about k points a vector, however many points
+there are. Neither visits nor pairs are written; what is stored besides the points is k rows a vector.
 """
 
 from __future__ import annotations
@@ -12,31 +16,27 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.operators.lookup import State, lookup_join
 from riskweave.session import stored
 
-# Rows of a leaf, about; rows of the sample that the tree is cut from; visitors a task holds.
-LEAF_ROWS, SAMPLE_ROWS, VISITORS = 2_000, 50_000, 4_000
-# Distances computed at once.
+# Rows of a cell, about; rows of the sample that the tree is cut from; bytes of the vectors asked at once.
+LEAF_ROWS, SAMPLE_ROWS, BLOCK_BYTES = 2_000, 50_000, 16 << 20
+# Vectors whose products with a cell are computed at once.
 BLOCK = 256
 
 
 @dataclass
 class Tree:
-    """Inner nodes split ``axis`` at ``value`` (below it goes left); axis -1 is a leaf.
-
-    ``low`` and ``high`` bound the rows below each node; a node without rows has none.
-    """
+    """Inner nodes split ``axis`` at ``value`` (below it goes left); axis -1 is a leaf."""
 
     axis: np.ndarray
     value: np.ndarray
     left: np.ndarray
     right: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
 
     @classmethod
     def cut(cls, sample: np.ndarray, leaf_rows: float) -> Tree:
@@ -56,9 +56,7 @@ class Tree:
             return at
 
         grow(sample)
-        axis, value, left, right = (np.array(c) for c in zip(*nodes))
-        edge = np.full((len(nodes), sample.shape[1]), np.inf)
-        return cls(axis, value, left, right, edge, -edge)
+        return cls(*(np.array(c) for c in zip(*nodes)))
 
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
         node = np.zeros(len(x), np.int64)
@@ -71,115 +69,169 @@ class Tree:
             below = x[rows[open_], self.axis[at]] < self.value[at]
             node[open_] = np.where(below, self.left[at], self.right[at])
 
-    def bound(self, leaves: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        """Boxes of the leaves, and of the nodes above them (children follow their parent)."""
-        self.low[leaves], self.high[leaves] = low, high
-        for node in range(len(self.axis) - 1, -1, -1):
-            if self.axis[node] >= 0:
-                pair = [self.left[node], self.right[node]]
-                self.low[node], self.high[node] = self.low[pair].min(axis=0), self.high[pair].max(axis=0)
-
-    def visits(self, x: np.ndarray, reach: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of all other leaves whose box is within ``reach`` (a squared distance)."""
-        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
-        found = []
-        while len(row):
-            apart = np.maximum(np.maximum(self.low[node] - x[row], x[row] - self.high[node]), 0.0)
-            near = (apart**2).sum(axis=1) <= reach[row]
-            row, node = row[near], node[near]
-            leaf = self.axis[node] < 0
-            found.append((row[leaf], node[leaf]))
-            row, node = row[~leaf], node[~leaf]
-            row, node = np.concatenate([row, row]), np.concatenate([self.left[node], self.right[node]])
-        row, leaf = (np.concatenate(c) for c in zip(*found)) if found else (row, node)
-        other = leaf != own[row]
-        return row[other], leaf[other]
-
-
-def best_of(asked: np.ndarray, x: np.ndarray, keys: np.ndarray, k: int):
-    """For each asked vector the k nearest of ``x``, ties by key: (asked, place in x, d2)."""
-    order = np.argsort(keys, kind="stable")
-    x = x[order]
-    out = []
-    for first in range(0, len(asked), BLOCK):
-        q = asked[first : first + BLOCK]
-        d2 = np.zeros((len(q), len(x)))
-        for f in range(x.shape[1]):
-            d2 += (q[:, f, None] - x[None, :, f]) ** 2
-        best = np.argsort(d2, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(first, first + len(q)), best.shape[1])
-        out.append((rows, order[best.ravel()], np.take_along_axis(d2, best, axis=1).ravel()))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, int),) * 2 + (np.empty(0),)
 
+def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of rows, summed feature by feature."""
+    d2 = np.zeros(len(a))
+    for f in range(a.shape[1]):
+        d2 += (a[:, f] - b[:, f]) ** 2
+    return d2
 
-def nearest_vectors(points: DataFrame, key: str, features: Sequence[str], k: int) -> DataFrame:
-    """(vid, pos, nb, d2, row): the ``k`` nearest points of each vector, itself among them.
 
-    ``points`` has the key, the features, and ``_copy``, 1 for the row that stands for its
-    vector; ``vid`` is that row's key and ``row`` the features of the neighbour.
+class Search:
+    """The ``k`` nearest points of each asked vector, among the points seen so far.
+
+    ``reach`` has squared distances that k points are known to keep; farther ones are not wanted.
     """
-    features = list(features)
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, reach: np.ndarray, k: int):
+        self.ids, self.vectors, self.reach, self.k = ids, vectors, reach.copy(), k
+        self.norms = (vectors**2).sum(axis=1)
+        self.held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        self.fresh: list[tuple] = []
+        self.many = self.looked = 0
+
+    def add(self, keys: np.ndarray, x: np.ndarray) -> None:
+        """Search the points of one cell."""
+        apart = np.maximum(np.maximum(x.min(axis=0) - self.vectors, self.vectors - x.max(axis=0)), 0.0)
+        near = np.flatnonzero((apart**2).sum(axis=1) * (1 - 1e-9) <= self.reach)
+        norms = (x**2).sum(axis=1)
+        for first in range(0, len(near), BLOCK):
+            of = near[first : first + BLOCK]
+            self.looked += len(of) * len(x)
+            # Products are a little off; the slack keeps whatever may be near enough.
+            both = self.norms[of, None] + norms
+            chance = both - 2 * (self.vectors[of] @ x.T) <= self.reach[of, None] + 1e-11 * both
+            a, b = np.nonzero(chance)
+            d2 = squared(self.vectors[of[a]], x[b])
+            good = d2 <= self.reach[of[a]]
+            self.fresh.append((of[a[good]], keys[b[good]], d2[good]))
+            self.many += int(good.sum())
+            if self.many > max(1 << 14, len(self.held[0])):
+                self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(asked, key, squared distance) of the nearest points, ties by key."""
+        of, keys, d2 = (np.concatenate(c) for c in zip(self.held, *self.fresh))
+        order = np.lexsort((keys, d2, of))
+        of, keys, d2 = of[order], keys[order], d2[order]
+        new = np.concatenate(([True], of[1:] != of[:-1])) if len(of) else np.empty(0, bool)
+        rank = np.arange(len(of)) - np.maximum.accumulate(np.where(new, np.arange(len(of)), 0))
+        kept = rank < self.k
+        of, keys, d2, rank = of[kept], keys[kept], d2[kept], rank[kept]
+        last = rank == self.k - 1
+        self.reach[of[last]] = np.minimum(self.reach[of[last]], d2[last])
+        self.held, self.fresh, self.many = (of, keys, d2), [], 0
+        return self.held
+
+
+def cell_runs(batches, width: int):
+    """(cell, keys, _copy, points) of each run of rows of one cell, over the borders of batches."""
+    held: list[tuple] = []
+    size = 0
+
+    def flush():
+        return held[0][0], *(np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+
+    for batch in batches:
+        cell, keys, copy = (batch.column(i).to_numpy() for i in range(3))
+        x = np.column_stack([batch.column(3 + i).to_numpy() for i in range(width)]) if len(batch) else np.empty((0, width))
+        ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)) if len(cell) else []
+        first = 0
+        for end in ends:
+            if held and (held[0][0] != cell[first] or size >= 4 * LEAF_ROWS):
+                yield flush()
+                held, size = [], 0
+            held.append((cell[first], keys[first:end], copy[first:end], x[first:end]))
+            size += end - first
+            first = end
+    if held:
+        yield flush()
+
+
+def _cells(points: DataFrame, key: str, features: list[str]) -> tuple[DataFrame, int]:
+    """The points in the order of their cells (cell, key, _copy, features), and their number."""
     spark = points.sparkSession
     n = points.count()
     share = int((1 << 30) * min(1.0, SAMPLE_ROWS / max(n, 1)))
     sample = points.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < share).select(*features).toPandas()
     tree = Tree.cut(sample.to_numpy(dtype=float).reshape(-1, len(features)), LEAF_ROWS * len(sample) / max(n, 1))
     cut = spark.sparkContext.broadcast(tree)
-    types = f"`{key}` bigint, _copy int, " + ", ".join(f"`{f}` double" for f in features)
 
     def place(batches):
-        for pdf in batches:
-            yield pdf.assign(leaf=cut.value.leaf_of(pdf[features].to_numpy(dtype=float)))
+        for batch in batches:
+            x = np.column_stack([batch.column(2 + i).to_numpy() for i in range(len(features))])
+            yield pa.RecordBatch.from_arrays([pa.array(cut.value.leaf_of(x)), *batch.columns], names=["leaf", *batch.schema.names])
 
+    types = f"`{key}` bigint, _copy int, " + ", ".join(f"`{f}` double" for f in features)
     rows = points.select(F.col(key).cast("bigint").alias(key), F.col("_copy").cast("int").alias("_copy"), *features)
-    located = stored(rows.mapInPandas(place, types + ", leaf bigint"), "leaves")
-
-    # One row a leaf: n / LEAF_ROWS of them.
-    ends = [F.min(f).alias(f"lo{i}") for i, f in enumerate(features)] + [F.max(f).alias(f"hi{i}") for i, f in enumerate(features)]
-    boxes = located.groupBy("leaf").agg(*ends).toPandas()
-    low = boxes[[f"lo{i}" for i in range(len(features))]].to_numpy(dtype=float)
-    high = boxes[[f"hi{i}" for i in range(len(features))]].to_numpy(dtype=float)
-    tree.bound(boxes["leaf"].to_numpy(dtype=np.int64), low, high)
-    bounded = spark.sparkContext.broadcast(tree)
-
-    found_type = "vid bigint, nb bigint, d2 double, row array<double>"
-
-    def answer(asked: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        x = members[features].to_numpy(dtype=float)
-        q = asked[features].to_numpy(dtype=float)
-        at, place_, d2 = best_of(q, x, members[key].to_numpy(), k)
-        if "reach" in asked:
-            near = d2 <= asked["reach"].to_numpy()[at]
-            at, place_, d2 = at[near], place_[near], d2[near]
-        return pd.DataFrame(
-            {"vid": asked[key].to_numpy()[at], "nb": members[key].to_numpy()[place_], "d2": d2, "row": list(x[place_])}
-        )
-
-    own = stored(
-        located.groupBy("leaf").applyInPandas(lambda pdf: answer(pdf[pdf["_copy"] == 1], pdf), found_type), "nearest"
-    )
-    reach = own.groupBy("vid").agg(F.when(F.count(F.lit(1)) == k, F.max("d2")).otherwise(float("inf")).alias("reach"))
-    asking = located.filter("_copy = 1").join(reach, F.col("vid") == F.col(key)).drop("vid", "_copy")
-
-    def visit(batches):
-        for pdf in batches:
-            row, leaf = bounded.value.visits(
-                pdf[features].to_numpy(dtype=float), pdf["reach"].to_numpy(), pdf["leaf"].to_numpy()
-            )
-            yield pdf.iloc[row].assign(leaf=leaf)
-
-    ask_type = ", ".join(f"`{c}` {t}" for c, t in asking.dtypes)
-    visits = stored(asking.mapInPandas(visit, ask_type), "visits")
-    chunks = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("chunks"))
-    chunks = stored(chunks, "chunks")
-    dealt = visits.join(chunks, "leaf").withColumn("chunk", F.pmod(F.xxhash64(F.col(key)), F.col("chunks").cast("bigint")))
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)
-    hosts = located.join(chunks, "leaf").withColumn("chunk", F.explode(numbers))
-    others = (
-        dealt.drop("chunks").groupBy("leaf", "chunk").cogroup(hosts.drop("chunks").groupBy("leaf", "chunk"))
-        .applyInPandas(answer, found_type)
-    )
-    best = Window.partitionBy("vid").orderBy("d2", "nb")
-    ranked = own.unionByName(others).withColumn("pos", F.row_number().over(best)).filter(F.col("pos") <= k)
-    row = F.struct(*[F.col("row")[i].alias(f) for i, f in enumerate(features)])
-    return ranked.select("vid", "pos", "nb", "d2", row.alias("row"))
+    located = stored(rows.mapInArrow(place, "leaf bigint, " + types), "leaves")
+    # The tree has as many leaves as its sample has rows, at most; large ones are divided.
+    leaves = located.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF_ROWS)).alias("parts"))
+    cell = F.col("leaf") * F.lit(1 << 32) + F.pmod(F.xxhash64(key, F.lit("cell")), F.col("parts"))
+    dealt = located.join(F.broadcast(leaves), "leaf").select(cell.alias("cell"), key, "_copy", *features)
+    return stored(dealt.repartition("cell").sortWithinPartitions("cell"), "cells"), n
+
+
+def nearest_vectors(points: DataFrame, key: str, features: Sequence[str], k: int) -> DataFrame:
+    """(vid, pos, nb, d2, row): the ``k`` nearest points of each vector, itself among them.
+
+    ``points`` has the key, the features, and ``_copy``, 1 for the row that stands for its
+    vector; ``vid`` is that row's key and ``row`` the features of the neighbour.
+    """
+    features = list(features)
+    spark, width = points.sparkSession, len(features)
+    cells, n = _cells(points, key, features)
+    found_type = "vid bigint, nb bigint, d2 double"
+
+    def as_rows(search: Search) -> pa.RecordBatch:
+        of, keys, d2 = search.settle()
+        return pa.RecordBatch.from_arrays([pa.array(search.ids[of]), pa.array(keys), pa.array(d2)], names=["vid", "nb", "d2"])
+
+    def own_cell(batches):
+        for _, keys, copy, x in cell_runs(batches, width):
+            asked = copy == 1
+            search = Search(keys[asked], x[asked], np.full(asked.sum(), np.inf), k)
+            search.add(keys, x)
+            yield as_rows(search)
+
+    own = stored(cells.mapInArrow(own_cell, found_type), "nearest")
+    vectors = cells.filter("_copy = 1").select(F.col(key).alias("vid"), *features)
+    blocks = max(1, -(-n * (width + 2) * 8 // BLOCK_BYTES))
+    rounds = max(0, n // LEAF_ROWS).bit_length()
+    # The share of points that a round adds: 2**-rounds at first, then as many as all before.
+    turn = F.pmod(F.xxhash64(key, F.lit("turn")), F.lit(1 << rounds))
+    parts = []
+    for block in range(blocks):
+        in_block = F.pmod(F.xxhash64("vid", F.lit("block")), F.lit(blocks)) == block
+        best = own.filter(in_block)
+        asked = vectors.filter(in_block).orderBy("vid").toArrow()
+        ids = asked["vid"].to_numpy()
+        x = np.column_stack([asked[f].to_numpy() for f in features]) if len(ids) else np.empty((0, width))
+        for r in range(rounds + 1 if len(ids) else 0):
+            last = best.groupBy("vid").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2")).filter(F.col("n") == k)
+            last = last.select("vid", "d2").toArrow()
+            reach = np.full(len(ids), np.inf)
+            reach[np.searchsorted(ids, last["vid"].to_numpy())] = last["d2"].to_numpy()
+            shared = spark.sparkContext.broadcast((ids, x, reach))
+
+            def scan(batches, shared=shared):
+                search = Search(*shared.value, k)
+                for _, keys, _, points_ in cell_runs(batches, width):
+                    search.add(keys, points_)
+                yield as_rows(search)
+
+            these = cells.filter((turn >= (1 << r >> 1)) & (turn < (1 << r)))
+            both = best.unionByName(these.mapInArrow(scan, found_type)).distinct()
+            order = Window.partitionBy("vid").orderBy("d2", "nb")
+            best = stored(both.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= k).drop("pos"), "nearest")
+        parts.append(best)
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    order = Window.partitionBy("vid").orderBy("d2", "nb")
+    found = stored(found.withColumn("pos", F.row_number().over(order)), "nearest")
+    # The features of the neighbours; a point that is near to very many is a hot key.
+    uses = found.groupBy("nb").agg(F.count(F.lit(1)).alias("_uses"))
+    used = cells.select(F.col(key).alias("nb"), F.struct(*features).alias("row")).join(uses, "nb")
+    return lookup_join(found, State.of(used, "nb", "_uses"), "vid").select("vid", "pos", "nb", "d2", "row")

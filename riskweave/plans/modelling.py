@@ -327,6 +327,26 @@ def smote_knn(spark: SparkSession, d: str) -> DataFrame:
     return rounded(I.nearest(minority, S.KEY, NEAR, 5).drop("neighbour_row"))
 
 
+# Forty columns: remainders of the three by as many numbers, so that no column follows from another.
+WIDE = [f"w{i}" for i in range(40)]
+WIDE_SQL = [f"(floor({NEAR[i % 3]} * 7) * {i + 3}) % {29 + 2 * i}" for i in range(40)]
+
+
+@query(
+    "smote_knn_wide",
+    sql(f"""select TransactionID, cast(rank as int) as rank, neighbour, {r('sqrt(d2)')} as distance from (
+      select *, row_number() over (partition by TransactionID order by d2, neighbour) as rank from (
+        select a.TransactionID, b.TransactionID as neighbour, {' + '.join(f'(a.{c} - b.{c}) * (a.{c} - b.{c})' for c in WIDE)} as d2
+        from wide a join wide b on a.TransactionID <> b.TransactionID)) where rank <= 5""",
+        MINORITY + ", wide as (select TransactionID, " + ", ".join(f"{e} as {c}" for c, e in zip(WIDE, WIDE_SQL)) + " from mi)"),
+)
+def smote_knn_wide(spark: SparkSession, d: str) -> DataFrame:
+    """The neighbour search in many columns, where boxes prune little."""
+    minority = _dense(spark, d).filter(F.col(S.LABEL) == 1)
+    wide = minority.select(S.KEY, *[F.expr(e).alias(c) for c, e in zip(WIDE, WIDE_SQL)])
+    return rounded(I.nearest(stored(wide, "wide"), S.KEY, WIDE, 5).drop("neighbour_row"))
+
+
 def _unit(seed: int) -> str:
     return (f"(cast('0x' || substring(md5(concat(cast(TransactionID as string), '#', cast(copy as string), '|{seed}')), 1, 12) "
             "as bigint) / 281474976710656.0::double)")

@@ -100,7 +100,7 @@ def test_class_weights(spark):
 def test_neighbours_with_two_valued_columns(spark, monkeypatch, leaf):
     """Eight columns, five of them two-valued: exact for any leaf size."""
     monkeypatch.setattr(N, "LEAF_ROWS", leaf)
-    monkeypatch.setattr(N, "VISITORS", 16)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 5_000)
     rng = np.random.default_rng(11)
     x = np.column_stack([rng.integers(0, 2, (300, 5)) * 100.0, rng.normal(size=(300, 3))])
     names = [f"f{i}" for i in range(8)]
@@ -114,19 +114,50 @@ def test_neighbours_with_two_valued_columns(spark, monkeypatch, leaf):
         assert [got[i][p] for p in (1, 2, 3)] == order
 
 
-def test_a_search_visits_few_leaves():
-    """Candidate pairs per row stay far below all rows where the data has structure."""
+@pytest.mark.parametrize("spread", [1.0, 1e6])
+def test_neighbours_in_forty_columns(spark, monkeypatch, spread):
+    """Many columns, some far from zero, hubs and ties: exact, and stored rows stay k a vector."""
+    monkeypatch.setattr(N, "LEAF_ROWS", 60)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 100_000)
+    written = []
+    real = N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name="table": (lambda out: (written.append((name, out)), out)[1])(real(df, name)))
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(900, 40)), 1) + spread * (np.arange(40) % 3 == 0)
+    x[:300] = x[0] + 0.1 * rng.integers(0, 2, (300, 40))
+    names = [f"f{i}" for i in range(40)]
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "k long, " + ", ".join(f"{n} double" for n in names))
+    got = {}
+    for r in I.nearest(df, "k", names, 4).collect():
+        got.setdefault(r.k, {})[r["rank"]] = r.neighbour
+        assert list(r.neighbour_row) == x[r.neighbour].tolist()
+    distinct = len(np.unique(x, axis=0))
+    for i in range(900):
+        d = N.squared(np.repeat(x[i : i + 1], 900, axis=0), x)
+        order = sorted((j for j in range(900) if j != i), key=lambda j: (d[j], j))[:4]
+        assert [got[i][p] for p in (1, 2, 3, 4)] == order
+    assert all(out.count() <= 5 * distinct + 900 for _, out in written)
+
+
+def test_boxes_and_rounds_spare_work():
+    """Where the data has structure, few products are looked at; where not, results per task stay few."""
     rng = np.random.default_rng(2)
     x = rng.normal(size=(6000, 3))
     tree = N.Tree.cut(x, 50)
     leaf = tree.leaf_of(x)
-    ids = np.unique(leaf)
     assert np.bincount(leaf).max() <= 50
-    tree.bound(ids, np.array([x[leaf == i].min(axis=0) for i in ids]), np.array([x[leaf == i].max(axis=0) for i in ids]))
-    reach = np.empty(len(x))
-    for i in ids:
-        mine = np.flatnonzero(leaf == i)
-        at, _, d2 = N.best_of(x[mine], x[mine], mine, 6)
-        reach[mine] = d2.reshape(-1, 6)[:, -1]
-    row, _ = tree.visits(x, reach, leaf)
-    assert len(row) / len(x) < 12  # of 128 leaves or more
+    search = N.Search(np.arange(300), x[:300], np.full(300, np.inf), 6)
+    own = [np.flatnonzero(leaf == i) for i in np.unique(leaf)]
+    for mine in own:
+        asked = mine[mine < 300]
+        first = N.Search(asked, x[asked], np.full(len(asked), np.inf), 6)
+        first.add(mine, x[mine])
+        first.settle()
+        search.reach[asked] = first.reach
+    for mine in own:
+        search.add(mine, x[mine])
+    assert search.looked < 0.15 * 300 * 6000
+    of, keys, _ = search.settle()
+    for i in range(300):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        assert keys[of == i].tolist() == np.argsort(d, kind="stable")[:6].tolist()
