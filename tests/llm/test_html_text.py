@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ CASES = [
     ("<ARTICLE><P>Upper, case.</P><TABLE><TR><TD>c1<TD>c2</TABLE></ARTICLE>", "Upper, case.\nc1\nc2"),
     ("<article><p>cut &amp", "cut &"),
     ("<p>a</p><!-- never closed <p>b</p>", "a"),
+    ("<header><h1>Site, name.</h1></header><article><header><h1>Big title</h1><p>By A. Writer</p></header><p>Body, text.</p>"
+     "<footer>Foot, er.</footer></article>", "Big title\nBy A. Writer\nBody, text."),
+    ('<article><div class="social-contract"><p>On it, at length.</p></div><p id="form">Form, and matter.</p>'
+     '<div class="social-links">Share, it.</div><p class="ad">Buy, now.</p></article>', "On it, at length.\nForm, and matter."),
+    ('<article><p title="never closed>Text, here.</p><p>More, of it.</p></article>', "Text, here.\nMore, of it."),
+    ("<article><p>x < y, <b and so on", "x < y, <b and so on"),
+    ("<article><p>x <b unclosed <!-- no --> after", "x after"),
 ]
 
 
@@ -82,3 +90,22 @@ SIDE = '<div class="sidebar"><p>Side, text.</p></div><section id="comments"><art
 )
 def test_wrappers_whose_name_speaks_of_other_parts(page):
     assert h.extract(page) == TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<a "' * 250_000,
+        "<article>" + '<a "' * 250_000 + ">",
+        "<p x='\">" * 130_000,
+        "<div>" * 100_000 + "deep, text. And more.",
+        "".join(f"<div>w{i}, x." for i in range(100_000)),
+        "<x>" * 100_000 + "<p>deep, text." + "</x>" * 100_000,
+        "<!--" * 200_000,
+        "</div>" * 150_000,
+    ],
+)
+def test_long_pages_take_time_by_their_length(page):
+    start = time.process_time()
+    h.extract(page)
+    assert time.process_time() - start < 10
