@@ -9,7 +9,9 @@ most the ``ACCEPT`` quantile of held-back training texts of that language.
 
 Defined cases: a null text and a text without letters are ``und`` with score 0.0 and not
 accepted; characters outside the training texts cost the uniform share; repeated rows agree;
-ties go to the first language by name; without training rows every text is ``und``.
+ties go to the first language by name; without training rows every text is ``und``; every language
+with a training row is learned, also where rows share an id or a text or have none; an empty table gives
+an empty one; texts are scored whole, word by word, and words beyond ``LONGEST`` letters in pieces.
 Further columns are carried along; one named like a new column gives way to it.
 """
 
@@ -179,16 +181,24 @@ def kneser_ney(counts: dict[str, dict[str, int]]) -> LanguageModels:
 
 
 def _sample(docs: DataFrame, keep: Column) -> DataFrame:
-    """(lang, text, part): about ``SAMPLE`` texts of each language, chosen by the hash of the id."""
+    """(lang, text, part): about ``SAMPLE`` rows of each language, chosen by a hash of id and text.
+
+    Rows that share an id, or have none, are chosen by their texts; equal rows go together. The row of
+    the least hash is always there, and learned from, so no language is left without a text.
+    """
     rows = docs.filter(keep & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     wide = 1 << 30
-    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    shares = shares.select("lang", F.least(F.lit(1.0), SAMPLE / F.col("n")).alias("share"))
-    dealt = F.xxhash64("doc_id", F.lit("language"))
+    rows = rows.withColumn("dealt", F.xxhash64("doc_id", "text", F.lit("language")))
+    turn = F.pmod("dealt", F.lit(wide))
+    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(turn, "dealt")).alias("least"))
+    shares = shares.select("lang", F.least(F.lit(1.0), SAMPLE / F.col("n")).alias("share"), "least.dealt")
+    shares = shares.withColumnRenamed("dealt", "first")
+    sure = F.col("dealt") == F.col("first")
+    part = F.when(sure, 1).otherwise(F.pmod(F.shiftright("dealt", 32), F.lit(HELD_BACK)))
     return (
         rows.join(F.broadcast(shares), "lang")
-        .filter(F.pmod(dealt, F.lit(wide)) < F.col("share") * wide)
-        .select("lang", "text", F.pmod(F.shiftright(dealt, 32), F.lit(HELD_BACK)).alias("part"))
+        .filter((turn < F.col("share") * wide) | sure)
+        .select("lang", "text", part.alias("part"))
     )
 
 

@@ -1,8 +1,10 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.llm import language_id as li
 from riskweave.llm.queries import op10_language_id
@@ -106,3 +108,22 @@ def test_odd_rows(spark):
     none = li.fit(no_docs(spark), li.F.lit(True))
     assert {r.lang_pred for r in li.predict(odd_docs(spark), none).collect()} == {"und"}
     assert li.predict(no_docs(spark), models).collect() == []
+
+
+def test_every_language_is_learned_whatever_its_ids(spark):
+    """Rows of one id, rows without id, and copies of one text."""
+    rng = random.Random(9)
+    words = {"de": "und der die das nicht ein mit auch".split(), "en": "the and of that with have this from".split(),
+             "fr": "le la les des une avec pour dans".split(), "it": "che non una per sono come con gli".split()}
+    text = lambda x: " ".join(rng.choices(words[x], k=12))
+    rows = [(None, text("en"), "en") for _ in range(3000)] + [(5, text("de"), "de") for _ in range(3000)]
+    copy = text("fr")
+    rows += [(i, copy, "fr") if i % 2 else (5, copy, "fr") for i in range(3000)] + [(9, text("it"), "it")]
+    rows += [(7, None, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = {r.lang: r["count"] for r in li._sample(docs, F.lit(True)).groupBy("lang").count().collect()}
+    assert sizes["it"] == 1 and all(250 < sizes[x] < 550 for x in ("en", "de"))
+    models = li.fit(docs, F.lit(True))
+    assert {"de", "en", "fr", "it"} <= set(models.languages)
+    got = li.predict(spark.createDataFrame([(x, text(x)) for x in words], "want string, text string"), models).collect()
+    assert all(r.want == r.lang_pred for r in got)
