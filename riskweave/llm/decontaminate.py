@@ -17,12 +17,16 @@ of its question (all sentences but the last) and of its answer (the last one) at
 
 Words are runs of letters, digits and non-ASCII characters, A-Z as a-z, compared by a 64-bit
 hash. The index is built from a bounded number of item bytes at a time (``INDEX_BYTES``);
-larger benchmarks are searched shard by shard.
+larger benchmarks are searched shard by shard, with the document frequencies and the mean length of
+the whole benchmark, so that scores do not depend on the shards.
 
-Defined cases: null and empty texts hold nothing; items with fewer than ``LEAST`` words are
-too short to be told from chance and are not indexed; copies of an item are all reported;
+Items with fewer than ``LEAST`` words are too short for shares of shingles: a text holds one if its
+words stand there in a row, and its score and overlaps are 1.
+
+Defined cases: null and empty texts hold nothing; items without words are in no text; copies of an
+item are all reported, items without item_id with a null one;
 repeated rows are reported alike, rows without doc_id with a null id; an empty benchmark or
-an empty table gives no rows.
+an empty table gives no rows; texts are searched whole, passage by passage.
 Further columns are carried along; one named like a new column gives way to it.
 """
 
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.common import PUNCT, append_columns, chunk_words, word_hashes, word_runs
+from riskweave.session import stored
 
 K1, B = 1.2, 0.75
 #: Least share of a part's own score, and least share of its question's and answer's shingles.
@@ -87,9 +93,30 @@ def halves(text: str) -> tuple[np.ndarray, np.ndarray]:
     return words[: len(words) // 2], words[len(words) // 2 :]
 
 
+def parts_of(text: str | None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, words of the question, of the answer) of the parts of an item; none of a short one."""
+    question, answer = halves(text or "")
+    words = np.concatenate([question, answer])
+    if len(words) < LEAST:
+        return []
+    # Parts of equal length, so that no part is a short rest.
+    n = -(-len(words) // SPAN)
+    cuts = [(len(words) * i // n, len(words) * (i + 1) // n) for i in range(n)]
+    return [(words[a:b], words[a : min(b, len(question))], words[max(a, len(question)) : b]) for a, b in cuts]
+
+
+@dataclass
+class Statistics:
+    """Parts of a benchmark, their words, and in how many parts a word is."""
+
+    parts: int
+    words: int
+    df: dict[int, int]
+
+
 @dataclass
 class Part:
-    item: int
+    item: int | None
     words: np.ndarray
     impacts: np.ndarray
     question: np.ndarray
@@ -99,32 +126,30 @@ class Part:
 class Index:
     """Blocks of parts with their words, block maxima, and essential words."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        cut = []
-        for item, text in items:
-            question, answer = halves(text or "")
-            words = np.concatenate([question, answer])
-            if len(words) < LEAST:
-                continue
-            # Parts of equal length, so that no part is a short rest.
-            n = -(-len(words) // SPAN)
-            for i in range(n):
-                a, b = len(words) * i // n, len(words) * (i + 1) // n
-                q, s = words[a : min(b, len(question))], words[max(a, len(question)) : b]
-                cut.append((item, words[a:b], q, s))
-        df: dict[int, int] = {}
-        for _, words, _, _ in cut:
-            for w in np.unique(words).tolist():
-                df[w] = df.get(w, 0) + 1
-        mean = sum(len(c[1]) for c in cut) / max(len(cut), 1)
+    def __init__(self, items: list[tuple[int | None, str]], statistics: Statistics | None = None):
+        """``statistics`` are those of the whole benchmark; by default of ``items``."""
+        cut = [(item, *part) for item, text in items for part in parts_of(text)]
+        if statistics is None:
+            df: dict[int, int] = {}
+            for _, words, _, _ in cut:
+                for w in np.unique(words).tolist():
+                    df[w] = df.get(w, 0) + 1
+            statistics = Statistics(len(cut), sum(len(c[1]) for c in cut), df)
+        many, df, mean = statistics.parts, statistics.df, statistics.words / max(statistics.parts, 1)
+        # Short items by their number of words: the hash of all of them, and the item.
+        self.short: dict[int, tuple[np.ndarray, list]] = {}
+        brief = [(item, w) for item, text in items if 0 < len(w := np.concatenate(halves(text or ""))) < LEAST]
+        for n in {len(w) for _, w in brief}:
+            found = sorted((int(word_runs(w, n)[0]), (item is None, item or 0), item) for item, w in brief if len(w) == n)
+            self.short[n] = np.array([f[0] for f in found], np.uint64), [f[2] for f in found]
         self.parts = []
         for item, words, q, a in cut:
             terms, tf = np.unique(words, return_counts=True)
-            idf = np.array([math.log(1 + (len(cut) - df[w] + 0.5) / (df[w] + 0.5)) for w in terms.tolist()])
+            idf = np.array([math.log(1 + (many - df[w] + 0.5) / (df[w] + 0.5)) for w in terms.tolist()])
             gain = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
             self.parts.append(Part(item, terms, gain / gain.sum(), q, a))
         # Parts that share words stand together, which keeps block maxima tight.
-        self.parts.sort(key=lambda p: (p.words[np.argmax(p.impacts)], p.item))
+        self.parts.sort(key=lambda p: (p.words[np.argmax(p.impacts)], p.item is None, p.item or 0))
         rank = {}
         for _, text in items:
             rank.update(word_lengths(text))
@@ -206,17 +231,52 @@ class Index:
                     item = parts[i].item
                     old = found[t].get(item, (0.0, 0.0, 0.0))
                     found[t][item] = max(old, (round(float(scores[i]), 9), q, s))
+        for n, (keys, items) in self.short.items():
+            runs = word_runs(words, n)
+            first = np.searchsorted(keys, runs)
+            for place in np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == runs).tolist():
+                t = int(np.searchsorted(at, place, "right")) - 1
+                if place + n <= at[t + 1]:  # not over the end of a text
+                    i = first[place]
+                    while i < len(keys) and keys[i] == runs[place]:
+                        found[t][items[i]] = (1.0, 1.0, 1.0)
+                        i += 1
         return found
 
 
-def _shards(benchmark: DataFrame) -> list[Index]:
+def _word_counts(items: DataFrame) -> DataFrame:
+    """(word, df, size): in how many parts each word is; the row without a word counts parts and words."""
+
+    def run(batches):
+        for batch in batches:
+            word, size = [], []
+            for text in batch.column(0).to_pylist():
+                for words, _, _ in parts_of(text):
+                    own = np.unique(words).view(np.int64).tolist()
+                    word += [None, *own]
+                    size += [len(words), *[0] * len(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(size, pa.int64())], names=["word", "size"])
+
+    parts = items.select("text").mapInArrow(run, "word long, size long")
+    return parts.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("size").alias("size"))
+
+
+def _shards(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes over hash shards of the items, each of bounded size."""
-    items = benchmark.select("item_id", "text").dropna().distinct()
+    items = benchmark.select("item_id", "text").dropna(subset=["text"]).distinct()
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = int(size // (INDEX_BYTES // 2)) + 1
+    counts = stored(_word_counts(items), "item-words") if n > 1 else None
     for shard in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == shard)
-        yield Index(sorted((r["item_id"], r["text"]) for r in rows.toLocalIterator()))
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == shard)
+        rows = sorted(((r["item_id"], r["text"]) for r in mine.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        statistics = None
+        if counts is not None:
+            whole = counts.filter("word is null").first()
+            own = counts.join(_word_counts(mine).select("word"), "word").toArrow()
+            df = dict(zip(own["word"].to_numpy().view(np.uint64).tolist(), own["df"].to_pylist(), strict=True))
+            statistics = Statistics(whole["df"] if whole else 0, whole["size"] if whole else 0, df)
+        yield Index(rows, statistics)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, name: str = "found") -> DataFrame:
@@ -235,7 +295,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, name: str = "found") -> DataF
                 rows = []
                 for _, _, words, at in chunk_words(texts, PUNCT):
                     for hits in index.search(words, at):
-                        rows.append([dict(zip(names, (k, *v), strict=True)) for k, v in sorted(hits.items())])
+                        rows.append([dict(zip(names, (k, *v), strict=True)) for k, v in sorted(hits.items(), key=lambda h: (h[0] is None, h[0] or 0))])
                 return (pa.array(rows, kind),)
 
             return fn

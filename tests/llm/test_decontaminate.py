@@ -96,10 +96,34 @@ def test_shards_and_odd_rows(spark, monkeypatch):
     rows = d.matches(docs, items, "hits").collect()
     assert len(rows) == 11
     for r in rows:
-        assert {h.item_id for h in r.hits} == ({90, 91} if r.doc_id in (1, 2) else set())
+        assert {h.item_id for h in r.hits} == ({90, 91, None} if r.doc_id in (1, 2) else set())
     monkeypatch.setattr(d, "INDEX_BYTES", 2000)
     assert len(list(d._shards(items))) > 2
     again = d.matches(docs, items, "hits").collect()
     assert [{h.item_id for h in r.hits} for r in again] == [{h.item_id for h in r.hits} for r in rows]
     assert all(r.hits == [] for r in d.matches(docs, items.limit(0), "hits").collect())
     assert d.matches(no_docs(spark), items).collect() == []
+
+
+def test_short_items_by_their_words_in_a_row(spark):
+    texts = ["Yes, no. It is Paris, of course", "paris OF course it is", "it is", "", "of course it", "is paris"]
+    items = [(1, "It is Paris!"), (2, "course"), (3, "is Paris of course"), (4, "Paris of course it is"), (5, "... "), (None, "no it"), (6, "It is Paris!")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = d.matches(docs, spark.createDataFrame(items, "item_id long, text string"), "hits").orderBy("doc_id").collect()
+    plain = lambda t: " " + " ".join("".join(c if c.isalnum() else " " for c in t.lower()).split()) + " "
+    for r in found:
+        want = {i for i, t in items if i != 4 and plain(t).strip() and plain(t) in plain(r.text)}
+        assert {h.item_id for h in r.hits} - {4} == want
+    assert all(h.score == 1.0 for r in found for h in r.hits if h.item_id != 4)
+
+
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{path}/benchmark.parquet")
+    rows = lambda: [tuple(r) for r in d.matches(docs, items, "hits").select("doc_id", "hits").orderBy("doc_id").collect()]
+    whole = rows()
+    assert any(h for _, h in whole)
+    monkeypatch.setattr(d, "INDEX_BYTES", 6000)
+    assert len(list(d._shards(items))) > 2
+    assert rows() == whole
