@@ -29,8 +29,11 @@ from riskweave.functions.columns import any_of
 BRACKET_K, EDGES_K = 2000, 4096
 BRACKET_MARGIN = 0.005
 SKETCH_SLOTS = 256
-# Rows strictly inside a bracket that one task may rank; the same at every table size.
-CANDIDATE_LIMIT = 4_096
+# Rows strictly inside a bracket that one task may rank, and rows in all brackets together; the same
+# at every table size. Each narrowing saved is two passes over the table.
+CANDIDATE_LIMIT, CANDIDATES = 1 << 17, 1 << 22
+# Rounds after which a bracket that no sketch narrows is ranked as it is.
+MOST_ROUNDS = 12
 # Rows in a value range, about, and the most ranges that a sketch can tell apart.
 RANGE_ROWS, MOST_RANGES = 1 << 21, 1 << 14
 
@@ -162,6 +165,7 @@ class Pick:
     high: float | int | None = None
     margin: float = BRACKET_MARGIN
     settled: bool = False
+    rounds: int = 0
 
     def between(self) -> Column:
         c = F.col(self.column)
@@ -204,8 +208,11 @@ class Pick:
                 self.below, self.at_low = below + at_low, 0
             if last < self.below + self.at_low + between:
                 self.at_high = 0
-        # Doubles cannot tell values apart any more: what is left is a few hundred of them.
-        self.settled = self.open >= before
+        # Doubles cannot tell values apart any more: what is left is a few hundred of them. A margin
+        # widened to the whole bracket says that of few rows only; of many, another sketch is tried.
+        self.rounds += 1
+        few = self.margin == BRACKET_MARGIN or self.open <= CANDIDATE_LIMIT or self.rounds > MOST_ROUNDS
+        self.settled = self.open >= before and few
 
 
 INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -218,6 +225,7 @@ def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
     that the wanted ranks lie between them; a wrong proposal is widened. A heavy value ends up
     as a bound: it is the answer, or it is left out, or it is one distinct value.
     """
+    limit = min(limit, CANDIDATES // max(len(picks), 1))
     while True:
         wide = [p for p in picks if p.open > limit and not p.settled]
         if not wide:
@@ -247,9 +255,9 @@ def _narrow(df: DataFrame, picks: list[Pick], limit: int) -> None:
             got = counts[4 * i : 4 * i + 4]
             if got[0] > min(p.ranks) or sum(got) <= max(p.ranks):
                 p.margin *= 4
-                p.settled = p.margin > 4
                 continue
             p.shrink(low, high, got)
+            p.margin = BRACKET_MARGIN
 
 
 def _parts(c: Column, low, high) -> dict[str, Column]:

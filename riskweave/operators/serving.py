@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import decide, r6
-from riskweave.operators.order import quantile_table
+from riskweave.operators.order import quantile_table, range_edges, with_ranges
+from riskweave.session import stored
 from riskweave.sources import schema as S
 from riskweave.sources.tables import trailing_window
 
@@ -128,20 +129,78 @@ def predictions_on(log: DataFrame, day: dt.date) -> DataFrame:
     )
 
 
-def windowed_rate(
-    log: DataFrame, length: str, slide: str | None = None, accuracy: int = 1_000_000
-) -> DataFrame:
-    """Count, predicted rate and latency per event-time window (batch and stream alike).
+# Value ranges that percentiles of windows are looked up in.
+LATENCY_RANGES = 256
+_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
+
+
+def seconds(interval: str) -> int:
+    """Seconds of an interval like "24 hours"."""
+    n, unit = interval.split()
+    return int(n) * _SECONDS[unit.rstrip("s").lower()]
+
+
+def pane_counts(log: DataFrame, length: str) -> DataFrame:
+    """(pane, latency_ms, prediction, w): how often each pair of values occurs in each pane.
+
+    A pane is a tumbling window, by its start in seconds. For batches and streams.
+    """
+    pane = F.window("timestamp", length)
+    counts = log.groupBy(pane.alias("_w"), "latency_ms", "prediction").agg(F.count(F.lit(1)).alias("w"))
+    return counts.select(F.unix_timestamp("_w.start").alias("pane"), "latency_ms", "prediction", "w")
+
+
+def window_metrics(counts: DataFrame, length: str, slide: str) -> DataFrame:
+    """Count, predicted rate and latency of each sliding window, from the panes of one slide each.
 
-    Percentiles are sketch percentiles (values of the window, none interpolated) that are
-    exact for windows of fewer than ``accuracy`` rows.
+    Exact, whatever a window holds: rows of the log are not copied to their windows. Panes add up
+    to windows; for percentiles, counts of value ranges do, and only the values of the range that
+    holds a wanted rank go to their windows. ``counts`` is read several times. ``length`` must
+    be a whole number of slides.
     """
-    percentiles = F.percentile_approx("latency_ms", list(LATENCIES), accuracy)
-    rates = log.groupBy(F.window("timestamp", length, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("prediction").alias("rate"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-        F.max("latency_ms").alias("max_latency_ms"),
-        percentiles.alias("_p"),
+    size, step = seconds(length), seconds(slide)
+    if size % step:
+        raise ValueError(f"{length} is no whole number of {slide}")
+    starts = F.explode(F.sequence(F.col("pane") - (size - step), F.col("pane"), F.lit(step)))
+    seen = F.col("latency_ms").isNotNull()
+    total = {
+        "n": "w", "_p": F.col("prediction") * F.col("w"), "_pn": F.when(F.col("prediction").isNotNull(), F.col("w")),
+        "_l": F.col("latency_ms") * F.col("w"), "_ln": F.when(seen, F.col("w")),
+    }
+    panes = counts.groupBy("pane").agg(*[F.sum(c).alias(n) for n, c in total.items()], F.max("latency_ms").alias("_m"))
+    windows = panes.withColumn("start", starts).groupBy("start").agg(*[F.sum(n).alias(n) for n in total], F.max("_m").alias("_m"))
+
+    edges = range_edges(counts.filter(seen), ["latency_ms"], LATENCY_RANGES)
+    cut = with_ranges(counts.filter(seen), edges).withColumnRenamed("_range_latency_ms", "cell")
+    # Ranks by range: a row for each window and range.
+    cells = cut.groupBy("pane", "cell").agg(F.sum("w").alias("w")).withColumn("start", starts)
+    cells = cells.groupBy("start", "cell").agg(F.sum("w").alias("w"))
+    whole = Window.partitionBy("start")
+    earlier = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    n, before = F.sum("w").over(whole), F.coalesce(F.sum("w").over(earlier), F.lit(0))
+    rank = F.greatest(F.lit(1), F.col("n") - F.floor(F.col("n") - F.col("prob") * F.col("n"))) - 1 - F.col("before")
+    wanted = cells.withColumns({"n": n, "before": before}).withColumn("prob", F.explode(F.array(*map(F.lit, LATENCIES))))
+    wanted = wanted.withColumn("rank", rank).filter((F.col("rank") >= 0) & (F.col("rank") < F.col("w")))
+    panes_of = F.explode(F.sequence(F.col("start"), F.col("start") + (size - step), F.lit(step)))
+    wanted = wanted.select("start", "cell", "prob", "rank", panes_of.alias("pane"))
+    values = cut.groupBy("pane", "cell", "latency_ms").agg(F.sum("w").alias("w")).join(wanted, ["pane", "cell"])
+    values = values.groupBy("start", "prob", "rank", "latency_ms").agg(F.sum("w").alias("w"))
+    upto = Window.partitionBy("start", "prob").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, 0)
+    hit = F.when(F.sum("w").over(upto) > F.col("rank"), F.col("latency_ms"))
+    percentiles = values.select("start", "prob", hit.alias("v")).groupBy("start").agg(
+        *[F.min(F.when(F.col("prob") == p, F.col("v"))).alias(name) for p, name in LATENCIES.items()]
     )
-    return rates.withColumns({n: F.col("_p")[i] for i, n in enumerate(LATENCIES.values())}).drop("_p")
+    stamp = lambda c: F.timestamp_seconds(c)
+    return windows.join(percentiles, "start", "left").select(
+        F.struct(stamp(F.col("start")).alias("start"), stamp(F.col("start") + size).alias("end")).alias("w"),
+        "n",
+        F.try_divide("_p", "_pn").alias("rate"),
+        F.try_divide("_l", "_ln").alias("avg_latency_ms"),
+        F.col("_m").alias("max_latency_ms"),
+        *LATENCIES.values(),
+    )
+
+
+def windowed_rate(log: DataFrame, length: str, slide: str | None = None) -> DataFrame:
+    """Count, predicted rate and latency per event-time window of a batch."""
+    return window_metrics(stored(pane_counts(log, slide or length), "panes"), length, slide or length)

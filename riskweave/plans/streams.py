@@ -76,8 +76,8 @@ CLOSED = "stop <= (select floor(epoch(max(ts)) - 3600) from events)"
 def windows_to_end(spark: SparkSession, d: str, name: str, length: str, slide: str | None):
     path = new_folder(spark, name)
     log = fx.shape_pred_log(events_stream(spark, d))
-    jobs.to_table(jobs.windowed_rates(log, length, slide), path)
-    return mon.window_out(spark.read.parquet(f"{path}/table"))
+    jobs.windowed_rates(log, path, length, slide)
+    return mon.window_out(spark.read.parquet(f"{path}/table").drop("until"))
 
 
 @query(

@@ -6,6 +6,7 @@ Sinks are Parquet tables with a checkpoint, so a restart neither loses nor repea
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators import drift, serving
 from riskweave.operators.features import FeatureEngineer, align_features
-from riskweave.session import remove
+from riskweave.session import exists, remove
 from riskweave.sources import schema as S
 
 EVENTS_SCHEMA = T.StructType(
@@ -40,15 +41,16 @@ def parquet_stream(
     return reader.parquet(folder)
 
 
-def run_to_end(writer) -> None:
+def run_to_end(writer) -> StreamingQuery:
     """Process everything that is there now, then stop."""
     query: StreamingQuery = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    return query
 
 
-def to_table(df: DataFrame, path: str, mode: str = "append", by: Sequence[str] = ()) -> None:
+def to_table(df: DataFrame, path: str, mode: str = "append", by: Sequence[str] = ()) -> StreamingQuery:
     """Run a stream into a Parquet table (exactly once: file log plus checkpoint)."""
     writer = (
         df.writeStream.format("parquet")
@@ -56,7 +58,7 @@ def to_table(df: DataFrame, path: str, mode: str = "append", by: Sequence[str] =
         .option("path", f"{path}/table")
         .option("checkpointLocation", f"{path}/checkpoint")
     )
-    run_to_end(writer.partitionBy(*by) if by else writer)
+    return run_to_end(writer.partitionBy(*by) if by else writer)
 
 
 def score_requests(
@@ -90,10 +92,39 @@ def deduplicated_log(log: DataFrame, late: str = "1 hour") -> DataFrame:
 
 
 def windowed_rates(
-    log: DataFrame, length: str, slide: str | None = None, late: str = "1 hour"
-) -> DataFrame:
-    """Rates per event-time window; a window is final once the watermark passes it."""
-    return serving.windowed_rate(log.withWatermark("timestamp", late), length, slide)
+    log: DataFrame, path: str, length: str, slide: str | None = None, late: str = "1 hour"
+) -> None:
+    """Run a log to its end into panes (``path``/panes) and closed windows (``path``/table).
+
+    The stream keeps the counts of open panes only, whatever the windows overlap; a pane is written
+    once the watermark passes its end, and rows of written panes that come later are dropped. After
+    each run, the windows that the watermark has passed since the run before are made
+    of the panes they span, exactly as in a batch.
+    """
+    spark, slide = log.sparkSession, slide or length
+    counts = serving.pane_counts(log.withWatermark("timestamp", late), slide)
+    day = F.floor(F.col("pane") / 86_400).alias("day")
+    query = to_table(counts.select("*", day), f"{path}/panes", by=["day"])
+    now = watermark(query)
+    done = f"{path}/until"
+    before = max((r[0] for r in spark.read.schema("until long").parquet(done).collect()), default=0) if exists(spark, done) else 0
+    if now <= before:
+        return
+    size = serving.seconds(length)
+    written = spark.read.schema("pane long, latency_ms double, prediction int, w long, day long").parquet(f"{path}/panes/table")
+    # No window that closes now begins before this.
+    open_ = written.filter((F.col("day") >= (before - size) // 86_400) & (F.col("pane") > before - size))
+    end = F.col("w.end").cast("long")
+    closed = serving.window_metrics(open_.drop("day"), length, slide).filter((end > before) & (end <= now))
+    closed.write.mode("overwrite").parquet(f"{path}/table/until={now}")
+    spark.createDataFrame([(now,)], "until long").coalesce(1).write.mode("append").parquet(done)
+
+
+def watermark(query: StreamingQuery) -> int:
+    """The watermark of a query that has ended, in whole seconds; 0 if it saw nothing."""
+    stamps = [p["eventTime"].get("watermark") for p in query.recentProgress if p["eventTime"]]
+    last = max((x for x in stamps if x), default="1970-01-01T00:00:00.000Z")
+    return int(dt.datetime.fromisoformat(last.replace("Z", "+00:00")).timestamp())
 
 
 def windowed_rate_drift(

@@ -37,21 +37,56 @@ def test_closed_windows_equal_the_batch_twin(spark, tmp_path):
     data = [rows(1, 5, 20), rows(25, 30, start=3), rows(49, 60, 80, start=5)]
     for i, d in enumerate(data):
         put(spark, src, i, d)
-    jobs.to_table(jobs.windowed_rates(stream(spark, src), "1 day"), out)
+    jobs.windowed_rates(stream(spark, src), out, "1 day")
     got = windows(spark.read.parquet(f"{out}/table"))
     twin = windows(serving.windowed_rate(spark.createDataFrame(sum(data, []), S.PREDICTION_LOG_SCHEMA), "1 day"))
     last = max(twin)
     assert got == {k: v for k, v in twin.items() if k != last}
 
 
+def test_sliding_windows_over_restarts_equal_the_batch_twin(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    rng = random.Random(6)
+    steps = [sorted(rng.uniform(a, a + 9) for _ in range(40)) for a in (0, 9, 18, 40)] + [[90.5, 91]]
+    data = [rows(*h, start=100 * i) for i, h in enumerate(steps)]
+    for i, d in enumerate(data):
+        put(spark, src, i, d)
+        jobs.windowed_rates(stream(spark, src), out, "6 hours", "1 hour")
+    made = {tuple(r["w"]): tuple(r)[1:] for r in spark.read.parquet(f"{out}/table").drop("until").collect()}
+    twin = serving.windowed_rate(spark.createDataFrame(sum(data, []), S.PREDICTION_LOG_SCHEMA), "6 hours", "1 hour")
+    last = max(r[1] for d in data for r in d) - dt.timedelta(hours=1)
+    want = {tuple(r["w"]): tuple(r)[1:] for r in twin.collect() if r["w"]["end"].replace(tzinfo=UTC) <= last}
+    assert made.keys() == want.keys() and len(made) > 40
+    assert all(made[k] == pytest.approx(v) for k, v in want.items())
+
+
+def test_percentiles_are_exact_in_windows_of_over_a_million_rows(spark):
+    n = 1_200_000
+    log = spark.range(n).select(
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 7200).alias("timestamp"),
+        (F.col("id") % 5 == 0).cast("int").alias("prediction"),
+        F.when(F.col("id") % 3 == 0, 7.0).otherwise((F.col("id") * 7919 % 1_000_003) / 10).alias("latency_ms"),
+    )
+    got = serving.windowed_rate(log, "24 hours", "1 hour")
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    row = got.filter("w.start = timestamp '2024-01-01 00:00:00'").first()
+    import numpy as np
+
+    i = np.arange(n)
+    x = np.sort(np.where(i % 3 == 0, 7.0, i * 7919 % 1_000_003 / 10))
+    assert row.n == n and row.rate == pytest.approx(0.2) and row.max_latency_ms == x[-1]
+    for p, name in serving.LATENCIES.items():
+        assert row[name] == x[int(n - np.floor(n - p * n)) - 1]
+
+
 def test_late_row_is_dropped(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     put(spark, src, 0, rows(1, 2))
-    jobs.to_table(jobs.windowed_rates(stream(spark, src), "1 day"), out)
+    jobs.windowed_rates(stream(spark, src), out, "1 day")
     put(spark, src, 1, rows(50, start=10))
-    jobs.to_table(jobs.windowed_rates(stream(spark, src), "1 day"), out)
+    jobs.windowed_rates(stream(spark, src), out, "1 day")
     put(spark, src, 2, rows(3, 100, start=20))  # hour 3 arrives after its day is closed
-    jobs.to_table(jobs.windowed_rates(stream(spark, src), "1 day"), out)
+    jobs.windowed_rates(stream(spark, src), out, "1 day")
     got = windows(spark.read.parquet(f"{out}/table"))
     assert sorted(got.values()) == [1, 2]
 
