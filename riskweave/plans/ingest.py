@@ -16,6 +16,7 @@ from riskweave.session import new_folder
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 from riskweave.sources import tables
+from riskweave.sources.feature_store import FeatureStore
 
 SCAN = ["TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "card1", "card4"]
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
@@ -329,12 +330,14 @@ STORED = ["TransactionAmt", "addr1", "C13", "D1", "D4", "D10"]
 
 
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """The latest registered features per card, upserted from two batches."""
+    """The latest registered features per card, merged into a stored table from two batches."""
     time = [S.TIME, S.KEY]
     rows = tables.registered_only(fx.txn(spark, d), "card1", time)
     debit = fx.txn(spark, d).filter(F.col("card6") == "debit")
-    first = tables.registered_only(debit, "card1", time)
-    return tables.upsert_features(first, rows, "card1", time)
+    store = FeatureStore(spark, new_folder(spark, "features"), rows.schema, "card1", time, 16)
+    store.merge(tables.registered_only(debit, "card1", time))
+    store.merge(rows)
+    return store.read()
 
 
 @query(
@@ -353,9 +356,11 @@ def feature_upsert(spark: SparkSession, d: str) -> DataFrame:
         "where TransactionID in (select doc_id from labels)"),
 )
 def feature_lookup(spark: SparkSession, d: str) -> DataFrame:
-    feats = tables.registered_only(fx.txn(spark, d), S.KEY, [])
+    feats = tables.registered_only(fx.txn(spark, d), S.KEY, [S.TIME])
+    store = FeatureStore(spark, new_folder(spark, "features"), feats.schema, S.KEY, [S.TIME], 16)
+    store.merge(feats)
     ids = fx.table(spark, d, "labels").select(F.col("doc_id").alias(S.KEY))
-    return rounded(tables.lookup_features(feats, ids, S.KEY, ["TransactionAmt", "D1", "addr1"]))
+    return rounded(store.lookup(ids, ["TransactionAmt", "D1", "addr1"]))
 
 
 @query(

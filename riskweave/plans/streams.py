@@ -64,9 +64,8 @@ def stream_pred_log(spark: SparkSession, d: str) -> DataFrame:
     """Every event arrives twice; the log holds it once."""
     path = new_folder(spark, "stream_pred_log")
     twice = events_stream(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    log = jobs.deduplicated_log(fx.shape_pred_log(twice))
-    jobs.to_table(log, path, by=["date"])
-    return log_out(spark.read.parquet(f"{path}/table"))
+    jobs.log_once(fx.shape_pred_log(twice), path)
+    return log_out(spark.read.parquet(f"{path}/table").drop("batch"))
 
 
 # A window is emitted once the watermark (latest event minus an hour) passes its end.

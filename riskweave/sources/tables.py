@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,11 +55,60 @@ def load_csv(
 ) -> DataFrame:
     """Truncate-and-replace load of a CSV file into a Parquet table."""
     replace_table(read_typed_csv(spark, path, schema, multiline), target)
-    return spark.read.parquet(target)
+    return current_table(spark, target)
+
+
+POINTER = "_current"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Create or replace a table: all of the new one, or still the old one.
+
+    Rows are written to a folder of their own; then one small file that names the folder is put in
+    place by a rename. A write that fails leaves the old table as it was, and whoever began to read
+    it goes on with its files: the folder before the current one stays until the next replacement.
+    """
+    spark = df.sparkSession
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    before = _version(spark, path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    fresh, pointer = fs_path(f"{path}/_{version}"), fs_path(f"{path}/{POINTER}")
+    fs = pointer.getFileSystem(conf)
+    out = fs.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(fresh), fs.makeQualified(pointer), how
+    )
+    for status in fs.listStatus(fs_path(path)):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return bytes(stream.readNBytes(200)).decode()
+    finally:
+        stream.close()
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``replace_table`` put there last."""
+    version = _version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def labelled(df: DataFrame, columns: Sequence[str], label: str = S.LABEL) -> DataFrame:

@@ -82,14 +82,42 @@ def score_requests(
     return serving.log_rows(score(rows), threshold, version, time)
 
 
-def deduplicated_log(log: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Drop repeats of a prediction id that arrive within the watermark; add the day."""
-    return (
-        log.withWatermark("timestamp", late)
-        .dropDuplicatesWithinWatermark(["prediction_id"])
-        .withColumn("date", F.to_date("timestamp"))
+def log_once(log: DataFrame, path: str) -> None:
+    """Run a stream of predictions into a day-partitioned log that holds each prediction id once.
+
+    A batch writes the ids that the log does not have yet for their days, however much later a
+    repeat arrives; only the days it touches are read. Its rows go to partitions of its own
+    (``date``, ``batch``), which a retry overwrites: a failure between the write and the commit
+    leaves no row twice. A repeat has the timestamp of its prediction.
+    """
+    spark = log.sparkSession
+    table = f"{path}/table"
+    known = T.StructType(
+        [T.StructField("prediction_id", T.StringType()), T.StructField("date", T.DateType()), T.StructField("batch", T.LongType())]
     )
 
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("date", F.to_date("timestamp"))
+        # One row of each id, the first by time; it is picked before the shuffle.
+        rest = [c for c in rows.columns if c != "prediction_id"]
+        first = F.min_by(F.struct(*rest), F.col("timestamp")).alias("r")
+        rows = rows.groupBy("prediction_id").agg(first).select("prediction_id", *[f"r.{c}" for c in rest])
+        if exists(spark, table):
+            days = [r[0] for r in batch.select(F.to_date("timestamp")).distinct().collect()]
+            there = spark.read.schema(known).parquet(table)
+            there = there.filter(F.col("date").isin(days) & (F.col("batch") < number))
+            rows = rows.join(there, ["prediction_id", "date"], "left_anti")
+        (
+            rows.withColumn("batch", F.lit(number).cast("long"))
+            .hint("rebalance", F.col("date"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date", "batch")
+            .parquet(table)
+        )
+
+    run_to_end(log.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint"))
+
 
 def windowed_rates(
     log: DataFrame, path: str, length: str, slide: str | None = None, late: str = "1 hour"

@@ -94,12 +94,27 @@ def test_late_row_is_dropped(spark, tmp_path):
 def test_log_holds_each_prediction_once_over_restarts(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     put(spark, src, 0, rows(1, 1.2) + rows(1, 1.2))
-    jobs.to_table(jobs.deduplicated_log(stream(spark, src)), out, by=["date"])
-    put(spark, src, 1, rows(1, 1.2, 1.4))  # two repeats and a new one
-    jobs.to_table(jobs.deduplicated_log(stream(spark, src)), out, by=["date"])
+    jobs.log_once(stream(spark, src), out)
+    put(spark, src, 1, rows(50, 70, start=10))  # two days later
+    put(spark, src, 2, rows(1, 1.2, 1.4))  # two repeats and a new one
+    jobs.log_once(stream(spark, src), out)
     got = spark.read.parquet(f"{out}/table")
-    assert sorted(r["prediction_id"] for r in got.collect()) == ["p0", "p1", "p2"]
-    assert "date" in got.columns
+    assert sorted(r["prediction_id"] for r in got.collect()) == ["p0", "p1", "p10", "p11", "p2"]
+    assert {str(r["date"]) for r in got.collect()} == {"2024-01-01", "2024-01-03"}
+
+
+def test_log_after_a_crash_between_write_and_commit(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    put(spark, src, 0, rows(1, 2))
+    jobs.log_once(stream(spark, src), out)
+    put(spark, src, 1, rows(1, 2, 3, 30))
+    jobs.log_once(stream(spark, src), out)
+    # As if the second batch had been written, but never committed.
+    for f in (tmp_path / "out" / "checkpoint" / "commits").iterdir():
+        if f.name.strip(".").startswith("1"):
+            f.unlink()
+    jobs.log_once(stream(spark, src), out)
+    assert sorted(r["prediction_id"] for r in spark.read.parquet(f"{out}/table").collect()) == ["p0", "p1", "p2", "p3"]
 
 
 def test_sliding_rate_drift_equals_batch(spark, tmp_path):

@@ -8,6 +8,7 @@ from riskweave.operators import quality
 from riskweave.operators.profile import null_profile
 from riskweave.sources import schema as S
 from riskweave.sources import tables
+from riskweave.sources.feature_store import FeatureStore
 
 UTC = dt.timezone.utc
 
@@ -139,3 +140,66 @@ def test_feature_gate_on_sample(spark):
     row = quality.feature_gate(df, ["a"], 1, sample_rows=500).first()
     assert row["rows"] == 500 and row["passed"]
     assert not quality.feature_gate(df, ["a"], 2).first()["passed"]
+
+
+# --- stored tables -------------------------------------------------------------------------
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(5), path)
+    reader = tables.current_table(spark, path)
+    bad = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("stop"))).otherwise(F.col("id").cast("string")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.replace_table(bad, path)
+    assert tables.current_table(spark, path).count() == 5
+    tables.replace_table(spark.range(7), path)
+    assert tables.current_table(spark, path).count() == 7
+    assert reader.count() == 5  # began before, goes on with its files
+    tables.replace_table(spark.range(3), path)
+    assert tables.current_table(spark, path).count() == 3
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version-")]) == 2
+    with pytest.raises(FileNotFoundError):
+        tables.current_table(spark, str(tmp_path / "none"))
+
+
+def files(tmp_path):
+    return {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_the_buckets_it_touches(spark, tmp_path):
+    schema = T.StructType.fromDDL("k long, t long, v double")
+    store = FeatureStore(spark, str(tmp_path / "f"), schema, "k", ["t"], 32)
+    first = spark.range(2000).select("id", F.lit(5).cast("long"), F.col("id").cast("double")).toDF("k", "t", "v")
+    store.merge(first)
+    before = files(tmp_path)
+    batch = spark.createDataFrame([(3, 9, -1.0), (3, 8, -2.0), (4, 1, -3.0), (5000, 1, 7.0), (None, 1, 1.0)], schema)
+    store.merge(batch)
+    after = files(tmp_path)
+    same = {p for p in before if after.get(p) == before[p]}
+    assert len(same) >= 29 * len(before) // 32
+    want = tables.upsert_features(first, batch.filter("k is not null"), "k", ["t"])
+    assert sorted(map(tuple, store.read().collect())) == sorted(map(tuple, want.select("k", "t", "v").collect()))
+
+
+def test_a_lookup_reads_few_files(spark, tmp_path, monkeypatch):
+    from riskweave.sources import feature_store
+
+    schema = T.StructType.fromDDL("k long, t long, v double")
+    store = FeatureStore(spark, str(tmp_path / "f"), schema, "k", ["t"], 256)
+    store.merge(spark.range(20_000).select("id", F.lit(5).cast("long"), F.col("id").cast("double")).toDF("k", "t", "v"))
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 10_000, 100), 10**6, None, 0]], "k long")
+
+    found = store.lookup(ids, ["v"])
+    rows = sorted(map(tuple, found.collect()))
+    buckets = {r[0] for r in spark.read.parquet(store.path).join(ids, "k").select("bucket").distinct().collect()}
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "PushedFilters: [In(k" in scan
+    n = sum(f"bucket={b}/" in p for p in files(tmp_path) for b in buckets)
+    assert rows == [(i, float(i)) for i in range(0, 10_000, 100)]
+    assert n <= 102 < len(files(tmp_path))
+    monkeypatch.setattr(feature_store, "LISTED", 10)
+    assert sorted(map(tuple, store.lookup(ids, ["v"]).collect())) == rows
+    assert store.lookup(ids.limit(0), ["v"]).count() == 0
+    empty = FeatureStore(spark, str(tmp_path / "none"), schema, "k", ["t"])
+    assert empty.lookup(ids, ["v"]).collect() == []
