@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import columns as C
 from riskweave.operators.lookup import State, lookup_join, row_bytes
 from riskweave.operators.order import grouped_quantiles, quantile_values
-from riskweave.session import stored
+from riskweave.session import running_session, stored
 from riskweave.sources import schema as S
 
 
@@ -211,7 +211,7 @@ class FeatureEngineer:
             self.groups.table.write.mode("overwrite").parquet(f"{path}/groups")
         for c, s in self.categories.items():
             s.table.write.mode("overwrite").parquet(f"{path}/category_{c}")
-        spark = SparkSession.getActiveSession()
+        spark = running_session()
         spark.createDataFrame([(json.dumps(params),)], "value string").write.mode(
             "overwrite"
         ).text(f"{path}/params")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
@@ -24,6 +25,7 @@ from riskweave.operators.features import column_medians, impute
 from riskweave.operators.imbalance import positive_weight, weight_column
 from riskweave.operators.split import class_balance
 from riskweave.operators.trees import first_trees, forest_of, prefix_margins
+from riskweave.session import exists, running_session
 from riskweave.sources import schema as S
 
 # --- logistic regression ---------------------------------------------------------------
@@ -39,7 +41,7 @@ class LinearModel:
 
     def save(self, path: str) -> None:
         """The pipeline, and next to it the medians and categories that go before it."""
-        spark = SparkSession.getActiveSession()
+        spark = running_session()
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         facts = [(self.medians, self.categories)]
         spark.createDataFrame(facts, "medians map<string,double>, categories array<string>").write.mode(
@@ -186,7 +188,7 @@ class BoostedModel:
     history: list[tuple[int, float]] = field(default_factory=list)
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
+        spark = running_session()
         self.model.write().overwrite().save(f"{path}/trees")
         facts = [(self.features, self.best_iteration)]
         spark.createDataFrame(facts, "features array<string>, best_iteration int").write.mode(
@@ -384,19 +386,7 @@ def draw_trials(
         for name, *_ in space
     ]
     rows = spark.range(1, n + 1).select("id", *cols).orderBy("id").collect()
-    out = []
-    for row in rows:
-        params = {}
-        for name, kind, low, high in space:
-            u = row[name]
-            if kind == "log":
-                params[name] = math.exp(math.log(low) + u * (math.log(high) - math.log(low)))
-            elif kind == "int":
-                params[name] = min(high, low + int(u * (high - low + 1)))
-            else:
-                params[name] = low + u * (high - low)
-        out.append(params)
-    return out
+    return [params_of([row[name] for name, *_ in space], space) for row in rows]
 
 
 def search(
@@ -404,8 +394,9 @@ def search(
     trials: Sequence[dict],
     objective: Callable[[dict], float],
     parallel: int = PARALLEL_TRIALS,
+    first: int = 1,
 ) -> DataFrame:
-    """Run the trials as concurrent jobs; a failed one becomes an infeasible row."""
+    """Run the trials, numbered from ``first``, as concurrent jobs; a failed one becomes an infeasible row."""
 
     def one(item: tuple[int, dict]) -> tuple:
         number, params = item
@@ -416,10 +407,97 @@ def search(
             return (number, shown, "infeasible", str(e).strip() or type(e).__name__, None)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        rows = list(pool.map(one, enumerate(trials, start=1)))
-    return spark.createDataFrame(
-        rows, "trial int, params map<string,double>, state string, reason string, auc_pr double"
-    )
+        rows = list(pool.map(one, enumerate(trials, start=first)))
+    return spark.createDataFrame(rows, TRIALS)
+
+
+def unit_point(params: dict, space: Sequence[tuple]) -> list[float]:
+    """Parameters as a point of the unit cube."""
+    out = []
+    for name, kind, low, high in space:
+        v, low, high = (math.log(x) if kind == "log" else float(x) for x in (params[name], low, high))
+        out.append((v - low) / (high - low) if high > low else 0.0)
+    return out
+
+
+def params_of(point: Sequence[float], space: Sequence[tuple]) -> dict:
+    """The parameters at a point of the unit cube."""
+    out = {}
+    for u, (name, kind, low, high) in zip(point, space, strict=True):
+        if kind == "log":
+            out[name] = math.exp(math.log(low) + float(u) * (math.log(high) - math.log(low)))
+        elif kind == "int":
+            out[name] = min(high, low + int(u * (high - low + 1)))
+        else:
+            out[name] = low + float(u) * (high - low)
+    return out
+
+
+class Surrogate:
+    """A Gaussian process over judged points; scores are standardised, the length scale is the likeliest."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, noise: float = 1e-4):
+        self.x, self.mean, self.spread = x, y.mean(), y.std() or 1.0
+        z = (y - self.mean) / self.spread
+        best = -math.inf
+        for length in (0.1, 0.2, 0.4, 0.8, 1.6):
+            root = np.linalg.cholesky(self.kernel(x, x, length) + noise * np.eye(len(x)))
+            weights = np.linalg.solve(root.T, np.linalg.solve(root, z))
+            likelihood = -0.5 * z @ weights - np.log(np.diag(root)).sum()
+            if likelihood > best:
+                best, self.length, self.root, self.weights = likelihood, length, root, weights
+
+    @staticmethod
+    def kernel(a: np.ndarray, b: np.ndarray, length: float) -> np.ndarray:
+        """Matern, of smoothness 5/2."""
+        d = np.sqrt(5 * ((a[:, None] - b[None]) ** 2).sum(axis=2)) / length
+        return (1 + d + d**2 / 3) * np.exp(-d)
+
+    def improvement(self, points: np.ndarray, top: float) -> tuple[np.ndarray, np.ndarray]:
+        """(expected improvement over ``top``, expected score) of each point."""
+        k = self.kernel(points, self.x, self.length)
+        mean = k @ self.weights
+        half = np.linalg.solve(self.root, k.T)
+        spread = np.sqrt(np.maximum(1 - (half**2).sum(axis=0), 1e-12))
+        gain = mean - (top - self.mean) / self.spread
+        u = gain / spread
+        below = np.array([0.5 * (1 + math.erf(v / math.sqrt(2))) for v in u])
+        density = np.exp(-(u**2) / 2) / math.sqrt(2 * math.pi)
+        return self.spread * (gain * below + spread * density), self.spread * mean + self.mean
+
+
+#: Points among which the next trials are chosen.
+CANDIDATES = 2_000
+
+
+def propose(
+    judged: Sequence[tuple[dict, float | None]], n: int, seed: int, space: Sequence[tuple]
+) -> list[dict]:
+    """The next ``n`` trials: points of the largest expected improvement, one after another.
+
+    ``judged``: (parameters, score), without a score for an infeasible trial, which counts as the worst
+    there is. A point once chosen counts as judged at its expected score, so the next lies elsewhere.
+    """
+    scores = [s for _, s in judged if s is not None]
+    x = np.array([unit_point(p, space) for p, _ in judged])
+    # How bad the bad ones are says little of where the best are.
+    middle = float(np.median(scores))
+    worst = middle - (max(scores) - middle)
+    y = np.array([worst if s is None else max(s, worst) for _, s in judged], float)
+    rng = np.random.default_rng([seed, len(judged)])
+    top = x[np.argmax(y)]
+    near = np.clip(top + 0.1 * rng.normal(size=(CANDIDATES // 4, len(space))), 0, 1)
+    points = np.concatenate([rng.random((CANDIDATES, len(space))), near])
+    out = []
+    for _ in range(n):
+        gain, expected = Surrogate(x, y).improvement(points, max(scores))
+        best = int(np.argmax(gain))
+        out.append(params_of(points[best], space))
+        x, y = np.vstack([x, unit_point(out[-1], space)]), np.append(y, expected[best])
+    return out
+
+
+TRIALS = "trial int, params map<string,double>, state string, reason string, auc_pr double"
 
 
 def run_search(
@@ -429,9 +507,34 @@ def run_search(
     seed: int = 42,
     space: Sequence[tuple] = tuple(SEARCH_SPACE),
     parallel: int = PARALLEL_TRIALS,
+    starts: int = 2 * PARALLEL_TRIALS,
+    path: str | None = None,
 ) -> DataFrame:
-    """The whole search: ``n`` draws from the ranges, judged ``parallel`` at a time."""
-    return search(spark, draw_trials(spark, n, seed, space), objective, parallel)
+    """The whole search: ``starts`` draws from the ranges, then batches of ``parallel`` trials that a
+    surrogate of the trials so far proposes, ``n`` in all.
+
+    With ``path``, each batch is added to the table of trials there, and a search that finds one
+    goes on with it.
+    """
+    whole = {name for name, kind, *_ in space if kind == "int"}
+    rows: list = []
+    if path is not None and exists(spark, path):
+        rows = sorted(spark.read.schema(TRIALS).json(path).collect(), key=lambda r: r["trial"])
+    drawn = draw_trials(spark, min(starts, n), seed, space)
+    while len(rows) < n:
+        more = min(parallel, n - len(rows))
+        judged = [({k: int(v) if k in whole else v for k, v in r["params"].items()}, r["auc_pr"]) for r in rows]
+        if len(rows) < len(drawn):
+            trials = drawn[len(rows) : len(rows) + more]
+        elif any(s is not None for _, s in judged):
+            trials = propose(judged, more, seed, space)
+        else:  # nothing has worked yet
+            trials = draw_trials(spark, len(rows) + more, seed, space)[len(rows) :]
+        found = search(spark, trials, objective, parallel, len(rows) + 1).collect()  # a few rows
+        if path is not None:
+            spark.createDataFrame(found, TRIALS).coalesce(1).write.mode("append").json(path)
+        rows += sorted(found, key=lambda r: r["trial"])
+    return spark.createDataFrame(rows, TRIALS)
 
 
 def save_best(trials: DataFrame, path: str) -> dict:

@@ -9,10 +9,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.session import new_folder
+from riskweave.session import new_folder, running_session
 
 
 @dataclass
@@ -57,7 +57,7 @@ class Forest:
 
 def forest_of(model: GBTClassificationModel) -> Forest:
     """The arrays of a fitted ensemble; its size is set by the training parameters."""
-    spark = SparkSession.getActiveSession()
+    spark = running_session()
     path = new_folder(spark, "trees")
     model.write().save(path)
     n = F.col("nodeData")
@@ -107,7 +107,7 @@ def prefix_margins(df: DataFrame, keep: Sequence[str], features: Sequence[str],
 
 def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
     """The ensemble of the first ``n`` trees, through the saved form of the model."""
-    spark = SparkSession.getActiveSession()
+    spark = running_session()
     whole, part = new_folder(spark, "trees"), new_folder(spark, "trees")
     model.write().save(whole)
     spark.read.parquet(f"{whole}/data").filter(F.col("treeID") < n).write.parquet(f"{part}/data")

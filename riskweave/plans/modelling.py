@@ -18,7 +18,7 @@ from riskweave.operators import serving, split
 from riskweave.operators.trees import forest_of, prefix_margins
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import r, sql
-from riskweave.session import stored
+from riskweave.session import new_folder, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 
@@ -227,7 +227,7 @@ SMALL_SPACE = [
     ("max_depth", "int", 2, 3),
     ("learning_rate", "log", 0.05, 0.3),
     ("min_child_weight", "int", 1, 20),
-    ("subsample", "float", 0.6, 1.0),
+    ("subsample", "float", 0.6, 1.1),  # more than all rows cannot work: such trials are infeasible
     ("scale_pos_weight", "float", 1.0, 10.0),
     ("n_estimators", "int", 2, 4),
 ]
@@ -235,7 +235,7 @@ SMALL_SPACE = [
 
 @query("search_trials")
 def search_trials(spark: SparkSession, d: str) -> DataFrame:
-    """Three random trials and one that cannot work, judged on validation rows."""
+    """Three random trials and three that the surrogate proposes, judged on validation rows."""
     rows = split.prepare_splits(stored(fx.learn(spark, d)))
     eng = fe.without_encoding().fit(rows.filter(F.col("split") == "train"))
     data = stored(eng.transform(rows))
@@ -246,9 +246,7 @@ def search_trials(spark: SparkSession, d: str) -> DataFrame:
         m = ml.fit_boosted(train, val, features, params, weight=params["scale_pos_weight"])
         return M.average_precision(M.score_curve(scores(m.score(val)))).first()[0]
 
-    trials = ml.draw_trials(spark, 3, 42, SMALL_SPACE)
-    trials.append({**trials[0], "max_depth": -1})
-    out = ml.search(spark, trials, objective)
+    out = ml.run_search(spark, objective, 6, 42, SMALL_SPACE, starts=3, path=new_folder(spark, "trials"))
     return rounded(out.select("trial", "state", "reason", "auc_pr",
                               F.to_json("params").alias("params")))
 

@@ -26,6 +26,11 @@ def local_session(cores: str = "8", app: str = "riskweave") -> SparkSession:
     return spark
 
 
+def running_session() -> SparkSession:
+    """The session at work. Threads that Python started have no active one of their own."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 #: Folders handed out in this process and not released yet.
 _folders: list[str] = []
 

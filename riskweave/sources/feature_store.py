@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.session import exists
+from riskweave.session import exists, stored
 from riskweave.sources.tables import lookup_features, upsert_features
 
 BUCKETS = 64
@@ -55,7 +55,11 @@ class FeatureStore:
         """Upsert: the latest row of each key stays. Rows without a key are left out."""
         names = self.schema.names
         batch = batch.filter(F.col(self.key).isNotNull()).select(*names)
-        merged = upsert_features(self.read(self._touched(batch)), batch, self.key, list(self.time)).select(*names)
+        current = self.read([])
+        if exists(self.spark, self.path):
+            batch = stored(batch, "batch")  # read for its buckets and for its rows
+            current = self.read(self._touched(batch))
+        merged = upsert_features(current, batch, self.key, list(self.time)).select(*names)
         (
             merged.withColumn("bucket", self.bucket())
             .hint("rebalance", F.col("bucket"))

@@ -246,6 +246,52 @@ def test_best_parameters_are_kept(spark, tmp_path):
     assert best["max_depth"] == max(r.params["max_depth"] for r in trials.collect())
 
 
+BOWL = [("a", "float", -2.0, 3.0), ("b", "log", 0.01, 10.0), ("c", "int", 0, 12), ("d", "float", 0.0, 1.0)]
+
+
+def bowl(p):
+    """Best (0) at a = 1, b = 0.5, c = 7, d = 0.2; nothing comes of d above 0.9."""
+    if p["d"] > 0.9:
+        raise ValueError("d is too large")
+    return -((p["a"] - 1) ** 2 + (math.log(p["b"] / 0.5)) ** 2 / 4 + (p["c"] - 7) ** 2 / 30 + 3 * (p["d"] - 0.2) ** 2)
+
+
+def test_guided_search_beats_draws(spark):
+    best = lambda rows: max(r.auc_pr for r in rows if r.auc_pr is not None)
+    draws = [best(ml.search(spark, ml.draw_trials(spark, 30, seed, BOWL), bowl).collect()) for seed in range(4)]
+    for seed in range(2):
+        rows = ml.run_search(spark, bowl, 30, seed, BOWL).collect()
+        assert [r.trial for r in rows] == list(range(1, 31))
+        assert best(rows) > 0.5 * np.mean(draws)  # scores are negative: half as far from the best
+        assert {r.state for r in rows} <= {"completed", "infeasible"}
+
+
+def test_trials_train_models(spark, sf):
+    """Trials run in threads of their own; what can work, works."""
+    rows = P.search_trials(spark, sf).collect()
+    assert len(rows) == 6
+    done = [r for r in rows if r.state == "completed"]
+    assert len(done) >= 2 and all(0 < r.auc_pr <= 1 for r in done)
+    assert all("subsampl" in r.reason for r in rows if r.state == "infeasible")
+
+
+def test_a_search_goes_on_where_it_stopped(spark, tmp_path):
+    calls = []
+
+    def counted(p):
+        calls.append(p)
+        return bowl(p)
+
+    path = str(tmp_path / "trials")
+    first = ml.run_search(spark, counted, 8, 3, BOWL, path=path).collect()
+    assert len(calls) == 8
+    again = ml.run_search(spark, counted, 14, 3, BOWL, path=path).collect()
+    assert len(calls) == 14 and len(again) == 14
+    assert [(r.trial, r.params, r.auc_pr) for r in again[:8]] == [(r.trial, r.params, r.auc_pr) for r in first]
+    only_bad = ml.run_search(spark, lambda p: 1 / 0, 5, 3, BOWL).collect()
+    assert {r.state for r in only_bad} == {"infeasible"} and len({str(r.params) for r in only_bad}) == 5
+
+
 def test_champion_report_chooses_on_validation(spark, sf):
     rows = {(r.section, r.name): r.value for r in P.champion_report(spark, sf).collect()}
     candidates = {n: v for (s, n), v in rows.items() if s == "candidates"}
