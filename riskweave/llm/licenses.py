@@ -59,6 +59,24 @@ FIXED = {
     "gpl-3-or-later": "you can redistribute it and or modify it under the terms of the gnu general public license as "
     "published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-warranty": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-2.1-or-later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+    "published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-3-or-later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+    "published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-or-later": "you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+    "published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl-2-subject": "this source code form is subject to the terms of the mozilla public license v",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public "
+    "license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications "
+    "and to alter it and redistribute it freely subject to the following restrictions",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+    "software and accompanying documentation covered by this license the software to use reproduce display distribute "
+    "execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom "
+    "the software is furnished to do so all subject to the following",
+    "cc0-waiver": "to the extent possible under law the person who associated cc0 with this work has waived all copyright "
+    "and related or neighboring rights to this work",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "rights": "all rights reserved",
 }
@@ -71,24 +89,40 @@ RULES = [
     ("Apache-2.0", ["grant:Apache-2.0", "apache-compliance", "apache-copy"]),
     ("GPL-2.0-or-later", ["gpl-2-or-later", "gpl-warranty"]),
     ("GPL-3.0-or-later", ["gpl-3-or-later", "gpl-warranty"]),
+    ("LGPL-2.1-or-later", ["lgpl-2.1-or-later", "gpl-warranty"]),
+    ("LGPL-3.0-or-later", ["lgpl-3-or-later", "gpl-warranty"]),
+    ("AGPL-3.0-or-later", ["agpl-3-or-later", "gpl-warranty"]),
+    ("MPL-2.0", ["mpl-2-subject"]),
+    ("EPL-2.0", ["epl-2-terms"]),
+    ("Zlib", ["zlib-warranty", "zlib-grant"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("CC0-1.0", ["cc0-waiver"]),
     ("Unlicense", ["unlicense"]),
 ]
-# A header may also end its sentence before "either"; these are no part of the SQL below.
+# A header may also end its sentence before "either".
 SPLIT = {
     "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published "
     "by the free software foundation",
+    "lgpl-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+    "published by the free software foundation",
+    "agpl-terms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+    "published by the free software foundation",
+    "lgpl-2.1-either": "either version 2 1 of the license or at your option any later version",
     "gpl-2-either": "either version 2 of the license or at your option any later version",
     "gpl-3-either": "either version 3 of the license or at your option any later version",
 }
 SPLIT_RULES = [
     ("GPL-2.0-or-later", ["gpl-terms", "gpl-2-either", "gpl-warranty"]),
     ("GPL-3.0-or-later", ["gpl-terms", "gpl-3-either", "gpl-warranty"]),
+    ("LGPL-2.1-or-later", ["lgpl-terms", "lgpl-2.1-either", "gpl-warranty"]),
+    ("LGPL-3.0-or-later", ["lgpl-terms", "gpl-3-either", "gpl-warranty"]),
+    ("AGPL-3.0-or-later", ["agpl-terms", "gpl-3-either", "gpl-warranty"]),
 ]
 #: Every fixed sentence has one of these in it.
-TRIGGERS = ["licen", "permission", "redistribut", "warrant", "public domain", "liable", "rights reserved", "gpl", "spdx", "cc by", "cc-by"]
-#: Or what else makes a known sentence, whatever stands between its words (no part of the SQL).
+TRIGGERS = ["licen", "permission", "redistribut", "warrant", "public domain", "liable", "rights reserved", "gpl", "spdx", "cc by", "cc-by", "neighboring rights"]
+#: Or what else makes a known sentence, whatever stands between its words.
 SPREAD = (
-    "public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+    "public[^a-z0-9]+domain|rights[^a-z0-9]+reserved|neighboring[^a-z0-9]+rights"
     "|(?:released|distributed|published|available|provided|offered|covered)[^a-z0-9]+(?:to[^a-z0-9]+you[^a-z0-9]+)?(?:under|by)[^a-z0-9]"
 )
 GRANT = (
@@ -225,16 +259,16 @@ def _quoted(text: str) -> str:
 
 def oracle() -> str:
     """The same rows in DuckDB SQL: sentences as rows, joined to tables of sentences and names."""
-    fixed = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for i, s in FIXED.items())
+    fixed = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for i, s in (FIXED | SPLIT).items())
     names = ", ".join(f"({_quoted(n)}, {_quoted(i)})" for n, i in license_names().items())
-    trigger = " OR ".join(f"contains(s, {_quoted(t)})" for t in TRIGGERS)
+    trigger = " OR ".join([*(f"contains(s, {_quoted(t)})" for t in TRIGGERS), f"regexp_matches(s, {_quoted(SPREAD)})"])
     sep = "chr(1)"
 
     def cut(expr):
         return f"string_split(regexp_replace({expr}, '([.!?;:])[ \\t\\r\\f]+', '\\1' || {sep}, 'g'), {sep})"
 
     rest, hits = "coalesce(seq, '|')", []
-    for name, rule in RULES:
+    for name, rule in RULES + SPLIT_RULES:
         key = _quoted("|" + "||".join(rule) + "|")
         hits.append(f"CASE WHEN contains({rest}, {key}) THEN {_quoted(name)} END")
         rest = f"replace({rest}, {key}, '')"

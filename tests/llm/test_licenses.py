@@ -41,6 +41,18 @@ def full(*ids):
     return wrap(" ".join(licenses.FIXED[i].capitalize() + "." for i in ids), 70)
 
 
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
 CASES = [
     (1, "Some words.\nReleased under the MIT License.\nMore.", "MIT"),
     (2, "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance "
@@ -55,6 +67,20 @@ CASES = [
     (9, "The licensed driver had permission to park here.", None),
     (10, "This program is released under the terms of the GNU GPL v2 or later; All rights reserved!", "GPL-2.0-or-later"),
     (11, "İ licensed under the mit license", "MIT"),
+    (12, GPL_2, "GPL-2.0-or-later"),
+    (13, GPL_2.replace("General", "Lesser General").replace("version 2", "version 2.1"), "LGPL-2.1-or-later"),
+    (14, GPL_2.replace("General", "Affero General").replace("version 2", "version 3").replace("; either", ", either"), "AGPL-3.0-or-later"),
+    (15, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+         "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    (16, "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held.\n\n"
+         "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it "
+         "and redistribute it\nfreely, subject to the following restrictions:\n", "Zlib"),
+    (17, full("boost-grant"), "BSL-1.0"),
+    (18, "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or "
+         "neighboring\nrights to this work.", "CC0-1.0"),
+    (19, "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which "
+         "is available at\nhttps://www.eclipse.org/legal/epl-2.0/.", "EPL-2.0"),
+    (21, "Words.\nProvided  under\tthe ISC License.", "ISC"),
 ]
 
 
@@ -84,18 +110,6 @@ def test_plan_has_no_python_and_no_shuffle(spark, sf):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
-GPL_2 = """This program is free software; you can redistribute it and/or modify
-it under the terms of the GNU General Public License as published by
-the Free Software Foundation; either version 2 of the License, or
-(at your option) any later version.
-
-This program is distributed in the hope that it will be useful,
-but WITHOUT ANY WARRANTY; without even the implied warranty of
-MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
-GNU General Public License for more details.
-"""
-
-
 def test_every_name_in_a_grant_and_sentences_over_line_ends(spark):
     verbs = ["Released under", "Distributed under the terms of", "This work is made available to you under", "Covered\r\n by", "Provided  under"]
     names = list(licenses.license_names().items())
