@@ -17,7 +17,7 @@ Terms are runs of letters, digits and non-ASCII characters, A-Z as a-z. Defined
 the empty text; an empty text has an all-zero fingerprint, which is like another one; a text
 without a term in any subset is hashed over all its terms, in every part; rows without doc_id
 come last; rows that repeat a doc_id follow each other in the order in which they are read; a
-single row is its own successor.
+single row is its own successor; an empty table gives no rows; very long texts are read whole, one at a time.
 Further columns are not read, whatever their names.
 """
 

@@ -20,7 +20,7 @@ the dummy prefix away. A text with the mark U+2581 in it decodes with a blank th
 
 Defined cases: null encodes to null, an empty text to no pieces; repeated rows encode alike; ids
 out of range and control pieces decode to nothing, invalid UTF-8 bytes to U+FFFD; an empty table
-gives no rows. Model files with a character map other than identity are refused.
+gives no rows; very long texts are encoded whole. Model files with a character map other than identity are refused.
 Further columns are carried along; one named like a new column gives way to it.
 """
 

@@ -11,7 +11,8 @@ neighbours vote with their similarity as weight.
 Defined cases: null and empty texts, and texts of white space, have no vector and score 0.0;
 a text without any known term gets the share of label 1 in the sample, halved sample classes
 included; repeated rows score alike; neighbours tied in similarity are taken in the order of
-doc_id; with no labelled row every score is 0.5 (the vote of nobody).
+doc_id; with no labelled row every score is 0.5 (the vote of nobody); an empty table gives an empty one;
+very long texts are counted whole, in chunks.
 Further columns are carried along; one named like a new column gives way to it.
 """
 

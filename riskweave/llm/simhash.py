@@ -16,7 +16,8 @@ fingerprint), so that the least node of a component carries its name.
 Defined cases: null and white-space texts have fingerprint zero and link like any other;
 texts with fewer words than a shingle are one shingle; repeated rows have one fingerprint and
 component; rows without id take part, but give no component its name (a component of such
-rows alone has a null component_id).
+rows alone has a null component_id); an empty table gives no rows; very long texts are hashed whole,
+a bounded number of shingles at a time.
 Further columns are not read, whatever their names.
 """
 

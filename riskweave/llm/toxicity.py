@@ -11,7 +11,8 @@ documents differs clearly from its share of the others in the training sample.
 
 Defined cases: a null text is empty; an empty text has no sentence and score 0.0 (below that
 of any other text); repeated rows score alike; rows without id are scored; with no labelled
-row, or rows of one label only, every score is 0.0 and nothing is rejected.
+row, or rows of one label only, every score is 0.0 and nothing is rejected; an empty table gives an empty
+one; very long texts are scored whole, sentence by sentence.
 Further columns are carried along; one named like a new column gives way to it.
 """
 
