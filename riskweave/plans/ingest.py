@@ -329,25 +329,31 @@ def predictions_today(spark: SparkSession, d: str) -> DataFrame:
 STORED = ["TransactionAmt", "addr1", "C13", "D1", "D4", "D10"]
 
 
-def feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """The latest registered features per card, merged into a stored table from two batches."""
-    time = [S.TIME, S.KEY]
-    rows = tables.registered_only(fx.txn(spark, d), "card1", time)
+LATEST = sql(f"select card1, TransactionDT, TransactionID, {cols(STORED)} from ("
+             "select *, row_number() over (partition by card1 order by TransactionDT desc, TransactionID desc) as rn "
+             "from txn) where rn = 1")
+
+
+def feature_batches(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Registered features of debit cards, and then of all."""
     debit = fx.txn(spark, d).filter(F.col("card6") == "debit")
-    store = FeatureStore(spark, new_folder(spark, "features"), rows.schema, "card1", time, 16)
-    store.merge(tables.registered_only(debit, "card1", time))
-    store.merge(rows)
-    return store.read()
+    return [tables.registered_only(rows, "card1", [S.TIME, S.KEY]) for rows in (debit, fx.txn(spark, d))]
 
 
-@query(
-    "feature_upsert",
-    sql(f"select card1, TransactionDT, TransactionID, {cols(STORED)} from ("
-        "select *, row_number() over (partition by card1 order by TransactionDT desc, TransactionID desc) as rn "
-        "from txn) where rn = 1"),
-)
+@query("feature_upsert", LATEST)
 def feature_upsert(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(feature_table(spark, d))
+    """The latest registered features per card, upserted from two batches."""
+    return rounded(tables.upsert_features(*feature_batches(spark, d), "card1", [S.TIME, S.KEY]))
+
+
+@query("feature_merge", LATEST)
+def feature_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The same, merged one after another into a stored table in buckets."""
+    batches = feature_batches(spark, d)
+    store = FeatureStore(spark, new_folder(spark, "features"), batches[0].schema, "card1", [S.TIME, S.KEY], 16)
+    for batch in batches:
+        store.merge(batch)
+    return rounded(store.read())
 
 
 @query(
