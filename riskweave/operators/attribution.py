@@ -90,7 +90,7 @@ def _walk(forest: Forest, root: int, x: np.ndarray, t: np.ndarray, weights: np.n
         f = int(forest.feature[node])
         if f < 0:
             return product * forest.value[node]
-        goes_left = x[:, f] <= forest.threshold[node]
+        goes_left = forest.goes_left(x[:, f], node)
         before = edges.get(f)
         total = 0.0
         for child, passes in ((int(forest.left[node]), goes_left), (int(forest.right[node]), ~goes_left)):
@@ -133,10 +133,10 @@ def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) ->
     """(key, one column per feature): attributions to the margin of a boosted ensemble.
 
     With ``expected_margin`` they add up to the margin (the raw score of the positive
-    class). The node table is broadcast as arrays.
+    class). The node table is broadcast as arrays; ``model`` may be such arrays already.
     """
     names = list(features)
-    shared = df.sparkSession.sparkContext.broadcast(forest_of(model))
+    shared = df.sparkSession.sparkContext.broadcast(model if isinstance(model, Forest) else forest_of(model))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

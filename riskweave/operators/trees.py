@@ -18,7 +18,7 @@ from riskweave.session import new_folder, running_session
 @dataclass
 class Forest:
     """Nodes of all trees, tree after tree. A leaf has feature -1; rows go left if
-    their value is at most the threshold, and a missing value goes right."""
+    their value is at most the threshold. A missing value goes right, or where ``missing_left`` says."""
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -27,21 +27,28 @@ class Forest:
     value: np.ndarray  # prediction times the tree's weight
     cover: np.ndarray  # weighted training rows that reached the node
     roots: np.ndarray
+    missing_left: np.ndarray | None = None
+
+    def goes_left(self, values: np.ndarray, node: np.ndarray | int) -> np.ndarray:
+        left = values <= self.threshold[node]
+        return left if self.missing_left is None else left | (np.isnan(values) & self.missing_left[node])
+
+    def reach(self, root: int, x: np.ndarray) -> np.ndarray:
+        """The leaf each row ends in."""
+        rows, node = np.arange(len(x)), np.full(len(x), root)
+        while True:
+            f = self.feature[node]
+            open_ = f >= 0
+            if not open_.any():
+                return node
+            left = self.goes_left(x[rows[open_], f[open_]], node[open_])
+            node[open_] = np.where(left, self.left[node[open_]], self.right[node[open_]])
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         """Each tree's share of the margin: one column a tree."""
         out = np.empty((len(x), len(self.roots)))
-        rows = np.arange(len(x))
         for t, root in enumerate(self.roots):
-            node = np.full(len(x), root)
-            while True:
-                f = self.feature[node]
-                open_ = f >= 0
-                if not open_.any():
-                    break
-                goes_left = x[rows[open_], f[open_]] <= self.threshold[node[open_]]
-                node[open_] = np.where(goes_left, self.left[node[open_]], self.right[node[open_]])
-            out[:, t] = self.value[node]
+            out[:, t] = self.value[self.reach(root, x)]
         return out
 
     def depth(self, root: int) -> int:
