@@ -242,6 +242,11 @@ def drawn(draw: np.ndarray, tree: int, seed: int, share: float) -> np.ndarray:
     return (z ^ (z >> np.uint64(31))) < np.uint64(int(share * (1 << 64)))
 
 
+def is_drawn(key: str, tree: int, s: Settings) -> Column:
+    """Whether a row is among those that a tree is fitted on."""
+    return F.pandas_udf(lambda d: pd.Series(drawn(d.to_numpy(), tree, s.seed, s.subsample)), "boolean")(F.xxhash64(key))
+
+
 def columns_of(tree: int, width: int, s: Settings) -> list[int]:
     """The columns that a tree may split on."""
     n = max(1, math.ceil(s.colsample_bytree * width)) if width else 0
@@ -278,7 +283,8 @@ def _cells(rows: DataFrame, block: list, grown: list, at: list[int], tree: int,
                             "bin": (cell % 256).astype(np.int32), "g": g, "h": h, "n": n})
 
     parts = rows.mapInPandas(run, "slot int, feature int, bin int, g long, h long, n long")
-    return parts.groupBy("slot", "feature", "bin").agg(*[F.sum(c).alias(c) for c in "ghn"])
+    # Tasks have summed their cells: one shuffle serves the sums, the running sums and the choice.
+    return parts.repartition("slot", "feature").groupBy("slot", "feature", "bin").agg(*[F.sum(c).alias(c) for c in "ghn"])
 
 
 def _strength(g: Column, h: Column, s: Settings) -> Column:
@@ -313,7 +319,8 @@ def best_splits(cells: DataFrame, s: Settings) -> DataFrame:
     gain = F.round(F.when(allowed & (gain > 0), gain).otherwise(-1.0), 9)
     pick = F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"),
                     (-F.col("missing_left")).alias("m"), *[f"left_{c}" for c in "ghn"], *[f"all_{c}" for c in "ghn"])
-    return rows.groupBy("slot").agg(F.max(pick).alias("best")).select("slot", "best.*")
+    each = rows.groupBy("slot", "feature").agg(F.max(pick).alias("pick"))
+    return each.groupBy("slot").agg(F.max("pick").alias("best")).select("slot", "best.*")
 
 
 def leaf_value(g: int, h: int, s: Settings) -> float:

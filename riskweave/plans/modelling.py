@@ -5,11 +5,14 @@ Fitted models are not SQL; their queries are checked by invariants in the tests.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import r6
 from riskweave.operators import attribution as A
+from riskweave.operators import boosting as B
 from riskweave.operators import features as fe
 from riskweave.operators import imbalance as I
 from riskweave.operators import metrics as M
@@ -223,6 +226,115 @@ def ablation_runs(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ml.ablation(data, sets, PARAMS))
 
 
+# --- boosting on bins ---------------------------------------------------------------------------
+
+STEPS = ["addr1", "C13", "D1", "D4"]  # columns of few values: a bin holds one value
+LEAF = {"reg_alpha": 0.5, "reg_lambda": 2.0, "min_child_samples": 5}
+BINNED = {**LEAF, "n_estimators": 6, "max_depth": 4, "num_leaves": 7, "learning_rate": 0.3, "subsample": 0.8,
+          "colsample_bytree": 0.75}
+
+
+def _soft(g: str, h: str) -> str:
+    size = f"greatest(abs({g}) / 16777216.0::double - {LEAF['reg_alpha']}, 0.0)"
+    return f"({size} * {size} / ({h} / 16777216.0::double + {LEAF['reg_lambda']}))"
+
+
+def _leaf(g: str, h: str) -> str:
+    size = f"greatest(abs({g}) / 16777216.0::double - {LEAF['reg_alpha']}, 0.0)"
+    return f"(-sign({g}) * {size} / ({h} / 16777216.0::double + {LEAF['reg_lambda']}) * 0.3)"
+
+
+FIRST_SPLIT = f"""rate as (select avg(isFraud) as p from learn),
+base as (select 1 / (1 + exp(-ln(p / (1 - p)))) as p from rate),
+sums as (select f, v, sum(cast(round_even((p - isFraud) * 16777216.0, 0) as bigint)) as g,
+    sum(cast(round_even(p * (1 - p) * 16777216.0, 0) as bigint)) as h, count(*) as n
+  from (select * from ({' union all '.join(f"select {j} as f, {c} as v, isFraud from learn" for j, c in enumerate(STEPS))}))
+  cross join base group by f, v),
+upto as (select f, v, {', '.join(f"cast(sum({c}) over (partition by f order by v) as bigint) as u{c}" for c in 'ghn')}
+  from sums where v is not null),
+whole as (select f, {', '.join(f"cast(sum({c}) as bigint) as a{c}, cast(coalesce(sum({c}) filter (where v is null), 0) as bigint) as m{c}" for c in 'ghn')}
+  from sums group by f),
+ways as (select f, v, m, {', '.join(f"u{c} + m * m{c} as l{c}, a{c} - u{c} - m * m{c} as r{c}, a{c}" for c in 'ghn')}, mn
+  from upto join whole using (f) cross join (select unnest([0, 1]) as m)),
+gains as (select *, floor(0.5 * ({_soft('lg', 'lh')} + {_soft('rg', 'rh')} - {_soft('ag', 'ah')}) * 1e9 + 0.5) / 1e9 as gain
+  from ways where least(ln, rn) >= {LEAF['min_child_samples']} and (m = 0 or mn > 0))"""
+
+
+@query(
+    "boost_first_split",
+    sql(f"""select ({STEPS!r})[f + 1] as feature, v as threshold, m = 1 as missing_left, ln as left_rows, rn as right_rows,
+      {r(_leaf('lg', 'lh'))} as left_value, {r(_leaf('rg', 'rh'))} as right_value
+      from gains where gain > 0 order by gain desc, f, v, m limit 1""", FIRST_SPLIT),
+)
+def boost_first_split(spark: SparkSession, d: str) -> DataFrame:
+    """The split that a first tree of two leaves makes of all rows, penalties and missing values included."""
+    rows = stored(fx.learn(spark, d).select(S.KEY, S.LABEL, *STEPS))
+    model = B.boost(rows, rows, STEPS, {**LEAF, "n_estimators": 1, "max_depth": 1, "learning_rate": 0.3})
+    out = []
+    for tree in model.trees:
+        f, b, missing_left, left, right, _, _ = tree[0]
+        if f >= 0:
+            top = max(model.edges[f][:-1], default=0.0)
+            cut = model.edges[f][b] if b < len(model.edges[f]) - 1 else top
+            out.append((STEPS[f], cut, bool(missing_left), tree[left][6], tree[right][6], tree[left][5], tree[right][5]))
+    return rounded(spark.createDataFrame(
+        out, "feature string, threshold double, missing_left boolean, left_rows long, right_rows long, left_value double, right_value double"))
+
+
+TRAIN_ROWS = "(select count(*) from learn where TransactionID % 4 <> 0)"
+HELD_ROWS = "(select count(*) from learn where TransactionID % 4 = 0)"
+RESUMED = {
+    "first_trees_stay": "cast(3 as bigint)", "same_trees_as_in_one_run": "cast(6 as bigint)",
+    "prefixes_judged_on_raw_values": "cast(6 as bigint)", "parts_add_up": HELD_ROWS, "leaves_hold_the_sampled_rows": TRAIN_ROWS,
+}
+
+
+@query(
+    "boost_resumed",
+    sql(" union all ".join(
+        f"select '{c}' as check_name, {n} as n_rows, cast(0 as bigint) as violations" for c, n in RESUMED.items())),
+)
+def boost_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Three trees, saved, read and gone on with to six, beside six in one run: what must hold of them."""
+    rows = stored(fx.learn(spark, d).select(S.KEY, S.LABEL, *NUMERIC))
+    train, held = rows.filter(F.col(S.KEY) % 4 != 0), rows.filter(F.col(S.KEY) % 4 == 0)
+    part = B.boost(train, held, NUMERIC, {**BINNED, "n_estimators": 3}, block=3)
+    path = new_folder(spark, "ensemble")
+    part.save(path)
+    on = B.boost(train, held, NUMERIC, BINNED, block=3, start=B.Ensemble.load(spark, path))
+    whole = B.boost(train, held, NUMERIC, BINNED, block=6)
+
+    def compared(name: str, pairs: list[tuple]) -> DataFrame:
+        return spark.createDataFrame([(name, len(pairs), sum(a != b for a, b in pairs))], "check_name string, n_rows long, violations long")
+
+    # The AUC once more, of margins walked over the raw values instead of the bins.
+    judged = []
+    for n, auc in on.history:
+        scored = replace(on, best=n).score(held).select(F.col(S.LABEL).alias("y"), F.col("margin").alias("score"))
+        judged.append((True, abs(M.roc_auc(M.score_curve(scored)).first()["auc_roc"] - auc) < 1e-9))
+    forest = on.forest()
+    parts = A.tree_attribution(held, S.KEY, NUMERIC, forest)
+    total = sum((F.col(c) for c in NUMERIC), F.lit(on.base + A.expected_margin(forest)))
+    both = parts.select(S.KEY, total.alias("total")).join(on.score(held).select(S.KEY, "margin"), S.KEY)
+    wrong = F.count_if(F.abs(F.col("total") - F.col("margin")) > 1e-9)
+    # Each leaf's rows are counted while a tree grows; the drawn rows, counted apart, must be as many.
+    counts = [sum(n[6] for n in t if n[0] < 0) for t in on.trees]
+    drawn = [F.count_if(B.is_drawn(S.KEY, i, on.settings)) for i in range(len(counts))]
+    n_train, *seen = train.agg(F.count(F.lit(1)), *drawn).first()
+    short = sum(a != b for a, b in zip(seen, counts))
+    out = [
+        compared("first_trees_stay", list(zip(part.trees, on.trees))),
+        compared("same_trees_as_in_one_run", list(zip(on.trees, whole.trees))),
+        compared("prefixes_judged_on_raw_values", judged),
+        both.agg(F.lit("parts_add_up").alias("check_name"), F.count(F.lit(1)).alias("n_rows"), wrong.alias("violations")),
+        spark.createDataFrame([("leaves_hold_the_sampled_rows", n_train, short)], "check_name string, n_rows long, violations long"),
+    ]
+    whole_table = out[0]
+    for one in out[1:]:
+        whole_table = whole_table.unionByName(one)
+    return whole_table
+
+
 SMALL_SPACE = [
     ("max_depth", "int", 2, 3),
     ("learning_rate", "log", 0.05, 0.3),
