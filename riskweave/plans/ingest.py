@@ -13,6 +13,7 @@ from riskweave.operators.features import align_features
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import TXN_COLUMNS, big, cols, r, sql
 from riskweave.session import new_folder
+from riskweave.sources import buckets
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
 from riskweave.sources import tables
@@ -70,15 +71,34 @@ def joined(spark: SparkSession, d: str) -> DataFrame:
     return quality.join_identity(fx.txn(spark, d), fx.identity(spark, d))
 
 
-@query(
-    "join_identity",
-    sql(f"select {cols(TXN_COLUMNS, 't.')}, i.id_01, i.id_12, i.DeviceType "
-        "from txn t left join identity i on t.TransactionID = i.TransactionID"),
-)
+IDENTIFIED = sql(f"select {cols(TXN_COLUMNS, 't.')}, i.id_01, i.id_12, i.DeviceType "
+                 "from txn t left join identity i on t.TransactionID = i.TransactionID")
+
+
+@query("join_identity", IDENTIFIED)
 def join_identity(spark: SparkSession, d: str) -> DataFrame:
     return rounded(joined(spark, d))
 
 
+@query("join_buckets", IDENTIFIED)
+def join_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The same from two tables stored in buckets by key."""
+    return rounded(buckets.left_join(*buckets.store_pair(fx.txn(spark, d), fx.identity(spark, d), S.KEY)))
+
+
+@query(
+    "cards_by_share",
+    sql(f"""select t.TransactionID, t.card6, {r('t.TransactionAmt')} as TransactionAmt, s.n_rows, {r('s.mean')} as mean_amount
+      from txn t left join (select card6, count(*) as n_rows, avg(TransactionAmt) as mean from txn group by card6) s
+      on t.card6 = s.card6"""),
+)
+def cards_by_share(spark: SparkSession, d: str) -> DataFrame:
+    """A join on a key of which one value holds about half of all rows: its rows are kept apart."""
+    rows = fx.txn(spark, d, history=False).select(S.KEY, "card6", "TransactionAmt")
+    means = rows.groupBy("card6").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("TransactionAmt").alias("mean_amount"))
+    return rounded(buckets.left_join(*buckets.store_pair(rows, means, "card6")))
+
+
 @query(
     "validate_table",
     sql("select 'transactions' as table_name, count(*) as row_count, "
