@@ -12,7 +12,7 @@ from riskweave.operators import quality, serving
 from riskweave.operators.features import align_features
 from riskweave.plans.registry import query, rounded
 from riskweave.plans.views import TXN_COLUMNS, big, cols, r, sql
-from riskweave.session import new_folder
+from riskweave.session import new_folder, stored
 from riskweave.sources import buckets
 from riskweave.sources import fixtures as fx
 from riskweave.sources import schema as S
@@ -83,7 +83,7 @@ def join_identity(spark: SparkSession, d: str) -> DataFrame:
 @query("join_buckets", IDENTIFIED)
 def join_buckets(spark: SparkSession, d: str) -> DataFrame:
     """The same from two tables stored in buckets by key."""
-    return rounded(buckets.left_join(*buckets.store_pair(fx.txn(spark, d), fx.identity(spark, d), S.KEY)))
+    return rounded(buckets.left_join(*buckets.store_pair(stored(fx.txn(spark, d)), fx.identity(spark, d), S.KEY)))
 
 
 @query(

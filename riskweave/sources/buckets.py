@@ -53,11 +53,15 @@ def buckets_for(rows: int) -> int:
     return max(LEAST_BUCKETS, math.ceil(rows / BUCKET_ROWS))
 
 
-def hot_keys(df: DataFrame, key: str, buckets: int, rows: int | None = None) -> list:
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(key, rows) of a table, written once: its size and its frequent keys both come from here."""
+    return stored(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "counts")
+
+
+def hot_keys(counts: DataFrame, key: str, buckets: int, rows: int) -> list:
     """Keys with more rows than a bucket's even share; fewer than there are buckets."""
-    rows = df.count() if rows is None else rows
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return sorted(r[0] for r in counts.filter(F.col("_n") > max(1, rows / buckets)).select(key).collect())
+    hot = counts.filter(F.col(key).isNotNull() & (F.col("_n") > max(1, rows / buckets)))
+    return sorted(r[0] for r in hot.select(key).collect())
 
 
 def store(df: DataFrame, key: str, buckets: int, hot: Sequence = ()) -> Bucketed:
@@ -78,10 +82,14 @@ def store(df: DataFrame, key: str, buckets: int, hot: Sequence = ()) -> Bucketed
 
 
 def store_pair(left: DataFrame, right: DataFrame, key: str, buckets: int | None = None) -> tuple[Bucketed, Bucketed]:
-    """Both tables in the same buckets, with the frequent keys of either kept apart in both."""
-    sizes = [df.count() for df in (left, right)]
+    """Both tables in the same buckets, with the frequent keys of either kept apart in both.
+
+    Each is read three times; one that is costly to derive is better ``stored`` first.
+    """
+    counted = [key_counts(df, key) for df in (left, right)]
+    sizes = [c.agg(F.sum("_n")).first()[0] or 0 for c in counted]
     n = buckets or buckets_for(max(sizes))
-    hot = sorted({k for df, rows in zip((left, right), sizes) for k in hot_keys(df, key, n, rows)})
+    hot = sorted({k for c, rows in zip(counted, sizes) for k in hot_keys(c, key, n, rows)})
     return store(left, key, n, hot), store(right, key, n, hot)
 
 
