@@ -3,7 +3,8 @@
 Training counts word unigrams and bigrams over all training texts (words between ASCII blanks,
 A-Z as a-z, and one end after each text). The filter holds each n-gram once for every level
 1, 2, ..., q of its quantised count q = 1 + floor(log_1.5 count); a count is read back by probing
-levels until one is missing. A bigram seen once is not stored. The probability of a word is
+levels until one is missing. With ``least_pairs`` 1 every bigram is stored; with 2, the default, those
+seen once are not and count as unseen, which keeps the filter small. The probability of a word is
 
     p(w | v) = (c(v, w) + MU * p(w)) / (max(c(v), c(v, w)) + MU),   p(w) = (c(w) + 1) / (N + V + 1)
 
@@ -153,8 +154,8 @@ def decode(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return words, unpack_counts(row["word_n"], len(words)), pairs, unpack_counts(row["pair_n"], len(pairs))
 
 
-def counts(texts: DataFrame) -> DataFrame:
-    """The n-grams of the column text, all words and the bigrams of two or more: a packed row for each part.
+def counts(texts: DataFrame, least_pairs: int = 2) -> DataFrame:
+    """The n-grams of the column text, all words and the bigrams of ``least_pairs`` or more: a packed row for each part.
 
     Further columns: ``tokens``, and by level of counts the number of words and of bigrams and the
     least count of a word.
@@ -191,7 +192,7 @@ def counts(texts: DataFrame) -> DataFrame:
     def merge(rows):
         found = [decode(r) for r in rows.to_pylist()]
         out = {"part": rows["part"][0].as_py()}
-        for name, i, least, shift in (("word", 0, 1, _ODD), ("pair", 2, 2, _PAIR_SHIFT)):
+        for name, i, least, shift in (("word", 0, 1, _ODD), ("pair", 2, least_pairs, _PAIR_SHIFT)):
             keys, back = np.unique(np.concatenate([f[i] for f in found]), return_inverse=True)
             n = np.bincount(back, np.concatenate([f[i + 1] for f in found]), len(keys)).astype(np.int64)
             if name == "word":
@@ -515,13 +516,13 @@ def _score_by_shards(docs: DataFrame, grams: DataFrame, model: LanguageModel, sh
     )
 
 
-def score(docs: DataFrame, train: Column) -> DataFrame:
-    """``docs`` scored by a model of the rows for which ``train`` holds.
+def score(docs: DataFrame, train: Column, least_pairs: int = 2) -> DataFrame:
+    """``docs`` scored by a model of the rows for which ``train`` holds; bigrams of ``least_pairs`` or more are stored.
 
     New columns: n_tokens, n_known, train_tokens, base_score and score.
     """
     spark = docs.sparkSession
-    grams = stored(counts(docs.filter(train)), "grams")
+    grams = stored(counts(docs.filter(train), least_pairs), "grams")
     model = fit(grams)
     shared = spark.sparkContext.broadcast(model)
     total = float(np.log10(model.tokens + model.distinct + 1))

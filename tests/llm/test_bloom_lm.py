@@ -157,3 +157,31 @@ def test_a_filter_in_shards_gives_the_scores_of_a_whole_one(spark, sf, monkeypat
         cut = rows()
         assert [r[:4] for r in cut] == [r[:4] for r in whole]
         assert np.allclose([r[4:] for r in cut], [r[4:] for r in whole], rtol=1e-12, atol=0)
+
+
+@pytest.mark.parametrize("shards", [False, True])
+def test_op3_stores_bigrams_seen_once(spark, tmp_path, monkeypatch, shards):
+    """Each training text's own bigrams are known, however often they were seen."""
+    from riskweave.llm.queries import op3_bloom_lm
+
+    monkeypatch.setattr(lm, "INSERT_BITS", 4_000)
+    if shards:
+        monkeypatch.setattr(lm, "FILTER_BITS", lm.BLOCK_BITS // 2)
+    rows = [(i, f"a{i} b{i} a{i} c b{i} c") for i in range(40)] + [(40, None), (41, "c c")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    train = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    one, two = Counter(), Counter()
+    for doc_id, text in rows:
+        if train(doc_id):
+            tokens = [*white_words(text), None]
+            one.update(tokens)
+            two.update(zip(["<", *tokens[:-1]], tokens, strict=True))
+    n, v = sum(one.values()), len(one)
+    of = lambda c: lm._MEANING[lm.levels(np.array([c]))][0] if c else 0.0
+    for r in op3_bloom_lm(spark, str(tmp_path)).collect():
+        total, before = 0.0, "<"
+        for w in [*white_words(dict(rows)[r.doc_id]), None]:
+            c2, c1, cw = of(two[before, w]), of(one[None if before == "<" else before]), of(one[w])
+            total += log10((c2 + lm.MU * (cw + 1) / (n + v + 1)) / (max(c1, c2) + lm.MU))
+            before = w
+        assert r.score == pytest.approx(total, rel=1e-9)
