@@ -297,3 +297,9 @@ def test_champion_report_chooses_on_validation(spark, sf):
     candidates = {n: v for (s, n), v in rows.items() if s == "candidates"}
     assert set(candidates) == {"first", "second"} and all(0 < v <= 1 for v in candidates.values())
     assert ("test", "auc_pr") in rows and ("training", "best_iteration") in rows
+
+
+def test_fitting_passes_read_the_split_and_do_not_make_it(spark, sf):
+    t = P.Trained(spark, sf)
+    shown = t.part("train")._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in shown and "Window" not in shown
