@@ -31,10 +31,16 @@ def score_curve(
     rows = df.select(*keys, score, label)
     for c in rows.columns:
         rows = rows.filter(F.col(c).isNotNull())
+    counted = rows.select(*keys, score, y.alias("pos"), (F.lit(1) - y).alias("neg"))
+    return counted_curve(counted, score, keys, n_ranges)
+
+
+def counted_curve(
+    rows: DataFrame, score: str = "score", keys: Sequence[str] = (), n_ranges: int | None = None
+) -> DataFrame:
+    """The curve of rows that stand for ``pos`` positive and ``neg`` negative ones."""
     edges = range_edges(rows, [score], n_ranges)[score]
-    per_score = rows.groupBy(*keys, score).agg(
-        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")
-    )
+    per_score = rows.groupBy(*keys, score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     out = running_totals(per_score, score, ["pos", "neg"], keys, descending=True, edges=edges)
     return out.select(
         *keys,

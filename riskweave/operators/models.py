@@ -24,8 +24,8 @@ from riskweave.operators import runs as R
 from riskweave.operators.features import column_medians, impute
 from riskweave.operators.imbalance import positive_weight, weight_column
 from riskweave.operators.split import class_balance
-from riskweave.operators.trees import first_trees, forest_of, prefix_margins
-from riskweave.session import exists, running_session
+from riskweave.operators.trees import first_trees, forest_of, prefix_counts
+from riskweave.session import exists, running_session, stored
 from riskweave.sources import schema as S
 
 # --- logistic regression ---------------------------------------------------------------
@@ -221,12 +221,12 @@ def prefix_auc(
 ) -> list[tuple[int, float]]:
     """Exact validation AUC of the first m trees, for every m.
 
-    One pass adds up the trees of each row; all prefixes are ranked in one keyed curve.
+    One pass adds up the trees of each row and counts equal margins; what it has counted is written,
+    and all prefixes are ranked in one keyed curve of it.
     """
-    rows = valid.select(F.col(label).alias("y"), *features)
-    margins = prefix_margins(rows, ["y"], features, forest_of(model))
-    long = margins.select("y", F.posexplode("margins").alias("prefix", "score"))
-    curve = M.score_curve(long.withColumn("prefix", F.col("prefix") + 1), keys=["prefix"])
+    rows = valid.select(F.col(label).cast("bigint").alias("y"), *features).filter(F.col("y").isNotNull())
+    counted = stored(prefix_counts(rows, "y", features, forest_of(model)), "prefixes")
+    curve = M.counted_curve(counted, keys=["prefix"])
     rows = M.roc_auc(curve, ["prefix"]).orderBy("prefix").collect()
     # Sums come in any order: what differs in the last digits only is equal.
     return [(r["prefix"], round(r["auc_roc"], 12)) for r in rows]

@@ -112,6 +112,44 @@ def prefix_margins(df: DataFrame, keep: Sequence[str], features: Sequence[str],
     return df.select(*keep, *[n for n in names if n not in keep]).mapInPandas(run, schema)
 
 
+#: Margins (rows times trees) that a task counts at once.
+CELLS = 1 << 22
+
+
+def prefix_counts(df: DataFrame, label: str, features: Sequence[str], forest: Forest) -> DataFrame:
+    """(prefix, score, pos, neg): for each number of trees the margins, and the rows of each class that have one.
+
+    Tasks count equal margins in blocks of rows, so a margin may come in several rows.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+    names = list(features)
+    block = max(1, CELLS // max(len(forest.roots), 1))
+
+    def count(y: np.ndarray, x: np.ndarray) -> Iterator[pd.DataFrame]:
+        margins = np.cumsum(shared.value.margins(x), axis=1)
+        for t in range(margins.shape[1]):
+            scores, back = np.unique(margins[:, t], return_inverse=True)
+            pos = np.bincount(back, y, len(scores)).astype(np.int64)
+            neg = np.bincount(back, minlength=len(scores)) - pos
+            yield pd.DataFrame({"prefix": t + 1, "score": scores, "pos": pos, "neg": neg})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for pdf in batches:
+            for first in range(0, len(pdf), block):
+                part = pdf.iloc[first : first + block]
+                if size + len(part) > block:
+                    yield from count(*(np.concatenate(c) for c in zip(*held)))
+                    held, size = [], 0
+                held.append((part[label].to_numpy(dtype=float), part[names].to_numpy(dtype=float)))
+                size += len(part)
+        if held:
+            yield from count(*(np.concatenate(c) for c in zip(*held)))
+
+    rows = df.select(label, *[n for n in names if n != label])
+    return rows.mapInPandas(run, "prefix int, score double, pos long, neg long")
+
+
 def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
     """The ensemble of the first ``n`` trees, through the saved form of the model."""
     spark = running_session()

@@ -299,6 +299,39 @@ def test_champion_report_chooses_on_validation(spark, sf):
     assert ("test", "auc_pr") in rows and ("training", "best_iteration") in rows
 
 
+def test_prefix_counts_hold_every_row_once(spark, monkeypatch):
+    """Margins counted in small blocks; rows without a label take no part in the AUC of a prefix."""
+    from riskweave.operators import trees
+
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 9, 400).astype(float), rng.random(400)
+    rows = [(int(x + 4 * z > 6), float(x), float(z)) for x, z in zip(a, b)]
+    train = spark.createDataFrame(rows, "isFraud int, a double, b double")
+    m = ml.fit_boosted(train, train, ["a", "b"], {"n_estimators": 5, "max_depth": 2, "learning_rate": 0.3})
+    valid = spark.createDataFrame([*rows, (None, 1.0, 0.5), (1, None, 0.5)], "isFraud int, a double, b double")
+    forest = forest_of(m.model)
+    want = [np.cumsum(forest.margins(np.array([(r[1], r[2])])), axis=1)[0] for r in rows] + [
+        np.cumsum(forest.margins(np.array([(np.nan, 0.5)])), axis=1)[0]]
+    y = np.array([r[0] for r in rows] + [1])
+    for cells in (trees.CELLS, 50):
+        monkeypatch.setattr(trees, "CELLS", cells)
+        labelled = valid.filter("isFraud is not null")
+        found = {}
+        for r in trees.prefix_counts(labelled, "isFraud", ["a", "b"], forest).collect():
+            old = found.get((r.prefix, r.score), (0, 0))
+            found[r.prefix, r.score] = old[0] + r.pos, old[1] + r.neg
+        plain = {}
+        for margins, label in zip(want, y):
+            for t, s in enumerate(margins, 1):
+                old = plain.get((t, s), (0, 0))
+                plain[t, s] = old[0] + label, old[1] + 1 - label
+        assert found == plain
+        for prefix, auc in ml.prefix_auc(m.model, ["a", "b"], valid, "isFraud"):
+            s = np.array([w[prefix - 1] for w in want])
+            pos, neg = s[y == 1, None], s[None, y == 0]
+            assert auc == pytest.approx(((pos > neg) + 0.5 * (pos == neg)).mean(), abs=1e-9)
+
+
 def test_fitting_passes_read_the_split_and_do_not_make_it(spark, sf):
     t = P.Trained(spark, sf)
     shown = t.part("train")._jdf.queryExecution().executedPlan().toString()
