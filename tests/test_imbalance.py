@@ -161,3 +161,54 @@ def test_boxes_and_rounds_spare_work():
     for i in range(300):
         d = ((x - x[i]) ** 2).sum(axis=1)
         assert keys[of == i].tolist() == np.argsort(d, kind="stable")[:6].tolist()
+
+
+def test_copies_are_searched_once_and_by_all_cores(spark, monkeypatch):
+    """Copies of a vector are no further points, and the cells lie in files for several tasks."""
+    monkeypatch.setattr(N, "LEAF_ROWS", 8)
+    written = {}
+    real = N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name="table": written.setdefault(name, real(df, name)) if name == "cells" else real(df, name))
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(64, 3)), 9, axis=0)[rng.permutation(576)]
+    got = {}
+    for r in I.nearest(frame(spark, x), "TransactionID", FEATURES, 12).collect():
+        got.setdefault(r["TransactionID"], {})[r["rank"]] = r["neighbour"]
+    assert {i: [v[k] for k in sorted(v)] for i, v in got.items()} == brute(x, 12)
+    assert written["cells"].count() == 64
+    assert len(written["cells"].inputFiles()) > 1
+
+
+def test_products_choose_the_pairs_of_a_cell(monkeypatch):
+    """Without a known distance, few exact distances are computed, and ties and order hold."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(700, 40)), rng.integers(0, 2, (300, 40))]) + 1e6
+    pairs = []
+    real = N.squared
+    monkeypatch.setattr(N, "squared", lambda a, b: (pairs.append(len(a)), real(a, b))[1])
+    search = N.Search(np.arange(1000), x, np.full(1000, np.inf), 6)
+    search.add(np.arange(1000), x)
+    of, keys, d2 = search.settle()
+    assert sum(pairs) < 0.1 * 1000 * 1000
+    for i in range(0, 1000, 7):
+        d = real(np.repeat(x[i : i + 1], 1000, axis=0), x)
+        order = np.lexsort((np.arange(1000), d))[:6]
+        assert keys[of == i].tolist() == order.tolist()
+        assert d2[of == i].tolist() == d[order].tolist()
+
+
+@pytest.mark.parametrize("few", [0, 2000])
+def test_repeated_and_missing_keys(spark, monkeypatch, few):
+    """A row that repeats its key counts twice for others and not for itself; rows without a key take no part."""
+    monkeypatch.setattr(I, "FEW_ROWS", few)
+    x = np.random.default_rng(6).normal(size=(30, 3))
+    x[20:] = x[:10]
+    rows = frame(spark, x)
+    no_key = frame(spark, x[:3]).withColumn("TransactionID", F.lit(None).cast("bigint"))
+    got = {}
+    for r in I.nearest(rows.unionByName(rows).unionByName(no_key), "TransactionID", FEATURES, 5).collect():
+        got.setdefault(r["TransactionID"], []).append((r["rank"], r["neighbour"]))
+    want = brute(x, 3)
+    for i in range(30):
+        others = np.repeat(want[i], 2)[: 4 if few else 5].tolist()
+        assert sorted(got[i]) == sorted(2 * list(enumerate(others, 1)))
