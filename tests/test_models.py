@@ -336,3 +336,45 @@ def test_fitting_passes_read_the_split_and_do_not_make_it(spark, sf):
     t = P.Trained(spark, sf)
     shown = t.part("train")._jdf.queryExecution().executedPlan().toString()
     assert "md5" not in shown and "Window" not in shown
+
+
+def test_gbt_score_fits_the_whole_job(spark, sf, monkeypatch):
+    """As many trees as a search may ask for, unless the validation rows stop them, on every training row."""
+    asked = {}
+
+    def fit(train, valid, features, params, **more):
+        asked.update(params=params, rows=train.count(), **more)
+        return ml.BoostedModel(list(features), None, 0)
+
+    monkeypatch.setattr(ml, "fit_boosted", fit)
+    monkeypatch.setattr(ml.BoostedModel, "score", lambda self, df: df.withColumn("probability", F.lit(0.5)))
+    assert P.gbt_score(spark, sf).count() == 250
+    low, high = next((low, high) for name, _, low, high in ml.SEARCH_SPACE if name == "n_estimators")
+    assert low <= high == asked["params"]["n_estimators"]
+    low, high = next((low, high) for name, _, low, high in ml.SEARCH_SPACE if name == "max_depth")
+    assert low <= asked["params"]["max_depth"] <= high
+    assert asked["patience"] >= ml.PATIENCE and asked["rows"] == 600
+    assert not {"subsample", "colsample_bytree"} & set(asked["params"])
+
+
+def test_rounds_in_blocks_judge_each_prefix_once(spark, monkeypatch):
+    """Longer runs, judged in blocks of trees, give the history of one run judged at once."""
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 9, 300).astype(float), rng.random(300)
+    noise = rng.random(300)
+    rows = [(int(x + 4 * z + 3 * e > 8), float(x), float(z)) for x, z, e in zip(a, b, noise)]
+    train = spark.createDataFrame(rows, "isFraud int, a double, b double")
+    valid = spark.createDataFrame([*rows[::2], (None, 1.0, 0.5), (1, None, 0.5)], "isFraud int, a double, b double")
+    params = {"n_estimators": 9, "max_depth": 2, "learning_rate": 0.3}
+    whole = ml.fit_boosted(train, valid, ["a", "b"], params, patience=9)
+    seen, real = [], ml.prefix_counts
+
+    def counts(df, label, features, forest, first=0, last=None):
+        seen.extend(range(first, min(last, len(forest.roots))))
+        return real(df, label, features, forest, first, last)
+
+    monkeypatch.setattr(ml, "prefix_counts", counts)
+    monkeypatch.setattr(ml, "JUDGED_CELLS", 2 * 150)
+    blocks = ml.fit_boosted(train, valid, ["a", "b"], params, patience=3, first_rounds=3)
+    assert seen == list(range(len(blocks.history))) and len(seen) > 3
+    assert blocks.history == whole.history[: len(blocks.history)]
